@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -91,18 +91,17 @@ def prioritized_union(
     """ST-1 + W-3: union feeds, first feed wins per key.
 
     ``frames`` is ``[(source_name, df), ...]`` in priority order; each frame is
-    already unique on ``keys``. Instead of a window over the union, each lower
-    feed is anti-joined against the keys of the feeds above it. Both sides
-    arrive hash-partitioned on ``keys`` by their own aggregation/dedup, so the
-    anti-join reuses that partitioning and the union adds no shuffle.
+    unique on ``keys``, so a key has at most ``len(frames)`` rows in the union
+    and the ``row_number() = 1`` pick per key is skew-free. Both inputs come out
+    of their own aggregation/dedup hash-partitioned on ``keys``; the union keeps
+    that partitioning, so the pick needs no further shuffle.
     """
+    rank = "__tessera_prio"
     out: DataFrame | None = None
-    taken: DataFrame | None = None
-    for name, df in frames:
-        tagged = df.withColumn(source_col, F.lit(name))
-        part = tagged if taken is None else tagged.join(taken, list(keys), "left_anti")
-        out = part if out is None else out.unionByName(part)
-        k = df.select(*keys)
-        taken = k if taken is None else taken.unionByName(k)
+    for i, (name, df) in enumerate(frames):
+        tagged = df.withColumn(source_col, F.lit(name)).withColumn(rank, F.lit(i))
+        out = tagged if out is None else out.unionByName(tagged)
     assert out is not None
-    return out
+    w = Window.partitionBy(*keys).orderBy(F.col(rank).asc())
+    rn = "__tessera_rn"
+    return out.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn, rank)

@@ -95,6 +95,58 @@ def scd2_replay(
     return hist
 
 
+def scd2_from_observations(
+    obs: DataFrame,
+    key: str,
+    attrs: Sequence[str],
+    ts_col: str,
+    cuts: Sequence[dt.datetime],
+    pick: str = "latest",
+    derived: dict | None = None,
+) -> DataFrame:
+    """Version history that replaying ``scd2_apply`` at each of ``cuts`` would
+    build, computed in one pass (a backfill of the check strategy).
+
+    Each run at ``cuts[i]`` sees the observations with ``ts < cuts[i]``. The
+    rows are bucketed by the first run that sees them and folded per
+    (key, bucket) — partial aggregation, so a hot key is pre-reduced map-side;
+    a version starts at the run of a bucket whose attribute values differ
+    (NULL-safe) from the previous bucket's. The window over buckets holds at
+    most ``len(cuts)`` rows per key. ``pick`` is 'latest' (newest observation)
+    or 'max' (lexicographic max over all history). ``derived`` maps extra
+    checked columns to expressions of the key (e.g. a class from an id list).
+    Keys never vanish here, as with ``close_missing=False``.
+    """
+    cuts = sorted(cuts)
+    bucket = F.lit(None).cast("int")
+    for i in reversed(range(len(cuts))):
+        bucket = F.when(F.col(ts_col) < ntz_lit(cuts[i]), F.lit(i)).otherwise(bucket)
+    seen = obs.select(key, *attrs, ts_col).withColumn("__b", bucket).where(F.col("__b").isNotNull())
+    if pick == "latest":
+        folded = seen.groupBy(key, "__b").agg(
+            F.max_by(F.struct(*attrs), F.struct(ts_col, *attrs)).alias("__a"))
+        state = folded.select(key, "__b", *[F.col(f"__a.{a}").alias(a) for a in attrs])
+    elif pick == "max":
+        folded = seen.groupBy(key, "__b").agg(*[F.max(a).alias(a) for a in attrs])
+        run = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+        state = folded.select(key, "__b", *[F.max(a).over(run).alias(a) for a in attrs])
+    else:
+        raise ValueError(f"unknown pick {pick!r}")
+    for name, expr in (derived or {}).items():
+        state = state.withColumn(name, expr)
+    checked = list(attrs) + list(derived or {})
+    w = Window.partitionBy(key).orderBy("__b")
+    first = F.lag("__b").over(w).isNull()
+    same = F.lit(True)
+    for c in checked:
+        same = same & F.col(c).eqNullSafe(F.lag(c).over(w))
+    starts = state.withColumn("__start", first | ~same).where(F.col("__start"))
+    cut_ts = F.element_at(F.array(*[ntz_lit(c) for c in cuts]), F.col("__b") + 1)
+    starts = starts.withColumn(VFROM, cut_ts)
+    return starts.select(key, *checked, VFROM,
+                         F.lead(VFROM).over(Window.partitionBy(key).orderBy(VFROM)).alias(VTO))
+
+
 def scd2_dimension(
     history: DataFrame,
     key: str,

@@ -30,7 +30,7 @@ from tessera.functions.scalar import (
 )
 from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.dedup import latest_per_key
-from tessera.operators.scd2 import scd2_dimension, scd2_replay
+from tessera.operators.scd2 import scd2_dimension, scd2_from_observations, scd2_replay
 from tessera.plans import market as M
 from tessera.sources.landing import (
     flatten_json_column,
@@ -128,6 +128,15 @@ class Models:
         return M.coin_attributes(snap, hist, pick="latest", stable_ids=STABLE_USERS)
 
     def versions(self) -> DataFrame:
+        """History of the runs at ``SCD_CUTS`` in one pass over the feeds."""
+        cols = ["coin_id", "symbol", "name", "fetched_at"]
+        obs = self.stg_snap().select(*cols).unionByName(self.stg_hist().select(*cols))
+        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", SCD_CUTS,
+                                      pick="latest",
+                                      derived={"asset_type": M.asset_class("coin_id", STABLE_USERS)})
+
+    def versions_replayed(self) -> DataFrame:
+        """The same history by applying the check strategy run after run."""
         snaps = [(cut, self.attributes_at(cut)) for cut in SCD_CUTS]
         return scd2_replay(snaps, "coin_id", ["symbol", "name", "asset_type"])
 
