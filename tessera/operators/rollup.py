@@ -100,7 +100,7 @@ def prioritized_union(
     out: DataFrame | None = None
     for i, (name, df) in enumerate(frames):
         tagged = df.withColumn(source_col, F.lit(name)).withColumn(rank, F.lit(i))
-        out = tagged if out is None else out.unionByName(tagged)
+        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     assert out is not None
     w = Window.partitionBy(*keys).orderBy(F.col(rank).asc())
     rn = "__tessera_rn"

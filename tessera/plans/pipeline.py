@@ -40,12 +40,17 @@ class Warehouse:
         self.pick, self.stable_ids = pick, list(stable_ids)
         self.daily_mode, self.lookback_days = daily_mode, lookback_days
         self.calendar_start, self.forward_days = calendar_start, forward_days
+        self._schemas: dict = {}
 
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
 
     def table(self, model: str) -> DataFrame | None:
-        return I.read_table(self.spark, self.path(model))
+        df = I.read_table(self.spark, self.path(model))
+        if df is None and model in self._schemas:
+            # a feed that has delivered nothing yet reads as an empty table
+            df = self.spark.createDataFrame([], self._schemas[model])
+        return df
 
     # ------------------------------------------------------------ version history
 
@@ -91,6 +96,7 @@ class Warehouse:
             cur = None if full_refresh else self.table(model)
             mark = I.high_water_mark(cur, "fetched_at")
             delta = fn(raw, mark, overrides=overrides)
+            self._schemas[model] = delta.schema
             if full_refresh:
                 I.replace(s, delta, self.path(model), "price_date")
             else:

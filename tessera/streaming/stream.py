@@ -42,7 +42,7 @@ def run_available_now(stream_df: DataFrame, checkpoint: str,
                       batch_fn: Callable[[DataFrame, int], None] | None = None,
                       sink_path: str | None = None, output_mode: str = "append",
                       partition_by: Sequence[str] = ()) -> int:
-    """SS-2: drain what is new, then stop. Returns the number of batches run."""
+    """SS-2: drain what is new, then stop. Returns the number of input rows read."""
     w = stream_df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if batch_fn is not None:
         w = w.foreachBatch(batch_fn).outputMode(output_mode)
@@ -52,7 +52,7 @@ def run_available_now(stream_df: DataFrame, checkpoint: str,
             w = w.partitionBy(*partition_by)
     q = w.start()
     q.awaitTermination()
-    return len(q.recentProgress)
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
 def dedup_within_watermark(df: DataFrame, keys: Sequence[str], event_col: str, delay: str) -> DataFrame:
