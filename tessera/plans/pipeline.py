@@ -34,13 +34,15 @@ ATTRS = ["symbol", "name", "asset_type"]
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, env: str = "dev", pick: str = "max",
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
-                 calendar_start: dt.date | None = None, forward_days: int = 3):
+                 calendar_start: dt.date | None = None, forward_days: int = 3,
+                 broadcast_max_rows: int = 200_000):
         self.spark, self.env = spark, env
         self.base = f"{root.rstrip('/')}/{env}"
         self.pick, self.stable_ids = pick, list(stable_ids)
         self.daily_mode, self.lookback_days = daily_mode, lookback_days
         self.calendar_start, self.forward_days = calendar_start, forward_days
         self._schemas: dict = {}
+        self.broadcast_max_rows = broadcast_max_rows
 
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
@@ -128,6 +130,9 @@ class Warehouse:
         dim = scd2_dimension(self.versions(), "coin_id", ATTRS, "coin_sk")
         I.replace(s, dim, self.path("dim_coin"))
         dim = self.table("dim_coin")
+        # a version row is ~150 bytes: broadcast only under a counted bound,
+        # else sort-merge on coin_id (AQE splits a skewed fact partition)
+        bcast = dim.count() <= self.broadcast_max_rows
         bounds = stg_snap.select("price_date").unionByName(stg_hist.select("price_date")).agg(
             F.min("price_date").alias("lo"), F.max("price_date").alias("hi"))
         if self.calendar_start is not None:
@@ -137,7 +142,7 @@ class Warehouse:
         # facts
         cur = None if full_refresh else self.table("fct_market_snapshot")
         mark = I.high_water_mark(cur, "fetched_at")
-        fs = M.fct_market_snapshot(stg_snap, dim, mark)
+        fs = M.fct_market_snapshot(stg_snap, dim, mark, broadcast_dim=bcast)
         if mark is None:
             I.replace(s, fs, self.path("fct_market_snapshot"), "date_sk")
         else:
@@ -145,11 +150,12 @@ class Warehouse:
                                                     "date_sk")
         cur = None if full_refresh else self.table("fct_daily_market")
         if cur is None:
-            I.replace(s, M.fct_daily_market(daily, dim), self.path("fct_daily_market"), "price_date")
+            I.replace(s, M.fct_daily_market(daily, dim, broadcast_dim=bcast), self.path("fct_daily_market"),
+                      "price_date")
         else:
             row = cur.agg(F.max("_synced_at").alias("m"), F.max("price_date").alias("d")).first()
             fd = M.fct_daily_market(daily, dim, mark=row["m"], max_day=row["d"],
-                                    lookback_days=self.lookback_days, mode=self.daily_mode)
+                                    lookback_days=self.lookback_days, mode=self.daily_mode, broadcast_dim=bcast)
             stats["fct_daily_market"] = I.upsert(s, fd, self.path("fct_daily_market"), ["daily_market_sk"],
                                                  "price_date")
         return stats
