@@ -52,6 +52,7 @@ HISTORY_COLUMNS = [
 # Ids classed as stablecoins in the reference's version history.
 STABLECOIN_IDS = ["tether", "usd-coin", "dai"]
 
+OVERRIDE_BROADCAST_MAX_ROWS = 100_000
 EPOCH_FLOOR = dt.datetime(1900, 1, 1)
 OPEN_END = dt.datetime(9999, 12, 31)
 
@@ -84,7 +85,9 @@ def apply_overrides(df: DataFrame, overrides: DataFrame | None, key: str, cols:
     if overrides is None:
         return df
     o = overrides.select(F.col(key), *[F.col(c).alias(f"__ovr_{c}") for c in cols])
-    j = df.join(F.broadcast(o), key, "left")
+    if o.count() <= OVERRIDE_BROADCAST_MAX_ROWS:  # curated map: counted, then broadcast
+        o = F.broadcast(o)
+    j = df.join(o, key, "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(f"__ovr_{c}"), F.col(c)))
     return j.drop(*[f"__ovr_{c}" for c in cols])

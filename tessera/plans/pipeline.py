@@ -57,22 +57,33 @@ class Warehouse:
     # ------------------------------------------------------------ version history
 
     def versions(self) -> DataFrame | None:
+        """The newest complete history (``None`` before the first run or after a reset)."""
         snap = self.table("snapshot")
         if snap is None:
             return None
         latest = snap.agg(F.max("v")).first()[0]
-        return snap.where(F.col("v") == latest).drop("v")
+        cur = snap.where(F.col("v") == latest)
+        if cur.where(~F.col("__live")).limit(1).count():
+            return None  # the newest version is a reset marker
+        return cur.drop("v", "__live")
 
-    def _write_versions(self, hist: DataFrame) -> None:
+    def _write_versions(self, hist: DataFrame, live: bool = True) -> None:
         snap = self.table("snapshot")
         nxt = 1 if snap is None else (snap.agg(F.max("v")).first()[0] or 0) + 1
-        hist.withColumn("v", F.lit(nxt)).write.mode("append").partitionBy("v").parquet(self.path("snapshot"))
+        (hist.withColumn("__live", F.lit(live)).withColumn("v", F.lit(nxt))
+         .write.mode("append").partitionBy("v").parquet(self.path("snapshot")))
 
     def reset_versions(self) -> bool:
-        """SK-8: start a fresh, empty history; facts then need a full refresh (Q9)."""
-        hist = self.versions()
-        if hist is not None:
-            self._write_versions(hist.limit(0))
+        """SK-8: start a fresh, empty history; facts then need a full refresh (Q9).
+
+        An empty frame would write no partition, so the reset is recorded as a
+        one-row marker version; older versions stay on disk untouched.
+        """
+        snap = self.table("snapshot")
+        if snap is not None:
+            marker = snap.drop("v", "__live").limit(1).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in snap.drop("v", "__live").schema.fields])
+            self._write_versions(marker, live=False)
         return True
 
     # ------------------------------------------------------------ build

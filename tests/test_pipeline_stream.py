@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +93,44 @@ def test_query_matches_oracle_at_smoke_scale(spark, name):
         return sorted(tuple(repr(v) for v in r) for r in zip(*[t.column(c).to_pylist() for c in cols]))
 
     assert rows(got) == rows(exp)
+
+
+def test_attribute_pick_max_hides_smaller_rename(spark):
+    # Q6: under the reference's lexicographic max a rename to a smaller string never shows
+    from tessera.plans import market as M
+
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    snap = spark.createDataFrame([("tether", "USDT", "Tether", t1), ("tether", "USDT", "Abc", t2)],
+                                 "coin_id string, symbol string, name string, fetched_at timestamp_ntz")
+    hist = snap.limit(0)
+    mx = M.coin_attributes(snap, hist, pick="max").first()
+    lt = M.coin_attributes(snap, hist, pick="latest").first()
+    assert (mx.name, mx.asset_type) == ("Tether", "stablecoin")
+    assert lt.name == "Abc"
+
+
+def test_reset_versions_orphans_facts_until_full_refresh(spark):
+    # SK-8 / Q9: after a history reset the facts' version keys dangle; a full refresh repairs them
+    from tessera.operators.quality import QualityError
+
+    events = E.read(spark, SMOKE, "events")
+    wh = Warehouse(spark, scratch_dir(spark, "t-reset"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
+    first, last = E.SCD_CUTS[0], E.SCD_CUTS[-1]
+    wh.build(E.snapshot_landing(events, first), E.history_landing(events, first), as_of=first)
+    assert wh.reset_versions()
+    assert wh.versions() is None
+    with pytest.raises(QualityError):
+        wh.build(E.snapshot_landing(events, last), E.history_landing(events, last), as_of=last)
+    wh.build(E.snapshot_landing(events, last), E.history_landing(events, last), as_of=last, full_refresh=True)
+    report = {(r.model, r.test, r.column_name): r.failures for r in wh.quality_report().collect()}
+    assert set(report.values()) == {0}
+
+
+def test_create_table_if_not_exists_is_idempotent(spark, tmpdir_path):
+    from tessera.sources import landing as L
+
+    name = "tessera_landing_" + os.path.basename(tmpdir_path).replace("-", "_")
+    for _ in range(2):
+        L.create_table_if_not_exists(spark, name, L.HISTORY_LANDING, f"{tmpdir_path}/tbl", ["price_date"])
+    assert spark.table(name).columns[-1] == "price_date"
+    spark.sql(f"DROP TABLE {name}")
