@@ -21,6 +21,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
@@ -31,6 +32,13 @@ from tessera.plans import market as M
 ATTRS = ["symbol", "name", "asset_type"]
 
 
+def _with_partition_last(schema: StructType, partition_col: str | None) -> StructType:
+    """Column order of a table read back: partition column last."""
+    if not partition_col:
+        return schema
+    return StructType([f for f in schema.fields if f.name != partition_col] + [schema[partition_col]])
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, env: str = "dev", pick: str = "max",
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
@@ -48,12 +56,26 @@ class Warehouse:
         return f"{self.base}/{model}"
 
     def table(self, model: str) -> DataFrame | None:
-        df = I.read_table(self.spark, self.path(model))
-        if df is None and model in self._schemas:
+        """Read a model's table. With the schema this run wrote, the read is
+        aligned to it (no footer merge); otherwise all footers are merged so
+        files from before a schema change stay readable."""
+        schema = self._schemas.get(model)
+        df = I.read_table(self.spark, self.path(model), schema)
+        if df is None and schema is not None:
             # a feed that has delivered nothing yet reads as an empty table
-            df = self.spark.createDataFrame([], self._schemas[model])
+            df = self.spark.createDataFrame([], schema)
         return df
 
+    def _upsert(self, model: str, delta: DataFrame, keys, partition_col: str) -> dict:
+        # every model delta is unique on its key by construction (dedup or
+        # group-by on the key); the quality suite tests the table afterwards
+        self._schemas[model] = _with_partition_last(delta.schema, partition_col)
+        return I.upsert(self.spark, delta, self.path(model), keys, partition_col, check_unique=False)
+
+    def _replace(self, model: str, df: DataFrame, partition_col: str | None = None) -> None:
+        self._schemas[model] = _with_partition_last(df.schema, partition_col)
+        I.replace(self.spark, df, self.path(model), partition_col)
+
     # ------------------------------------------------------------ version history
 
     def versions(self) -> DataFrame | None:
@@ -107,25 +129,26 @@ class Warehouse:
             ("stg_history", hist_landing, M.stg_history, ["coin_id", "price_date"]),
         ):
             cur = None if full_refresh else self.table(model)
-            mark = I.high_water_mark(cur, "fetched_at")
+            # the snapshot's day is cut from fetched_at, so its newest
+            # partition holds the mark; a backfill's fetch time is unrelated
+            mark = I.high_water_mark(cur, "fetched_at", "price_date" if model == "stg_snapshot" else None)
             delta = fn(raw, mark, overrides=overrides)
-            self._schemas[model] = delta.schema
             if full_refresh:
-                I.replace(s, delta, self.path(model), "price_date")
+                self._replace(model, delta, "price_date")
             else:
-                stats[model] = I.upsert(s, delta, self.path(model), keys, "price_date")
+                stats[model] = self._upsert(model, delta, keys, "price_date")
         stg_snap, stg_hist = self.table("stg_snapshot"), self.table("stg_history")
 
         # unified daily grain: touched-key recompute (one mark for both feeds, Q2)
         cur = None if full_refresh else self.table("int_daily")
         mark = I.high_water_mark(cur, "_synced_at")
         if mark is None:
-            I.replace(s, M.int_daily(stg_snap, stg_hist), self.path("int_daily"), "price_date")
+            self._replace("int_daily", M.int_daily(stg_snap, stg_hist), "price_date")
         else:
             touched = M.touched_keys([stg_snap, stg_hist], M.DAILY_KEYS, "fetched_at", mark)
             days = [r[0] for r in touched.select("price_date").distinct().collect()]
             delta = M.int_daily(stg_snap, stg_hist, mark=mark, touched_days=days)
-            stats["int_daily"] = I.upsert(s, delta, self.path("int_daily"), M.DAILY_KEYS, "price_date")
+            stats["int_daily"] = self._upsert("int_daily", delta, M.DAILY_KEYS, "price_date")
         return stats
 
     def build_gold(self, as_of: dt.datetime, full_refresh: bool = False) -> dict:
@@ -139,7 +162,7 @@ class Warehouse:
         hist = scd2_apply(self.versions(), incoming, "coin_id", ATTRS, as_of)
         self._write_versions(hist)
         dim = scd2_dimension(self.versions(), "coin_id", ATTRS, "coin_sk")
-        I.replace(s, dim, self.path("dim_coin"))
+        self._replace("dim_coin", dim)
         dim = self.table("dim_coin")
         # a version row is ~150 bytes: broadcast only under a counted bound,
         # else sort-merge on coin_id (AQE splits a skewed fact partition)
@@ -148,27 +171,24 @@ class Warehouse:
             F.min("price_date").alias("lo"), F.max("price_date").alias("hi"))
         if self.calendar_start is not None:
             bounds = bounds.withColumn("lo", F.lit(self.calendar_start))
-        I.replace(s, calendar_from_bounds(bounds, "lo", "hi", self.forward_days), self.path("dim_date"))
+        self._replace("dim_date", calendar_from_bounds(bounds, "lo", "hi", self.forward_days))
 
         # facts
         cur = None if full_refresh else self.table("fct_market_snapshot")
-        mark = I.high_water_mark(cur, "fetched_at")
+        mark = I.high_water_mark(cur, "fetched_at", "date_sk")
         fs = M.fct_market_snapshot(stg_snap, dim, mark, broadcast_dim=bcast)
         if mark is None:
-            I.replace(s, fs, self.path("fct_market_snapshot"), "date_sk")
+            self._replace("fct_market_snapshot", fs, "date_sk")
         else:
-            stats["fct_market_snapshot"] = I.upsert(s, fs, self.path("fct_market_snapshot"), ["snapshot_sk"],
-                                                    "date_sk")
+            stats["fct_market_snapshot"] = self._upsert("fct_market_snapshot", fs, ["snapshot_sk"], "date_sk")
         cur = None if full_refresh else self.table("fct_daily_market")
         if cur is None:
-            I.replace(s, M.fct_daily_market(daily, dim, broadcast_dim=bcast), self.path("fct_daily_market"),
-                      "price_date")
+            self._replace("fct_daily_market", M.fct_daily_market(daily, dim, broadcast_dim=bcast), "price_date")
         else:
             row = cur.agg(F.max("_synced_at").alias("m"), F.max("price_date").alias("d")).first()
             fd = M.fct_daily_market(daily, dim, mark=row["m"], max_day=row["d"],
                                     lookback_days=self.lookback_days, mode=self.daily_mode, broadcast_dim=bcast)
-            stats["fct_daily_market"] = I.upsert(s, fd, self.path("fct_daily_market"), ["daily_market_sk"],
-                                                 "price_date")
+            stats["fct_daily_market"] = self._upsert("fct_daily_market", fd, ["daily_market_sk"], "price_date")
         return stats
 
     def tables(self) -> dict[str, DataFrame]:
