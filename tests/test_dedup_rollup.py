@@ -77,3 +77,23 @@ def test_prioritized_union_first_feed_wins(spark):
     out = {(r.k, r.source_name): r.v for r in prioritized_union([("snapshot", a), ("history", b)],
                                                                ["k", "d"]).collect()}
     assert out == {("x", "snapshot"): 10.0, ("y", "snapshot"): 20.0, ("z", "history"): 30.0}
+
+
+def test_bounded_lookback_loses_far_predecessor_exact_keeps_it(spark):
+    # Q4: the bounded read starts at max_day - 3 of the target; a touched row whose
+    # previous row is older than that gets a NULL return; mode='exact' reads it
+    d = lambda n: dt.date(2024, 1, n)
+    t = lambda n: dt.datetime(2024, 1, n, 12)
+    rows = [("a", d(1), Decimal("10"), t(1)), ("a", d(2), Decimal("11"), t(2)),
+            ("b", d(9), Decimal("5"), t(9)), ("b", d(10), Decimal("6"), t(10)),
+            ("a", d(11), Decimal("22"), t(11))]  # the increment: a's previous day is Jan 2
+    daily = spark.createDataFrame(rows, "coin_id string, price_date date, latest_price_usd decimal(20,8), "
+                                        "_synced_at timestamp_ntz")
+    dim = spark.createDataFrame([("k", "a", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31)),
+                                 ("kb", "b", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))],
+                                "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    mark, max_day = t(10), d(10)
+    bounded = M.fct_daily_market(daily, dim, mark=mark, max_day=max_day, mode="bounded").collect()
+    exact = M.fct_daily_market(daily, dim, mark=mark, max_day=max_day, mode="exact").collect()
+    assert [(r.price_date, r.daily_return_pct) for r in bounded] == [(d(11), None)]
+    assert [(r.price_date, float(r.daily_return_pct)) for r in exact] == [(d(11), 100.0)]
