@@ -196,9 +196,80 @@ def pipeline_oracle() -> dict[str, str]:
         """touched AS (SELECT DISTINCT coin_id, price_date FROM (
   SELECT coin_id, price_date, fetched_at FROM stg_snap UNION ALL SELECT coin_id, price_date, fetched_at FROM stg_hist) x
   WHERE fetched_at > (SELECT max(_synced_at) FROM int_daily_old))"""]
+    absent = ["price_change_24h", "price_change_pct_24h", "high_24h", "low_24h", "circulating_supply",
+              "all_time_high"]
+    stg_cols = """coin_id, symbol, name, CAST(price_usd AS DOUBLE) AS price_usd,
+  CAST(market_cap_usd AS DOUBLE) AS market_cap_usd, CAST(volume_24h_usd AS DOUBLE) AS volume_24h_usd,
+  fetched_at, price_date, _loaded_at, """ + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in absent)
+    landing_ids = S.feeds()[:2]
+    landing_ids[0] = landing_ids[0].replace("SELECT user_id AS id,", "SELECT CAST(user_id AS VARCHAR) AS id,")
+    q["csv_landing"] = S.with_(landing_ids, f"SELECT {stg_cols} FROM stg_snap")
+    q["json_landing"] = q["csv_landing"]
+    q["market_payload"] = """SELECT CAST(user_id AS VARCHAR) AS id, event_type AS symbol, 'user-' || CAST(user_id AS VARCHAR) AS name,
+  round(value / 3.0, 5) AS current_price,
+  round(value * CAST(json_extract(props, '$.k') AS BIGINT), 5) AS market_cap,
+  CAST(NULL AS DOUBLE) AS total_volume,
+  round(CAST(json_extract(props, '$.k') AS BIGINT) / 7.0 - 5.0, 5) AS price_change_pct_24h,
+  CAST(NULL AS DOUBLE) AS high_24h, ts AS fetched_at
+FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
     q["schema_sync"] = S.with_(touched, """SELECT coin_id, symbol, name, price_date, extract_count, avg_price_usd,
   avg_market_cap_usd,
   CASE WHEN (coin_id, price_date) IN (SELECT coin_id, price_date FROM touched) THEN avg_volume_usd END AS avg_volume_usd,
   CAST(latest_price_usd AS DOUBLE) AS latest_price_usd, CAST(latest_market_cap_usd AS DOUBLE) AS latest_market_cap_usd,
   CAST(latest_volume_usd AS DOUBLE) AS latest_volume_usd, source_name, _synced_at FROM int_daily""")
     return q
+
+
+# ---------------------------------------------------------------- landing formats
+
+def _market_objects(events: DataFrame) -> DataFrame:
+    """Snapshot-feed events as market objects (the API's field names); fields
+    the events do not carry stay absent (NULL)."""
+    snap = E.snapshot_landing(events)
+    return snap.select("id", "symbol", "name", "current_price", "market_cap", "total_volume", "fetched_at",
+                       "_loaded_at")
+
+
+def q_csv_landing(spark, sf):
+    """SNK-1 -> SRC-3 -> cleaned feed: landing rows written as CSV with a
+    header, read back with the declared landing schema, then cleaned."""
+    from tessera.sources import landing as L
+
+    path = scratch_dir(spark, "landing-csv")
+    L.write_csv(_market_objects(E.read(spark, sf, "events")), path, sort_by=["fetched_at"])
+    raw = L.read_landing(spark, path, L.SNAPSHOT_LANDING, fmt="csv")
+    return E.present(M.stg_snapshot(raw))
+
+
+def q_json_landing(spark, sf):
+    """SNK-2 -> SRC-3: the same rows as JSON lines, read with the declared schema."""
+    from tessera.sources import landing as L
+
+    path = scratch_dir(spark, "landing-json")
+    L.write_raw_json(_market_objects(E.read(spark, sf, "events")), path)
+    raw = L.read_landing(spark, path, L.SNAPSHOT_LANDING, fmt="json")
+    return E.present(M.stg_snapshot(raw))
+
+
+def q_market_payload(spark, sf):
+    """SRC-1: one JSON array document per fetch (API field names, percentage
+    field under its API name) flattened, rounded to 5 places and stamped."""
+    from tessera.sources import landing as L
+
+    ev = E.read(spark, sf, "events").where(F.col("event_type").isin(E.SNAPSHOT_TYPES))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    obj = F.struct(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("symbol"),
+                   F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name"),
+                   (F.col("value") / F.lit(3.0)).alias("current_price"), (F.col("value") * k).alias("market_cap"),
+                   (k / F.lit(7.0) - F.lit(5.0)).alias("price_change_percentage_24h"))
+    docs = ev.select(F.col("ts").alias("fetch_ts"), F.to_json(F.array(obj)).alias("payload"))
+    flat = L.flatten_market_payload(docs, "payload", F.col("fetch_ts"))
+    return flat.select("id", "symbol", "name", "current_price", "market_cap", "total_volume",
+                       "price_change_pct_24h", "high_24h", "fetched_at")
+
+
+PIPELINE_QUERIES.update({
+    "csv_landing": q_csv_landing,
+    "json_landing": q_json_landing,
+    "market_payload": q_market_payload,
+})

@@ -130,11 +130,26 @@ def nested_series_daily(docs: DataFrame, id_cols: Sequence[str], payload_col: st
 
 # ---------------------------------------------------------------- SRC-3..6
 
+# Fixed value: text form of wall-clock timestamps in text landings (microseconds kept).
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """SRC-3: read a landing folder with a declared schema (no inference)."""
-    r = spark.read.schema(schema)
+    """SRC-3: read a landing folder with a declared schema (no inference).
+
+    CSV columns are matched by *header name* (Spark's CSV reader would apply a
+    schema by position); a declared field missing from the file reads as NULL.
+    """
     if fmt == "csv":
-        r = r.option("header", True)
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        have = set(raw.columns)
+        return raw.select(*[
+            (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ])
+    r = spark.read.schema(schema)
+    if fmt == "json":
+        r = r.option("timestampNTZFormat", TS_TEXT)
     return r.format(fmt).load(path)
 
 
@@ -196,12 +211,12 @@ def with_load_stamp(df: DataFrame, loaded_at: dt.datetime, col: str = "_loaded_a
 def write_csv(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     """SNK-1: CSV with header; SO-2 sorts rows within each output file."""
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("append").option("header", True).csv(path)
+    out.write.mode("append").option("header", True).option("timestampNTZFormat", TS_TEXT).csv(path)
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:
     """SNK-2: raw documents kept whole (every field, no rounding)."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").option("timestampNTZFormat", TS_TEXT).json(path)
 
 
 def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

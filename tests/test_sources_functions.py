@@ -112,3 +112,13 @@ def test_calendar_end_exclusive(spark):
                                          dt.date(2024, 3, 1)]
     assert cal[0].month_name == "Feb" and cal[0].quarter == 1 and cal[0].date_sk == 20240227
     assert [r.is_weekend for r in cal] == [False, False, False, False]
+
+
+def test_csv_landing_is_read_by_header_name(spark, tmpdir_path):
+    # the file's column order differs from the declared schema; a missing field reads as NULL
+    t = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
+    df = spark.createDataFrame([(t, "btc", 1.25, "b", "Bitcoin")],
+                               "fetched_at timestamp_ntz, id string, current_price double, symbol string, name string")
+    L.write_csv(df, f"{tmpdir_path}/csv")
+    back = L.read_landing(spark, f"{tmpdir_path}/csv", L.SNAPSHOT_LANDING, fmt="csv").first()
+    assert (back.id, back.current_price, back.fetched_at, back.ath) == ("btc", 1.25, t, None)
