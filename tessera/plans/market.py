@@ -53,8 +53,6 @@ HISTORY_COLUMNS = [
 STABLECOIN_IDS = ["tether", "usd-coin", "dai"]
 
 OVERRIDE_BROADCAST_MAX_ROWS = 100_000
-EPOCH_FLOOR = dt.datetime(1900, 1, 1)
-OPEN_END = dt.datetime(9999, 12, 31)
 
 
 def _typed(src: str, how: str | None) -> Column:

@@ -10,7 +10,6 @@ root and are reused by the queries of one process.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
