@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from tessera.session import scratch_dir
+from tessera.session import delete_path, scratch_dir, scratch_root
 
 
 class DuplicateKeyError(ValueError):
@@ -119,6 +119,7 @@ def upsert(
     partition_col: str,
     check_unique: bool = True,
     staging: str | None = None,
+    keep_staging: bool = False,
 ) -> dict:
     """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the target.
 
@@ -132,7 +133,9 @@ def upsert(
     """
     if staging is not None and read_table(spark, f"{staging}/merged") is not None:
         _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
-        return {"staging": staging, "replayed": True}
+        if not keep_staging:
+            _drop_staging(spark, staging)
+        return {"staging": staging if keep_staging else None, "replayed": True}
     staging = staging or scratch_dir(spark, "upsert-staging")
     schema = delta.schema
     delta.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging}/delta")
@@ -151,10 +154,19 @@ def upsert(
         merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging}/merged")
     _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
-    return {"staging": staging, "touched_partitions": len(days)}
+    if not keep_staging:
+        # the copy has committed; staging is only needed to replay a failed copy
+        _drop_staging(spark, staging)
+    return {"staging": staging if keep_staging else None, "touched_partitions": len(days)}
 
 
-def replace(spark: SparkSession, df: DataFrame, target_path: str, partition_col: str | None = None) -> str:
+def _drop_staging(spark: SparkSession, staging: str) -> None:
+    root = scratch_root(spark)
+    if staging.startswith(root + "/"):
+        delete_path(spark, staging, root)
+
+
+def replace(spark: SparkSession, df: DataFrame, target_path: str, partition_col: str | None = None) -> None:
     """SNK-6 / SK-7: full replace through staging (safe even if ``df`` reads the target)."""
     staging = scratch_dir(spark, "replace-staging")
     w = df.write.mode("overwrite")
@@ -166,4 +178,4 @@ def replace(spark: SparkSession, df: DataFrame, target_path: str, partition_col:
     if partition_col:
         w2 = w2.partitionBy(partition_col)
     w2.parquet(target_path)
-    return staging
+    _drop_staging(spark, staging)

@@ -28,6 +28,7 @@ from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.quality import gate, run_checks, warehouse_checks
 from tessera.operators.scd2 import scd2_apply, scd2_dimension
 from tessera.plans import market as M
+from tessera.session import delete_path
 
 ATTRS = ["symbol", "name", "asset_type"]
 
@@ -43,7 +44,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, env: str = "dev", pick: str = "max",
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
                  calendar_start: dt.date | None = None, forward_days: int = 3,
-                 broadcast_max_rows: int = 200_000):
+                 broadcast_max_rows: int = 200_000, keep_versions: int = 3):
         self.spark, self.env = spark, env
         self.base = f"{root.rstrip('/')}/{env}"
         self.pick, self.stable_ids = pick, list(stable_ids)
@@ -51,6 +52,7 @@ class Warehouse:
         self.calendar_start, self.forward_days = calendar_start, forward_days
         self._schemas: dict = {}
         self.broadcast_max_rows = broadcast_max_rows
+        self.keep_versions = keep_versions
 
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
@@ -94,6 +96,12 @@ class Warehouse:
         nxt = 1 if snap is None else (snap.agg(F.max("v")).first()[0] or 0) + 1
         (hist.withColumn("__live", F.lit(live)).withColumn("v", F.lit(nxt))
          .write.mode("append").partitionBy("v").parquet(self.path("snapshot")))
+        # keep a few recent histories (older ones are whole copies, not deltas)
+        for old in range(nxt - self.keep_versions, 0, -1):
+            if old < 1:
+                break
+            if not delete_path(self.spark, f"{self.path('snapshot')}/v={old}", self.base):
+                break
 
     def reset_versions(self) -> bool:
         """SK-8: start a fresh, empty history; facts then need a full refresh (Q9).

@@ -73,3 +73,22 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tessera/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str, under: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop FileSystem of the path.
+
+    Refuses anything not strictly inside ``under`` (a scratch or warehouse
+    root), so only folders the library created itself can be removed.
+    """
+    root = under.rstrip("/") + "/"
+    if not path.startswith(root) or path.rstrip("/") == under.rstrip("/"):
+        raise ValueError(f"refusing to delete {path!r} outside {under!r}")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera"

@@ -19,13 +19,17 @@ def test_upsert_touches_only_delta_partitions(spark, tmpdir_path):
     I.upsert(spark, spark.createDataFrame([("a", D1, 1.0), ("b", D2, 2.0)], SCHEMA), target, ["k", "d"], "d")
     before_d1 = sorted(f for f in _files(spark, f"{target}/d={D1}"))
     stats = I.upsert(spark, spark.createDataFrame([("b", D2, 20.0), ("c", D3, 3.0)], SCHEMA), target,
-                     ["k", "d"], "d")
+                     ["k", "d"], "d", keep_staging=True)
     assert stats["touched_partitions"] == 2
     assert _rows(I.read_table(spark, target)) == [("a", D1, 1.0), ("b", D2, 20.0), ("c", D3, 3.0)]
     assert sorted(_files(spark, f"{target}/d={D1}")) == before_d1  # untouched partition not rewritten
     # replaying the final copy from the same staging leaves the table unchanged
     I.upsert(spark, spark.createDataFrame([], SCHEMA), target, ["k", "d"], "d", staging=stats["staging"])
     assert _rows(I.read_table(spark, target)) == [("a", D1, 1.0), ("b", D2, 20.0), ("c", D3, 3.0)]
+    # by default the staging folder is removed once the copy has committed
+    assert I.read_table(spark, stats["staging"]) is None
+    again = I.upsert(spark, spark.createDataFrame([("d", D3, 4.0)], SCHEMA), target, ["k", "d"], "d")
+    assert again["staging"] is None and again["touched_partitions"] == 1
 
 
 def _files(spark, path):

@@ -37,6 +37,8 @@ def test_incremental_builds_equal_full_build(spark):
     assert _rows(inc.table("int_daily"), cols) == _rows(m.int_daily(), cols)
     fcols = ["daily_market_sk", "coin_sk", "date_sk", "prev_latest_price_usd", "daily_return_pct"]
     assert _rows(inc.table("fct_daily_market"), fcols) == _rows(m.fct_daily(), fcols)
+    # only the newest histories are kept (each is a whole copy)
+    assert sorted(r.v for r in spark.read.parquet(inc.path("snapshot")).select("v").distinct().collect()) == [1, 2, 3]
     # environments are independent outputs of the same landing
     qa = Warehouse(spark, inc.base.rsplit("/", 1)[0], "qa")
     assert qa.table("int_daily") is None
