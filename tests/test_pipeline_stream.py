@@ -136,3 +136,25 @@ def test_create_table_if_not_exists_is_idempotent(spark, tmpdir_path):
         L.create_table_if_not_exists(spark, name, L.HISTORY_LANDING, f"{tmpdir_path}/tbl", ["price_date"])
     assert spark.table(name).columns[-1] == "price_date"
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_one_mark_for_both_feeds_skips_older_backfill_day(spark):
+    # Q2: int_daily uses one watermark for both feeds; a history row fetched
+    # before the newest snapshot never fills its day until a full refresh
+    s = spark
+    snap_schema = ("id string, symbol string, name string, current_price double, fetched_at timestamp_ntz, "
+                   "_loaded_at timestamp_ntz")
+    hist_schema = ("id string, symbol string, name string, price_date date, price double, market_cap double, "
+                   "total_volume double, fetched_at timestamp_ntz, _loaded_at timestamp_ntz")
+    t_snap, t_hist = dt.datetime(2024, 1, 5, 12), dt.datetime(2024, 1, 4, 9)
+    snap = s.createDataFrame([("a", "a", "A", 2.0, t_snap, t_snap)], snap_schema)
+    no_hist = s.createDataFrame([], hist_schema)
+    hist = s.createDataFrame([("a", "a", "A", dt.date(2024, 1, 1), 1.0, None, None, t_hist, t_snap)], hist_schema)
+    wh = Warehouse(s, scratch_dir(s, "t-q2"), "dev", pick="latest")
+    wh.build_silver(snap, no_hist)
+    wh.build_silver(snap, hist)
+    assert wh.table("stg_history").count() == 1  # the history feed itself took the row
+    days = lambda: sorted(r.price_date for r in wh.table("int_daily").collect())
+    assert days() == [dt.date(2024, 1, 5)]  # ... but the daily grain never saw it
+    wh.build_silver(snap, hist, full_refresh=True)
+    assert days() == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
