@@ -104,9 +104,13 @@ def after_mark(df: DataFrame, ts_col: str, mark: dt.datetime | None, day_col: st
 # ---------------------------------------------------------------- silver
 
 def stg_snapshot(raw: DataFrame, mark: dt.datetime | None = None,
-                 overrides: DataFrame | None = None) -> DataFrame:
-    """Cleaned snapshot: watermark -> newest per (id, fetched_at) -> typed -> reject."""
-    src = after_mark(raw, "fetched_at", mark, "fetched_day")
+                 overrides: DataFrame | None = None, mark_col: str = "fetched_at") -> DataFrame:
+    """Cleaned snapshot: watermark -> newest per (id, fetched_at) -> typed -> reject.
+
+    ``mark_col='_loaded_at'`` (Q1 option) also takes rows that land late with
+    an older event time; the reference marks on ``fetched_at``.
+    """
+    src = after_mark(raw, mark_col, mark, "fetched_day" if mark_col == "fetched_at" else None)
     newest = latest_per_key(src, ["id", "fetched_at"], ["_loaded_at"])
     kept = reject(newest, F.col("id").isNotNull() & (F.col("current_price") > 0))
     out = typed_select(kept, SNAPSHOT_COLUMNS)
@@ -114,9 +118,9 @@ def stg_snapshot(raw: DataFrame, mark: dt.datetime | None = None,
 
 
 def stg_history(raw: DataFrame, mark: dt.datetime | None = None,
-                overrides: DataFrame | None = None) -> DataFrame:
+                overrides: DataFrame | None = None, mark_col: str = "fetched_at") -> DataFrame:
     """Cleaned history: newest per (id, price_date) by fetched_at, _loaded_at."""
-    src = after_mark(raw, "fetched_at", mark)
+    src = after_mark(raw, mark_col, mark)
     newest = latest_per_key(src, ["id", "price_date"], ["fetched_at", "_loaded_at"])
     kept = reject(newest, F.col("id").isNotNull() & (F.col("price") > 0))
     out = typed_select(kept, HISTORY_COLUMNS)
@@ -164,9 +168,13 @@ def history_daily(stg_hist: DataFrame) -> DataFrame:
 
 
 def touched_keys(feeds: Sequence[DataFrame], keys: Sequence[str], ts_col: str,
-                 mark: dt.datetime | None) -> DataFrame:
-    """PF-3 + ST-1 + AG-7: distinct keys with a row newer than ``mark`` in any feed."""
-    parts = [after_mark(f.select(*keys, ts_col), ts_col, mark) for f in feeds]
+                 mark: dt.datetime | None | Sequence) -> DataFrame:
+    """PF-3 + ST-1 + AG-7: distinct keys with a row newer than the mark in any feed.
+
+    ``mark`` is one value for all feeds (reference, Q2) or one per feed.
+    """
+    marks = list(mark) if isinstance(mark, (list, tuple)) else [mark] * len(feeds)
+    parts = [after_mark(f.select(*keys, ts_col), ts_col, m) for f, m in zip(feeds, marks)]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -186,13 +194,14 @@ def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str],
     return df.join(keys_df, list(keys), "left_semi")
 
 
-def int_daily(stg_snap: DataFrame, stg_hist: DataFrame, mark: dt.datetime | None = None,
-              touched_days: Sequence[dt.date] | None = None) -> DataFrame:
+def int_daily(stg_snap: DataFrame, stg_hist: DataFrame, mark=None,
+              touched_days: Sequence[dt.date] | None = None, mark_col: str = "fetched_at") -> DataFrame:
     """Unified daily grain; with ``mark`` only touched (coin, day) are recomputed,
-    each from *all* of its rows (SK-2). Snapshot beats history."""
+    each from *all* of its rows (SK-2). Snapshot beats history. ``mark`` may be
+    one value for both feeds (reference) or a ``(snapshot, history)`` pair."""
     snap, hist = stg_snap, stg_hist
     if mark is not None:
-        touched = touched_keys([stg_snap, stg_hist], DAILY_KEYS, "fetched_at", mark)
+        touched = touched_keys([stg_snap, stg_hist], DAILY_KEYS, mark_col, mark)
         snap = restrict_to_keys(snap, touched, DAILY_KEYS, touched_days)
         hist = restrict_to_keys(hist, touched, DAILY_KEYS, touched_days)
     unified = prioritized_union([("snapshot", snapshot_daily(snap)), ("history", history_daily(hist))],

@@ -44,7 +44,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, env: str = "dev", pick: str = "max",
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
                  calendar_start: dt.date | None = None, forward_days: int = 3,
-                 broadcast_max_rows: int = 200_000, keep_versions: int = 3):
+                 broadcast_max_rows: int = 200_000, keep_versions: int = 3,
+                 watermark: str = "fetched_at", per_feed_marks: bool = False):
         self.spark, self.env = spark, env
         self.base = f"{root.rstrip('/')}/{env}"
         self.pick, self.stable_ids = pick, list(stable_ids)
@@ -53,6 +54,7 @@ class Warehouse:
         self._schemas: dict = {}
         self.broadcast_max_rows = broadcast_max_rows
         self.keep_versions = keep_versions
+        self.watermark, self.per_feed_marks = watermark, per_feed_marks
 
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
@@ -131,34 +133,57 @@ class Warehouse:
         s = self.spark
         stats: dict = {}
 
-        # silver: cleaned feeds (watermark on fetched_at, strict >, reference Q1)
+        # silver: cleaned feeds (strict > watermark; on fetched_at like the
+        # reference, Q1, or on _loaded_at to take late rows too)
+        wm = self.watermark
         for model, raw, fn, keys in (
             ("stg_snapshot", snap_landing, M.stg_snapshot, ["coin_id", "fetched_at"]),
             ("stg_history", hist_landing, M.stg_history, ["coin_id", "price_date"]),
         ):
             cur = None if full_refresh else self.table(model)
             # the snapshot's day is cut from fetched_at, so its newest
-            # partition holds the mark; a backfill's fetch time is unrelated
-            mark = I.high_water_mark(cur, "fetched_at", "price_date" if model == "stg_snapshot" else None)
-            delta = fn(raw, mark, overrides=overrides)
+            # partition holds that mark; a backfill's fetch time is unrelated
+            prune = "price_date" if model == "stg_snapshot" and wm == "fetched_at" else None
+            mark = I.high_water_mark(cur, wm, prune)
+            delta = fn(raw, mark, overrides=overrides, mark_col=wm)
             if full_refresh:
                 self._replace(model, delta, "price_date")
             else:
                 stats[model] = self._upsert(model, delta, keys, "price_date")
         stg_snap, stg_hist = self.table("stg_snapshot"), self.table("stg_history")
 
-        # unified daily grain: touched-key recompute (one mark for both feeds, Q2)
+        # unified daily grain: touched-key recompute. Reference: one mark for
+        # both feeds taken from the target (Q2); option: a mark per feed, kept
+        # in the warehouse's marks table
         cur = None if full_refresh else self.table("int_daily")
-        mark = I.high_water_mark(cur, "_synced_at")
+        if self.watermark == "fetched_at" and not self.per_feed_marks:
+            mark = I.high_water_mark(cur, "_synced_at")
+        else:
+            mark = self._feed_marks() if cur is not None else None
         if mark is None:
             self._replace("int_daily", M.int_daily(stg_snap, stg_hist), "price_date")
         else:
-            touched = M.touched_keys([stg_snap, stg_hist], M.DAILY_KEYS, "fetched_at", mark)
+            touched = M.touched_keys([stg_snap, stg_hist], M.DAILY_KEYS, wm, mark)
             days = [r[0] for r in touched.select("price_date").distinct().collect()]
-            delta = M.int_daily(stg_snap, stg_hist, mark=mark, touched_days=days)
+            delta = M.int_daily(stg_snap, stg_hist, mark=mark, touched_days=days, mark_col=wm)
             stats["int_daily"] = self._upsert("int_daily", delta, M.DAILY_KEYS, "price_date")
+        if self.watermark != "fetched_at" or self.per_feed_marks:
+            self._save_feed_marks(stg_snap, stg_hist)
         return stats
 
+    def _save_feed_marks(self, stg_snap: DataFrame, stg_hist: DataFrame) -> None:
+        wm = self.watermark
+        snap_m, hist_m = I.high_water_mark(stg_snap, wm), I.high_water_mark(stg_hist, wm)
+        marks = self.spark.createDataFrame([(snap_m, hist_m)], "snapshot timestamp_ntz, history timestamp_ntz")
+        marks.write.mode("overwrite").parquet(self.path("_feed_marks"))
+
+    def _feed_marks(self):
+        m = I.read_table(self.spark, self.path("_feed_marks"))
+        if m is None:
+            return None
+        row = m.first()
+        return (row["snapshot"], row["history"])
+
     def build_gold(self, as_of: dt.datetime, full_refresh: bool = False) -> dict:
         s = self.spark
         stats: dict = {}

@@ -158,3 +158,26 @@ def test_one_mark_for_both_feeds_skips_older_backfill_day(spark):
     assert days() == [dt.date(2024, 1, 5)]  # ... but the daily grain never saw it
     wh.build_silver(snap, hist, full_refresh=True)
     assert days() == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
+
+
+def test_loaded_at_watermark_and_per_feed_marks_take_late_rows(spark):
+    # the Q1/Q2 options: a late row with an older event time, and an older
+    # backfill day, are both taken when marks are on load time per feed
+    s = spark
+    snap_schema = ("id string, symbol string, name string, current_price double, fetched_at timestamp_ntz, "
+                   "_loaded_at timestamp_ntz")
+    hist_schema = ("id string, symbol string, name string, price_date date, price double, market_cap double, "
+                   "total_volume double, fetched_at timestamp_ntz, _loaded_at timestamp_ntz")
+    t1, t2, t3 = dt.datetime(2024, 1, 5, 6), dt.datetime(2024, 1, 5, 12), dt.datetime(2024, 1, 6, 0)
+    first = s.createDataFrame([("a", "a", "A", 2.0, t2, t2)], snap_schema)
+    late = first.unionByName(s.createDataFrame([("a", "a", "A", 4.0, t1, t3)], snap_schema))
+    no_hist = s.createDataFrame([], hist_schema)
+    hist = s.createDataFrame([("a", "a", "A", dt.date(2024, 1, 1), 1.0, None, None, t1, t3)], hist_schema)
+    wh = Warehouse(s, scratch_dir(s, "t-loaded"), "dev", pick="latest", watermark="_loaded_at",
+                   per_feed_marks=True)
+    wh.build_silver(first, no_hist)
+    wh.build_silver(late, hist)
+    daily = {r.price_date: r for r in wh.table("int_daily").collect()}
+    assert sorted(daily) == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
+    assert daily[dt.date(2024, 1, 5)].extract_count == 2
+    assert float(daily[dt.date(2024, 1, 5)].avg_price_usd) == 3.0
