@@ -135,6 +135,14 @@ class Models:
                                       pick="latest",
                                       derived={"asset_type": M.asset_class("coin_id", STABLE_USERS)})
 
+    def versions_max(self) -> DataFrame:
+        """The reference's attribute rule: lexicographic max over all history (Q6)."""
+        cols = ["coin_id", "symbol", "name", "fetched_at"]
+        obs = self.stg_snap().select(*cols).unionByName(self.stg_hist().select(*cols))
+        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", SCD_CUTS,
+                                      pick="max",
+                                      derived={"asset_type": M.asset_class("coin_id", STABLE_USERS)})
+
     def versions_replayed(self) -> DataFrame:
         """The same history by applying the check strategy run after run."""
         snaps = [(cut, self.attributes_at(cut)) for cut in SCD_CUTS]
@@ -289,6 +297,10 @@ def q_scd2_versions(spark, sf):
     return _ts_text(Models(spark, sf).versions(), "version_from", "version_to")
 
 
+def q_scd2_versions_max(spark, sf):
+    return _ts_text(Models(spark, sf).versions_max(), "version_from", "version_to")
+
+
 def q_scd2_dim(spark, sf):
     return _ts_text(Models(spark, sf).dim(), "valid_from", "valid_to")
 
@@ -397,6 +409,7 @@ QUERIES = {
     "daily_returns": q_daily_returns,
     "bounded_returns": q_bounded_returns,
     "scd2_versions": q_scd2_versions,
+    "scd2_versions_max": q_scd2_versions_max,
     "scd2_dim": q_scd2_dim,
     "asof_ts": q_asof_ts,
     "asof_day": q_asof_day,

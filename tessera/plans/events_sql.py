@@ -90,11 +90,13 @@ DAILY_OUT = """coin_id, symbol, name, price_date, extract_count, avg_price_usd,
   CAST(latest_volume_usd AS DOUBLE) AS latest_volume_usd, source_name, _synced_at"""
 
 
-def versions() -> list[str]:
+def versions(pick: str = "latest") -> list[str]:
     states = []
+    agg = ("arg_max(symbol, fetched_at) AS symbol, arg_max(name, fetched_at) AS name" if pick == "latest"
+           else "max(symbol) AS symbol, max(name) AS name")
     for i, cut in enumerate(E.SCD_CUTS, 1):
         states.append(f"""SELECT {i} AS ci, {_ts(cut)} AS cut, coin_id,
-    arg_max(symbol, fetched_at) AS symbol, arg_max(name, fetched_at) AS name,
+    {agg},
     CASE WHEN coin_id IN ({sql_list(E.STABLE_USERS)}) THEN 'stablecoin' ELSE 'coin' END AS asset_type
   FROM feed_attr WHERE fetched_at < {_ts(cut)} GROUP BY coin_id""")
     return feeds() + [
@@ -236,6 +238,8 @@ WHERE (coin_id, price_date) IN (SELECT coin_id, price_date FROM touched)""")
         ret_out + f", _synced_at FROM wr WHERE _synced_at > {mark}")
     vts = "strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
     q["scd2_versions"] = with_(versions(), f"""SELECT coin_id, symbol, name, asset_type,
+  {vts.format(c='version_from')}, {vts.format(c='version_to')} FROM versions""")
+    q["scd2_versions_max"] = with_(versions("max"), f"""SELECT coin_id, symbol, name, asset_type,
   {vts.format(c='version_from')}, {vts.format(c='version_to')} FROM versions""")
     q["scd2_dim"] = with_(versions(), f"""SELECT coin_sk, coin_id, symbol, name, asset_type,
   {vts.format(c='valid_from')}, {vts.format(c='valid_to')}, is_current FROM dim""")

@@ -58,6 +58,33 @@ def get_spark(
     return spark
 
 
+MiB = 1 << 20
+
+
+def conf_for_scale(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.25,
+                   partition_bytes: int = 256 * MiB, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Settings sized from the data, for a cluster run (pass as ``extra``).
+
+    Shuffle partitions start from the expected shuffle volume
+    (``shuffle_fraction`` of the input: the models shuffle projected, pre-
+    aggregated rows) at ``partition_bytes`` each, never below 2x the cores;
+    AQE then coalesces small ones and splits skewed ones. Scan splits use the
+    same size, so a task's input and output both fit executor memory. The
+    broadcast bound stays small and fixed: it must not grow with the data.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    parts = max(2 * total_cores, min(max_shuffle_partitions, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MiB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MiB),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

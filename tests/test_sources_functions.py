@@ -122,3 +122,13 @@ def test_csv_landing_is_read_by_header_name(spark, tmpdir_path):
     L.write_csv(df, f"{tmpdir_path}/csv")
     back = L.read_landing(spark, f"{tmpdir_path}/csv", L.SNAPSHOT_LANDING, fmt="csv").first()
     assert (back.id, back.current_price, back.fetched_at, back.ath) == ("btc", 1.25, t, None)
+
+
+def test_conf_for_scale_grows_partitions_not_broadcasts():
+    from tessera.session import conf_for_scale
+
+    small = conf_for_scale(10 << 30, 8)
+    big = conf_for_scale(100 << 40, 16000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == small["spark.sql.autoBroadcastJoinThreshold"]
