@@ -142,7 +142,7 @@ def upsert(
     staged = spark.read.schema(schema).parquet(f"{staging}/delta")
     days = partition_values(staged, partition_col)
     if not days:
-        return {"staging": None, "touched_partitions": 0}
+        return {"staging": None, "touched_partitions": 0, "partitions": []}
     if check_unique:
         assert_unique(staged, keys)
     target = read_table(spark, target_path, schema)
@@ -157,7 +157,7 @@ def upsert(
     if not keep_staging:
         # the copy has committed; staging is only needed to replay a failed copy
         _drop_staging(spark, staging)
-    return {"staging": staging if keep_staging else None, "touched_partitions": len(days)}
+    return {"staging": staging if keep_staging else None, "touched_partitions": len(days), "partitions": days}
 
 
 def _drop_staging(spark: SparkSession, staging: str) -> None:

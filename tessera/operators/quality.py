@@ -13,6 +13,14 @@ warehouse tests:
 * relationships: non-NULL child rows whose key is absent from the parent.
 
 All not_null tests of one table are folded into a single aggregate pass.
+
+``scope`` restricts partition-local tests of a model to a partition filter
+(the partitions an incremental run touched). A test is partition-local when
+its failing rows are decided inside one partition: the row-level tests, and
+a unique test whose key determines the row's partition (``partition_local``).
+Those tests over untouched partitions cannot change, so when the previous
+gate passed, checking the touched partitions decides the whole table.
+Relationships always read the whole child (a parent may lose keys).
 """
 
 from __future__ import annotations
@@ -24,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = "model string, test string, column_name string, failures long"
+ROW_TESTS = ("not_null", "accepted_range", "accepted_values")
 
 
 @dataclass(frozen=True)
@@ -36,8 +45,13 @@ class Check:
     where: str | None = None
     to_model: str | None = None
     to_column: str | None = None
+    partition_local: bool = False  # unique key that determines the partition
     options: dict = field(default_factory=dict, compare=False, hash=False)
 
+    @property
+    def local(self) -> bool:
+        return self.test in ROW_TESTS or self.partition_local
+
     @property
     def column_name(self) -> str:
         return ",".join(self.columns)
@@ -74,15 +88,26 @@ def _failing_count(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(f"unknown test {c.test!r}")
 
 
-def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """All checks as one report DataFrame (still lazy; one action runs them)."""
+def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Check) -> Mapping[str, DataFrame]:
+    if c.model not in scope or not c.local:
+        return tables
+    return {**tables, c.model: tables[c.model].where(scope[c.model])}
+
+
+def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check],
+               scope: Mapping[str, Column] | None = None) -> DataFrame:
+    """All checks as one report DataFrame (still lazy; one action runs them).
+
+    ``scope`` maps a model to a partition predicate for its local tests.
+    """
+    scope = scope or {}
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.test == "not_null":
             by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
-        agg = tables[model].agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"c{i}")
+        agg = _scoped(tables, scope, cs[0])[model].agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"c{i}")
                                   for i, c in enumerate(cs)])
         stack = ", ".join(f"'{c.column_name}', c{i}" for i, c in enumerate(cs))
         parts.append(agg.selectExpr(f"'{model}' AS model", "'not_null' AS test",
@@ -90,7 +115,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
     for c in checks:
         if c.test == "not_null":
             continue
-        parts.append(_failing_count(tables, c).select(
+        parts.append(_failing_count(_scoped(tables, scope, c), c).select(
             F.lit(c.model).alias("model"), F.lit(c.test).alias("test"),
             F.lit(c.column_name).alias("column_name"), F.col("failures").cast("long").alias("failures")))
     out = parts[0]
@@ -114,12 +139,12 @@ def warehouse_checks(stg_snap="stg_snapshot", stg_hist="stg_history", daily="int
     return [
         *nn(stg_snap, "coin_id", "fetched_at", "price_usd"),
         Check(stg_snap, "accepted_range", ("price_usd",), min_value=0),
-        Check(stg_snap, "unique_combination", ("coin_id", "fetched_at")),
+        Check(stg_snap, "unique_combination", ("coin_id", "fetched_at"), partition_local=True),
         *nn(stg_hist, "coin_id", "price_date", "price_usd"),
         Check(stg_hist, "accepted_range", ("price_usd",), min_value=0),
-        Check(stg_hist, "unique_combination", ("coin_id", "price_date")),
+        Check(stg_hist, "unique_combination", ("coin_id", "price_date"), partition_local=True),
         *nn(daily, "coin_id", "price_date", "extract_count", "avg_price_usd", "latest_price_usd"),
-        Check(daily, "unique_combination", ("coin_id", "price_date")),
+        Check(daily, "unique_combination", ("coin_id", "price_date"), partition_local=True),
         *nn(dim, "coin_sk"),
         Check(dim, "unique", ("coin_sk",)),
         *nn(dim, "coin_id"),
@@ -131,13 +156,13 @@ def warehouse_checks(stg_snap="stg_snapshot", stg_hist="stg_history", daily="int
         *nn(cal, "date_day"),
         Check(cal, "unique", ("date_day",)),
         *nn(fsnap, "snapshot_sk"),
-        Check(fsnap, "unique", ("snapshot_sk",)),
+        Check(fsnap, "unique", ("snapshot_sk",), partition_local=True),
         *nn(fsnap, "coin_sk"),
         Check(fsnap, "relationships", ("coin_sk",), to_model=dim, to_column="coin_sk"),
         *nn(fsnap, "date_sk"),
         Check(fsnap, "relationships", ("date_sk",), to_model=cal, to_column="date_sk"),
         *nn(fdaily, "daily_market_sk"),
-        Check(fdaily, "unique", ("daily_market_sk",)),
+        Check(fdaily, "unique", ("daily_market_sk",), partition_local=True),
         *nn(fdaily, "coin_sk"),
         Check(fdaily, "relationships", ("coin_sk",), to_model=dim, to_column="coin_sk"),
         *nn(fdaily, "date_sk"),

@@ -31,6 +31,9 @@ from tessera.plans import market as M
 from tessera.session import delete_path
 
 ATTRS = ["symbol", "name", "asset_type"]
+# day partition column of each incrementally upserted model
+PARTITION_COLS = {"stg_snapshot": "price_date", "stg_history": "price_date", "int_daily": "price_date",
+                  "fct_market_snapshot": "date_sk", "fct_daily_market": "price_date"}
 
 
 def _with_partition_last(schema: StructType, partition_col: str | None) -> StructType:
@@ -45,7 +48,7 @@ class Warehouse:
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
                  calendar_start: dt.date | None = None, forward_days: int = 3,
                  broadcast_max_rows: int = 200_000, keep_versions: int = 3,
-                 watermark: str = "fetched_at", per_feed_marks: bool = False):
+                 watermark: str = "fetched_at", per_feed_marks: bool = False, quality_scope: str = "touched"):
         self.spark, self.env = spark, env
         self.base = f"{root.rstrip('/')}/{env}"
         self.pick, self.stable_ids = pick, list(stable_ids)
@@ -55,6 +58,9 @@ class Warehouse:
         self.broadcast_max_rows = broadcast_max_rows
         self.keep_versions = keep_versions
         self.watermark, self.per_feed_marks = watermark, per_feed_marks
+        if quality_scope not in ("touched", "full"):
+            raise ValueError(f"quality_scope must be 'touched' or 'full', not {quality_scope!r}")
+        self.quality_scope = quality_scope
 
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
@@ -122,12 +128,36 @@ class Warehouse:
 
     def build(self, snap_landing: DataFrame, hist_landing: DataFrame, as_of: dt.datetime,
               full_refresh: bool = False, quality_gate: bool = True, overrides: DataFrame | None = None) -> dict:
+        # the pass marker of the previous gate is removed before anything is
+        # written, so a run that crashes or fails its gate leaves none behind
+        prev_passed = self._gate_passed()
+        if prev_passed:
+            delete_path(self.spark, self.path("_gate_passed"), self.base)
         stats = self.build_silver(snap_landing, hist_landing, full_refresh, overrides)
         stats.update(self.build_gold(as_of, full_refresh))
         if quality_gate:
-            gate(self.quality_report())
+            scoped = self.quality_scope == "touched" and prev_passed and not full_refresh
+            gate(self.quality_report(self.touched_scope(stats) if scoped else None))
+            self.spark.createDataFrame([(True,)], "passed boolean").write.mode("overwrite").parquet(
+                self.path("_gate_passed"))
         return stats
 
+    def _gate_passed(self) -> bool:
+        return I.read_table(self.spark, self.path("_gate_passed")) is not None
+
+    def touched_scope(self, stats: dict) -> dict:
+        """Partition predicates of the models this run upserted (replaced
+        models are absent, so they are tested whole)."""
+        scope = {}
+        for model, pc in PARTITION_COLS.items():
+            st = stats.get(model) or {}
+            if "partitions" not in st:
+                continue
+            dtype = self._schemas[model][pc].dataType
+            days = st["partitions"]
+            scope[model] = F.col(pc).isin([F.lit(d).cast(dtype) for d in days]) if days else F.lit(False)
+        return scope
+
     def build_silver(self, snap_landing: DataFrame, hist_landing: DataFrame, full_refresh: bool = False,
                      overrides: DataFrame | None = None) -> dict:
         s = self.spark
@@ -229,5 +259,6 @@ class Warehouse:
                  "fct_market_snapshot", "fct_daily_market"]
         return {n: self.table(n) for n in names}
 
-    def quality_report(self) -> DataFrame:
-        return run_checks(self.spark, self.tables(), warehouse_checks())
+    def quality_report(self, scope: dict | None = None) -> DataFrame:
+        """The 38 declared tests; ``scope`` limits partition-local ones (see quality)."""
+        return run_checks(self.spark, self.tables(), warehouse_checks(), scope)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tessera.plans import events as E
 from tessera.plans.pipeline import Warehouse
-from tessera.session import scratch_dir
+from tessera.session import delete_path, scratch_dir
 from tessera.streaming import stream as ST
 
 from conftest import SMOKE
@@ -181,3 +181,34 @@ def test_loaded_at_watermark_and_per_feed_marks_take_late_rows(spark):
     assert sorted(daily) == [dt.date(2024, 1, 1), dt.date(2024, 1, 5)]
     assert daily[dt.date(2024, 1, 5)].extract_count == 2
     assert float(daily[dt.date(2024, 1, 5)].avg_price_usd) == 3.0
+
+
+def test_gate_scopes_partition_local_tests_after_a_passed_gate(spark):
+    # after a passed gate only touched partitions are re-tested; without the
+    # pass marker (crash or failed gate) every table is tested whole again
+    from tessera.operators.quality import QualityError
+
+    events = E.read(spark, SMOKE, "events")
+    wh = Warehouse(spark, scratch_dir(spark, "t-scope"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
+    c1, c2, c3 = E.SCD_CUTS
+    wh.build(E.snapshot_landing(events, c1), E.history_landing(events, c1), as_of=c1)
+    assert wh._gate_passed()
+    stats = wh.build(E.snapshot_landing(events, c2), E.history_landing(events, c2), as_of=c2)
+    scope = wh.touched_scope(stats)
+    assert {"stg_snapshot", "int_daily", "fct_market_snapshot", "fct_daily_market"} <= set(scope)
+    snap = wh.table("stg_snapshot")
+    first_day = snap.agg(F.min("price_date")).first()[0]
+    assert str(first_day) not in stats["stg_snapshot"]["partitions"]
+    # plant a duplicate key in an untouched partition
+    snap.where(F.col("price_date") == first_day).limit(1).write.mode("append").partitionBy("price_date").parquet(
+        wh.path("stg_snapshot"))
+
+    def dup(report):
+        return report.where((F.col("model") == "stg_snapshot") & (F.col("test") == "unique_combination")).first()[3]
+
+    assert dup(wh.quality_report()) == 1
+    assert dup(wh.quality_report(scope)) == 0
+    delete_path(spark, wh.path("_gate_passed"), wh.base)
+    with pytest.raises(QualityError):
+        wh.build(E.snapshot_landing(events, c3), E.history_landing(events, c3), as_of=c3)
+    assert not wh._gate_passed()
