@@ -230,8 +230,11 @@ class Warehouse:
         # a version row is ~150 bytes: broadcast only under a counted bound,
         # else sort-merge on coin_id (AQE splits a skewed fact partition)
         bcast = dim.count() <= self.broadcast_max_rows
-        bounds = stg_snap.select("price_date").unionByName(stg_hist.select("price_date")).agg(
-            F.min("price_date").alias("lo"), F.max("price_date").alias("hi"))
+        # the day bounds of the cleaned feeds come from their partition folders
+        # (no job; a folder exists only with rows in it); min/max skip NULL days
+        days = sorted({dt.date.fromisoformat(d) for t in (stg_snap, stg_hist)
+                       for d in I.partition_values(t, "price_date") if d != "__HIVE_DEFAULT_PARTITION__"})
+        bounds = s.createDataFrame([(days[0] if days else None, days[-1] if days else None)], "lo date, hi date")
         if self.calendar_start is not None:
             bounds = bounds.withColumn("lo", F.lit(self.calendar_start))
         self._replace("dim_date", calendar_from_bounds(bounds, "lo", "hi", self.forward_days))

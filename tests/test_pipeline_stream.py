@@ -37,6 +37,12 @@ def test_incremental_builds_equal_full_build(spark):
     assert _rows(inc.table("int_daily"), cols) == _rows(m.int_daily(), cols)
     fcols = ["daily_market_sk", "coin_sk", "date_sk", "prev_latest_price_usd", "daily_return_pct"]
     assert _rows(inc.table("fct_daily_market"), fcols) == _rows(m.fct_daily(), fcols)
+    # the calendar spans the cleaned feeds' days plus the forward buffer
+    feeds = inc.table("stg_snapshot").select("price_date").unionByName(inc.table("stg_history").select("price_date"))
+    lo, hi = feeds.agg(F.min("price_date"), F.max("price_date")).first()
+    cal = inc.table("dim_date").agg(F.min("date_day"), F.max("date_day"), F.count("*")).first()
+    assert (cal[0], cal[1]) == (lo, hi + dt.timedelta(days=inc.forward_days - 1))
+    assert cal[2] == (hi - lo).days + inc.forward_days
     # only the newest histories are kept (each is a whole copy)
     assert sorted(r.v for r in spark.read.parquet(inc.path("snapshot")).select("v").distinct().collect()) == [1, 2, 3]
     # environments are independent outputs of the same landing
