@@ -12,7 +12,9 @@ Parquet has no MERGE, so an upsert is rebuilt from partition overwrites:
 Every unique key contains (or hashes) its day, so a key lives in exactly one
 partition and rewriting only touched partitions is a correct upsert. Step 4
 exists because overwriting a path that the same job reads deletes its input.
-Step 5 only reads staging, so re-running it after a failure is idempotent.
+Step 5 only reads staging, so re-running it after a failure is idempotent:
+with a staging path that a restart can find again, ``roll_forward`` repeats
+the copy of a committed merge before anything else reads the target.
 Cost scales with the touched partitions, never with the whole table.
 """
 
@@ -131,17 +133,20 @@ def upsert(
     construction (a dedup or a group-by on the key); the quality suite still
     tests the table.
     """
-    if staging is not None and read_table(spark, f"{staging}/merged") is not None:
-        _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
-        if not keep_staging:
-            _drop_staging(spark, staging)
+    if staging is not None and roll_forward(spark, staging, target_path, partition_col, keep_staging):
         return {"staging": staging if keep_staging else None, "replayed": True}
     staging = staging or scratch_dir(spark, "upsert-staging")
     schema = delta.schema
-    delta.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging}/delta")
+    # staging is overwritten whole (static): a fixed staging path must not keep
+    # partitions of an earlier, crashed run, and only a static write leaves
+    # the _SUCCESS marker that roll_forward trusts
+    delta.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(
+        f"{staging}/delta")
     staged = spark.read.schema(schema).parquet(f"{staging}/delta")
     days = partition_values(staged, partition_col)
     if not days:
+        if not keep_staging:
+            _drop_staging(spark, staging)
         return {"staging": None, "touched_partitions": 0, "partitions": []}
     if check_unique:
         assert_unique(staged, keys)
@@ -152,7 +157,8 @@ def upsert(
         day_type = schema[partition_col].dataType
         existing = target.where(F.col(partition_col).isin([F.lit(d).cast(day_type) for d in days]))
         merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(f"{staging}/merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(
+        f"{staging}/merged")
     _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
     if not keep_staging:
         # the copy has committed; staging is only needed to replay a failed copy
@@ -160,6 +166,31 @@ def upsert(
     return {"staging": staging if keep_staging else None, "touched_partitions": len(days), "partitions": days}
 
 
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a Spark write to ``path`` finished its job commit (``_SUCCESS``)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def roll_forward(spark: SparkSession, staging: str, target_path: str, partition_col: str,
+                 keep_staging: bool = False) -> bool:
+    """Finish an upsert whose merge committed but whose copy may not have.
+
+    The copy deletes each touched target partition before moving the new one
+    in, so a crash inside it can leave a partition missing; the committed
+    merge holds the full new contents of every touched partition, and copying
+    it again is idempotent. A merge without ``_SUCCESS`` never touched the
+    target and is ignored. Returns whether a copy was replayed.
+    """
+    if not committed(spark, f"{staging}/merged"):
+        return False
+    _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
+    if not keep_staging:
+        _drop_staging(spark, staging)
+    return True
+
+
 def _drop_staging(spark: SparkSession, staging: str) -> None:
     root = scratch_root(spark)
     if staging.startswith(root + "/"):

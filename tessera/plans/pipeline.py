@@ -18,6 +18,7 @@ the newest one, so a crashed run leaves the previous history in place.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.quality import gate, run_checks, warehouse_checks
 from tessera.operators.scd2 import scd2_apply, scd2_dimension
 from tessera.plans import market as M
-from tessera.session import delete_path
+from tessera.session import delete_path, scratch_root
 
 ATTRS = ["symbol", "name", "asset_type"]
 # day partition column of each incrementally upserted model
@@ -76,11 +77,25 @@ class Warehouse:
             df = self.spark.createDataFrame([], schema)
         return df
 
+    def _staging(self, model: str) -> str:
+        # one fixed staging folder per table, so a restarted run finds an
+        # interrupted copy again (see recover)
+        tag = hashlib.sha1(self.path(model).encode()).hexdigest()[:16]
+        return f"{scratch_root(self.spark)}/wh-staging-{tag}"
+
+    def recover(self) -> list[str]:
+        """Roll forward upserts whose merge committed but whose copy may not
+        have (a crash between them can leave a touched partition missing).
+        Runs before any watermark is read; returns the repaired models."""
+        return [m for m, pc in PARTITION_COLS.items()
+                if I.roll_forward(self.spark, self._staging(m), self.path(m), pc)]
+
     def _upsert(self, model: str, delta: DataFrame, keys, partition_col: str) -> dict:
         # every model delta is unique on its key by construction (dedup or
         # group-by on the key); the quality suite tests the table afterwards
         self._schemas[model] = _with_partition_last(delta.schema, partition_col)
-        return I.upsert(self.spark, delta, self.path(model), keys, partition_col, check_unique=False)
+        return I.upsert(self.spark, delta, self.path(model), keys, partition_col, check_unique=False,
+                        staging=self._staging(model))
 
     def _replace(self, model: str, df: DataFrame, partition_col: str | None = None) -> None:
         self._schemas[model] = _with_partition_last(df.schema, partition_col)
@@ -130,6 +145,7 @@ class Warehouse:
               full_refresh: bool = False, quality_gate: bool = True, overrides: DataFrame | None = None) -> dict:
         # the pass marker of the previous gate is removed before anything is
         # written, so a run that crashes or fails its gate leaves none behind
+        self.recover()
         prev_passed = self._gate_passed()
         if prev_passed:
             delete_path(self.spark, self.path("_gate_passed"), self.base)
@@ -162,6 +178,7 @@ class Warehouse:
                      overrides: DataFrame | None = None) -> dict:
         s = self.spark
         stats: dict = {}
+        self.recover()
 
         # silver: cleaned feeds (strict > watermark; on fetched_at like the
         # reference, Q1, or on _loaded_at to take late rows too)

@@ -15,6 +15,7 @@ stream helpers derive an instant column in UTC first.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import incremental as I
+from tessera.session import scratch_root
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
@@ -75,7 +77,14 @@ def windowed_daily(df: DataFrame, key: str, event_col: str, value_col: str, dela
 
 def upsert_batches(spark: SparkSession, target: str, keys: Sequence[str], partition_col: str
                    ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that upserts each batch's rows by key."""
+    """A ``foreachBatch`` function that upserts each batch's rows by key.
+
+    Staging is named by target and batch id, so when a restart replays a
+    batch whose merge had committed, only its copy is repeated.
+    """
+    tag = hashlib.sha1(target.encode()).hexdigest()[:16]
+
     def fn(batch: DataFrame, batch_id: int) -> None:
-        I.upsert(spark, batch, target, keys, partition_col)
+        staging = f"{scratch_root(spark)}/stream-upsert-{tag}/batch-{batch_id}"
+        I.upsert(spark, batch, target, keys, partition_col, staging=staging)
     return fn
