@@ -160,7 +160,7 @@ def attempt_path(folder: str, stem: str, suffix: str) -> str:
 def open_output(uri: str):
     fs, path = shared_fs(uri)
     fs.create_dir(posixpath.dirname(path), recursive=True)
-    return fs.open_output_stream(path)
+    return fs.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):
