@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -58,6 +58,26 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def held_out(key: str, parts: int, part: int) -> Column:
+    """Whether the crc32 of the key as text leaves ``part`` when divided by ``parts``; a null key does not."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def fit_language_models(docs: DataFrame):
+    """Models from the documents that may teach, a third of which calibrate."""
+    from tessera.llm.langid import fit
+
+    return fit(docs.filter(~held_out("doc_id", 4, 2)).select("doc_id", "text", "lang"), held_out("doc_id", 4, 0))
+
+
+def op8_kneser_ney_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.langid import identify
+
+    docs = common.table(spark, sf_dir, "documents")
+    found = identify(docs.select("doc_id", "text"), *fit_language_models(docs))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,7 +89,8 @@ def op9_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_closed_syncmers, op2_temperature_mixing, op3_warc, op4_chat_format, op6_line_dedup, op9_packed_ids)}
+    op1_closed_syncmers, op2_temperature_mixing, op3_warc, op4_chat_format, op6_line_dedup,
+    op8_kneser_ney_langid, op9_packed_ids)}
 
 ORACLE = {
     "op3_warc": """
