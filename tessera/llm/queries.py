@@ -98,10 +98,16 @@ def op9_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, manifest)
 
 
+def op10_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontam import build, report
+
+    return report(common.table(spark, sf_dir, "documents"), build(common.table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_closed_syncmers, op2_temperature_mixing, op3_warc, op4_chat_format, op5_gbt_toxicity,
     op6_line_dedup,
-    op8_kneser_ney_langid, op9_packed_ids)}
+    op8_kneser_ney_langid, op9_packed_ids, op10_suffix_automaton_decontamination)}
 
 ORACLE = {
     "op3_warc": """
@@ -137,4 +143,24 @@ ORACLE = {
         SELECT doc_id, count(*)::BIGINT AS n_lines, count(c.key)::BIGINT AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.key IS NULL), '')) AS kept_sha256
         FROM k LEFT JOIN c USING (key) GROUP BY r, doc_id""",
+    "op10_suffix_automaton_decontamination": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT coalesce(item_id::VARCHAR, '') AS item,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS n FROM benchmark),
+        i AS (SELECT DISTINCT n, item, least(len(w), 10) AS m, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS win
+              FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0)),
+        m AS (SELECT DISTINCT m FROM i),
+        o AS (SELECT r, m, p, array_to_string(w[p : p + m - 1], ' ') AS win
+              FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS p FROM d, m WHERE len(w) >= m)),
+        f AS (SELECT o.r, o.m, o.p, i.n, i.item FROM o JOIN i ON o.m = i.m AND o.win = i.win),
+        h AS (SELECT r, count(DISTINCT q)::BIGINT AS n_hit
+              FROM (SELECT r, unnest(range(p, p + m)) AS q FROM (SELECT DISTINCT r, p, m FROM f)) GROUP BY r),
+        t AS (SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT r, n, item FROM f) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
 }
