@@ -117,6 +117,35 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(h + (ends - starts).astype(np.uint64))
 
 
+_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER[65:91] += 32
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words (runs of bytes of ``kind``), and the n+1 word offsets of the texts."""
+    word = kind[data]
+    starts = word.copy()
+    starts[1:] &= ~word[:-1]
+    cut = offsets[1:-1][offsets[1:-1] < len(data)]
+    starts[cut] = word[cut]  # a text's first byte starts a word even after a word
+    ends = np.zeros(len(data) + 1, bool)
+    ends[1:] = word
+    ends[1:-1] &= ~word[1:]
+    ends[cut] = np.where(cut > 0, word[cut - 1], False)
+    s, e = np.flatnonzero(starts), np.flatnonzero(ends)
+    return s, e, np.searchsorted(s, offsets)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes, A-Z lower-cased."""
+    out = []
+    step = 1 << 15
+    for i in range(0, len(starts), step):  # a part at a time, for the cache
+        s, e = starts[i: i + step], ends[i: i + step]
+        out.append(span_hashes(_LOWER[data[s[0]: e[-1]]] + np.uint64(1), s - s[0], e - s[0]))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
 # --- order ------------------------------------------------------------------------------------
 
 
@@ -168,6 +197,34 @@ def open_input(uri: str):
     return fs.open_input_file(path)
 
 
+#: Bits of a row filter: 4 MB, whatever the data.
+FILTER_BITS = 25
+
+
+def filter_slot(*keys: str) -> Column:
+    """The bit of a key in a row filter."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << FILTER_BITS)).cast("int")
+
+
+def row_filter(slots: DataFrame) -> np.ndarray:
+    """Bits set for all rows of ``slots`` (slot int): a filter of fixed size without false negatives."""
+    parts = slots.groupBy(F.expr("slot div 32768").alias("part")).agg(
+        F.expr("bitmap_construct_agg(slot % 32768)").alias("bits")).collect()
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in parts:
+        out[r["part"] * 4096: (r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def batch_rows(spark: SparkSession, n: int = BATCH_ROWS) -> None:
+    """Rows per Arrow batch of the jobs started from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``size`` rows."""
     for b in batches:

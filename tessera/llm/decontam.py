@@ -34,8 +34,6 @@ WINDOW = 10
 MAX_BENCHMARK_BYTES = 64 << 20
 
 # Word bytes: digits, letters (capitals lower-cased), and every byte of a code point from 128 on.
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += 32
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[65:91] = True
 _WORD[128:] = True
@@ -46,30 +44,6 @@ def ascii_lower(text: str) -> str:
     return text.lower() if text.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), text)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the n+1 word offsets of the texts."""
-    word = _WORD[data]
-    starts = word.copy()
-    starts[1:] &= ~word[:-1]
-    cut = offsets[1:-1][offsets[1:-1] < len(data)]
-    starts[cut] = word[cut]  # a text's first byte starts a word even after a word
-    ends = np.zeros(len(data) + 1, bool)
-    ends[1:] = word
-    ends[1:-1] &= ~word[1:]
-    ends[cut] = np.where(cut > 0, word[cut - 1], False)
-    s, e = np.flatnonzero(starts), np.flatnonzero(ends)
-    return s, e, np.searchsorted(s, offsets)
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = []
-    step = 1 << 15
-    for i in range(0, len(starts), step):  # a part at a time, for the cache
-        s, e = starts[i: i + step], ends[i: i + step]
-        out.append(common.span_hashes(_LOWER[data[s[0]: e[-1]]] + np.uint64(1), s - s[0], e - s[0]))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
 class Automaton:
     """Generalised suffix automaton of word sequences, with the items that hold each window."""
 
@@ -81,7 +55,7 @@ class Automaton:
         kinds = {w: i for i, w in enumerate(dict.fromkeys(w for _, words in sequences for w in words))}
         joined = pa.array(list(kinds), pa.large_string())
         data, offsets = common.utf8(joined)
-        hashes = word_hashes(data, offsets[:-1], offsets[1:]) if len(kinds) else np.zeros(0, np.uint64)
+        hashes = common.word_hashes(data, offsets[:-1], offsets[1:]) if len(kinds) else np.zeros(0, np.uint64)
         self.word_order = np.argsort(hashes).astype(np.int64)
         self.word_hashes = hashes[self.word_order]
         self.kinds = len(kinds)
@@ -219,8 +193,8 @@ def build(benchmark: DataFrame, window: int = WINDOW) -> Automaton:
 def find(texts: pa.Array, automaton: Automaton) -> Iterator[tuple[int, list[tuple[int, int]], list[tuple[int, int]], set[int]]]:
     """For each text: its number of words, hit spans in words and in its UTF-8 bytes, and item numbers."""
     data, offsets = common.utf8(texts)
-    starts, ends, cuts = word_spans(data, offsets)
-    words = automaton.known(word_hashes(data, starts, ends))
+    starts, ends, cuts = common.word_spans(data, offsets, _WORD)
+    words = automaton.known(common.word_hashes(data, starts, ends))
     lo, hi = automaton.stretches(words, cuts)
     at = np.searchsorted(lo, cuts)
     for i in range(len(texts)):

@@ -73,6 +73,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.partenum import similar_documents
+
+    return similar_documents(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def fit_language_models(docs: DataFrame):
     """Models from the documents that may teach, a third of which calibrate."""
     from tessera.llm.langid import fit
@@ -106,7 +112,7 @@ def op10_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> D
 
 QUERIES = {q.__name__: q for q in (
     op1_closed_syncmers, op2_temperature_mixing, op3_warc, op4_chat_format, op5_gbt_toxicity,
-    op6_line_dedup,
+    op6_line_dedup, op7_partenum_join,
     op8_kneser_ney_langid, op9_packed_ids, op10_suffix_automaton_decontamination)}
 
 ORACLE = {
