@@ -392,3 +392,18 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return rows.select(shown(F.col("doc_id")).alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                        shown(out).alias("component_id"),
                        F.when(own, F.col("n_links")).otherwise(0).cast("long").alias("n_links"))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of smallest doc_id of each group of similar ones, and one row of each doc_id.
+
+    Of rows that share a doc_id the smallest by text stays.
+    """
+    found = common.materialise(similar_documents(docs), "partenum-components")
+    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_node")).distinct())
+    columns = [c for c in docs.columns if c != "text"]
+    rows = docs.withColumn("_node", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).join(kept, "_node")
+    # Rows lie sorted by _node after the join, so this is one pass over them.
+    first = rows.groupBy("_node").agg(F.min(F.struct("text", *columns)).alias("row"))
+    return first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
