@@ -17,12 +17,14 @@ Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,11 +34,11 @@ from tessera.llm import common
 MAGIC = b"TESSIDS1"
 BLOCK = 1 << 16
 HEADER, TRAILER = 16, 40
-#: Distinct words a worker remembers; only speed depends on it.
-CACHE_WORDS = 400_000
+#: Pieces of words that a worker keeps before it starts anew; only speed depends on it.
+CACHE_PIECES = 1_000_000
 MAX_TOKENIZER_BYTES = 64 << 20
-#: Letters below this code point are letters in every Unicode version.
-LATIN_END = "\u0250"
+#: Letters (of ranges where every Unicode version has letters only), then signs that are pre-tokens of their own.
+LETTERS_AND_TAIL = "^(?P<stem>[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?P<tail>[.,!]*)$"
 
 MANIFEST = "bucket int, path string, n_docs long, n_ids long, n_bytes long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -86,11 +88,12 @@ class Writer:
         self.at, self.blocks, self.waiting, self.n_waiting = HEADER, [], [], 0
         self.docs, self.flags, self.ends, self.n_ids = [], bytearray(), [], 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append(0 if doc_id is None else doc_id)
-        self.flags.append(doc_id is None)
+    def add(self, doc_ids: list[int | None], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Append documents: all their ids, end to end, and how many each has."""
+        self.docs += [0 if d is None else d for d in doc_ids]
+        self.flags += bytes(d is None for d in doc_ids)
+        self.ends += (self.n_ids + np.cumsum(sizes)).tolist()
         self.n_ids += len(ids)
-        self.ends.append(self.n_ids)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= BLOCK:
@@ -160,10 +163,12 @@ class Reader:
 class WordEncoder:
     """Encodes texts word by word with a tokenizer whose pre-tokens never cross a space or newline.
 
-    A text's ids are then those of its words, end to end, so each distinct word
-    is encoded once and remembered. Trailing full stops, commas and exclamation
-    marks after letters are pre-tokens of their own, and ASCII capitals are
-    lower-cased by the tokenizer, so both are taken off before the look-up.
+    A text's ids are then those of its words, end to end, so Arrow finds the
+    distinct words of a batch and only those are looked up. Full stops, commas
+    and exclamation marks after letters are pre-tokens of their own, and ASCII
+    capitals are lower-cased by the tokenizer, so a word is looked up as its
+    lower-cased letters (stem) and the signs after them (tail). What has been
+    encoded is kept by the worker process for later batches.
     """
 
     _made: dict[int, "WordEncoder"] = {}
@@ -172,7 +177,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
-        self.words: dict[str, bytes] = {}
+        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
+        self.last: np.ndarray | None = None  # by id: whether it ends a pre-token
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
 
     @classmethod
     def of(cls, spec: bytes) -> "WordEncoder":
@@ -182,36 +193,90 @@ class WordEncoder:
             cls._made[key] = cls(spec)
         return cls._made[key]
 
-    def _encode(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        new = [w for w in words if w not in self.words]
-        whole, split = set(), {}
-        for w in new:
-            stem = w.rstrip(".,!")
-            if stem.isalpha() and max(stem) < LATIN_END:
-                split[w] = stem.lower() if stem.isascii() else stem, w[len(stem):]
-                whole.update(split[w])
+    def _forget(self) -> None:
+        """Slot 0 is the empty piece; slot i has ids flat[starts[i]:starts[i + 1]]."""
+        self.slots: dict[str, int] = {"": 0}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.starts) - 1
+        self.slots.update(zip(pieces, range(n, n + len(pieces))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def _learn(self, letters: list[str], others: list[str]) -> None:
+        """Encode pieces that are not kept yet; ``letters`` are one pre-token each."""
+        pieces, ids, sizes = [], [], []
+        for at in range(0, len(letters) if self.last is not None else 0, 500):
+            # many as one text, cut at the pre-tokens' ends
+            part = letters[at: at + 500]
+            found = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            cuts = np.flatnonzero(self.last[found]) + 1
+            if len(cuts) == len(part):
+                pieces += part
+                ids.append(found)
+                sizes.append(np.diff(cuts, prepend=0))
             else:
-                whole.add(w)
-        self._encode([w for w in whole if w not in self.words])
-        for w, (stem, tail) in split.items():
-            self.words[w] = self.words[stem] + self.words[tail]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32 bytes."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        out: list[bytes] = []
-        for at in range(0, len(split), 64):
-            part = split[at: at + 64]
-            self.learn(set().union(*part))
-            get = self.words.__getitem__
-            out += [b"".join(map(get, words)) for words in part]
-        return out
+                others = others + part
+        if self.last is None:
+            others = others + letters
+        for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            pieces.append(w)
+            ids.append(np.array(e.ids, np.uint32))
+            sizes.append([len(e.ids)])
+        if pieces:
+            self._keep(pieces, np.concatenate(ids), np.concatenate(sizes))
+
+    def _slots(self, pieces: pa.Array, letters: bool) -> np.ndarray:
+        """The slots of pieces, learned if new."""
+        kinds = pieces.dictionary_encode()
+        texts = kinds.dictionary.to_pylist()
+        new = [p for p in texts if p not in self.slots]
+        self._learn(new if letters else [], [] if letters else new)
+        slots = np.fromiter(map(self.slots.__getitem__, texts), np.int64, len(texts))
+        return slots[kinds.indices.to_numpy()]
+
+    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of slots, end to end, and how many each has."""
+        starts = self.starts[slots]
+        sizes = self.starts[slots + 1] - starts
+        return _ranges(self.flat, starts, sizes), sizes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and how many each has (null: none)."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.slots) > CACHE_PIECES:
+            self._forget()
+        texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " ")
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        kinds = pc.ascii_lower(words.dictionary)
+        cut = pc.extract_regex(kinds, LETTERS_AND_TAIL)
+        plain = cut.is_valid()
+        # A word that is not letters and signs is one piece, as it stands.
+        others = words.dictionary.filter(pc.invert(plain))
+        pieces = np.zeros((len(kinds), 2), np.int64)
+        where = plain.to_numpy(zero_copy_only=False)
+        stems, tails = pc.struct_field(cut.filter(plain), 0), pc.struct_field(cut.filter(plain), 1)
+        pieces[where, 0] = self._slots(stems, True)
+        pieces[where, 1] = self._slots(tails, False)
+        pieces[~where, 0] = self._slots(others, False)
+        flat, sizes = self._gather(pieces.reshape(-1))  # of the distinct words
+        sizes = sizes.reshape(-1, 2).sum(axis=1)
+        starts = np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy()
+        sizes = sizes[at]
+        ids = _ranges(flat, starts[at], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = split.offsets.to_numpy()
+        return ids, np.diff(ends[offsets - offsets[0]])
+
+
+def _ranges(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] of every start, end to end."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
 def word_tokenizer_spec(path: str) -> bytes:
@@ -250,18 +315,18 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     vocabulary = Tokenizer.from_str(spec.decode("utf-8")).get_vocab_size(with_added_tokens=True)
     width = bits_for(max(vocabulary - 1, end_id))
     shared = spark.sparkContext.broadcast(spec)
-    end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, path, bucket = WordEncoder.of(shared.value), None, "", 0
-        for batch in common.rows_of(batches, 256):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             if writer is None:
                 bucket = batch.column(0)[0].as_py()
                 path = common.attempt_path(folder, f"ids-{bucket:06d}", ".bin")
                 writer = Writer(common.open_output(path), width)
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            for doc_id, ids in zip(batch.column(1).to_pylist(), encoder.encode(texts)):
-                writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+            ids, sizes = encoder.encode(batch.column(2))
+            writer.add(batch.column(1).to_pylist(), np.insert(ids, np.cumsum(sizes), end_id), sizes + 1)
         if writer is not None:
             size = writer.close()
             yield pa.RecordBatch.from_arrays(
@@ -274,7 +339,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     bucket = common.ordered_buckets(docs, "doc_id", weight, n)
     dealt = (docs.select(bucket.alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), "text")
              .repartitionById(n, "bucket").sortWithinPartitions("bucket", "doc_id", "text"))
+    common.batch_rows(spark, 2500)
     manifest = common.materialise(dealt.mapInArrow(write, MANIFEST), "token-manifest")
+    common.batch_rows(spark)
     # One row per file: at most as many as there are shuffle partitions.
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
