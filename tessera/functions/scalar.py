@@ -76,9 +76,13 @@ def iso_utc_to_ntz(s: str | Column) -> Column:
     """SF-15: ISO-8601 text (with or without offset) -> UTC wall time as NTZ.
 
     Parsing as an instant first keeps the offset; a direct cast to NTZ would
-    silently drop it. The session zone is pinned to UTC (see session.py).
+    silently drop it. The instant's wall time is taken in UTC whatever the
+    session zone; text without an offset is UTC already.
     """
-    return F.to_timestamp(_col(s)).cast("timestamp_ntz")
+    text = _col(s)
+    has_zone = text.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$") & text.contains(":")
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(text).cast("timestamp_ntz"))
+    return F.when(has_zone, instant).otherwise(F.to_timestamp_ntz(text))
 
 
 def price_text(c: str | Column) -> Column:
@@ -96,8 +100,11 @@ def price_text(c: str | Column) -> Column:
 
 
 def signed_pct_text(c: str | Column, digits: int = 2) -> Column:
-    """SF-16: ``+1.23%`` / ``-0.50%``; NULL -> NULL."""
-    v = F.round(_col(c).cast("decimal(38,8)"), digits)
-    body = F.format_number(F.abs(v), digits)
+    """SF-16: ``+1234.50%`` / ``-0.50%``, no thousands separator; NULL -> NULL.
+
+    The sign is that of the unrounded value, so ``-0.001`` reads ``-0.00%``.
+    """
+    v = _col(c).cast("decimal(38,8)")
+    body = F.abs(F.round(v, digits)).cast(f"decimal(38,{digits})").cast("string")
     sign = F.when(v < 0, F.lit("-")).otherwise(F.lit("+"))
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(F.concat(sign, body, F.lit("%")))

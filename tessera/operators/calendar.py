@@ -1,14 +1,11 @@
 """Calendar dimension (SK-5, SF-8..11).
 
-The spine is ``[start, end)`` — end exclusive. Rows come from ``spark.range``
-so the day list is generated in parallel, never on the driver.
+The spine is ``[start, end)`` — end exclusive.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import date_key, iso_day_of_week
@@ -29,12 +26,6 @@ def calendar_columns(day: Column) -> list[Column]:
     ]
 
 
-def calendar_dim(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> DataFrame:
-    n = max((end_exclusive - start).days, 0)
-    days = spark.range(n).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("d"))
-    return days.select(*calendar_columns(F.col("d")))
-
-
 def calendar_from_bounds(bounds: DataFrame, start_col: str, end_col: str, forward_days: int = 3) -> DataFrame:
     """Spine from a one-row frame of data-derived bounds: ``[start, end + buffer)``.
 
@@ -43,5 +34,7 @@ def calendar_from_bounds(bounds: DataFrame, start_col: str, end_col: str, forwar
     """
     # sequence() is inclusive, so the last generated day is end + buffer - 1
     last = F.date_add(F.col(end_col).cast("date"), forward_days - 1)
-    days = bounds.select(F.explode(F.sequence(F.col(start_col).cast("date"), last)).alias("d"))
+    # (sequence() counts backwards from a start after its end; the spine is then empty)
+    some = bounds.where(F.col(start_col).cast("date") <= last)
+    days = some.select(F.explode(F.sequence(F.col(start_col).cast("date"), last)).alias("d"))
     return days.select(*calendar_columns(F.col("d")))

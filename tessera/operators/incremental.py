@@ -1,93 +1,151 @@
 """Incremental maintenance of day-partitioned Parquet tables (SK-1, SK-6, SK-7, AG-8).
 
-Parquet has no MERGE, so an upsert is rebuilt from partition overwrites:
-
-1. the delta (already aligned to the model schema) is checked unique on the key;
-2. its distinct days are the touched partitions (a bounded list: calendar days);
-3. the target rows of those partitions, minus the delta's keys (left anti),
-   plus the delta, form the new partition contents;
-4. they are written to a staging folder under the shared checkpoint root;
-5. staging is copied over the target with dynamic partition overwrite.
-
-Every unique key contains (or hashes) its day, so a key lives in exactly one
-partition and rewriting only touched partitions is a correct upsert. Step 4
-exists because overwriting a path that the same job reads deletes its input.
-Step 5 only reads staging, so re-running it after a failure is idempotent:
-with a staging path that a restart can find again, ``roll_forward`` repeats
-the copy of a committed merge before anything else reads the target.
-Cost scales with the touched partitions, never with the whole table.
+Parquet has no MERGE, so a table is a set of partition folders and a pointer:
+
+    <table>/versions/table_version=<id>/<day>=<value>/part-*.parquet    written once, never changed
+    <table>/pointer/<number>.json                           which folder holds each day, schema, marks
+
+A write puts the new contents of the days it touches into a version folder of
+its own and then adds the next pointer file with one rename. Readers follow the
+newest pointer, so a write that dies earlier leaves the table as it was, and no
+step needs repeating. Rows are clustered by day (a rebalance that AQE sizes by
+bytes), so the number of files of a day follows its size, not the task count.
+
+Pointers also say which days changed between two states of a table, which is
+how a model finds what an input has changed since it was last built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+import json
+import uuid
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
+from tessera.operators.dedup import latest_per_key
 from tessera.session import delete_path, scratch_dir, scratch_root
 
+#: The folder name of a NULL day.
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
 class DuplicateKeyError(ValueError):
     pass
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Read a Parquet table or ``None`` if it does not exist yet.
+class ConcurrentWriteError(RuntimeError):
+    pass
+
+
+# ---------------------------------------------------------------- pointer
 
-    With ``schema`` the read is aligned to it (SK-6, ``sync_all_columns``): a
-    column the files lack reads as NULL, a column no longer in the schema is
-    not read.
-    """
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, hpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def state(spark: SparkSession, path: str, number: int | None = None) -> dict | None:
+    """The table's newest pointer (or the one of ``number``), ``None`` if it was never written."""
+    names = [n for n in _children(spark, f"{path}/pointer") if n.endswith(".json") and not n.startswith(".")]
+    if number is not None:
+        names = [n for n in names if int(n[:-5]) == number]
+    if not names:
+        return None
+    fs, hpath = _fs(spark, f"{path}/pointer/{names[-1]}")
+    stream = fs.open(hpath)
     try:
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        else:
-            # files written before a schema change keep their old columns
-            r = r.option("mergeSchema", "true")
-        df = r.parquet(path)
-        if schema is None:
-            df.schema  # noqa: B018 - force resolution so a missing path raises here
-        return df
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-
-
-def partition_values(df: DataFrame, partition_col: str) -> list[str]:
-    """Distinct ``col=value`` directory values of a partitioned Parquet frame.
-
-    Taken from the file listing (``inputFiles``), so no job reads any data.
-    """
-    key = f"/{partition_col}="
-    vals = set()
-    for f in df.inputFiles():
-        k = f.find(key)
-        if k >= 0:
-            vals.add(unquote(f[k + len(key):].split("/", 1)[0]))
-    return sorted(vals)
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
 
+def commit(spark: SparkSession, path: str, content: Mapping, after: dict | None) -> dict:
+    """Add the pointer that follows ``after``; fails if another writer was first."""
+    content = {**content, "number": (after["number"] if after else 0) + 1}
+    fs, final = _fs(spark, f"{path}/pointer/{content['number']:010d}.json")
+    _, draft = _fs(spark, f"{path}/pointer/.{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(content).encode("utf-8")))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise ConcurrentWriteError(f"{path} was written by someone else since it was read")
+    return content
 
-def high_water_mark(target: DataFrame | None, col: str, partition_col: str | None = None):
-    """AG-8: ``max(col)`` of the target (one bounded scalar), ``None`` if empty.
 
-    With ``partition_col`` — a partition column that is a monotone function of
-    ``col`` (a day cut from the same timestamp) — only the newest partition is
-    read, so the cost no longer grows with the table.
+# ---------------------------------------------------------------- reading
+
+def read_table(spark: SparkSession, path: str, at: dict | None = None) -> DataFrame | None:
+    """The table as its newest pointer (or ``at``) has it, ``None`` if it was never written.
+
+    The schema is the pointer's (SK-6, ``sync_all_columns``), for every reader:
+    a column that older files lack reads as NULL, one no longer in the schema
+    is not read.
     """
-    if target is None:
+    at = at or state(spark, path)
+    if at is None:
         return None
-    if partition_col is not None:
-        vals = partition_values(target, partition_col)
-        if vals:
-            newest = F.col(partition_col) == F.lit(vals[-1]).cast(target.schema[partition_col].dataType)
-            return target.where(newest).agg(F.max(col)).first()[0]
-    return target.agg(F.max(col)).first()[0]
+    schema = T.StructType.fromJson(json.loads(at["schema"]))
+    if not at["parts"]:
+        return spark.createDataFrame([], schema)
+    col = at["partition_col"]
+    reader = spark.read.schema(schema)
+    if col is None:
+        return reader.parquet(*[f"{path}/versions/table_version={v}" for v in at["parts"].values()])
+    folders = [f"{path}/versions/table_version={v}/{d}" for d, v in sorted(at["parts"].items())]
+    return reader.option("basePath", f"{path}/versions").parquet(*folders).select(*schema.names)
+
+
+def days_of(at: dict | None) -> list[str]:
+    """The days (text) that a table has rows of, without the NULL day; from the pointer, no job."""
+    if at is None or not at["partition_col"]:
+        return []
+    return sorted(unquote(d.split("=", 1)[1]) for d in at["parts"] if not d.endswith(f"={NULL_DAY}"))
+
+
+def changed_days(spark: SparkSession, path: str, since: int | None) -> list[str | None]:
+    """Days whose rows were written or removed after pointer ``since`` (all days if ``None``); None is the NULL day."""
+    now = state(spark, path)
+    if now is None:
+        return []
+    before = (state(spark, path, since) or {"parts": {}})["parts"] if since is not None else {}
+    folders = [d for d in {*now["parts"], *before} if now["parts"].get(d) != before.get(d)]
+    days = [unquote(d.split("=", 1)[1]) for d in sorted(folders)]
+    return [None if d == NULL_DAY else d for d in days]
+
+
+def in_days(df: DataFrame, col: str, days: Sequence[str | None]) -> DataFrame:
+    """Rows of the given days; reaches the scan as a partition filter."""
+    kind = df.schema[col].dataType
+    known = [F.lit(d).cast(kind) for d in days if d is not None]
+    hit = F.col(col).isin(known) if known else F.lit(False)
+    return df.where(hit | F.col(col).isNull() if None in days else hit)
+
+
+def high_water_mark(target: DataFrame | None, col: str):
+    """AG-8: ``max(col)`` of the target (one bounded scalar), ``None`` if empty."""
+    return None if target is None else target.agg(F.max(col)).first()[0]
+
+
+def mark_of(spark: SparkSession, path: str, col: str):
+    """AG-8 from the pointer, kept by the writes (no job); read from the rows if it was not kept."""
+    at = state(spark, path)
+    if at is None:
+        return None
+    if col in at["marks"]:
+        text = at["marks"][col]
+        return None if text is None else dt.datetime.fromisoformat(text)
+    return high_water_mark(read_table(spark, path, at), col)
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -106,107 +164,111 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"delta is not unique on {list(keys)}")
 
 
-def _copy_over(spark: SparkSession, staging: str, target: str, partition_col: str, dynamic: bool) -> None:
-    staged = spark.read.parquet(staging)
-    (staged.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .partitionBy(partition_col).parquet(target))
-
-
-def upsert(
-    spark: SparkSession,
-    delta: DataFrame,
-    target_path: str,
-    keys: Sequence[str],
-    partition_col: str,
-    check_unique: bool = True,
-    staging: str | None = None,
-    keep_staging: bool = False,
-) -> dict:
-    """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the target.
-
-    The delta is computed once and written (partitioned) under the staging
-    root; its partition folders are the touched partitions. The target's
-    schema becomes the delta's (columns added/dropped, SK-6). Returns the
-    staging path; pass it back as ``staging`` to replay only the final copy
-    after a crash. ``check_unique=False`` is for deltas unique by
-    construction (a dedup or a group-by on the key); the quality suite still
-    tests the table.
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once: written to the scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# ---------------------------------------------------------------- writing
+
+def _observed(df: DataFrame, marks: Sequence[str]) -> tuple[DataFrame, Observation | None]:
+    if not marks:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.max(c).alias(c) for c in marks]), seen
+
+
+def _write(spark: SparkSession, df: DataFrame, path: str, partition_col: str | None) -> tuple[str, list[str]]:
+    """Write ``df`` to a new version folder; its id and the partition folders in it."""
+    version = f"t{uuid.uuid4().hex[:16]}"
+    folder = f"{path}/versions/table_version={version}"
+    if partition_col is None:
+        df.write.parquet(folder)
+        return version, [""]
+    df.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(folder)
+    return version, [n for n in _children(spark, folder) if n.startswith(f"{partition_col}=")]
+
+
+def _ordered(schema: T.StructType, partition_col: str | None) -> T.StructType:
+    """Columns in the order a table is read back: partition column last."""
+    if not partition_col:
+        return schema
+    return T.StructType([f for f in schema.fields if f.name != partition_col] + [schema[partition_col]])
+
+
+def _content(df_schema: T.StructType, partition_col: str | None, parts: dict, marks: dict, info: dict) -> dict:
+    return {"partition_col": partition_col, "schema": _ordered(df_schema, partition_col).json(), "parts": parts,
+            "marks": marks, "info": info}
+
+
+def _text(mark) -> str | None:
+    return None if mark is None else mark.isoformat()
+
+
+def replace(spark: SparkSession, df: DataFrame, path: str, partition_col: str | None = None,
+            marks: Sequence[str] = (), info: Mapping | None = None) -> dict:
+    """SNK-6 / SK-7: full replace; ``df`` may read the table itself. Returns the new pointer."""
+    before = state(spark, path)
+    watched, seen = _observed(df, marks)
+    version, folders = _write(spark, watched, path, partition_col)
+    got = seen.get if seen else {}
+    return commit(spark, path, _content(df.schema, partition_col, {d: version for d in folders},
+                                        {c: _text(got.get(c)) for c in marks}, dict(info or {})), before)
+
+
+def replace_days(spark: SparkSession, df: DataFrame, path: str, partition_col: str, days: Sequence[str | None],
+                 info: Mapping | None = None) -> dict:
+    """Replace the given days by ``df``, which holds all their rows and no others; the new pointer."""
+    before = state(spark, path)
+    if before is None or not before["partition_col"]:
+        return replace(spark, df, path, partition_col, info=info)
+    version, folders = _write(spark, df, path, partition_col)
+    touched = {f"{partition_col}={d}" if d is not None else f"{partition_col}={NULL_DAY}" for d in days}
+    parts = {d: v for d, v in before["parts"].items() if d not in touched} | {d: version for d in folders}
+    return commit(spark, path, _content(df.schema, partition_col, parts, before["marks"],
+                                        {**before["info"], **(info or {})}), before)
+
+
+def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str], partition_col: str,
+           check_unique: bool = True, newest_by: Sequence[str] = (), marks: Sequence[str] = (),
+           info: Mapping | None = None) -> dict:
+    """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the table.
+
+    The delta is computed once, to the scratch folder; its distinct days (a
+    bounded list) are the touched partitions. Every unique key contains (or
+    hashes) its day, so a key lives in one partition: the rows of those days
+    minus the delta's keys, plus the delta, become a new version. With
+    ``newest_by`` the newer of the old and the new row of a key stays, so
+    batches may come in any order. The table's schema becomes the delta's
+    (columns added/dropped, SK-6). ``check_unique=False`` is for deltas unique
+    by construction; the quality suite still tests the table.
     """
-    if staging is not None and roll_forward(spark, staging, target_path, partition_col, keep_staging):
-        return {"staging": staging if keep_staging else None, "replayed": True}
-    staging = staging or scratch_dir(spark, "upsert-staging")
-    schema = delta.schema
-    # staging is overwritten whole (static): a fixed staging path must not keep
-    # partitions of an earlier, crashed run, and only a static write leaves
-    # the _SUCCESS marker that roll_forward trusts
-    delta.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(
-        f"{staging}/delta")
-    staged = spark.read.schema(schema).parquet(f"{staging}/delta")
-    days = partition_values(staged, partition_col)
-    if not days:
-        if not keep_staging:
-            _drop_staging(spark, staging)
-        return {"staging": None, "touched_partitions": 0, "partitions": []}
+    staging = scratch_dir(spark, "upsert-delta")
+    watched, seen = _observed(delta, marks)
+    watched.write.parquet(staging)
+    staged = spark.read.schema(delta.schema).parquet(staging)
+    days = [r[0] for r in staged.select(F.col(partition_col).cast("string")).distinct().collect()]
+    before = state(spark, path)
     if check_unique:
         assert_unique(staged, keys)
-    target = read_table(spark, target_path, schema)
-    if target is None:
+    if days or before is None:
         merged = staged
-    else:
-        day_type = schema[partition_col].dataType
-        existing = target.where(F.col(partition_col).isin([F.lit(d).cast(day_type) for d in days]))
-        merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(
-        f"{staging}/merged")
-    _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
-    if not keep_staging:
-        # the copy has committed; staging is only needed to replay a failed copy
-        _drop_staging(spark, staging)
-    return {"staging": staging if keep_staging else None, "touched_partitions": len(days), "partitions": days}
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a Spark write to ``path`` finished its job commit (``_SUCCESS``)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-
-
-def roll_forward(spark: SparkSession, staging: str, target_path: str, partition_col: str,
-                 keep_staging: bool = False) -> bool:
-    """Finish an upsert whose merge committed but whose copy may not have.
-
-    The copy deletes each touched target partition before moving the new one
-    in, so a crash inside it can leave a partition missing; the committed
-    merge holds the full new contents of every touched partition, and copying
-    it again is idempotent. A merge without ``_SUCCESS`` never touched the
-    target and is ignored. Returns whether a copy was replayed.
-    """
-    if not committed(spark, f"{staging}/merged"):
-        return False
-    _copy_over(spark, f"{staging}/merged", target_path, partition_col, dynamic=True)
-    if not keep_staging:
-        _drop_staging(spark, staging)
-    return True
-
-
-def _drop_staging(spark: SparkSession, staging: str) -> None:
-    root = scratch_root(spark)
-    if staging.startswith(root + "/"):
-        delete_path(spark, staging, root)
-
-
-def replace(spark: SparkSession, df: DataFrame, target_path: str, partition_col: str | None = None) -> None:
-    """SNK-6 / SK-7: full replace through staging (safe even if ``df`` reads the target)."""
-    staging = scratch_dir(spark, "replace-staging")
-    w = df.write.mode("overwrite")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(staging)
-    staged = spark.read.parquet(staging)
-    w2 = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_col:
-        w2 = w2.partitionBy(partition_col)
-    w2.parquet(target_path)
-    _drop_staging(spark, staging)
+        target = read_table(spark, path, before) if before else None
+        if target is not None:
+            existing = align(in_days(target, partition_col, days), delta.schema)
+            if newest_by:
+                merged = latest_per_key(existing.unionByName(staged), list(keys), list(newest_by))
+            else:
+                merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
+        version, folders = _write(spark, merged, path, partition_col)
+        parts = {**(before["parts"] if before else {}), **{d: version for d in folders}}
+        got, old = (seen.get if seen else {}), (before or {"marks": {}, "info": {}})
+        kept = {c: max(filter(None, [old["marks"].get(c), _text(got.get(c))]), default=None) for c in marks}
+        commit(spark, path, _content(delta.schema, partition_col, parts, {**old["marks"], **kept},
+                                     {**old["info"], **(info or {})}), before)
+    elif info:
+        commit(spark, path, {**before, "info": {**before["info"], **info}}, before)
+    delete_path(spark, staging, scratch_root(spark))
+    return {"touched_partitions": len(days), "partitions": days}

@@ -12,7 +12,8 @@ warehouse tests:
 * accepted_values: distinct non-NULL values outside the list;
 * relationships: non-NULL child rows whose key is absent from the parent.
 
-All not_null tests of one table are folded into a single aggregate pass.
+All row tests of one table (not_null, accepted_range, accepted_values) are
+folded into a single aggregate pass.
 
 ``scope`` restricts partition-local tests of a model to a partition filter
 (the partitions an incremental run touched). A test is partition-local when
@@ -62,7 +63,7 @@ class QualityError(RuntimeError):
 
 
 def _failing_count(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
-    """One-row DataFrame ``(failures)`` for a non-not_null check."""
+    """One-row DataFrame ``(failures)`` for a check that is not a row test."""
     df = tables[c.model]
     if c.where:
         df = df.where(c.where)
@@ -73,14 +74,6 @@ def _failing_count(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     if c.test == "unique_combination":
         return (df.groupBy(*c.columns).count().where(F.col("count") > 1)
                 .agg(F.count(F.lit(1)).alias("failures")))
-    if c.test == "accepted_range":
-        col = F.col(c.columns[0])
-        bad: Column = ~(col > F.lit(c.min_value))
-        return df.agg(F.count_if(F.coalesce(bad, F.lit(False))).alias("failures"))
-    if c.test == "accepted_values":
-        col = F.col(c.columns[0])
-        return (df.where(col.isNotNull() & ~col.isin(list(c.values))).select(col).distinct()
-                .agg(F.count(F.lit(1)).alias("failures")))
     if c.test == "relationships":
         child = df.where(F.col(c.columns[0]).isNotNull()).select(F.col(c.columns[0]).alias("__k"))
         parent = tables[c.to_model].select(F.col(c.to_column).alias("__k"))
@@ -88,6 +81,16 @@ def _failing_count(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(f"unknown test {c.test!r}")
 
 
+def _row_test(c: Check) -> Column:
+    """The failures of a row test, as one aggregate among others."""
+    col = F.col(c.columns[0])
+    if c.test == "not_null":
+        return F.count_if(col.isNull())
+    if c.test == "accepted_range":
+        return F.count_if(F.coalesce(~(col > F.lit(c.min_value)), F.lit(False)))
+    return F.count_distinct(F.when(~col.isin(list(c.values)), col))
+
+
 def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Check) -> Mapping[str, DataFrame]:
     if c.model not in scope or not c.local:
         return tables
@@ -102,18 +105,18 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
     """
     scope = scope or {}
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
+    by_model: dict[tuple, list[Check]] = {}
     for c in checks:
-        if c.test == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        agg = _scoped(tables, scope, cs[0])[model].agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"c{i}")
-                                  for i, c in enumerate(cs)])
-        stack = ", ".join(f"'{c.column_name}', c{i}" for i, c in enumerate(cs))
-        parts.append(agg.selectExpr(f"'{model}' AS model", "'not_null' AS test",
-                                    f"stack({len(cs)}, {stack}) AS (column_name, failures)"))
+        if c.test in ROW_TESTS:
+            by_model.setdefault((c.model, c.where), []).append(c)
+    for (model, where), cs in by_model.items():
+        rows = _scoped(tables, scope, cs[0])[model]
+        agg = (rows.where(where) if where else rows).agg(*[_row_test(c).alias(f"c{i}") for i, c in enumerate(cs)])
+        stack = ", ".join(f"'{c.test}', '{c.column_name}', c{i}" for i, c in enumerate(cs))
+        parts.append(agg.selectExpr(f"'{model}' AS model",
+                                    f"stack({len(cs)}, {stack}) AS (test, column_name, failures)"))
     for c in checks:
-        if c.test == "not_null":
+        if c.test in ROW_TESTS:
             continue
         parts.append(_failing_count(_scoped(tables, scope, c), c).select(
             F.lit(c.model).alias("model"), F.lit(c.test).alias("test"),

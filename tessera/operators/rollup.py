@@ -21,6 +21,23 @@ def _decimal_of(df: DataFrame, col: str) -> DecimalType | None:
     return t if isinstance(t, DecimalType) else None
 
 
+def exact_average(total: Column, n: Column, digits: int, kind: DecimalType) -> Column:
+    """``total / n`` rounded once, half away from zero, to ``digits``.
+
+    A decimal quotient keeps few digits and so has been rounded before it is
+    rounded again; the remainder that the rounded quotient leaves says whether
+    that moved it by a step, and in which direction.
+    """
+    count = n.cast("decimal(12,0)")
+    near = F.round(total / n, digits).cast(kind)
+    step = F.lit(f"{10 ** -digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    twice = (total - near * count) * 2
+    half = step * count
+    up = (twice > half) | ((twice == half) & (total >= 0))
+    down = (twice < -half) | ((twice == -half) & (total < 0))
+    return F.when(up, near + step).when(down, near - step).otherwise(near).cast(kind)
+
+
 def daily_rollup(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,15 +54,14 @@ def daily_rollup(
     drift from run to run. ``latest`` maps output -> input column.
     """
     aggs: list[Column] = [F.count(F.lit(1)).alias(count_col)]
+    exact: dict[str, Column] = {}
     for out, (src, digits) in averages.items():
         dt = _decimal_of(df, src)
         if dt is None:
             aggs.append(F.round(F.avg(src), digits).alias(out))
         else:
-            # sum/count keeps 16+ fractional digits before the one rounding;
-            # avg() would first round to scale + 4 and then round again
-            avg = F.round(F.sum(src) / F.count(src), digits)
-            aggs.append(avg.cast(dt).alias(out))
+            aggs += [F.sum(src).alias(f"__sum_{out}"), F.count(src).alias(f"__n_{out}")]
+            exact[out] = exact_average(F.col(f"__sum_{out}"), F.col(f"__n_{out}"), digits, dt).alias(out)
     latest_struct = F.struct(*[F.col(src).alias(out) for out, src in latest.items()])
     aggs.append(F.max_by(latest_struct, F.col(ts_col)).alias("__latest"))
     aggs.append(F.max(ts_col).alias(synced_col))
@@ -53,7 +69,7 @@ def daily_rollup(
     return rolled.select(
         *keys,
         count_col,
-        *averages.keys(),
+        *[exact.get(out, F.col(out)) for out in averages],
         *[F.col(f"__latest.{out}").alias(out) for out in latest],
         synced_col,
     )

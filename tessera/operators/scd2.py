@@ -173,12 +173,3 @@ def scd2_dimension(
         F.coalesce(F.col(VTO), ntz_lit(OPEN_END)).alias("valid_to"),
         F.col(VTO).isNull().alias("is_current"),
     )
-
-
-def scd2_reset(history: DataFrame) -> tuple[DataFrame, bool]:
-    """SK-8: an empty history of the same schema, plus "facts need a full refresh".
-
-    Existing facts hold version keys of the discarded history (Q9), so the
-    caller must rebuild them; the relationships test shows it otherwise.
-    """
-    return history.limit(0), True

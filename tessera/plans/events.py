@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -24,12 +24,11 @@ from tessera.functions.scalar import (
     epoch_ms_to_utc_day,
     iso_utc_to_ntz,
     ntz_lit,
-    price_text,
-    signed_pct_text,
     surrogate_key,
 )
 from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.dedup import latest_per_key
+from tessera.operators.rollup import daily_rollup
 from tessera.operators.scd2 import scd2_dimension, scd2_from_observations, scd2_replay
 from tessera.plans import market as M
 from tessera.sources.landing import (
@@ -45,7 +44,7 @@ from tessera.sources.landing import (
 SNAPSHOT_TYPES = ["view", "click", "purchase"]
 HISTORY_TYPES = ["signup", "error"]
 INCREMENT_CUT = dt.datetime(2024, 1, 20, 12, 0, 0)
-SCD_CUTS = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 31)]
+FIRST_CUTS = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)]
 STABLE_USERS = [1, 2, 3]
 CURATED_IDS = " 7, 42 ,, 99,  131, "
 RANGE_START, RANGE_END = "2024-01-05", "2024-01-12T18:30:00+00:00"
@@ -60,6 +59,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scd_cuts(events: DataFrame) -> list[dt.datetime]:
+    """When the version runs happen: two fixed times, and the day after the newest event, so none is left out."""
+    newest = events.agg(F.max("ts")).first()[0]
+    last = dt.datetime.combine(newest.date(), dt.time()) + dt.timedelta(days=1) if newest else FIRST_CUTS[-1]
+    return [c for c in FIRST_CUTS if c < last] + [last]
+
+
 def present(df: DataFrame) -> DataFrame:
     """Decimals leave the checked queries as doubles (exact decimal -> nearest double)."""
     cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
@@ -112,6 +118,13 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str, before: dt.datetime | None = None):
         self.spark, self.sf_dir, self.before = spark, sf_dir, before
         self.events = read(spark, sf_dir, "events")
+        self._cuts: list[dt.datetime] | None = None
+
+    @property
+    def cuts(self) -> list[dt.datetime]:
+        if self._cuts is None:
+            self._cuts = scd_cuts(self.events)
+        return self._cuts
 
     def stg_snap(self, overrides: DataFrame | None = None) -> DataFrame:
         return M.stg_snapshot(snapshot_landing(self.events, self.before), overrides=overrides)
@@ -128,10 +141,10 @@ class Models:
         return M.coin_attributes(snap, hist, pick="latest", stable_ids=STABLE_USERS)
 
     def versions(self) -> DataFrame:
-        """History of the runs at ``SCD_CUTS`` in one pass over the feeds."""
+        """History of the runs at ``cuts`` in one pass over the feeds."""
         cols = ["coin_id", "symbol", "name", "fetched_at"]
         obs = self.stg_snap().select(*cols).unionByName(self.stg_hist().select(*cols))
-        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", SCD_CUTS,
+        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", self.cuts,
                                       pick="latest",
                                       derived={"asset_type": M.asset_class("coin_id", STABLE_USERS)})
 
@@ -139,13 +152,13 @@ class Models:
         """The reference's attribute rule: lexicographic max over all history (Q6)."""
         cols = ["coin_id", "symbol", "name", "fetched_at"]
         obs = self.stg_snap().select(*cols).unionByName(self.stg_hist().select(*cols))
-        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", SCD_CUTS,
+        return scd2_from_observations(obs, "coin_id", ["symbol", "name"], "fetched_at", self.cuts,
                                       pick="max",
                                       derived={"asset_type": M.asset_class("coin_id", STABLE_USERS)})
 
     def versions_replayed(self) -> DataFrame:
         """The same history by applying the check strategy run after run."""
-        snaps = [(cut, self.attributes_at(cut)) for cut in SCD_CUTS]
+        snaps = [(cut, self.attributes_at(cut)) for cut in self.cuts]
         return scd2_replay(snaps, "coin_id", ["symbol", "name", "asset_type"])
 
     def dim(self) -> DataFrame:
@@ -195,6 +208,28 @@ def q_curated_feed(spark, sf):
     return restrict_to_ids(e, "user_id", parse_id_list(CURATED_IDS, int))
 
 
+MANY_IDS = list(range(1, 12_001))
+
+
+def q_curated_many(spark, sf):
+    """SRC-4 with a long list: the same plan, the same column order."""
+    return restrict_to_ids(read(spark, sf, "lineitem"), "l_orderkey", MANY_IDS)
+
+
+def q_average_rounding(spark, sf):
+    """AG-1 on groups of many rows whose exact average lies just under a rounding step: one cent for just
+    under half of a group's rows, nothing for the rest, must average to nothing."""
+    li = read(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                            "l_shipdate")
+    sizes = li.groupBy("l_returnflag").agg(F.expr("(count(*) - 1) div 2").alias("half"))
+    order = [F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"), "l_orderkey"]
+    ranked = li.withColumn("nth", F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)))
+    cents = ranked.join(sizes, "l_returnflag").withColumn(
+        "cents", F.when(F.col("nth") <= F.col("half"), F.lit("0.01")).otherwise("0.00").cast("decimal(28,2)"))
+    rolled = daily_rollup(cents, ["l_returnflag"], "l_shipdate", {"avg_cents": ("cents", 2)}, {"any_cents": "l_returnflag"})
+    return present(rolled.select("l_returnflag", "extract_count", "avg_cents"))
+
+
 def q_source_topn(spark, sf):
     c = read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
     return top_n(c, [F.col("c_acctbal").desc(), F.col("c_custkey").asc()], TOP_N, rank_col="rank")
@@ -337,12 +372,6 @@ def q_attr_override(spark, sf):
     return s.select("coin_id", "name").distinct()
 
 
-def q_price_text(spark, sf):
-    f = Models(spark, sf).fct_daily()
-    return f.select("daily_market_sk", price_text("latest_price_usd").alias("price_text"),
-                    signed_pct_text("daily_return_pct").alias("return_text"))
-
-
 def q_epoch_days(spark, sf):
     e = read(spark, sf, "events")
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -351,52 +380,14 @@ def q_epoch_days(spark, sf):
                                             F.lit("+02:00"))).alias("utc_ts"))
 
 
-# ---------------------------------------------------------------- dashboard marts
-
-def _marts(spark, sf):
-    from tessera.operators import marts as Q
-
-    m = Models(spark, sf)
-    return Q, m.fct_daily(), m.dim()
-
-
-def q_date_bounds(spark, sf):
-    Q, fct, _ = _marts(spark, sf)
-    return Q.date_bounds(fct)
-
-
-def q_symbols(spark, sf):
-    Q, _, dim = _marts(spark, sf)
-    return Q.current_symbols(dim)
-
-
-def q_cards(spark, sf):
-    Q, fct, dim = _marts(spark, sf)
-    return present(Q.cards(fct, dim, CARDS_START, CARDS_END))
-
-
-def q_extremes(spark, sf):
-    Q, fct, dim = _marts(spark, sf)
-    return present(Q.extremes(fct, dim))
-
-
-def q_series(spark, sf):
-    Q, fct, dim = _marts(spark, sf)
-    return present(Q.series(fct, dim, CARDS_START, CARDS_END, SERIES_SYMBOLS))
-
-
-def q_chart_long(spark, sf):
-    Q, fct, dim = _marts(spark, sf)
-    s = Q.series(fct, dim, CARDS_START, CARDS_END, SERIES_SYMBOLS)
-    return present(Q.chart_long(s, Q.extremes(fct, dim)))
-
-
 QUERIES = {
     "stg_events": q_stg_events,
     "stg_history": q_stg_history,
     "dedup_lineitem": q_dedup_lineitem,
     "dedup_orders": q_dedup_orders,
     "curated_feed": q_curated_feed,
+    "curated_many": q_curated_many,
+    "average_rounding": q_average_rounding,
     "source_topn": q_source_topn,
     "range_extract": q_range_extract,
     "json_flatten": q_json_flatten,
@@ -417,12 +408,5 @@ QUERIES = {
     "surrogate_keys": q_surrogate_keys,
     "attr_class": q_attr_class,
     "attr_override": q_attr_override,
-    "price_text": q_price_text,
     "epoch_days": q_epoch_days,
-    "date_bounds": q_date_bounds,
-    "symbols": q_symbols,
-    "cards": q_cards,
-    "extremes": q_extremes,
-    "series": q_series,
-    "chart_long": q_chart_long,
 }

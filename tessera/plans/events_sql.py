@@ -18,6 +18,9 @@ def _ts(t: dt.datetime) -> str:
     return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
 
 
+# the last run sees every row: the day after the newest one
+LAST_CUT = "(SELECT CAST(date_trunc('day', max(ts)) AS TIMESTAMP) + INTERVAL 1 DAY FROM events)"
+
 K = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
 
@@ -94,11 +97,11 @@ def versions(pick: str = "latest") -> list[str]:
     states = []
     agg = ("arg_max(symbol, fetched_at) AS symbol, arg_max(name, fetched_at) AS name" if pick == "latest"
            else "max(symbol) AS symbol, max(name) AS name")
-    for i, cut in enumerate(E.SCD_CUTS, 1):
-        states.append(f"""SELECT {i} AS ci, {_ts(cut)} AS cut, coin_id,
+    for i, cut in enumerate([*map(_ts, E.FIRST_CUTS), LAST_CUT], 1):
+        states.append(f"""SELECT {i} AS ci, {cut} AS cut, coin_id,
     {agg},
     CASE WHEN coin_id IN ({sql_list(E.STABLE_USERS)}) THEN 'stablecoin' ELSE 'coin' END AS asset_type
-  FROM feed_attr WHERE fetched_at < {_ts(cut)} GROUP BY coin_id""")
+  FROM feed_attr WHERE fetched_at < {cut} GROUP BY coin_id""")
     return feeds() + [
         """feed_attr AS (SELECT coin_id, symbol, name, fetched_at FROM stg_snap
   UNION ALL SELECT coin_id, symbol, name, fetched_at FROM stg_hist)""",
@@ -162,9 +165,9 @@ def _price_text(c: str) -> str:
 
 
 def _pct_text(c: str) -> str:
-    v = f"round(CAST({c} AS DECIMAL(38,8)), 2)"
+    v = f"CAST({c} AS DECIMAL(38,8))"
     return (f"CASE WHEN {c} IS NULL THEN NULL ELSE (CASE WHEN {v} < 0 THEN '-' ELSE '+' END) || "
-            f"format('{{:,.2f}}', abs({v})) || '%' END")
+            f"CAST(CAST(round(abs({v}), 2) AS DECIMAL(38,2)) AS VARCHAR) || '%' END")
 
 
 def oracle() -> dict[str, str]:
@@ -189,6 +192,9 @@ def oracle() -> dict[str, str]:
     o_orderpriority DESC NULLS LAST) AS rn
   FROM (SELECT *, CAST(o_orderdate AS DATE) AS o_orderday FROM orders)) WHERE rn = 1"""
     q["curated_feed"] = f"SELECT * FROM events WHERE user_id IN ({sql_list(parse_id_list(E.CURATED_IDS, int))})"
+    q["curated_many"] = f"SELECT * FROM lineitem WHERE l_orderkey IN ({', '.join(map(str, E.MANY_IDS))})"
+    q["average_rounding"] = """SELECT l_returnflag, count(*) AS extract_count, 0.0::DOUBLE AS avg_cents
+FROM lineitem GROUP BY l_returnflag"""
     q["source_topn"] = f"""SELECT c_custkey, c_name, c_acctbal,
   CAST(row_number() OVER (ORDER BY c_acctbal DESC, c_custkey ASC) AS INTEGER) AS rank
 FROM customer ORDER BY c_acctbal DESC, c_custkey ASC LIMIT {E.TOP_N}"""

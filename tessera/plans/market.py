@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import date_key, ntz_lit, surrogate_key
@@ -52,9 +52,6 @@ HISTORY_COLUMNS = [
 # Ids classed as stablecoins in the reference's version history.
 STABLECOIN_IDS = ["tether", "usd-coin", "dai"]
 
-OVERRIDE_BROADCAST_MAX_ROWS = 100_000
-
-
 def _typed(src: str, how: str | None) -> Column:
     c = F.col(src)
     if how is None:
@@ -75,20 +72,20 @@ def typed_select(df: DataFrame, spec: Sequence[tuple[str, str, str | None]]) ->
 
 
 def apply_overrides(df: DataFrame, overrides: DataFrame | None, key: str, cols: Sequence[str]) -> DataFrame:
-    """PF-8: attribute overrides from a (small) mapping table, else the value.
+    """PF-8: attribute overrides from a mapping table, else the value.
 
-    The reference hard-codes one temporary rename; here it is data. The map is
-    a handful of curated rows, so it is broadcast.
+    The reference hard-codes one temporary rename; here it is data. The map
+    must hold a key once: a second entry would multiply rows, so it is refused.
     """
     if overrides is None:
         return df
+    if overrides.groupBy(key).count().where("count > 1").limit(1).count():
+        raise ValueError(f"the override map holds a {key} twice")
     o = overrides.select(F.col(key), *[F.col(c).alias(f"__ovr_{c}") for c in cols])
-    if o.count() <= OVERRIDE_BROADCAST_MAX_ROWS:  # curated map: counted, then broadcast
-        o = F.broadcast(o)
     j = df.join(o, key, "left")
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(f"__ovr_{c}"), F.col(c)))
-    return j.drop(*[f"__ovr_{c}" for c in cols])
+    return j.select(*df.columns)
 
 
 def after_mark(df: DataFrame, ts_col: str, mark: dt.datetime | None, day_col: str | None = None) -> DataFrame:
@@ -168,13 +165,16 @@ def history_daily(stg_hist: DataFrame) -> DataFrame:
 
 
 def touched_keys(feeds: Sequence[DataFrame], keys: Sequence[str], ts_col: str,
-                 mark: dt.datetime | None | Sequence) -> DataFrame:
+                 mark: dt.datetime | None | Sequence, day_cols: Sequence[str | None] | None = None) -> DataFrame:
     """PF-3 + ST-1 + AG-7: distinct keys with a row newer than the mark in any feed.
 
     ``mark`` is one value for all feeds (reference, Q2) or one per feed.
+    ``day_cols`` names, per feed, the partition column cut from ``ts_col``, so
+    that days before the mark's are not read.
     """
     marks = list(mark) if isinstance(mark, (list, tuple)) else [mark] * len(feeds)
-    parts = [after_mark(f.select(*keys, ts_col), ts_col, m) for f, m in zip(feeds, marks)]
+    parts = [after_mark(f.select(*keys, ts_col), ts_col, m, d)
+             for f, m, d in zip(feeds, marks, day_cols or [None] * len(feeds))]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -211,27 +211,37 @@ def int_daily(stg_snap: DataFrame, stg_hist: DataFrame, mark=None,
 
 # ---------------------------------------------------------------- version history input
 
-def coin_attributes(stg_snap: DataFrame, stg_hist: DataFrame, pick: str = "max",
-                    stable_ids: Sequence = tuple(STABLECOIN_IDS)) -> DataFrame:
-    """ST-2 + AG-4 + PF-7: one attribute row per coin, as the snapshot input.
+def attributes_daily(stg_snap: DataFrame, stg_hist: DataFrame) -> DataFrame:
+    """What each day says of a coin: the largest and the newest attribute values (AG-4 by day)."""
+    cols = ["coin_id", "price_date", "symbol", "name", "fetched_at"]
+    rows = stg_snap.select(*cols).unionByName(stg_hist.select(*cols))
+    return rows.groupBy("coin_id", "price_date").agg(
+        F.max("symbol").alias("max_symbol"), F.max("name").alias("max_name"),
+        F.max(F.struct("fetched_at", "symbol", "name")).alias("newest"))
+
+
+def attributes_of(daily: DataFrame, pick: str = "max", stable_ids: Sequence = tuple(STABLECOIN_IDS)) -> DataFrame:
+    """ST-2 + AG-4 + PF-7: one attribute row per coin from ``attributes_daily``.
 
     ``pick='max'`` is the reference (lexicographic max over all history, Q6);
     ``pick='latest'`` takes the values of the newest fetch instead.
     """
-    cols = ["coin_id", "symbol", "name"]
     if pick == "max":
-        coins = stg_snap.select(*cols).unionByName(stg_hist.select(*cols))
-        per = coins.groupBy("coin_id").agg(F.max("symbol").alias("symbol"), F.max("name").alias("name"))
+        per = daily.groupBy("coin_id").agg(F.max("max_symbol").alias("symbol"), F.max("max_name").alias("name"))
     elif pick == "latest":
-        coins = stg_snap.select(*cols, "fetched_at").unionByName(stg_hist.select(*cols, "fetched_at"))
-        per = coins.groupBy("coin_id").agg(
-            F.max_by(F.struct("symbol", "name"), F.struct("fetched_at", "symbol", "name")).alias("a")
-        ).select("coin_id", "a.symbol", "a.name")
+        per = daily.groupBy("coin_id").agg(F.max("newest").alias("a")).select("coin_id", "a.symbol", "a.name")
     else:
         raise ValueError(f"unknown pick {pick!r}")
     return per.withColumn("asset_type", asset_class("coin_id", stable_ids))
 
 
+def coin_attributes(stg_snap: DataFrame, stg_hist: DataFrame, pick: str = "max",
+                    stable_ids: Sequence = tuple(STABLECOIN_IDS)) -> DataFrame:
+    """One attribute row per coin, straight from the cleaned feeds."""
+    day = lambda d: d if "price_date" in d.columns else d.withColumn("price_date", F.col("fetched_at").cast("date"))
+    return attributes_of(attributes_daily(day(stg_snap), day(stg_hist)), pick, stable_ids)
+
+
 def asset_class(col: str, stable_ids: Sequence) -> Column:
     """PF-7: id in the curated list -> 'stablecoin', else 'coin'."""
     return F.when(F.col(col).isin(list(stable_ids)), F.lit("stablecoin")).otherwise(F.lit("coin"))
@@ -286,41 +296,53 @@ def fct_daily_market(
     mark: dt.datetime | None = None,
     max_day: dt.date | None = None,
     lookback_days: int = 3,
-    mode: str = "bounded",
     broadcast_dim: bool = False,
 ) -> DataFrame:
     """SK-10: daily fact with day-over-day return on the latest price.
 
-    Full build when ``mark`` is None. Incremental:
-
-    * ``mode='bounded'`` (reference): read ``price_date >= max_day - lookback``,
-      lag inside that window, keep rows with ``_synced_at > mark``.
-    * ``mode='exact'``: recompute touched rows *and* each one's successor, with
-      the predecessor read without a bound (fixes Q4's edge cases).
+    Full build when ``mark`` is None. Otherwise the reference's bounded
+    increment: read ``price_date >= max_day - lookback``, lag inside that
+    window, keep rows with ``_synced_at > mark``.
     """
     if mark is None:
         return finish_daily_fact(daily_with_returns(daily), dim, broadcast_dim)
-    if mode == "bounded":
-        window = daily
-        if max_day is not None:
-            window = daily.where(F.col("price_date") >= F.date_sub(F.lit(max_day), lookback_days))
-        wr = daily_with_returns(window).where(F.col("_synced_at") > ntz_lit(mark))
-        return finish_daily_fact(wr, dim, broadcast_dim)
-    if mode == "exact":
-        touched = daily.where(F.col("_synced_at") > ntz_lit(mark)).select("coin_id", "price_date")
-        coins = touched.select("coin_id").distinct()
-        hist = daily.join(coins, "coin_id", "left_semi")
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("coin_id").orderBy("price_date")
-        hist = daily_with_returns(hist).withColumn("__prev_day", F.lag("price_date").over(w))
-        t = touched.withColumn("__t", F.lit(True))
-        marked = (
-            hist.join(t, ["coin_id", "price_date"], "left")
-            .join(t.select("coin_id", F.col("price_date").alias("__prev_day"), F.col("__t").alias("__tp")),
-                  ["coin_id", "__prev_day"], "left")
-            .where(F.col("__t").isNotNull() | F.col("__tp").isNotNull())
-            .drop("__t", "__tp", "__prev_day")
-        )
-        return finish_daily_fact(marked, dim, broadcast_dim)
-    raise ValueError(f"unknown mode {mode!r}")
+    window = daily
+    if max_day is not None:
+        window = daily.where(F.col("price_date") >= F.date_sub(F.lit(max_day), lookback_days))
+    wr = daily_with_returns(window).where(F.col("_synced_at") > ntz_lit(mark))
+    return finish_daily_fact(wr, dim, broadcast_dim)
+
+
+def exact_daily_market(daily: DataFrame, dim: DataFrame, days: Sequence[str | None],
+                       lookback_days: int = 3) -> DataFrame:
+    """SK-10 without Q4's edge cases: all rows of the given days and each one's successor.
+
+    Only the days from ``lookback_days`` before the first given day to as many
+    after the last are read, plus, for coins whose neighbour is not among
+    them, the nearest older or newer row. Rows of the NULL day have no
+    neighbours in time and are recomputed with the rest of their coin's.
+    """
+    known = sorted(d for d in days if d is not None)
+    if not known:
+        return finish_daily_fact(daily_with_returns(daily.where(F.col("price_date").isNull())), dim)
+    first, last = (F.lit(d).cast("date") for d in (known[0], known[-1]))
+    lo, hi = F.date_sub(first, lookback_days), F.date_add(last, lookback_days)
+    window = daily.where((F.col("price_date") >= lo) & (F.col("price_date") <= hi))
+    given = F.col("price_date").isin([F.lit(d).cast("date") for d in known])
+    coins = window.where(given).select("coin_id").distinct()
+    window = window.join(coins, "coin_id", "left_semi")
+    ends = window.groupBy("coin_id").agg(F.min("price_date").alias("lo"), F.max("price_date").alias("hi"),
+                                         F.min(F.when(given, F.col("price_date"))).alias("t0"),
+                                         F.max(F.when(given, F.col("price_date"))).alias("t1"))
+    # coins that lack a predecessor or a successor of a given day in the window
+    older = (daily.where(F.col("price_date") < lo).join(ends.where("lo = t0").select("coin_id"), "coin_id", "left_semi")
+             .groupBy("coin_id").agg(F.max_by(F.struct(*daily.columns), "price_date").alias("r")).select("r.*"))
+    newer = (daily.where(F.col("price_date") > hi).join(ends.where("hi = t1").select("coin_id"), "coin_id", "left_semi")
+             .groupBy("coin_id").agg(F.min_by(F.struct(*daily.columns), "price_date").alias("r")).select("r.*"))
+    rows = window.unionByName(older).unionByName(newer)
+    by_day = Window.partitionBy("coin_id").orderBy("price_date")
+    wr = daily_with_returns(rows).withColumn("__t", given)
+    wr = wr.withColumn("__p", F.coalesce(F.lag("__t").over(by_day), F.lit(False))).where("__t or __p").drop("__t", "__p")
+    if None in days:
+        wr = wr.unionByName(daily_with_returns(daily.where(F.col("price_date").isNull())))
+    return finish_daily_fact(wr, dim)

@@ -1,277 +1,279 @@
 """The incremental build of the whole warehouse, one environment at a time.
 
-``Warehouse(spark, root, env)`` keeps every model as a Parquet table under
+``Warehouse(spark, root, env)`` keeps every model as a table under
 ``root/env/`` (SK-9: dev, qa and prod are independent outputs of the same
-landing zone). ``build(...)`` runs the models in dependency order:
-
-    landing -> stg_snapshot, stg_history -> int_daily -> snapshot (SCD2)
-            -> dim_coin, dim_date -> fct_market_snapshot, fct_daily_market
-            -> quality gate
-
-Incremental models read their watermark from their own table (one scalar)
-and upsert only touched day partitions; ``full_refresh=True`` rebuilds them
-from scratch but keeps the version history (SK-7). The version history is
-small and rewritten whole into a new ``v=`` partition each run; readers take
-the newest one, so a crashed run leaves the previous history in place.
+landing zone). ``build(...)`` runs the models in dependency order, and the
+declared tests of a layer before the next layer is written:
+
+    landing -> stg_snapshot, stg_history -> int_daily -> tests
+            -> snapshot (SCD2) -> dim_coin, dim_date
+            -> fct_market_snapshot, fct_daily_market -> tests
+
+Incremental models take their watermark from their own table's pointer and
+write only touched day partitions; ``full_refresh=True`` rebuilds them from
+scratch but keeps the version history (SK-7). ``build_batch`` does the same for
+a micro-batch of new rows in any order (SS-3): no watermark is asked, rows are
+upserted newest first, and what changed is read from the tables' pointers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
-from tessera.operators.quality import gate, run_checks, warehouse_checks
+from tessera.operators.quality import Check, gate, run_checks, warehouse_checks
 from tessera.operators.scd2 import scd2_apply, scd2_dimension
 from tessera.plans import market as M
-from tessera.session import delete_path, scratch_root
 
 ATTRS = ["symbol", "name", "asset_type"]
+SILVER = ("stg_snapshot", "stg_history", "int_daily")
 # day partition column of each incrementally upserted model
 PARTITION_COLS = {"stg_snapshot": "price_date", "stg_history": "price_date", "int_daily": "price_date",
                   "fct_market_snapshot": "date_sk", "fct_daily_market": "price_date"}
 
 
-def _with_partition_last(schema: StructType, partition_col: str | None) -> StructType:
-    """Column order of a table read back: partition column last."""
-    if not partition_col:
-        return schema
-    return StructType([f for f in schema.fields if f.name != partition_col] + [schema[partition_col]])
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, env: str = "dev", pick: str = "max",
                  stable_ids=tuple(M.STABLECOIN_IDS), daily_mode: str = "exact", lookback_days: int = 3,
                  calendar_start: dt.date | None = None, forward_days: int = 3,
-                 broadcast_max_rows: int = 200_000, keep_versions: int = 3,
-                 watermark: str = "fetched_at", per_feed_marks: bool = False, quality_scope: str = "touched"):
+                 watermark: str = "fetched_at", per_feed_marks: bool = False, quality_scope: str = "full"):
         self.spark, self.env = spark, env
         self.base = f"{root.rstrip('/')}/{env}"
         self.pick, self.stable_ids = pick, list(stable_ids)
         self.daily_mode, self.lookback_days = daily_mode, lookback_days
         self.calendar_start, self.forward_days = calendar_start, forward_days
-        self._schemas: dict = {}
-        self.broadcast_max_rows = broadcast_max_rows
-        self.keep_versions = keep_versions
         self.watermark, self.per_feed_marks = watermark, per_feed_marks
         if quality_scope not in ("touched", "full"):
             raise ValueError(f"quality_scope must be 'touched' or 'full', not {quality_scope!r}")
         self.quality_scope = quality_scope
 
+    @property
+    def by_load_time(self) -> bool:
+        """Rows count as new by when they were loaded, not by their event time (Q1/Q2 options)."""
+        return self.watermark != "fetched_at" or self.per_feed_marks
+
     def path(self, model: str) -> str:
         return f"{self.base}/{model}"
 
     def table(self, model: str) -> DataFrame | None:
-        """Read a model's table. With the schema this run wrote, the read is
-        aligned to it (no footer merge); otherwise all footers are merged so
-        files from before a schema change stay readable."""
-        schema = self._schemas.get(model)
-        df = I.read_table(self.spark, self.path(model), schema)
-        if df is None and schema is not None:
-            # a feed that has delivered nothing yet reads as an empty table
-            df = self.spark.createDataFrame([], schema)
-        return df
-
-    def _staging(self, model: str) -> str:
-        # one fixed staging folder per table, so a restarted run finds an
-        # interrupted copy again (see recover)
-        tag = hashlib.sha1(self.path(model).encode()).hexdigest()[:16]
-        return f"{scratch_root(self.spark)}/wh-staging-{tag}"
-
-    def recover(self) -> list[str]:
-        """Roll forward upserts whose merge committed but whose copy may not
-        have (a crash between them can leave a touched partition missing).
-        Runs before any watermark is read; returns the repaired models."""
-        return [m for m, pc in PARTITION_COLS.items()
-                if I.roll_forward(self.spark, self._staging(m), self.path(m), pc)]
-
-    def _upsert(self, model: str, delta: DataFrame, keys, partition_col: str) -> dict:
+        return I.read_table(self.spark, self.path(model))
+
+    def _state(self, model: str) -> dict | None:
+        return I.state(self.spark, self.path(model))
+
+    def _upsert(self, model: str, delta: DataFrame, keys, **options) -> dict:
         # every model delta is unique on its key by construction (dedup or
         # group-by on the key); the quality suite tests the table afterwards
-        self._schemas[model] = _with_partition_last(delta.schema, partition_col)
-        return I.upsert(self.spark, delta, self.path(model), keys, partition_col, check_unique=False,
-                        staging=self._staging(model))
+        return I.upsert(self.spark, delta, self.path(model), keys, PARTITION_COLS[model], check_unique=False, **options)
+
+    def _replace(self, model: str, df: DataFrame, **options) -> None:
+        I.replace(self.spark, df, self.path(model), PARTITION_COLS.get(model), **options)
+
+    def _seen(self, model: str, source: str) -> int | None:
+        """The state of ``source`` that ``model`` was last built from."""
+        at = self._state(model)
+        return at["info"].get(source) if at else None
 
-    def _replace(self, model: str, df: DataFrame, partition_col: str | None = None) -> None:
-        self._schemas[model] = _with_partition_last(df.schema, partition_col)
-        I.replace(self.spark, df, self.path(model), partition_col)
+    def _numbers(self, *sources: str) -> dict:
+        return {m: self._state(m)["number"] for m in sources}
 
     # ------------------------------------------------------------ version history
 
     def versions(self) -> DataFrame | None:
-        """The newest complete history (``None`` before the first run or after a reset)."""
-        snap = self.table("snapshot")
-        if snap is None:
-            return None
-        latest = snap.agg(F.max("v")).first()[0]
-        cur = snap.where(F.col("v") == latest)
-        if cur.where(~F.col("__live")).limit(1).count():
-            return None  # the newest version is a reset marker
-        return cur.drop("v", "__live")
-
-    def _write_versions(self, hist: DataFrame, live: bool = True) -> None:
-        snap = self.table("snapshot")
-        nxt = 1 if snap is None else (snap.agg(F.max("v")).first()[0] or 0) + 1
-        (hist.withColumn("__live", F.lit(live)).withColumn("v", F.lit(nxt))
-         .write.mode("append").partitionBy("v").parquet(self.path("snapshot")))
-        # keep a few recent histories (older ones are whole copies, not deltas)
-        for old in range(nxt - self.keep_versions, 0, -1):
-            if old < 1:
-                break
-            if not delete_path(self.spark, f"{self.path('snapshot')}/v={old}", self.base):
-                break
+        """The newest history (``None`` before the first run or after a reset)."""
+        at = self._state("snapshot")
+        return None if at is None or at["info"].get("reset") else I.read_table(self.spark, self.path("snapshot"), at)
 
     def reset_versions(self) -> bool:
         """SK-8: start a fresh, empty history; facts then need a full refresh (Q9).
 
-        An empty frame would write no partition, so the reset is recorded as a
-        one-row marker version; older versions stay on disk untouched.
+        The pointer says so; the files of older histories, and the pointers to
+        them, stay where they are.
         """
-        snap = self.table("snapshot")
-        if snap is not None:
-            marker = snap.drop("v", "__live").limit(1).select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in snap.drop("v", "__live").schema.fields])
-            self._write_versions(marker, live=False)
+        at = self._state("snapshot")
+        if at is not None:
+            I.commit(self.spark, self.path("snapshot"), {**at, "parts": {}, "info": {"reset": True}}, at)
         return True
 
     # ------------------------------------------------------------ build
 
     def build(self, snap_landing: DataFrame, hist_landing: DataFrame, as_of: dt.datetime,
               full_refresh: bool = False, quality_gate: bool = True, overrides: DataFrame | None = None) -> dict:
-        # the pass marker of the previous gate is removed before anything is
-        # written, so a run that crashes or fails its gate leaves none behind
-        self.recover()
-        prev_passed = self._gate_passed()
-        if prev_passed:
-            delete_path(self.spark, self.path("_gate_passed"), self.base)
+        # whether the last run's gate passed is forgotten before anything is
+        # written, so a run that dies or fails its gate does not leave it said
+        passed = self._gate_passed()
+        self._set_gate(False)
         stats = self.build_silver(snap_landing, hist_landing, full_refresh, overrides)
+        scoped = self.quality_scope == "touched" and passed and not full_refresh
+        if quality_gate:
+            gate(self.quality_report(self.touched_scope(stats) if scoped else None, SILVER))
         stats.update(self.build_gold(as_of, full_refresh))
         if quality_gate:
-            scoped = self.quality_scope == "touched" and prev_passed and not full_refresh
-            gate(self.quality_report(self.touched_scope(stats) if scoped else None))
-            self.spark.createDataFrame([(True,)], "passed boolean").write.mode("overwrite").parquet(
-                self.path("_gate_passed"))
+            gold = [c.model for c in warehouse_checks() if c.model not in SILVER]
+            gate(self.quality_report(self.touched_scope(stats) if scoped else None, gold))
+            self._set_gate(True)
         return stats
 
     def _gate_passed(self) -> bool:
-        return I.read_table(self.spark, self.path("_gate_passed")) is not None
+        at = self._state("gate")
+        return bool(at and at["passed"])
+
+    def _set_gate(self, passed: bool) -> None:
+        if passed != self._gate_passed():
+            I.commit(self.spark, self.path("gate"), {"passed": passed}, self._state("gate"))
 
     def touched_scope(self, stats: dict) -> dict:
         """Partition predicates of the models this run upserted (replaced
         models are absent, so they are tested whole)."""
         scope = {}
         for model, pc in PARTITION_COLS.items():
-            st = stats.get(model) or {}
-            if "partitions" not in st:
-                continue
-            dtype = self._schemas[model][pc].dataType
-            days = st["partitions"]
-            scope[model] = F.col(pc).isin([F.lit(d).cast(dtype) for d in days]) if days else F.lit(False)
+            days = (stats.get(model) or {}).get("partitions")
+            if days is not None:
+                dtype = self.table(model).schema[pc].dataType
+                hit = F.col(pc).isin([F.lit(d).cast(dtype) for d in days if d is not None]) if days else F.lit(False)
+                scope[model] = hit | F.col(pc).isNull() if None in days else hit
         return scope
 
     def build_silver(self, snap_landing: DataFrame, hist_landing: DataFrame, full_refresh: bool = False,
                      overrides: DataFrame | None = None) -> dict:
-        s = self.spark
         stats: dict = {}
-        self.recover()
-
-        # silver: cleaned feeds (strict > watermark; on fetched_at like the
-        # reference, Q1, or on _loaded_at to take late rows too)
+        # cleaned feeds (strict > watermark; on fetched_at like the reference,
+        # Q1, or on _loaded_at to take late rows too)
         wm = self.watermark
-        for model, raw, fn, keys in (
-            ("stg_snapshot", snap_landing, M.stg_snapshot, ["coin_id", "fetched_at"]),
-            ("stg_history", hist_landing, M.stg_history, ["coin_id", "price_date"]),
+        for model, raw, fn, keys, newest in (
+            ("stg_snapshot", snap_landing, M.stg_snapshot, ["coin_id", "fetched_at"], ["_loaded_at"]),
+            ("stg_history", hist_landing, M.stg_history, ["coin_id", "price_date"], ["fetched_at", "_loaded_at"]),
         ):
-            cur = None if full_refresh else self.table(model)
-            # the snapshot's day is cut from fetched_at, so its newest
-            # partition holds that mark; a backfill's fetch time is unrelated
-            prune = "price_date" if model == "stg_snapshot" and wm == "fetched_at" else None
-            mark = I.high_water_mark(cur, wm, prune)
+            mark = None if full_refresh else I.mark_of(self.spark, self.path(model), wm)
             delta = fn(raw, mark, overrides=overrides, mark_col=wm)
             if full_refresh:
-                self._replace(model, delta, "price_date")
+                self._replace(model, delta, marks=[wm])
             else:
-                stats[model] = self._upsert(model, delta, keys, "price_date")
-        stg_snap, stg_hist = self.table("stg_snapshot"), self.table("stg_history")
-
-        # unified daily grain: touched-key recompute. Reference: one mark for
-        # both feeds taken from the target (Q2); option: a mark per feed, kept
-        # in the warehouse's marks table
-        cur = None if full_refresh else self.table("int_daily")
-        if self.watermark == "fetched_at" and not self.per_feed_marks:
-            mark = I.high_water_mark(cur, "_synced_at")
-        else:
-            mark = self._feed_marks() if cur is not None else None
-        if mark is None:
-            self._replace("int_daily", M.int_daily(stg_snap, stg_hist), "price_date")
+                # by load time, a late row may be older than the one it meets
+                stats[model] = self._upsert(model, delta, keys, marks=[wm],
+                                            newest_by=newest if self.by_load_time else ())
+        if full_refresh or self._state("int_daily") is None:
+            self._full_daily()
+        elif self.by_load_time:
+            stats["int_daily"] = self._changed_daily()
         else:
-            touched = M.touched_keys([stg_snap, stg_hist], M.DAILY_KEYS, wm, mark)
-            days = [r[0] for r in touched.select("price_date").distinct().collect()]
-            delta = M.int_daily(stg_snap, stg_hist, mark=mark, touched_days=days, mark_col=wm)
-            stats["int_daily"] = self._upsert("int_daily", delta, M.DAILY_KEYS, "price_date")
-        if self.watermark != "fetched_at" or self.per_feed_marks:
-            self._save_feed_marks(stg_snap, stg_hist)
+            # Reference: one mark for both feeds, taken from the target (Q2).
+            # The touched keys are computed once and written; their days prune
+            # both feeds.
+            mark = I.mark_of(self.spark, self.path("int_daily"), "_synced_at")
+            snap, hist = self.table("stg_snapshot"), self.table("stg_history")
+            delta = M.int_daily(snap, hist)
+            if mark is not None:
+                touched = M.touched_keys([snap, hist], M.DAILY_KEYS, wm, mark, day_cols=["price_date", None])
+                touched = I.staged(touched, "touched-keys")
+                days = [r[0] for r in touched.select(F.col("price_date").cast("string")).distinct().collect()]
+                delta = M.int_daily(I.in_days(snap, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi"),
+                                    I.in_days(hist, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi"))
+            stats["int_daily"] = self._upsert("int_daily", delta, M.DAILY_KEYS, marks=["_synced_at"],
+                                              info=self._numbers("stg_snapshot", "stg_history"))
         return stats
 
-    def _save_feed_marks(self, stg_snap: DataFrame, stg_hist: DataFrame) -> None:
-        wm = self.watermark
-        snap_m, hist_m = I.high_water_mark(stg_snap, wm), I.high_water_mark(stg_hist, wm)
-        marks = self.spark.createDataFrame([(snap_m, hist_m)], "snapshot timestamp_ntz, history timestamp_ntz")
-        marks.write.mode("overwrite").parquet(self.path("_feed_marks"))
+    def build_batch(self, snap_rows: DataFrame, hist_rows: DataFrame, overrides: DataFrame | None = None) -> dict:
+        """SS-3: rows that a stream has not delivered before, in any order.
 
-    def _feed_marks(self):
-        m = I.read_table(self.spark, self.path("_feed_marks"))
-        if m is None:
-            return None
-        row = m.first()
-        return (row["snapshot"], row["history"])
+        Of the rows of a key, from this batch or an earlier one, the newest
+        stays. A repeated batch changes nothing.
+        """
+        stats = {
+            "stg_snapshot": self._upsert("stg_snapshot", M.stg_snapshot(snap_rows, overrides=overrides),
+                                         ["coin_id", "fetched_at"], newest_by=["_loaded_at"], marks=["fetched_at"]),
+            "stg_history": self._upsert("stg_history", M.stg_history(hist_rows, overrides=overrides),
+                                        ["coin_id", "price_date"], newest_by=["fetched_at", "_loaded_at"],
+                                        marks=["fetched_at"])}
+        if self._state("int_daily") is None:
+            self._full_daily()
+        else:
+            stats["int_daily"] = self._changed_daily()
+        return stats
+
+    def _full_daily(self) -> None:
+        self._replace("int_daily", M.int_daily(self.table("stg_snapshot"), self.table("stg_history")),
+                      marks=["_synced_at"], info=self._numbers("stg_snapshot", "stg_history"))
+
+    def _changed_daily(self) -> dict:
+        """Recompute the days in which either feed changed since int_daily was last built."""
+        feeds = ("stg_snapshot", "stg_history")
+        days = sorted({d for m in feeds for d in I.changed_days(self.spark, self.path(m), self._seen("int_daily", m))},
+                      key=str)
+        daily = M.int_daily(*(I.in_days(self.table(m), "price_date", days) for m in feeds))
+        I.replace_days(self.spark, daily, self.path("int_daily"), "price_date", days, info=self._numbers(*feeds))
+        return {"touched_partitions": len(days), "partitions": days}
+
+    def _attributes(self, full_refresh: bool) -> DataFrame:
+        """AG-4 input of the version history: one row per coin.
+
+        What each day says of a coin is kept in a table; a day that changed in
+        a feed is computed again, so a replaced row's attributes leave with it
+        and no run reads the feeds whole.
+        """
+        feeds = ("stg_snapshot", "stg_history")
+        since = {m: None if full_refresh else self._seen("attr_daily", m) for m in feeds}
+        days = sorted({d for m in feeds for d in I.changed_days(self.spark, self.path(m), since[m])}, key=str)
+        if days or self._state("attr_daily") is None:
+            daily = M.attributes_daily(*(I.in_days(self.table(m), "price_date", days) for m in feeds))
+            if full_refresh or self._state("attr_daily") is None:
+                I.replace(self.spark, daily, self.path("attr_daily"), "price_date", info=self._numbers(*feeds))
+            else:
+                I.replace_days(self.spark, daily, self.path("attr_daily"), "price_date", days,
+                               info=self._numbers(*feeds))
+        return M.attributes_of(self.table("attr_daily"), self.pick, self.stable_ids)
 
     def build_gold(self, as_of: dt.datetime, full_refresh: bool = False) -> dict:
         s = self.spark
         stats: dict = {}
-        stg_snap, stg_hist = self.table("stg_snapshot"), self.table("stg_history")
-        daily = self.table("int_daily")
 
         # version history (never reset by a full refresh) and dimensions
-        incoming = M.coin_attributes(stg_snap, stg_hist, pick=self.pick, stable_ids=self.stable_ids)
-        hist = scd2_apply(self.versions(), incoming, "coin_id", ATTRS, as_of)
-        self._write_versions(hist)
-        dim = scd2_dimension(self.versions(), "coin_id", ATTRS, "coin_sk")
-        self._replace("dim_coin", dim)
+        hist = scd2_apply(self.versions(), self._attributes(full_refresh), "coin_id", ATTRS, as_of)
+        I.replace(s, hist, self.path("snapshot"))
+        self._replace("dim_coin", scd2_dimension(self.versions(), "coin_id", ATTRS, "coin_sk"))
         dim = self.table("dim_coin")
-        # a version row is ~150 bytes: broadcast only under a counted bound,
-        # else sort-merge on coin_id (AQE splits a skewed fact partition)
-        bcast = dim.count() <= self.broadcast_max_rows
-        # the day bounds of the cleaned feeds come from their partition folders
-        # (no job; a folder exists only with rows in it); min/max skip NULL days
-        days = sorted({dt.date.fromisoformat(d) for t in (stg_snap, stg_hist)
-                       for d in I.partition_values(t, "price_date") if d != "__HIVE_DEFAULT_PARTITION__"})
+        # the day bounds of the cleaned feeds come from their pointers (no
+        # job; a day is there only with rows in it); min/max skip NULL days
+        days = sorted({dt.date.fromisoformat(d) for m in ("stg_snapshot", "stg_history")
+                       for d in I.days_of(self._state(m))})
         bounds = s.createDataFrame([(days[0] if days else None, days[-1] if days else None)], "lo date, hi date")
         if self.calendar_start is not None:
             bounds = bounds.withColumn("lo", F.lit(self.calendar_start))
         self._replace("dim_date", calendar_from_bounds(bounds, "lo", "hi", self.forward_days))
 
         # facts
-        cur = None if full_refresh else self.table("fct_market_snapshot")
-        mark = I.high_water_mark(cur, "fetched_at", "date_sk")
-        fs = M.fct_market_snapshot(stg_snap, dim, mark, broadcast_dim=bcast)
-        if mark is None:
-            self._replace("fct_market_snapshot", fs, "date_sk")
+        snap, info = self.table("stg_snapshot"), self._numbers("stg_snapshot")
+        fresh = full_refresh or self._state("fct_market_snapshot") is None
+        if fresh:
+            self._replace("fct_market_snapshot", M.fct_market_snapshot(snap, dim), marks=["fetched_at"], info=info)
         else:
-            stats["fct_market_snapshot"] = self._upsert("fct_market_snapshot", fs, ["snapshot_sk"], "date_sk")
-        cur = None if full_refresh else self.table("fct_daily_market")
-        if cur is None:
-            self._replace("fct_daily_market", M.fct_daily_market(daily, dim, broadcast_dim=bcast), "price_date")
+            if self.by_load_time:
+                changed = I.changed_days(s, self.path("stg_snapshot"), self._seen("fct_market_snapshot", "stg_snapshot"))
+                rows = M.fct_market_snapshot(I.in_days(snap, "price_date", changed), dim)
+            else:
+                mark = I.mark_of(s, self.path("fct_market_snapshot"), "fetched_at")
+                rows = M.fct_market_snapshot(snap, dim, mark)
+            stats["fct_market_snapshot"] = self._upsert("fct_market_snapshot", rows, ["snapshot_sk"],
+                                                        marks=["fetched_at"], info=info)
+        daily, info = self.table("int_daily"), self._numbers("int_daily")
+        if full_refresh or self._state("fct_daily_market") is None:
+            self._replace("fct_daily_market", M.fct_daily_market(daily, dim), marks=["_synced_at"], info=info)
         else:
-            row = cur.agg(F.max("_synced_at").alias("m"), F.max("price_date").alias("d")).first()
-            fd = M.fct_daily_market(daily, dim, mark=row["m"], max_day=row["d"],
-                                    lookback_days=self.lookback_days, mode=self.daily_mode, broadcast_dim=bcast)
-            stats["fct_daily_market"] = self._upsert("fct_daily_market", fd, ["daily_market_sk"], "price_date")
+            changed = I.changed_days(s, self.path("int_daily"), self._seen("fct_daily_market", "int_daily"))
+            if self.daily_mode == "bounded":
+                at = self._state("fct_daily_market")
+                newest = max(I.days_of(at), default=None)
+                rows = M.fct_daily_market(daily, dim, mark=I.mark_of(s, self.path("fct_daily_market"), "_synced_at"),
+                                          max_day=newest and dt.date.fromisoformat(newest),
+                                          lookback_days=self.lookback_days)
+            else:
+                rows = M.exact_daily_market(daily, dim, changed, self.lookback_days)
+            stats["fct_daily_market"] = self._upsert("fct_daily_market", rows, ["daily_market_sk"],
+                                                     marks=["_synced_at"], info=info)
         return stats
 
     def tables(self) -> dict[str, DataFrame]:
@@ -279,6 +281,8 @@ class Warehouse:
                  "fct_market_snapshot", "fct_daily_market"]
         return {n: self.table(n) for n in names}
 
-    def quality_report(self, scope: dict | None = None) -> DataFrame:
-        """The 38 declared tests; ``scope`` limits partition-local ones (see quality)."""
-        return run_checks(self.spark, self.tables(), warehouse_checks(), scope)
+    def quality_report(self, scope: dict | None = None, models=None) -> DataFrame:
+        """The 38 declared tests (or those of ``models``); ``scope`` limits partition-local ones (see quality)."""
+        checks: list[Check] = [c for c in warehouse_checks() if models is None or c.model in models]
+        tables = {m: self.table(m) for m in {c.model for c in checks} | {c.to_model for c in checks if c.to_model}}
+        return run_checks(self.spark, tables, checks, scope)

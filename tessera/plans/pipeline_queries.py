@@ -1,7 +1,7 @@
 """Checked queries that build persisted tables and read them back.
 
 The events instance is built as a real warehouse: three incremental builds,
-each over the landing as it stood at one of ``SCD_CUTS`` (rows before the
+each over the landing as it stood at one of ``scd_cuts`` (rows before the
 cut) and stamped ``as_of`` that cut. The final tables must equal a one-shot
 build of the same data (the oracle), which is the batch-vs-incremental
 equivalence check. Builds go to a fresh folder under the shared checkpoint
@@ -10,30 +10,39 @@ root and are reused by the queries of one process.
 
 from __future__ import annotations
 
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import ntz_lit, price_text, signed_pct_text
 from tessera.operators import incremental as I
+from tessera.operators import marts as Q
+from tessera.operators.quality import Check, run_checks
 from tessera.plans import events as E
 from tessera.plans import events_sql as S
 from tessera.plans import market as M
 from tessera.plans.pipeline import Warehouse
+from tessera.plans.sqlkit import exact_pct
 from tessera.session import scratch_dir
 from tessera.streaming import stream as ST
 
 _BUILT: dict[tuple, Warehouse] = {}
 
 
+def _landings(events: DataFrame, cut) -> tuple[DataFrame, DataFrame]:
+    return E.snapshot_landing(events, cut), E.history_landing(events, cut)
+
+
 def _warehouse(spark: SparkSession, sf: str, env: str = "dev") -> Warehouse:
-    key = (id(spark), sf, env)
+    key = (spark.sparkContext.applicationId, sf, env)
     if key in _BUILT:
         return _BUILT[key]
     root = scratch_dir(spark, "warehouse")
     wh = Warehouse(spark, root, env, pick="latest", stable_ids=E.STABLE_USERS, daily_mode="exact")
     events = E.read(spark, sf, "events")
-    for cut in E.SCD_CUTS:
-        wh.build(E.snapshot_landing(events, cut), E.history_landing(events, cut), as_of=cut)
+    for cut in E.scd_cuts(events):
+        wh.build(*_landings(events, cut), as_of=cut)
     _BUILT[key] = wh
     return wh
 
@@ -62,7 +71,7 @@ def q_full_refresh(spark, sf):
     """Incremental build at the first cut, then a full refresh over all data."""
     wh = Warehouse(spark, scratch_dir(spark, "warehouse-fr"), "qa", pick="latest", stable_ids=E.STABLE_USERS)
     events = E.read(spark, sf, "events")
-    first, last = E.SCD_CUTS[0], E.SCD_CUTS[-1]
+    first, *_, last = E.scd_cuts(events)
     wh.build(E.snapshot_landing(events, first), E.history_landing(events, first), as_of=first)
     wh.build(E.snapshot_landing(events, last), E.history_landing(events, last), as_of=last, full_refresh=True)
     return E.present(wh.table("int_daily"))
@@ -74,34 +83,59 @@ def q_schema_sync(spark, sf):
     wh = Warehouse(spark, scratch_dir(spark, "warehouse-sync"), "dev", pick="latest",
                    stable_ids=E.STABLE_USERS)
     events = E.read(spark, sf, "events")
-    first, last = E.SCD_CUTS[0], E.SCD_CUTS[-1]
+    first, *_, last = E.scd_cuts(events)
     wh.build_silver(E.snapshot_landing(events, first), E.history_landing(events, first))
     old = wh.table("int_daily").drop("avg_volume_usd").withColumn("legacy_flag", F.lit(True))
     I.replace(spark, old, wh.path("int_daily"), "price_date")
     wh.build_silver(E.snapshot_landing(events, last), E.history_landing(events, last))
-    current = M.int_daily(wh.table("stg_snapshot"), wh.table("stg_history")).schema
-    return E.present(I.align(wh.table("int_daily"), current))
+    # a reader that knows nothing of the writer gets the current columns
+    return E.present(I.read_table(spark, wh.path("int_daily")))
+
+
+def _land_in_files(events: DataFrame, folder: str, files: list[int]) -> None:
+    """Write some of the five files that the events are dealt to by hash: every file spans all times."""
+    dealt = events.withColumn("arrival", F.pmod(F.xxhash64("event_id"), F.lit(5)))
+    for n in files:
+        dealt.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.parquet(f"{folder}/arrival={n}")
+
+
+def _land_in_time(events: DataFrame, folder: str, copies: int = 1) -> None:
+    """Write the events as five files after one another in time, each ``copies`` times."""
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / 5
+    for n in range(5):
+        part = events.where(F.col("ts") >= ntz_lit(lo + n * step)) if n else events
+        part = part.where(F.col("ts") < ntz_lit(lo + (n + 1) * step)) if n < 4 else part
+        for c in range(copies):
+            part.coalesce(1).write.parquet(f"{folder}/slice={n}-{c}")
 
 
 def q_stream_daily(spark, sf):
-    """SS-1..3: the events folder as a stream; each micro-batch is a landing
-    increment that drives the silver upserts (touched-key recompute)."""
+    """SS-1..3: landing files in no order of time, taken one a batch: three in
+    a first run, two more by a run that resumes from the checkpoint. Their rows
+    are older than many that are in the tables by then, and are kept."""
     wh = Warehouse(spark, scratch_dir(spark, "warehouse-stream"), "dev", pick="latest",
                    stable_ids=E.STABLE_USERS)
-    schema = E.read(spark, sf, "events").schema
-    src = ST.landing_stream(spark, f"{sf}/event*.parquet", schema, max_files=1)
+    events = E.read(spark, sf, "events")
+    landing, checkpoint = scratch_dir(spark, "landing-files"), scratch_dir(spark, "ckpt-stream-daily")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        wh.build_silver(E.snapshot_landing(df), E.history_landing(df))
+        wh.build_batch(E.snapshot_landing(df), E.history_landing(df))
 
-    ST.run_available_now(src, scratch_dir(spark, "ckpt-stream-daily"), batch_fn=batch)
+    for files in ([3, 0, 4], [1, 2]):
+        _land_in_files(events, landing, files)
+        ST.run_available_now(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=1), checkpoint,
+                             batch_fn=batch)
     return E.present(wh.table("int_daily"))
 
 
 def q_stream_dedup(spark, sf):
-    schema = E.read(spark, sf, "events").schema
-    src = ST.with_event_time(ST.landing_stream(spark, f"{sf}/event*.parquet", schema), "ts")
-    dedup = ST.dedup_within_watermark(src, ["user_id", "ts"], "event_time", "1 hour")
+    """Every file is delivered twice; a row's copies fall within the watermark of each other."""
+    events = E.read(spark, sf, "events")
+    landing = scratch_dir(spark, "landing-twice")
+    _land_in_time(events, landing, copies=2)
+    src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=2), "ts")
+    dedup = ST.dedup_within_watermark(src, ["event_id"], "event_time", "1 hour")
     out = scratch_dir(spark, "stream-dedup-out")
     ST.run_available_now(dedup.select("event_id", "user_id", "ts", "value"),
                          scratch_dir(spark, "ckpt-stream-dedup"), sink_path=out)
@@ -109,13 +143,106 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_window_daily(spark, sf):
-    schema = E.read(spark, sf, "events").schema
-    src = ST.with_event_time(ST.landing_stream(spark, f"{sf}/event*.parquet", schema), "ts")
+    """Five batches in time order: each moves the watermark on, and the state of older windows goes."""
+    events = E.read(spark, sf, "events")
+    landing = scratch_dir(spark, "landing-slices")
+    _land_in_time(events, landing)
+    src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=1), "ts")
     agg = ST.windowed_daily(src, "user_id", "event_time", "value", "1 day")
     target = scratch_dir(spark, "stream-window-out")
     ST.run_available_now(agg, scratch_dir(spark, "ckpt-stream-window"),
                          batch_fn=ST.upsert_batches(spark, target, ["user_id", "day"], "day"), output_mode="update")
-    return E.present(spark.read.parquet(target))
+    return E.present(I.read_table(spark, target))
+
+
+def q_loaded_fct_daily(spark, sf):
+    """The load-time option through gold: most events land first; the others,
+    of all times, are loaded a day after the newest event."""
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse-loaded"), "dev", pick="latest", stable_ids=E.STABLE_USERS,
+                   watermark="_loaded_at", per_feed_marks=True)
+    events = E.read(spark, sf, "events")
+    *_, last = E.scd_cuts(events)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0
+    feeds = lambda rows: (E.snapshot_landing(rows), E.history_landing(rows))
+    on_time = feeds(events.where(~late))
+    delayed = [f.withColumn("_loaded_at", ntz_lit(last)) for f in feeds(events.where(late))]
+    wh.build(*on_time, as_of=last)
+    wh.build(*(a.unionByName(b) for a, b in zip(on_time, delayed)), as_of=last + dt.timedelta(days=1))
+    fct = wh.table("fct_daily_market").select("daily_market_sk", "extract_count", "latest_price_usd",
+                                              "prev_latest_price_usd", "daily_return_pct")
+    counted = wh.table("fct_market_snapshot").groupBy("date_sk").agg(F.count(F.lit(1)).alias("n_snapshots"))
+    days = wh.table("fct_daily_market").select("daily_market_sk", "date_sk").join(counted, "date_sk", "left")
+    return E.present(fct.join(days.drop("date_sk"), "daily_market_sk"))
+
+
+def q_bounded_fct_daily(spark, sf):
+    """SK-10 end to end as the reference has it: three builds with the bounded daily fact."""
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse-bounded"), "dev", pick="latest", stable_ids=E.STABLE_USERS,
+                   daily_mode="bounded")
+    events = E.read(spark, sf, "events")
+    for cut in E.scd_cuts(events):
+        wh.build(*_landings(events, cut), as_of=cut)
+    return E.present(wh.table("fct_daily_market").select("daily_market_sk", "price_date", "latest_price_usd",
+                                                         "prev_latest_price_usd", "daily_return_pct"))
+
+
+def q_dq_planted(spark, sf):
+    """DQ-1..6, J-6 on tables with planted failures: a day twice, a day without
+    ids or prices, versions missing, doubled and of an unknown class."""
+    wh = _warehouse(spark, sf)
+    snap, dim, fct = wh.table("stg_snapshot"), wh.table("dim_coin"), wh.table("fct_daily_market")
+    first, last = snap.agg(F.min("price_date"), F.max("price_date")).first()
+    nothing = snap.where(F.col("price_date") == F.lit(last)).withColumns({
+        "coin_id": F.lit(None).cast("long"), "price_usd": F.lit(0).cast("decimal(20,8)")})
+    snap = snap.unionByName(snap.where(F.col("price_date") == F.lit(first))).unionByName(nothing)
+    kept = dim.where("coin_id > 10")
+    dim = kept.unionByName(kept.where("coin_id <= 30").withColumn("asset_type", F.lit("token")))
+    checks = [Check("stg_snapshot", "not_null", ("coin_id",)),
+              Check("stg_snapshot", "accepted_range", ("price_usd",), min_value=0),
+              Check("stg_snapshot", "unique_combination", ("coin_id", "fetched_at")),
+              Check("dim_coin", "unique", ("coin_sk",)),
+              Check("dim_coin", "accepted_values", ("asset_type",), values=("coin", "stablecoin")),
+              Check("fct_daily_market", "relationships", ("coin_sk",), to_model="dim_coin", to_column="coin_sk")]
+    return run_checks(spark, {"stg_snapshot": snap, "dim_coin": dim, "fct_daily_market": fct}, checks)
+
+
+# ---------------------------------------------------------------- dashboard over the built tables
+
+def q_date_bounds(spark, sf):
+    return Q.date_bounds(_warehouse(spark, sf).table("fct_daily_market"))
+
+
+def q_symbols(spark, sf):
+    return Q.current_symbols(_warehouse(spark, sf).table("dim_coin"))
+
+
+def _fct_dim(spark, sf):
+    wh = _warehouse(spark, sf)
+    return wh.table("fct_daily_market"), wh.table("dim_coin")
+
+
+def q_cards(spark, sf):
+    return E.present(Q.cards(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END))
+
+
+def q_extremes(spark, sf):
+    return E.present(Q.extremes(*_fct_dim(spark, sf)))
+
+
+def q_series(spark, sf):
+    return E.present(Q.series(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END, E.SERIES_SYMBOLS))
+
+
+def q_chart_long(spark, sf):
+    fct, dim = _fct_dim(spark, sf)
+    s = Q.series(fct, dim, E.CARDS_START, E.CARDS_END, E.SERIES_SYMBOLS)
+    return E.present(Q.chart_long(s, Q.extremes(fct, dim)))
+
+
+def q_price_text(spark, sf):
+    return _warehouse(spark, sf).table("fct_daily_market").select(
+        "daily_market_sk", price_text("latest_price_usd").alias("price_text"),
+        signed_pct_text("daily_return_pct").alias("return_text"))
 
 
 PIPELINE_QUERIES = {
@@ -124,6 +251,16 @@ PIPELINE_QUERIES = {
     "incremental_fct_snapshot": q_incremental_fct_snapshot,
     "incremental_dim": q_incremental_dim,
     "dq_report": q_dq_report,
+    "dq_planted": q_dq_planted,
+    "loaded_fct_daily": q_loaded_fct_daily,
+    "bounded_fct_daily": q_bounded_fct_daily,
+    "price_text": q_price_text,
+    "date_bounds": q_date_bounds,
+    "symbols": q_symbols,
+    "cards": q_cards,
+    "extremes": q_extremes,
+    "series": q_series,
+    "chart_long": q_chart_long,
     "full_refresh": q_full_refresh,
     "schema_sync": q_schema_sync,
     "stream_daily": q_stream_daily,
@@ -190,11 +327,47 @@ def pipeline_oracle() -> dict[str, str]:
   CAST(sum(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS sum_value,
   CAST(max(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS max_value FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     }
-    first = E.SCD_CUTS[0]
+    first = E.FIRST_CUTS[0]
     touched = S.daily() + S.feeds("_old", first) + S.daily("_old", first)[len(S.feeds()):] + [
         """touched AS (SELECT DISTINCT coin_id, price_date FROM (
   SELECT coin_id, price_date, fetched_at FROM stg_snap UNION ALL SELECT coin_id, price_date, fetched_at FROM stg_hist) x
   WHERE fetched_at > (SELECT max(_synced_at) FROM int_daily_old))"""]
+    q["dq_planted"] = S.with_(S.fct_daily(), """
+SELECT 'stg_snapshot' AS model, 'not_null' AS test, 'coin_id' AS column_name,
+  (SELECT count(*) FROM stg_snap WHERE price_date = (SELECT max(price_date) FROM stg_snap)) AS failures
+UNION ALL SELECT 'stg_snapshot', 'accepted_range', 'price_usd',
+  (SELECT count(*) FROM stg_snap WHERE price_date = (SELECT max(price_date) FROM stg_snap))
+UNION ALL SELECT 'stg_snapshot', 'unique_combination', 'coin_id,fetched_at',
+  (SELECT count(*) FROM stg_snap WHERE price_date = (SELECT min(price_date) FROM stg_snap))
+  + (SELECT count(*) FROM (SELECT fetched_at FROM stg_snap WHERE price_date = (SELECT max(price_date) FROM stg_snap)
+     GROUP BY fetched_at HAVING count(*) > 1))
+UNION ALL SELECT 'dim_coin', 'unique', 'coin_sk', (SELECT count(*) FROM dim WHERE coin_id BETWEEN 11 AND 30)
+UNION ALL SELECT 'dim_coin', 'accepted_values', 'asset_type',
+  (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM dim WHERE coin_id BETWEEN 11 AND 30)
+UNION ALL SELECT 'fct_daily_market', 'relationships', 'coin_sk',
+  (SELECT count(*) FROM fct_daily f JOIN dim USING (coin_sk) WHERE dim.coin_id <= 10)""")
+    q["loaded_fct_daily"] = S.with_(S.fct_daily(), """SELECT daily_market_sk, extract_count,
+  CAST(latest_price_usd AS DOUBLE) AS latest_price_usd, CAST(prev_latest_price_usd AS DOUBLE) AS prev_latest_price_usd,
+  daily_return_pct, (SELECT CASE WHEN count(*) > 0 THEN count(*) END FROM stg_snap k
+    WHERE k.price_date = f.price_date) AS n_snapshots FROM fct_daily f""")
+    runs = (S.daily("_r1", E.FIRST_CUTS[0]) + S.daily("_r2", E.FIRST_CUTS[1]) + S.daily("_r3"))
+    run = """{name} AS (SELECT *, {n} AS run, lag(latest_price_usd) OVER (PARTITION BY coin_id ORDER BY price_date) AS prev
+  FROM {src}{where})"""
+    runs += [run.format(name="w1", n=1, src="int_daily_r1", where="")]
+    for n in (2, 3):
+        runs.append(run.format(name=f"w{n}", n=n, src=f"int_daily_r{n}",
+                               where=f" WHERE price_date >= (SELECT max(price_date) FROM int_daily_r{n - 1}) - INTERVAL 3 DAY"))
+    runs.append("""kept AS (SELECT * FROM w1
+  UNION ALL SELECT * FROM w2 WHERE _synced_at > (SELECT max(_synced_at) FROM int_daily_r1)
+  UNION ALL SELECT * FROM w3 WHERE _synced_at > (SELECT max(_synced_at) FROM int_daily_r2))""")
+    runs.append("""final AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, price_date ORDER BY run DESC) AS nth
+  FROM kept) x WHERE nth = 1)""")
+    q["bounded_fct_daily"] = S.with_(runs, f"""SELECT
+  md5(concat_ws('-', CAST(coin_id AS VARCHAR), CAST(price_date AS VARCHAR))) AS daily_market_sk, price_date,
+  CAST(latest_price_usd AS DOUBLE) AS latest_price_usd, CAST(prev AS DOUBLE) AS prev_latest_price_usd,
+  {exact_pct('latest_price_usd', 'prev')} AS daily_return_pct FROM final""")
+    q["payload_rejects"] = """SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'missing_id' ELSE 'malformed' END AS reason
+FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
     absent = ["price_change_24h", "price_change_pct_24h", "high_24h", "low_24h", "circulating_supply",
               "all_time_high"]
     stg_cols = """coin_id, symbol, name, CAST(price_usd AS DOUBLE) AS price_usd,
@@ -267,7 +440,24 @@ def q_market_payload(spark, sf):
                        "price_change_pct_24h", "high_24h", "fetched_at")
 
 
+def q_payload_rejects(spark, sf):
+    """SRC-1 on damaged documents: views are cut short, clicks have a price that is no number, purchases
+    have no id, and the rest are whole."""
+    from tessera.sources import landing as L
+
+    ev = E.read(spark, sf, "events")
+    kind = F.col("event_type")
+    obj = F.struct(F.when(kind != "purchase", F.col("user_id").cast("string")).alias("id"), kind.alias("symbol"),
+                   F.lit(None).cast("string").alias("name"),
+                   F.when(kind == "click", F.lit("oops")).otherwise(F.col("value").cast("string")).alias("current_price"))
+    text = F.regexp_replace(F.to_json(F.array(obj)), '"current_price":"([-0-9.E]+)"', '"current_price":$1')
+    payload = F.when(kind == "view", F.expr("substring(text, 1, length(text) - 4)")).otherwise(F.col("text"))
+    docs = ev.withColumn("text", text).withColumn("payload", payload)
+    return L.payload_rejects(docs, "payload").select("event_id", "reason")
+
+
 PIPELINE_QUERIES.update({
+    "payload_rejects": q_payload_rejects,
     "csv_landing": q_csv_landing,
     "json_landing": q_json_landing,
     "market_payload": q_market_payload,

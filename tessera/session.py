@@ -9,9 +9,11 @@ the setting is absent (a laptop or a unit test) do we pick a fresh local one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins and coalesces/splits
@@ -35,18 +37,24 @@ def get_spark(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with the settings the operators expect.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]`` only when no master is
-    configured already (spark-submit on a cluster supplies its own).
+    Without ``master`` the one that was submitted holds (``spark-submit
+    --master``, ``spark.master`` in the defaults); only a plain ``local[*]`` is
+    narrowed to ``$BENCH_CPUS`` threads. With ``input_bytes`` (and the
+    cluster's ``total_cores``) shuffles and scans are sized by ``conf_for_scale``.
     """
-    builder = SparkSession.builder.appName(app)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
-    if master:
-        builder = builder.master(master)
+    SparkContext._ensure_initialized()
+    submitted = SparkConf().get("spark.master", os.environ.get("SPARK_MASTER") or "local[*]")
+    if master is None and submitted == "local[*]" and "BENCH_CPUS" in os.environ:
+        master = f"local[{os.environ['BENCH_CPUS']}]"
+    builder = SparkSession.builder.appName(app).master(master or submitted)
     conf = dict(BASE_CONF)
+    if input_bytes is not None:
+        conf.update(conf_for_scale(input_bytes, total_cores or os.cpu_count() or 1))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -62,8 +70,8 @@ MiB = 1 << 20
 
 
 def conf_for_scale(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.25,
-                   partition_bytes: int = 256 * MiB, max_shuffle_partitions: int = 100_000) -> dict[str, str]:
-    """Settings sized from the data, for a cluster run (pass as ``extra``).
+                   partition_bytes: int = 256 * MiB) -> dict[str, str]:
+    """Settings sized from the data, for a cluster run (``get_spark(input_bytes=...)``).
 
     Shuffle partitions start from the expected shuffle volume
     (``shuffle_fraction`` of the input: the models shuffle projected, pre-
@@ -73,7 +81,7 @@ def conf_for_scale(input_bytes: int, total_cores: int, shuffle_fraction: float =
     broadcast bound stays small and fixed: it must not grow with the data.
     """
     shuffle_bytes = int(input_bytes * shuffle_fraction)
-    parts = max(2 * total_cores, min(max_shuffle_partitions, -(-shuffle_bytes // partition_bytes)))
+    parts = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -86,9 +94,11 @@ def conf_for_scale(input_bytes: int, total_cores: int, shuffle_fraction: float =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset."""
+    """Return the shared checkpoint folder. One is set only where it is unset and all tasks run on this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

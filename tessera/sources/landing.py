@@ -60,37 +60,58 @@ SERIES_OUT = {"prices": "price", "market_caps": "market_cap", "total_volumes": "
 def market_rows(objects: DataFrame, fetched_at: Column, digits: int = ROUND_DIGITS) -> DataFrame:
     """Market objects (one row each) -> landing rows: rename, round, stamp.
 
-    Absent numeric fields are NULL; a row missing a mandatory field is dropped.
+    Every object is kept; absent fields are NULL (see ``payload_rejects``).
     """
-    keep = objects
-    for f in MANDATORY:
-        keep = keep.where(F.col(f).isNotNull())
     cols = [F.col(f) for f in MANDATORY]
     cols += [F.round(F.col(f), digits).alias(RENAMED.get(f, f)) for f in MARKET_FIELDS[3:]]
-    return keep.select(*cols, fetched_at.alias("fetched_at"))
+    return objects.select(*cols, fetched_at.alias("fetched_at"))
 
 
 def read_market_json(spark: SparkSession, path: str, fetched_at: dt.datetime) -> DataFrame:
-    """SRC-1 from files: each file is a JSON array of market objects."""
-    objs = spark.read.schema(MARKET_OBJECT).option("multiLine", True).json(path)
+    """SRC-1 from files: each file is a JSON array of market objects; a malformed file fails the read."""
+    objs = spark.read.schema(MARKET_OBJECT).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return market_rows(objs, ntz_lit(fetched_at))
 
 
 def flatten_market_payload(df: DataFrame, payload_col: str, fetched_at: Column) -> DataFrame:
-    """SRC-1 from a string column holding one JSON array per row."""
-    arr = F.from_json(F.col(payload_col), T.ArrayType(MARKET_OBJECT))
-    objs = df.select(fetched_at.alias("__fetched_at"), F.inline_outer(arr))
-    return market_rows(objs.where(F.col("id").isNotNull() | F.col("symbol").isNotNull()),
-                       F.col("__fetched_at"))
+    """SRC-1 from a string column holding one JSON array per row.
+
+    A document that does not parse, or whose values have other types, fails
+    the query; ``payload_rejects`` tells such rows apart beforehand.
+    """
+    arr = F.from_json(F.col(payload_col), T.ArrayType(MARKET_OBJECT), {"mode": "FAILFAST"})
+    objs = df.select(fetched_at.alias("__fetched_at"), F.inline(arr))
+    return market_rows(objs, F.col("__fetched_at"))
+
+
+def payload_rejects(df: DataFrame, payload_col: str) -> DataFrame:
+    """The rows of ``df`` whose payload ``flatten_market_payload`` cannot take whole, with a ``reason``.
+
+    ``malformed``: not a JSON array of objects with the declared types;
+    ``missing_id``: an object without an id.
+    """
+    arr = F.from_json(F.col(payload_col), T.ArrayType(MARKET_OBJECT), {"mode": "PERMISSIVE"})
+    typed = F.to_json(arr)
+    # a value of another type parses to NULL, which the text form then lacks
+    loose = F.from_json(F.col(payload_col), T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    numbers = F.aggregate(loose, F.lit(0), lambda n, o: n + F.size(F.map_filter(
+        o, lambda k, v: k.isin(MARKET_FIELDS[3:]) & v.isNotNull())))
+    kept = F.aggregate(arr, F.lit(0), lambda n, o: n + sum(
+        (F.when(o[f].isNotNull(), 1).otherwise(0) for f in MARKET_FIELDS[3:]), F.lit(0)))
+    bad = arr.isNull() | loose.isNull() | F.exists(arr, lambda o: o.isNull()) | (numbers != kept) | typed.isNull()
+    reason = (F.when(F.col(payload_col).isNotNull() & F.coalesce(bad, F.lit(True)), F.lit("malformed"))
+              .when(F.exists(arr, lambda o: o["id"].isNull()), F.lit("missing_id")))
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
 def flatten_json_column(df: DataFrame, col: str, schema_ddl: str, required: Sequence[str] = (),
                         prefix: str = "") -> DataFrame:
     """Typed columns out of a JSON object column; absent fields become NULL,
-    rows whose ``required`` fields are NULL (or unparseable) are dropped."""
-    parsed = df.withColumn("__j", F.from_json(F.col(col), schema_ddl))
+    rows whose ``required`` fields are NULL are dropped; text that does not
+    parse fails the query."""
+    parsed = df.withColumn("__j", F.from_json(F.col(col), schema_ddl, {"mode": "FAILFAST"}))
     fields = _ddl_fields(schema_ddl)
-    out =parsed.select("*", *[F.col(f"__j.{f}").alias(prefix + f) for f in fields]).drop("__j")
+    out = parsed.select("*", *[F.col(f"__j.{f}").alias(prefix + f) for f in fields]).drop("__j")
     for r in required:
         out = out.where(F.col(prefix + r).isNotNull())
     return out
@@ -110,7 +131,8 @@ def nested_series_daily(docs: DataFrame, id_cols: Sequence[str], payload_col: st
     by a single aggregation with per-series ``max_by``; the cap/volume of a
     day without a price are dropped, a price day without them gets NULL.
     """
-    p = F.from_json(F.col(payload_col), SERIES_PAYLOAD)
+    p = F.from_json(F.col(payload_col), SERIES_PAYLOAD, {"mode": "FAILFAST"})
+
     def tag(idx: int):
         return lambda pt, i: F.struct(F.lit(idx).alias("s"), i.alias("pos"), pt[0].alias("ms"), pt[1].alias("v"))
 
@@ -138,10 +160,14 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     """SRC-3: read a landing folder with a declared schema (no inference).
 
     CSV columns are matched by *header name* (Spark's CSV reader would apply a
-    schema by position); a declared field missing from the file reads as NULL.
+    schema by position); a declared field missing from the header reads as
+    NULL. All files of a folder must have the same header: a file with other
+    columns, or in another order, fails the read.
     """
     if fmt == "csv":
-        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        header = spark.read.option("header", True).option("inferSchema", False).csv(path).schema
+        raw = (spark.read.schema(header).option("header", True).option("enforceSchema", False)
+               .option("mode", "FAILFAST").csv(path))
         have = set(raw.columns)
         return raw.select(*[
             (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -149,7 +175,7 @@ def read_landing(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         ])
     r = spark.read.schema(schema)
     if fmt == "json":
-        r = r.option("timestampNTZFormat", TS_TEXT)
+        r = r.option("timestampNTZFormat", TS_TEXT).option("mode", "FAILFAST")
     return r.format(fmt).load(path)
 
 
@@ -158,19 +184,15 @@ def parse_id_list(text: str, cast: Callable = str) -> list:
     return [cast(p.strip()) for p in text.split(",") if p.strip()]
 
 
-def restrict_to_ids(df: DataFrame, col: str, ids: Sequence, max_inline: int = 10_000,
-                    spark: SparkSession | None = None) -> DataFrame:
-    """SRC-4: keep rows whose ``col`` is in ``ids``.
+def restrict_to_ids(df: DataFrame, col: str, ids: Sequence) -> DataFrame:
+    """SRC-4: keep rows whose ``col`` is in ``ids``, columns as they were.
 
-    A short list becomes an ``IN`` that reaches the Parquet scan; a long list
-    becomes a broadcast semi-join (its size is the list length, known here).
+    A semi-join with the list, however long it is; Spark broadcasts it or not
+    by its size.
     """
-    ids = list(ids)
-    if len(ids) <= max_inline:
-        return df.where(F.col(col).isin(ids))
-    spark = spark or df.sparkSession
-    id_df = spark.createDataFrame([(i,) for i in ids], [col])
-    return df.join(F.broadcast(id_df), col, "left_semi")
+    kind = df.schema[col].dataType.simpleString()
+    id_df = df.sparkSession.createDataFrame([(i,) for i in set(ids)], f"`__id` {kind}")
+    return df.join(id_df, F.col(col) == F.col("__id"), "left_semi")
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, rank_col: str | None = None) -> DataFrame:
@@ -208,15 +230,22 @@ def with_load_stamp(df: DataFrame, loaded_at: dt.datetime, col: str = "_loaded_a
     return df.withColumn(col, ntz_lit(loaded_at))
 
 
-def write_csv(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
-    """SNK-1: CSV with header; SO-2 sorts rows within each output file."""
+def stamped(path: str, fetched_at: dt.datetime) -> str:
+    """A folder of its own for one fetch, named by its time."""
+    return f"{path.rstrip('/')}/{fetched_at:%Y%m%dT%H%M%S}"
+
+
+def write_csv(df: DataFrame, path: str, sort_by: Sequence[str] = (), fetched_at: dt.datetime | None = None) -> None:
+    """SNK-1: CSV with header, in a folder of its fetch time if given; SO-2 sorts rows within each output file."""
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("append").option("header", True).option("timestampNTZFormat", TS_TEXT).csv(path)
+    target = stamped(path, fetched_at) if fetched_at else path
+    out.write.mode("append").option("header", True).option("timestampNTZFormat", TS_TEXT).csv(target)
 
 
-def write_raw_json(df: DataFrame, path: str) -> None:
-    """SNK-2: raw documents kept whole (every field, no rounding)."""
-    df.write.mode("append").option("timestampNTZFormat", TS_TEXT).json(path)
+def write_raw_json(df: DataFrame, path: str, fetched_at: dt.datetime | None = None) -> None:
+    """SNK-2: raw documents kept whole (every field, NULL ones too, no rounding)."""
+    target = stamped(path, fetched_at) if fetched_at else path
+    (df.write.mode("append").option("timestampNTZFormat", TS_TEXT).option("ignoreNullFields", False).json(target))
 
 
 def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -227,11 +256,6 @@ def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     w.parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """SNK-6: full replace of a rebuilt table (dimensions)."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def create_table_if_not_exists(spark: SparkSession, name: str, schema: T.StructType, location: str,
                                partition_by: Sequence[str] = ()) -> None:
     """SNK-7: idempotent table creation over a Parquet location."""

@@ -5,9 +5,10 @@
   resumes instead of re-reading history.
 * SS-2: ``trigger(availableNow=True)`` processes whatever is new and stops; a
   run with nothing new processes no batch at all.
-* SS-3: ``foreachBatch`` runs the touched-key upsert on each micro-batch. The
-  upsert is keyed and the silver watermark drops rows already seen, so a
-  replayed batch id leaves the tables unchanged.
+* SS-3: ``foreachBatch`` runs the keyed upsert on each micro-batch. The
+  checkpoint says which rows are new, so no watermark of the tables is asked
+  and rows may come in any order; a batch that is repeated, under its own or
+  another batch id, leaves the tables unchanged.
 
 Event time of the landing is TIMESTAMP_NTZ; a watermark needs TIMESTAMP, so
 stream helpers derive an instant column in UTC first.
@@ -15,15 +16,15 @@ stream helpers derive an instant column in UTC first.
 
 from __future__ import annotations
 
-import hashlib
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tessera.operators import incremental as I
-from tessera.session import scratch_root
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
@@ -37,7 +38,39 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType, max_fil
 
 def with_event_time(df: DataFrame, ntz_col: str, out_col: str = "event_time") -> DataFrame:
     """NTZ wall time (UTC) -> TIMESTAMP instant usable by ``withWatermark``."""
-    return df.withColumn(out_col, F.to_utc_timestamp(F.col(ntz_col).cast("timestamp"), "UTC"))
+    # the cast reads the wall time in the session's zone; shifting it there first makes it UTC's
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(ntz_col))
+    return df.withColumn(out_col, local.cast("timestamp"))
+
+
+class _RowCount(StreamingQueryListener):
+    """Adds up the input rows of all batches of one query run."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        with self.changed:
+            run = str(event.progress.runId)
+            self.rows[run] = self.rows.get(run, 0) + int(event.progress.numInputRows)
+
+    def onQueryTerminated(self, event):
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def of(self, run: str, seconds: float = 60.0) -> int:
+        with self.changed:
+            self.changed.wait_for(lambda: run in self.ended, seconds)
+            return self.rows.get(run, 0)
 
 
 def run_available_now(stream_df: DataFrame, checkpoint: str,
@@ -52,9 +85,15 @@ def run_available_now(stream_df: DataFrame, checkpoint: str,
         w = w.format("parquet").option("path", sink_path).outputMode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    streams = stream_df.sparkSession.streams
+    counted = _RowCount()
+    streams.addListener(counted)
+    try:
+        q = w.start()
+        q.awaitTermination()
+        return counted.of(str(q.runId))
+    finally:
+        streams.removeListener(counted)
 
 
 def dedup_within_watermark(df: DataFrame, keys: Sequence[str], event_col: str, delay: str) -> DataFrame:
@@ -79,12 +118,9 @@ def upsert_batches(spark: SparkSession, target: str, keys: Sequence[str], partit
                    ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that upserts each batch's rows by key.
 
-    Staging is named by target and batch id, so when a restart replays a
-    batch whose merge had committed, only its copy is repeated.
+    What it does depends on the rows alone, not on the batch id, so a repeated
+    batch, also one of a fresh checkpoint, is simply applied.
     """
-    tag = hashlib.sha1(target.encode()).hexdigest()[:16]
-
     def fn(batch: DataFrame, batch_id: int) -> None:
-        staging = f"{scratch_root(spark)}/stream-upsert-{tag}/batch-{batch_id}"
-        I.upsert(spark, batch, target, keys, partition_col, staging=staging)
+        I.upsert(spark, batch, target, keys, partition_col)
     return fn

@@ -81,7 +81,7 @@ def test_prioritized_union_first_feed_wins(spark):
 
 def test_bounded_lookback_loses_far_predecessor_exact_keeps_it(spark):
     # Q4: the bounded read starts at max_day - 3 of the target; a touched row whose
-    # previous row is older than that gets a NULL return; mode='exact' reads it
+    # previous row is older than that gets a NULL return; the exact mode reads it
     d = lambda n: dt.date(2024, 1, n)
     t = lambda n: dt.datetime(2024, 1, n, 12)
     rows = [("a", d(1), Decimal("10"), t(1)), ("a", d(2), Decimal("11"), t(2)),
@@ -93,7 +93,30 @@ def test_bounded_lookback_loses_far_predecessor_exact_keeps_it(spark):
                                  ("kb", "b", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))],
                                 "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
     mark, max_day = t(10), d(10)
-    bounded = M.fct_daily_market(daily, dim, mark=mark, max_day=max_day, mode="bounded").collect()
-    exact = M.fct_daily_market(daily, dim, mark=mark, max_day=max_day, mode="exact").collect()
+    bounded = M.fct_daily_market(daily, dim, mark=mark, max_day=max_day).collect()
+    exact = M.exact_daily_market(daily, dim, ["2024-01-11"]).collect()
     assert [(r.price_date, r.daily_return_pct) for r in bounded] == [(d(11), None)]
     assert [(r.price_date, float(r.daily_return_pct)) for r in exact] == [(d(11), 100.0)]
+
+
+def test_exact_mode_recomputes_successors_in_and_beyond_the_window(spark):
+    d = lambda n: dt.date(2024, 1, n)
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", d(1), Decimal("10"), t), ("a", d(10), Decimal("20"), t), ("a", d(11), Decimal("40"), t),
+            ("b", d(10), Decimal("5"), t), ("b", d(28), Decimal("10"), t), ("c", d(1), Decimal("1"), t),
+            ("a", None, Decimal("7"), t)]
+    daily = spark.createDataFrame(rows, "coin_id string, price_date date, latest_price_usd decimal(20,8), "
+                                        "_synced_at timestamp_ntz")
+    dim = spark.createDataFrame([(k, k, dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31)) for k in "abc"],
+                                "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    got = {(r.coin_sk, r.price_date): r.daily_return_pct for r in M.exact_daily_market(daily, dim, ["2024-01-10"]).collect()}
+    assert {k: v and float(v) for k, v in got.items()} == {
+        ("a", d(10)): 100.0, ("a", d(11)): 100.0, ("b", d(10)): None, ("b", d(28)): 100.0}
+
+
+def test_average_is_rounded_once(spark):
+    rows = [("x", i, Decimal("0.01") if i <= 5000 else Decimal("0.00")) for i in range(1, 10002)]
+    rows += [("tie", 1, Decimal("0.01")), ("tie", 2, Decimal("0.00")), ("neg", 1, Decimal("-0.01")), ("neg", 2, Decimal("0.00"))]
+    df = spark.createDataFrame(rows, "k string, t int, v decimal(28,2)")
+    out = {r.k: r.a for r in daily_rollup(df, ["k"], "t", {"a": ("v", 2)}, {"l": "v"}).collect()}
+    assert out == {"x": Decimal("0.00"), "tie": Decimal("0.01"), "neg": Decimal("-0.01")}

@@ -14,26 +14,82 @@ def _rows(df):
     return sorted((r.k, r.d, r.v) for r in df.collect())
 
 
+def _files(spark, target, day):
+    at = I.state(spark, target)
+    folder = f"{target}/versions/table_version={at['parts'][f'd={day}']}/d={day}"
+    return sorted(r.path for r in spark.read.format("binaryFile").load(folder).select("path").collect())
+
+
 def test_upsert_touches_only_delta_partitions(spark, tmpdir_path):
     target = f"{tmpdir_path}/t"
     I.upsert(spark, spark.createDataFrame([("a", D1, 1.0), ("b", D2, 2.0)], SCHEMA), target, ["k", "d"], "d")
-    before_d1 = sorted(f for f in _files(spark, f"{target}/d={D1}"))
-    stats = I.upsert(spark, spark.createDataFrame([("b", D2, 20.0), ("c", D3, 3.0)], SCHEMA), target,
-                     ["k", "d"], "d", keep_staging=True)
+    before_d1 = _files(spark, target, D1)
+    stats = I.upsert(spark, spark.createDataFrame([("b", D2, 20.0), ("c", D3, 3.0)], SCHEMA), target, ["k", "d"], "d")
     assert stats["touched_partitions"] == 2
     assert _rows(I.read_table(spark, target)) == [("a", D1, 1.0), ("b", D2, 20.0), ("c", D3, 3.0)]
-    assert sorted(_files(spark, f"{target}/d={D1}")) == before_d1  # untouched partition not rewritten
-    # replaying the final copy from the same staging leaves the table unchanged
-    I.upsert(spark, spark.createDataFrame([], SCHEMA), target, ["k", "d"], "d", staging=stats["staging"])
+    assert _files(spark, target, D1) == before_d1  # untouched partition not rewritten
+    # the same rows again, and no rows, change nothing
+    I.upsert(spark, spark.createDataFrame([("b", D2, 20.0)], SCHEMA), target, ["k", "d"], "d")
+    I.upsert(spark, spark.createDataFrame([], SCHEMA), target, ["k", "d"], "d")
     assert _rows(I.read_table(spark, target)) == [("a", D1, 1.0), ("b", D2, 20.0), ("c", D3, 3.0)]
-    # by default the staging folder is removed once the copy has committed
-    assert I.read_table(spark, stats["staging"]) is None
-    again = I.upsert(spark, spark.createDataFrame([("d", D3, 4.0)], SCHEMA), target, ["k", "d"], "d")
-    assert again["staging"] is None and again["touched_partitions"] == 1
+    # which days changed since a state is read from the pointers
+    assert I.changed_days(spark, target, 1) == [str(D2), str(D3)]
+    assert I.changed_days(spark, target, None) == [str(D1), str(D2), str(D3)]
+
+
+def test_newest_row_stays_whatever_the_order(spark, tmpdir_path):
+    target = f"{tmpdir_path}/t"
+    for v in (2.0, 3.0, 1.0):
+        I.upsert(spark, spark.createDataFrame([("a", D1, v)], SCHEMA), target, ["k", "d"], "d", newest_by=["v"])
+    assert _rows(I.read_table(spark, target)) == [("a", D1, 3.0)]
+
+
+def test_null_day_does_not_block_later_writes(spark, tmpdir_path):
+    target = f"{tmpdir_path}/t"
+    I.upsert(spark, spark.createDataFrame([("a", None, 1.0), ("b", D1, 2.0)], SCHEMA), target, ["k", "d"], "d")
+    I.upsert(spark, spark.createDataFrame([("c", None, 3.0), ("d", D2, 4.0)], SCHEMA), target, ["k", "d"], "d", marks=["d"])
+    assert sorted((r.k, r.d) for r in I.read_table(spark, target).collect()) == [
+        ("a", None), ("b", D1), ("c", None), ("d", D2)]
+    assert I.days_of(I.state(spark, target)) == [str(D1), str(D2)]
+    assert I.mark_of(spark, target, "d").date() == D2
+
+
+@pytest.mark.parametrize("write", ["upsert", "replace"])
+def test_a_write_that_dies_leaves_the_table_as_it_was(spark, tmpdir_path, monkeypatch, write):
+    target = f"{tmpdir_path}/t"
+    old = spark.createDataFrame([("a", D1, 1.0), ("b", D2, 2.0)], SCHEMA)
+    new = spark.createDataFrame([("b", D2, 20.0), ("c", D3, 3.0)], SCHEMA)
+    I.replace(spark, old, target, "d")
+    run = (lambda: I.upsert(spark, new, target, ["k", "d"], "d")) if write == "upsert" else (
+        lambda: I.replace(spark, new, target, "d"))
+
+    def die(*a, **k):
+        raise RuntimeError("driver lost before the pointer was added")
+
+    with monkeypatch.context() as m:
+        m.setattr(I, "commit", die)
+        with pytest.raises(RuntimeError):
+            run()
+    assert _rows(I.read_table(spark, target)) == _rows(old)
+    run()
+    kept = [("a", D1, 1.0)] if write == "upsert" else []
+    assert _rows(I.read_table(spark, target)) == kept + [("b", D2, 20.0), ("c", D3, 3.0)]
+
+
+def test_second_writer_is_refused(spark, tmpdir_path):
+    target = f"{tmpdir_path}/t"
+    I.replace(spark, spark.createDataFrame([("a", D1, 1.0)], SCHEMA), target, "d")
+    at = I.state(spark, target)
+    I.commit(spark, target, at, at)
+    with pytest.raises(I.ConcurrentWriteError):
+        I.commit(spark, target, at, at)
 
 
-def _files(spark, path):
-    return [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+def test_files_of_a_day_follow_its_size_not_the_task_count(spark, tmpdir_path):
+    rows = spark.range(2000).selectExpr("cast(id as string) k", "date_add(date'2024-01-01', cast(id % 5 as int)) d",
+                                        "cast(id as double) v").repartition(16)
+    I.replace(spark, rows, f"{tmpdir_path}/t", "d")
+    assert [len(_files(spark, f"{tmpdir_path}/t", dt.date(2024, 1, 1 + i))) for i in range(5)] == [1] * 5
 
 
 def test_upsert_rejects_duplicate_delta(spark, tmpdir_path):
@@ -48,7 +104,7 @@ def test_schema_sync_adds_and_drops_columns(spark, tmpdir_path):
     I.upsert(spark, old, target, ["k", "d"], "d")
     new = spark.createDataFrame([("b", D2, 2.0, "x")], "k string, d date, v double, extra string")
     I.upsert(spark, new, target, ["k", "d"], "d")
-    got = I.align(I.read_table(spark, target), new.schema)
+    got = I.read_table(spark, target)  # as any reader sees it
     assert sorted(got.columns) == ["d", "extra", "k", "v"]
     assert sorted((r.k, r.extra) for r in got.collect()) == [("a", None), ("b", "x")]
 

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tessera.operators import incremental as I
 from tessera.plans import events as E
 from tessera.plans.pipeline import Warehouse
-from tessera.session import delete_path, scratch_dir
+from tessera.session import scratch_dir
 from tessera.streaming import stream as ST
 
 from conftest import SMOKE
@@ -23,14 +24,16 @@ def test_entry_smoke(spark):
     assert "daily_market_sk" in df.columns and "daily_return_pct" in df.columns
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_of_the_warehouse_has_an_oracle():
+    own = {k for k in entry.queries() if not k.startswith("op") and k != "pipeline"}
+    assert own <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_incremental_builds_equal_full_build(spark):
     events = E.read(spark, SMOKE, "events")
     inc = Warehouse(spark, scratch_dir(spark, "t-inc"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
-    for cut in E.SCD_CUTS:
+    for cut in E.scd_cuts(events):
         inc.build(E.snapshot_landing(events, cut), E.history_landing(events, cut), as_of=cut)
     m = E.Models(spark, SMOKE)
     cols = ["coin_id", "price_date", "extract_count", "avg_price_usd", "latest_price_usd", "source_name", "_synced_at"]
@@ -43,8 +46,10 @@ def test_incremental_builds_equal_full_build(spark):
     cal = inc.table("dim_date").agg(F.min("date_day"), F.max("date_day"), F.count("*")).first()
     assert (cal[0], cal[1]) == (lo, hi + dt.timedelta(days=inc.forward_days - 1))
     assert cal[2] == (hi - lo).days + inc.forward_days
-    # only the newest histories are kept (each is a whole copy)
-    assert sorted(r.v for r in spark.read.parquet(inc.path("snapshot")).select("v").distinct().collect()) == [1, 2, 3]
+    # every run's history can still be read
+    path = inc.path("snapshot")
+    sizes = [I.read_table(spark, path, I.state(spark, path, n)).count() for n in (1, 2, 3)]
+    assert sizes == sorted(sizes) and sizes[-1] == inc.versions().count()
     # environments are independent outputs of the same landing
     qa = Warehouse(spark, inc.base.rsplit("/", 1)[0], "qa")
     assert qa.table("int_daily") is None
@@ -123,7 +128,7 @@ def test_reset_versions_orphans_facts_until_full_refresh(spark):
 
     events = E.read(spark, SMOKE, "events")
     wh = Warehouse(spark, scratch_dir(spark, "t-reset"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
-    first, last = E.SCD_CUTS[0], E.SCD_CUTS[-1]
+    first, *_, last = E.scd_cuts(events)
     wh.build(E.snapshot_landing(events, first), E.history_landing(events, first), as_of=first)
     assert wh.reset_versions()
     assert wh.versions() is None
@@ -190,13 +195,15 @@ def test_loaded_at_watermark_and_per_feed_marks_take_late_rows(spark):
 
 
 def test_gate_scopes_partition_local_tests_after_a_passed_gate(spark):
-    # after a passed gate only touched partitions are re-tested; without the
-    # pass marker (crash or failed gate) every table is tested whole again
+    # an option: after a passed gate only touched partitions are re-tested;
+    # after a failed one every table is tested whole again. The default tests all.
     from tessera.operators.quality import QualityError
 
     events = E.read(spark, SMOKE, "events")
-    wh = Warehouse(spark, scratch_dir(spark, "t-scope"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
-    c1, c2, c3 = E.SCD_CUTS
+    wh = Warehouse(spark, scratch_dir(spark, "t-scope"), "dev", pick="latest", stable_ids=E.STABLE_USERS,
+                   quality_scope="touched")
+    assert Warehouse(spark, "x").quality_scope == "full"
+    c1, c2, c3 = E.scd_cuts(events)
     wh.build(E.snapshot_landing(events, c1), E.history_landing(events, c1), as_of=c1)
     assert wh._gate_passed()
     stats = wh.build(E.snapshot_landing(events, c2), E.history_landing(events, c2), as_of=c2)
@@ -206,57 +213,74 @@ def test_gate_scopes_partition_local_tests_after_a_passed_gate(spark):
     first_day = snap.agg(F.min("price_date")).first()[0]
     assert str(first_day) not in stats["stg_snapshot"]["partitions"]
     # plant a duplicate key in an untouched partition
-    snap.where(F.col("price_date") == first_day).limit(1).write.mode("append").partitionBy("price_date").parquet(
-        wh.path("stg_snapshot"))
+    day = snap.where(F.col("price_date") == first_day)
+    I.replace_days(spark, day.unionByName(day.limit(1)), wh.path("stg_snapshot"), "price_date", [str(first_day)])
 
     def dup(report):
         return report.where((F.col("model") == "stg_snapshot") & (F.col("test") == "unique_combination")).first()[3]
 
     assert dup(wh.quality_report()) == 1
     assert dup(wh.quality_report(scope)) == 0
-    delete_path(spark, wh.path("_gate_passed"), wh.base)
+    wh._set_gate(False)
+    facts = wh.table("fct_market_snapshot").count()
     with pytest.raises(QualityError):
         wh.build(E.snapshot_landing(events, c3), E.history_landing(events, c3), as_of=c3)
     assert not wh._gate_passed()
+    # the silver tests failed before gold was written
+    assert wh.table("fct_market_snapshot").count() == facts
 
 
-def test_restart_rolls_forward_an_interrupted_copy(spark, monkeypatch):
-    # the driver dies inside the copy of stg_snapshot: one touched partition is
-    # missing and later models never ran; the restarted run must repair it
-    from tessera.operators import incremental as I
-
+def test_restart_after_a_crash_equals_a_clean_run(spark, monkeypatch):
+    # the driver dies as int_daily is about to switch to its new version
     events = E.read(spark, SMOKE, "events")
     wh = Warehouse(spark, scratch_dir(spark, "t-crash"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
     ref = Warehouse(spark, scratch_dir(spark, "t-crash-ref"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
-    c1, c2, c3 = E.SCD_CUTS
+    c1, c2, c3 = E.scd_cuts(events)
     for w in (wh, ref):
         w.build(E.snapshot_landing(events, c1), E.history_landing(events, c1), as_of=c1)
-    # the crashed run never reached the later models, so the restart at c3
-    # must equal a clean c1 -> c3 warehouse
     ref.build(E.snapshot_landing(events, c3), E.history_landing(events, c3), as_of=c3)
+    real = I.commit
+
+    def crash(spark_, path, content, after):
+        if path == wh.path("int_daily"):
+            raise RuntimeError("driver lost")
+        return real(spark_, path, content, after)
 
-    real_copy = I._copy_over
-    lost = []
-
-    def crash(spark_, staging, target, partition_col, dynamic):
-        real_copy(spark_, staging, target, partition_col, dynamic)
-        if target == wh.path("stg_snapshot") and not lost:
-            days = I.partition_values(spark_.read.parquet(staging), partition_col)
-            lost.append(days[0])  # an older touched day, below the new watermark
-            delete_path(spark_, f"{target}/{partition_col}={days[0]}", wh.base)
-            raise RuntimeError("driver lost during the copy")
-
-    monkeypatch.setattr(I, "_copy_over", crash)
-    with pytest.raises(RuntimeError):
-        wh.build(E.snapshot_landing(events, c2), E.history_landing(events, c2), as_of=c2)
-    monkeypatch.setattr(I, "_copy_over", real_copy)
-    assert lost and wh.table("stg_snapshot").where(F.col("price_date") == lost[0]).count() == 0
-    # the restart lands newer data; the interrupted copy is rolled forward
-    # first, so this run's own delta is not displaced by the replay
+    with monkeypatch.context() as m:
+        m.setattr(I, "commit", crash)
+        with pytest.raises(RuntimeError):
+            wh.build(E.snapshot_landing(events, c2), E.history_landing(events, c2), as_of=c2)
     wh.build(E.snapshot_landing(events, c3), E.history_landing(events, c3), as_of=c3)
-    scols = ["coin_id", "fetched_at", "price_usd"]
-    assert _rows(wh.table("stg_snapshot"), scols) == _rows(ref.table("stg_snapshot"), scols)
-    dcols = ["coin_id", "price_date", "extract_count", "avg_price_usd", "latest_price_usd", "_synced_at"]
-    assert _rows(wh.table("int_daily"), dcols) == _rows(ref.table("int_daily"), dcols)
-    fcols = ["daily_market_sk", "coin_sk", "prev_latest_price_usd", "daily_return_pct"]
-    assert _rows(wh.table("fct_daily_market"), fcols) == _rows(ref.table("fct_daily_market"), fcols)
+    for model, cols in (("stg_snapshot", ["coin_id", "fetched_at", "price_usd"]),
+                        ("int_daily", ["coin_id", "price_date", "extract_count", "avg_price_usd", "_synced_at"]),
+                        ("fct_daily_market", ["daily_market_sk", "coin_sk", "prev_latest_price_usd", "daily_return_pct"])):
+        assert _rows(wh.table(model), cols) == _rows(ref.table(model), cols)
+
+
+def test_stream_batches_in_any_order_and_repeated(spark, tmpdir_path):
+    events = E.read(spark, SMOKE, "events")
+    wh = Warehouse(spark, scratch_dir(spark, "t-batches"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
+    parts = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i) for i in (2, 0, 1)]
+    for part in [*parts, parts[0]]:  # the last one is the first again
+        wh.build_batch(E.snapshot_landing(part), E.history_landing(part))
+    cols = ["coin_id", "price_date", "extract_count", "avg_price_usd", "latest_price_usd", "source_name", "_synced_at"]
+    assert _rows(wh.table("int_daily"), cols) == _rows(E.Models(spark, SMOKE).int_daily(), cols)
+    # a fresh checkpoint starts at batch id 0 again: its rows are applied too
+    target = f"{tmpdir_path}/t"
+    apply = ST.upsert_batches(spark, target, ["k", "d"], "d")
+    for v in (1.0, 2.0):
+        apply(spark.createDataFrame([(str(v), dt.date(2024, 1, 1), v)], "k string, d date, v double"), 0)
+    assert sorted(r.v for r in I.read_table(spark, target).collect()) == [1.0, 2.0]
+
+
+def test_dashboard_order(spark):
+    from tessera.operators import marts as Q
+
+    m = E.Models(spark, SMOKE)
+    fct, dim = m.fct_daily().persist(), m.dim().persist()
+    prices = [r.price_usd for r in Q.cards(fct, dim, E.CARDS_START, E.CARDS_END).collect()]
+    assert prices == sorted(prices, reverse=True) and len(prices) > 1
+    days = [r.price_date for r in Q.series(fct, dim, E.CARDS_START, E.CARDS_END, E.SERIES_SYMBOLS).collect()]
+    assert days == sorted(days) and len(days) > 1
+    symbols = [r.symbol for r in Q.current_symbols(dim).collect()]
+    assert symbols == sorted(set(symbols))
