@@ -168,7 +168,7 @@ def ordered_buckets(df: DataFrame, key: str, weight: Column, n: int) -> Column:
     buckets = np.minimum((before * n / weights.sum()).astype(int), n - 1)
     lookup = F.array(*[F.lit(int(b)) for b in buckets]) if cells <= 256 else \
         F.from_json(F.lit(str(buckets.tolist())), "array<int>")
-    return F.coalesce(F.element_at(lookup, cell + 1), F.lit(0))
+    return F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.element_at(lookup, cell + 1))
 
 
 # --- files in the shared folder -----------------------------------------------------------------

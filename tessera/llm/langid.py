@@ -258,9 +258,9 @@ def _score(models: Models, texts: pa.Array, limits: dict | None) -> list[pa.Arra
 def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
     """Models from the rows of ``labelled`` (text, lang) outside ``calibration``, limits from those inside.
 
-    The limit of a language and length class lies well above the
-    cross-entropies of its calibration texts: over their 99.9th percentile by
-    a sixth and a quarter bit. A class that no such text is in takes the limit
+    The limit of a language and length class lies far above the
+    cross-entropies of its calibration texts, so that clean texts of a rare
+    style stay: over their 99.9th percentile by a half and one bit. A class that no such text is in takes the limit
     of the next one.
     """
     spark = common.prepare(labelled.sparkSession)
@@ -285,7 +285,7 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
         measure, "lang string, pred string, bits double, kind int")
     cells = measured.filter("lang = pred").groupBy("lang", "kind").agg(
         F.expr("percentile_approx(bits, 0.999, 10000)").alias("high")).collect()  # languages x 17 rows at most
-    seen = {(r["lang"], r["kind"]): r["high"] * (1 + 1 / 6) + 0.25 for r in cells}
+    seen = {(r["lang"], r["kind"]): r["high"] * 1.5 + 1 for r in cells}
     limits = {}
     for lang in models.langs:
         own = sorted(k for lg, k in seen if lg == lang)

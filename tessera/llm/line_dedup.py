@@ -46,7 +46,7 @@ def _lines(text: str) -> Column:
 
 
 def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
-    """_doc, _tk (hash of the text), keep: map of word number to keep bits, for documents that lose lines.
+    """_doc, _tk (hash of the text), _keep: map of word number to keep bits, for documents that lose lines.
 
     A line goes if its key is found in at least ``min_docs`` documents; with
     ``keep_first``, its first occurrence by (doc_id, position) stays.
@@ -71,7 +71,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
             .agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {BITS})")).alias("dropped"))
             .groupBy("_doc", "_tk")
             .agg(F.map_from_entries(F.collect_list(F.struct(
-                "word", F.expr(f"(shiftleft(1L, {BITS}) - 1) ^ dropped").alias("bits")))).alias("keep")))
+                "word", F.expr(f"(shiftleft(1L, {BITS}) - 1) ^ dropped").alias("bits")))).alias("_keep")))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -80,13 +80,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     on = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_tk") == F.col("_tk2"))
     rows = rows.join(bitmaps.withColumnRenamed("_tk", "_tk2"), on, "left")
     kept = F.expr(f"filter(split(_text, '\\n', -1), (x, i) -> "
-                  f"shiftright(coalesce(try_element_at(keep, i div {BITS}), -1L), i % {BITS}) & 1 = 1)")
-    dropped = F.expr(f"aggregate(map_values(keep), 0L, (n, w) -> n + {BITS} - bit_count(w))")
+                  f"shiftright(coalesce(try_element_at(_keep, i div {BITS}), -1L), i % {BITS}) & 1 = 1)")
+    dropped = F.expr(f"aggregate(map_values(_keep), 0L, (n, w) -> n + {BITS} - bit_count(w))")
     return rows.withColumns({
         "n_lines": F.size(_lines("_text")).cast("long"),
         "n_dropped": F.coalesce(dropped, F.lit(0)).cast("long"),
-        "text": F.when(F.col("keep").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
-    }).drop("_text", "_tk", "_tk2", "_doc", "keep")
+        "text": F.when(F.col("_keep").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")),
+    }).drop("_text", "_tk", "_tk2", "_doc", "_keep")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:

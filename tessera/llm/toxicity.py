@@ -52,6 +52,7 @@ FEATURES = ["insults", "insult_rate", "terms", "term_rate", "term_weight", "top_
             "capital_rate", "shout_rate", "punctuation_rate", "exclamation_rate", "digit_rate", "disguised_rate",
             "disguised_hits", "mean_word", "log_words"]
 WORD = re.compile(r"[^\W\d_]+")
+DISGUISED = re.compile(r"(?<=[^\W\d_])[" + re.escape("".join(DISGUISES)) + r"](?=[^\W\d_])")
 
 
 # --- learned terms ------------------------------------------------------------------------------
@@ -175,10 +176,7 @@ class Features:
                 near = sum(bool(np.any(np.abs(where - m) <= NEAR)) for m in marks[:1000])
             disguised = 0
             if n["inner"][i]:
-                plain = low
-                for a, b in DISGUISES.items():
-                    plain = plain.replace(a, b)
-                again = self.hits(plain)
+                again = self.hits(DISGUISED.sub(lambda m: DISGUISES[m[0]], low))
                 disguised = max(0, len(again[0]) + len(again[1]) - len(marks))
             out[i, :8] = (math.log1p(len(insults)), len(insults) / words, math.log1p(len(terms)), len(terms) / words,
                           sum(terms.values()) / math.sqrt(words), max(terms.values(), default=0.0),
