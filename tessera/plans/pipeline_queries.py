@@ -23,11 +23,13 @@ from tessera.plans import events as E
 from tessera.plans import events_sql as S
 from tessera.plans import market as M
 from tessera.plans.pipeline import Warehouse
-from tessera.plans.sqlkit import exact_pct
+from tessera.plans.sqlkit import exact_pct, sql_list
 from tessera.session import scratch_dir
 from tessera.streaming import stream as ST
 
 _BUILT: dict[tuple, Warehouse] = {}
+#: Load times of the two batches of ``landing_append``.
+LOADED = (dt.datetime(2024, 2, 1, 6), dt.datetime(2024, 2, 1, 12))
 
 
 def _landings(events: DataFrame, cut) -> tuple[DataFrame, DataFrame]:
@@ -206,6 +208,57 @@ def q_dq_planted(spark, sf):
     return run_checks(spark, {"stg_snapshot": snap, "dim_coin": dim, "fct_daily_market": fct}, checks)
 
 
+def q_landing_append(spark, sf):
+    """SNK-3..5: the feed lands in two batches, each stamped with its load time, in one day-partitioned folder."""
+    from tessera.sources import landing as L
+
+    path = scratch_dir(spark, "landing-append")
+    feed = E.read(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    is_first = F.col("event_type").isin(E.SNAPSHOT_TYPES)
+    for rows, at in ((feed.where(is_first), LOADED[0]), (feed.where(~is_first), LOADED[1])):
+        L.append_landing(L.with_load_stamp(rows, at), path, ["day"])
+    return spark.read.parquet(path).select("event_id", "value", F.col("day").cast("date").alias("day"), "_loaded_at")
+
+
+def q_created_table(spark, sf):
+    """SNK-7: a table created twice over one folder, and read by name."""
+    from tessera.sources import landing as L
+
+    folder = scratch_dir(spark, "created")
+    name = "tessera_" + folder.rsplit("-", 1)[1]
+    rows = E.read(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    for _ in range(2):
+        L.create_table_if_not_exists(spark, name, rows.schema, folder, ["c_nationkey"])
+    rows.write.mode("append").insertInto(name)
+    read = I.staged(spark.table(name), "created-read")
+    spark.sql(f"DROP TABLE {name}")
+    return read
+
+
+def q_reset_versions(spark, sf):
+    """SK-8: after a reset the next full refresh starts the version history anew."""
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse-reset"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
+    events = E.read(spark, sf, "events")
+    first, *_, last = E.scd_cuts(events)
+    wh.build(*_landings(events, first), as_of=first)
+    wh.reset_versions()
+    wh.build(*_landings(events, last), as_of=last, full_refresh=True)
+    return wh.table("dim_coin").select("coin_id", "symbol", "name", "asset_type", "is_current")
+
+
+def q_env_outputs(spark, sf):
+    """SK-9: environments under one root are outputs of their own."""
+    root = scratch_dir(spark, "warehouse-envs")
+    events = E.read(spark, sf, "events")
+    out = None
+    for env, cut in zip(("dev", "qa"), E.FIRST_CUTS):
+        wh = Warehouse(spark, root, env, pick="latest", stable_ids=E.STABLE_USERS)
+        wh.build_silver(*_landings(events, cut))
+        rows = wh.table("int_daily").select(F.lit(env).alias("env"), "coin_id", "price_date", "extract_count")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---------------------------------------------------------------- dashboard over the built tables
 
 def q_date_bounds(spark, sf):
@@ -252,6 +305,10 @@ PIPELINE_QUERIES = {
     "incremental_dim": q_incremental_dim,
     "dq_report": q_dq_report,
     "dq_planted": q_dq_planted,
+    "landing_append": q_landing_append,
+    "created_table": q_created_table,
+    "reset_versions": q_reset_versions,
+    "env_outputs": q_env_outputs,
     "loaded_fct_daily": q_loaded_fct_daily,
     "bounded_fct_daily": q_bounded_fct_daily,
     "price_text": q_price_text,
@@ -366,6 +423,15 @@ UNION ALL SELECT 'fct_daily_market', 'relationships', 'coin_sk',
   md5(concat_ws('-', CAST(coin_id AS VARCHAR), CAST(price_date AS VARCHAR))) AS daily_market_sk, price_date,
   CAST(latest_price_usd AS DOUBLE) AS latest_price_usd, CAST(prev AS DOUBLE) AS prev_latest_price_usd,
   {exact_pct('latest_price_usd', 'prev')} AS daily_return_pct FROM final""")
+    q["landing_append"] = f"""SELECT event_id, value, CAST(ts AS DATE) AS day,
+  CASE WHEN event_type IN ({sql_list(E.SNAPSHOT_TYPES)}) THEN TIMESTAMP '{LOADED[0]}' ELSE TIMESTAMP '{LOADED[1]}' END
+    AS _loaded_at FROM events"""
+    q["created_table"] = "SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer"
+    q["reset_versions"] = S.with_(S.versions(), """SELECT coin_id, symbol, name, asset_type, TRUE AS is_current
+FROM states WHERE ci = (SELECT max(ci) FROM states)""")
+    q["env_outputs"] = S.with_(S.daily("_r1", E.FIRST_CUTS[0]) + S.daily("_r2", E.FIRST_CUTS[1]), """
+SELECT 'dev' AS env, coin_id, price_date, extract_count FROM int_daily_r1
+UNION ALL SELECT 'qa', coin_id, price_date, extract_count FROM int_daily_r2""")
     q["payload_rejects"] = """SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'missing_id' ELSE 'malformed' END AS reason
 FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
     absent = ["price_change_24h", "price_change_pct_24h", "high_24h", "low_24h", "circulating_supply",
