@@ -49,7 +49,6 @@ BAND_RATIO = 2.25
 SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 8_000, 6, 200_000
 #: Sets of a run that are searched against each other in one task.
 BLOCK = 2048
-BINS = 64
 NULL_ID = -(1 << 63)
 
 _SPACE = np.ones(256, bool)
@@ -128,7 +127,7 @@ def signatures(h: np.ndarray, frequent: np.ndarray | None) -> np.ndarray:
     """The signatures a set is found by; ``frequent`` (sorted) come last in the order; None: all signatures."""
     out = []
     for band, parts, k in instances(len(h)):
-        salted = common.mix(h + _U(band + 1) * common._ODD)
+        salted = common.mix(h + _U((band + 1) * int(common._ODD) & (2**64 - 1)))
         part = ((salted >> _U(32)) * _U(parts)) >> _U(32)
         order = np.argsort(part, kind="stable")
         part = part[order]
@@ -252,11 +251,34 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- verification ----------------------------------------------------------------------------------
 
 
-def node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, bins, features) of the documents whose doc_id is in ``nodes`` (node), recomputed from their texts.
+def set_bins(h: np.ndarray) -> np.ndarray:
+    """How many features fall in each of equal ranges of the hash space: about two a range, a byte for each."""
+    bits = max(6, int(len(h)).bit_length() - 1)
+    while True:
+        counts = np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+        if counts.max() < 256:
+            return counts.astype(np.uint8)
+        bits += 1
 
-    A row filter of fixed size keeps the texts of other documents from being
-    hashed; the few that pass it by chance meet no pair later.
+
+def folded(bins: np.ndarray, n: int) -> np.ndarray:
+    """The counts of ``n`` wider ranges."""
+    return bins.reshape(n, -1).sum(axis=1, dtype=np.int64)
+
+
+def may_link(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets with these bins can be similar enough: the bins bound their intersection from above."""
+    n = min(len(x), len(y))
+    most = np.minimum(folded(x, n), folded(y, n)).sum()
+    return bool((DEN + NUM) * most >= NUM * (x.sum(dtype=np.int64) + y.sum(dtype=np.int64)))
+
+
+def node_sets(docs: DataFrame, nodes: DataFrame, whole: bool) -> DataFrame:
+    """(node, n, data) of the documents whose doc_id is in ``nodes`` (node), recomputed from their texts.
+
+    The data are the hashes of the set if ``whole``, else its bins. A row
+    filter of fixed size keeps the texts of other documents from being hashed;
+    the few that pass it by chance meet no pair later.
     """
     wanted = docs.sparkSession.sparkContext.broadcast(common.row_filter(
         nodes.select(common.filter_slot("node").alias("slot"))))
@@ -266,22 +288,47 @@ def node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             batch = batch.filter(pa.array(common.passes(wanted.value, batch.column(2).to_numpy())))
             for part in common.rows_of([batch], 200):
                 sets = shingle_sets(part.column(1))
-                bins = [np.bincount((h >> _U(58)).astype(np.int64), minlength=BINS).astype("<u4").tobytes() for h in sets]
+                data = [(h if whole else set_bins(h)).tobytes() for h in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(h) for h in sets], pa.int32()), pa.array(bins, pa.binary()),
-                     pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "n", "bins", "features"])
+                    [part.column(0), pa.array([len(h) for h in sets], pa.int32()), pa.array(data, pa.binary())],
+                    names=["node", "n", "data"])
 
     return docs.select("doc_id", "text", common.filter_slot("doc_id").alias("slot")).mapInArrow(
-        emit, "node long, n int, bins binary, features binary").filter("n > 0")
+        emit, "node long, n int, data binary").filter("n > 0")
+
+
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _with_data(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    for c in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("data").alias(f"d{c}")), c)
+    return pairs
+
+
+def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and bins allow to be similar enough."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [may_link(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = _with_data(pairs, bins).filter(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
+    return near.select("a", "b", "da", "db").mapInArrow(check, "a long, b long").distinct()
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("features").alias("fa"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("features").alias("fb"))
-    # Sizes first: a pair too far apart in size never carries its sets.
-    sized = (pairs.join(one.drop("fa"), "a").join(two.drop("fb"), "b")
-             .filter(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM).select("a", "b").distinct())
+    wanted = sets.sparkSession.sparkContext.broadcast(common.row_filter(
+        nodes_of(pairs).select(common.filter_slot("node").alias("slot"))))
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = common.passes(wanted.value, batch.column(3).to_numpy())
+            yield batch.filter(pa.array(hit)).select(["node", "n", "data"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,38 +339,52 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return sized.join(one.drop("na"), "a").join(two.drop("nb"), "b").select("a", "b", "fa", "fb").mapInArrow(
-        verify, "a long, b long").distinct()
+    sets = sets.withColumn("slot", common.filter_slot("node")).mapInArrow(used, "node long, n int, data binary")
+    return _with_data(pairs, sets).select("a", "b", "da", "db").mapInArrow(verify, "a long, b long").distinct()
 
 
-def across(found: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components inside one run that their sizes and bins allow to be similar."""
-    spark = found.sparkSession
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
-    of = lambda c: F.coalesce(F.col(f"{c}_of"), F.col(c))
-    open_runs = (found.join(label("leader"), "leader", "left").join(label("node"), "node", "left")
-                 .filter(of("leader") != of("node")).select("sig").distinct())
-    rows = found.join(open_runs, "sig")
-    members = rows.select("sig", "node").unionByName(rows.select("sig", F.col("leader").alias("node"))).distinct()
-    # Runs of more than BLOCK sets are cut in blocks; every two blocks of a run meet in a group of their own.
-    sizes = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = (members.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    joined = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    return joined.filter(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b")
+
+
+def across(found: DataFrame, labels: DataFrame, bins: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components inside one run, but for its first set, that sizes and bins allow.
+
+    A run's first set has met every other one of it as a star. Of runs with the
+    same sets one is searched. Runs of more than BLOCK sets are cut in blocks,
+    and every two blocks of a run meet in a group of their own.
+    """
+    spark = found.sparkSession
+    label = labels.select(F.col("node"), F.col("component").alias("of"))
+    members = found.select("sig", "node").join(label, "node", "left").withColumn("of", F.coalesce("of", "node"))
+    open_runs = members.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("n_sets"), F.min("of").alias("lo"), F.max("of").alias("hi"),
+        F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
+    open_runs = open_runs.filter("lo <> hi").groupBy("n_sets", "h1", "h2").agg(F.min("sig").alias("sig")).select(
+        "sig", F.ceil(F.col("n_sets") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = (members.join(open_runs, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-             .select("sig", F.least("block", "other").alias("g1"), F.greatest("block", "other").alias("g2"), "node"))
-    dealt = (dealt.join(label("node"), "node", "left").withColumn("of", of("node")).drop("node_of")
-             .join(sets.select("node", "n", "bins"), "node"))
-    grouped = dealt.select("sig", "g1", "g2", "node", "of", "n", "bins").repartition(
+             .select("sig", F.least("block", "other").alias("g1"), F.greatest("block", "other").alias("g2"), "node", "of"))
+    grouped = dealt.join(bins, "node").select("sig", "g1", "g2", "node", "of", "n", "data").repartition(
         common.n_partitions(spark), "sig", "g1", "g2").sortWithinPartitions("sig", "g1", "g2", "node")
     return grouped.mapInArrow(_across, "a long, b long").distinct()
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (sig, g1, g2, node, component, size, bins) in order: the pairs to look at in each group."""
     held: list[tuple] = []
     group = None
 
     def pairs() -> Iterator[pa.RecordBatch]:
         node, of, n = (np.array([r[i] for r in held], np.int64) for i in (0, 1, 2))
-        bins = np.stack([np.frombuffer(r[3], "<u4") for r in held]).astype(np.int64)
+        if len(held) < 2 or (of == of[0]).all():
+            return
+        counts = [np.frombuffer(r[3], np.uint8) for r in held]
+        width = min(map(len, counts))
+        bins = np.stack([folded(c, width) for c in counts])
         for i in range(len(held) - 1):
             later = np.flatnonzero((of[i + 1:] != of[i]) & (np.minimum(n[i + 1:], n[i]) * DEN
                                                             >= np.maximum(n[i + 1:], n[i]) * NUM)) + i + 1
@@ -336,12 +397,10 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for sig, g1, g2, *row in zip(*(c.to_pylist() for c in batch.columns)):
             if (sig, g1, g2) != group:
-                if len(held) > 1:
-                    yield from pairs()
+                yield from pairs()
                 group, held = (sig, g1, g2), []
             held.append(tuple(row))
-    if len(held) > 1:
-        yield from pairs()
+    yield from pairs()
 
 
 # --- the join -----------------------------------------------------------------------------------------
@@ -355,55 +414,77 @@ def _salted(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 1
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (found between the document's class and others) of every row."""
+    """doc_id, n_shingles and component_id of every row.
+
+    Links that would join documents already known to be in one component are
+    not looked for; every other candidate is.
+    """
     spark = common.prepare(docs.sparkSession)
     docs = _ids(docs)
     path = scratch_dir(spark, "partenum-sets")
     class_sets(docs, frequent_signatures(docs)).write.parquet(path)
-    sets = spark.read.parquet(path)
-    each = common.materialise(sets.select("doc_id", "n_shingles", "key"), "partenum-docs")
+    packed = spark.read.parquet(path)
+    each = common.materialise(packed.select("doc_id", "n_shingles", "key"), "partenum-docs")
     classes = common.materialise(each.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "partenum-classes")
     common.batch_rows(spark, 20_000)
-    found = common.materialise(stars(sets, classes), "partenum-stars")
+    found = common.materialise(stars(packed, classes), "partenum-stars")
     common.batch_rows(spark)
     delete_path(spark, path, scratch_root(spark))  # the signatures are not needed again
 
     pairs = common.materialise(found.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(),
                                "partenum-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    features = common.materialise(node_sets(docs, nodes), "partenum-features")
-    first = common.materialise(links(pairs, features), "partenum-links")
-    labels = components(first)
-    further = common.materialise(across(found, labels, features), "partenum-across")
-    second = common.materialise(links(further, features), "partenum-links")
-    every = first.unionByName(second).distinct()
-    labels = components(every)
-
-    degree = every.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    bins = common.materialise(node_sets(docs, nodes_of(pairs), whole=False), "partenum-bins")
+    pairs = common.materialise(possible(pairs, bins), "partenum-possible")
+    sets = common.materialise(node_sets(docs, nodes_of(pairs), whole=True), "partenum-features")
+    # Of the stars, first the one of each set with its smallest leader; then only what is still apart.
+    first = common.materialise(links(pairs.groupBy("b").agg(F.min("a").alias("a")), sets), "partenum-links")
+    second = common.materialise(links(_apart(pairs, components(first)), sets), "partenum-links")
+    every = first.unionByName(second)
+    further = common.materialise(across(found, components(every), bins), "partenum-across")
+    sets = common.materialise(node_sets(docs, nodes_of(further), whole=True), "partenum-features")
+    third = common.materialise(links(further, sets), "partenum-links")
+    labels = components(every.unionByName(third))
+
     # Only documents of classes with copies or links meet a row; the rest are their own component.
-    known = (classes.join(labels, "node", "left").join(degree, "node", "left")
-             .filter("copies > 1 or component is not null")
-             .select("key", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    known = (classes.join(labels, "node", "left").filter("copies > 1 or component is not null")
+             .select("key", F.coalesce("component", "node").alias("component")))
     rows = _salted(each, known, "key", "doc_id")
     own = (F.col("n_shingles") > 0) & F.col("component").isNotNull()
     out = F.when(own, F.col("component")).otherwise(F.col("doc_id"))
     shown = lambda c: F.when(c != NULL_ID, c)
     return rows.select(shown(F.col("doc_id")).alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
-                       shown(out).alias("component_id"),
-                       F.when(own, F.col("n_links")).otherwise(0).cast("long").alias("n_links"))
+                       shown(out).alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with the document of smallest doc_id of each group of similar ones, and one row of each doc_id.
 
-    Of rows that share a doc_id the smallest by text stays.
+    Of rows that share a doc_id the smallest by text stays. Only texts of
+    documents that may have to go (told by a row filter of fixed size) are
+    shuffled to meet the answer; all others go straight on.
     """
     found = common.materialise(similar_documents(docs), "partenum-components")
-    kept = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_node")).distinct())
-    columns = [c for c in docs.columns if c != "text"]
-    rows = docs.withColumn("_node", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).join(kept, "_node")
+    ids = found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_node"),
+                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
+    ids = common.materialise(ids.groupBy("_node").agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays")),
+                             "partenum-kept")
+    doubtful = docs.sparkSession.sparkContext.broadcast(common.row_filter(
+        ids.filter("n > 1 or not stays").select(common.filter_slot("_node").alias("slot"))))
+
+    def only(want: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = common.passes(doubtful.value, batch.column(0).to_numpy())
+                yield batch.filter(pa.array(hit == want)).select(list(range(1, batch.num_columns)))
+        return run
+
+    node = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    slotted = docs.withColumn("_node", node).select(common.filter_slot("_node").alias("_slot"), *docs.columns)
+    sure = slotted.mapInArrow(only(False), docs.schema)
+    rows = slotted.mapInArrow(only(True), docs.schema).withColumn("_node", node).join(
+        ids.filter("stays").select("_node"), "_node")
     # Rows lie sorted by _node after the join, so this is one pass over them.
+    columns = [c for c in docs.columns if c != "text"]
     first = rows.groupBy("_node").agg(F.min(F.struct("text", *columns)).alias("row"))
-    return first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return sure.unionByName(first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
