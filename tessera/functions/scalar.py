@@ -66,12 +66,22 @@ def pct_change(cur: str | Column, prev: str | Column, digits: int = 4) -> Column
     return F.round((cur_c - prev_c) / base, digits + 2) * 100
 
 
+def ntz_epoch(c: str | Column, unit: str = "SECOND") -> Column:
+    """UTC wall time -> whole units since the epoch, whatever the session zone."""
+    return F.timestamp_diff(unit, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(c))
+
+
 def epoch_ms_to_utc_day(ms: str | Column) -> Column:
     """SF-14: epoch milliseconds -> UTC calendar day, independent of session zone."""
     days = F.floor(_col(ms) / F.lit(MS_PER_DAY)).cast("int")
     return F.date_add(F.lit("1970-01-01").cast("date"), days)
 
 
+def utc_wall(c: str | Column) -> Column:
+    """Instant (TIMESTAMP) -> its UTC wall time as NTZ, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(c).cast("timestamp_ntz"))
+
+
 def iso_utc_to_ntz(s: str | Column) -> Column:
     """SF-15: ISO-8601 text (with or without offset) -> UTC wall time as NTZ.
 
@@ -81,8 +91,7 @@ def iso_utc_to_ntz(s: str | Column) -> Column:
     """
     text = _col(s)
     has_zone = text.rlike(r"(Z|[+-]\d{2}(:?\d{2})?)$") & text.contains(":")
-    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(text).cast("timestamp_ntz"))
-    return F.when(has_zone, instant).otherwise(F.to_timestamp_ntz(text))
+    return F.when(has_zone, utc_wall(F.to_timestamp(text))).otherwise(F.to_timestamp_ntz(text))
 
 
 def price_text(c: str | Column) -> Column:

@@ -23,6 +23,7 @@ from tessera.functions.scalar import (
     date_key,
     epoch_ms_to_utc_day,
     iso_utc_to_ntz,
+    ntz_epoch,
     ntz_lit,
     surrogate_key,
 )
@@ -239,7 +240,7 @@ def q_range_extract(spark, sf):
     e = read(spark, sf, "events")
     r = time_range(e, "ts", RANGE_START, RANGE_END)
     return r.select("event_id", "user_id", "event_type", "ts",
-                    F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch_s"))
+                    ntz_epoch("ts").alias("epoch_s"))
 
 
 def q_json_flatten(spark, sf):
@@ -251,7 +252,7 @@ def q_json_flatten(spark, sf):
 def history_payloads(events: DataFrame) -> DataFrame:
     """One backfill-shaped document per event: price points at ts and ts+6h,
     a cap point at ts only, a volume point at ts+6h (none for error events)."""
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = ntz_epoch("ts", "MILLISECOND")
     k = _k().cast("double")
     p2 = F.col("value") + k / F.lit(100.0)
     payload = F.struct(
@@ -374,7 +375,7 @@ def q_attr_override(spark, sf):
 
 def q_epoch_days(spark, sf):
     e = read(spark, sf, "events")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = ntz_epoch("ts", "MILLISECOND")
     return e.select("event_id", ms.alias("epoch_ms"), epoch_ms_to_utc_day(ms).alias("utc_day"),
                     iso_utc_to_ntz(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
                                             F.lit("+02:00"))).alias("utc_ts"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
+from tessera.functions.scalar import utc_wall
 from tessera.operators import incremental as I
 
 
@@ -111,7 +112,7 @@ def windowed_daily(df: DataFrame, key: str, event_col: str, value_col: str, dela
     return (df.withWatermark(event_col, delay)
             .groupBy(F.window(event_col, "1 day").alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n_events"), F.sum(v).alias("sum_value"), F.max(v).alias("max_value"))
-            .select(key, F.col("w.start").cast("date").alias("day"), "n_events", "sum_value", "max_value"))
+            .select(key, utc_wall("w.start").cast("date").alias("day"), "n_events", "sum_value", "max_value"))
 
 
 def upsert_batches(spark: SparkSession, target: str, keys: Sequence[str], partition_col: str
