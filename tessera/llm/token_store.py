@@ -34,8 +34,8 @@ from tessera.llm import common
 MAGIC = b"TESSIDS1"
 BLOCK = 1 << 16
 HEADER, TRAILER = 16, 40
-#: Pieces of words that a worker keeps before it starts anew; only speed depends on it.
-CACHE_PIECES = 1_000_000
+#: Pieces of words that a worker keeps (about 40 bytes each) before it starts anew; only speed depends on it.
+CACHE_PIECES = 800_000
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Letters (of ranges where every Unicode version has letters only), then signs that are pre-tokens of their own.
 LETTERS_AND_TAIL = "^(?P<stem>[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?P<tail>[.,!]*)$"
@@ -194,59 +194,58 @@ class WordEncoder:
         return cls._made[key]
 
     def _forget(self) -> None:
-        """Slot 0 is the empty piece; slot i has ids flat[starts[i]:starts[i + 1]]."""
-        self.slots: dict[str, int] = {"": 0}
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(2, np.int64)
-
-    def _keep(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n = len(self.starts) - 1
-        self.slots.update(zip(pieces, range(n, n + len(pieces))))
-        self.flat = np.concatenate([self.flat, ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-
-    def _learn(self, letters: list[str], others: list[str]) -> None:
-        """Encode pieces that are not kept yet; ``letters`` are one pre-token each."""
-        pieces, ids, sizes = [], [], []
-        for at in range(0, len(letters) if self.last is not None else 0, 500):
-            # many as one text, cut at the pre-tokens' ends
-            part = letters[at: at + 500]
-            found = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(self.last[found]) + 1
-            if len(cuts) == len(part):
-                pieces += part
-                ids.append(found)
-                sizes.append(np.diff(cuts, prepend=0))
-            else:
-                others = others + part
-        if self.last is None:
-            others = others + letters
-        for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            pieces.append(w)
-            ids.append(np.array(e.ids, np.uint32))
-            sizes.append([len(e.ids)])
-        if pieces:
-            self._keep(pieces, np.concatenate(ids), np.concatenate(sizes))
-
-    def _slots(self, pieces: pa.Array, letters: bool) -> np.ndarray:
-        """The slots of pieces, learned if new."""
+        """What is kept: two hashes of each piece (sorted by the first), and where its ids stand in ``flat``."""
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _learn(self, pieces: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, end to end, and how many each has; ``letters`` are one pre-token each."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), 500):
+            part = pieces[at: at + 500]
+            if letters and self.last is not None:
+                # many as one text, cut at the pre-tokens' ends
+                found = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+                cuts = np.flatnonzero(self.last[found]) + 1
+                if len(cuts) == len(part):
+                    ids.append(found)
+                    sizes.append(np.diff(cuts, prepend=0))
+                    continue
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ids.append(np.array([i for e in each for i in e], np.uint32))
+            sizes.append(np.array([len(e) for e in each], np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _find(self, pieces: pa.Array, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece start in ``flat``, and how many there are; new pieces are learned."""
         kinds = pieces.dictionary_encode()
-        texts = kinds.dictionary.to_pylist()
-        new = [p for p in texts if p not in self.slots]
-        self._learn(new if letters else [], [] if letters else new)
-        slots = np.fromiter(map(self.slots.__getitem__, texts), np.int64, len(texts))
-        return slots[kinds.indices.to_numpy()]
-
-    def _gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of slots, end to end, and how many each has."""
-        starts = self.starts[slots]
-        sizes = self.starts[slots + 1] - starts
-        return _ranges(self.flat, starts, sizes), sizes
+        data, offsets = common.utf8(kinds.dictionary)
+        value = data.astype(np.uint64)
+        key, check = (common.span_hashes(v, offsets[:-1], offsets[1:])
+                      for v in (value + np.uint64(1), common.mix(value + np.uint64(977))))
+        at = np.searchsorted(self.keys, key)
+        near = np.minimum(at, max(len(self.keys) - 1, 0))
+        hit = (self.keys[near] == key) & (self.checks[near] == check) if len(self.keys) else np.zeros(len(key), bool)
+        starts, sizes = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        starts[hit], sizes[hit] = self.starts[near[hit]], self.sizes[near[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            ids, sizes[new] = self._learn(kinds.dictionary.take(pa.array(new)).to_pylist(), letters)
+            starts[new] = len(self.flat) + np.cumsum(sizes[new]) - sizes[new]
+            self.flat = np.concatenate([self.flat, ids])
+            new = new[np.argsort(key[new])]
+            at = np.searchsorted(self.keys, key[new])
+            self.keys, self.checks = np.insert(self.keys, at, key[new]), np.insert(self.checks, at, check[new])
+            self.starts, self.sizes = np.insert(self.starts, at, starts[new]), np.insert(self.sizes, at, sizes[new])
+        back = kinds.indices.to_numpy()
+        return starts[back], sizes[back]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end to end, and how many each has (null: none)."""
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.slots) > CACHE_PIECES:
+        if len(self.keys) > CACHE_PIECES:
             self._forget()
         texts = pc.replace_substring(texts.cast(pa.large_string()).fill_null(""), "\n", " ")
         split = pc.split_pattern(texts, " ")
@@ -256,14 +255,14 @@ class WordEncoder:
         plain = cut.is_valid()
         # A word that is not letters and signs is one piece, as it stands.
         others = words.dictionary.filter(pc.invert(plain))
-        pieces = np.zeros((len(kinds), 2), np.int64)
         where = plain.to_numpy(zero_copy_only=False)
-        stems, tails = pc.struct_field(cut.filter(plain), 0), pc.struct_field(cut.filter(plain), 1)
-        pieces[where, 0] = self._slots(stems, True)
-        pieces[where, 1] = self._slots(tails, False)
-        pieces[~where, 0] = self._slots(others, False)
-        flat, sizes = self._gather(pieces.reshape(-1))  # of the distinct words
-        sizes = sizes.reshape(-1, 2).sum(axis=1)
+        starts, sizes = np.zeros((len(kinds), 2), np.int64), np.zeros((len(kinds), 2), np.int64)
+        split_off = cut.filter(plain)
+        for side, pieces in enumerate((pc.struct_field(split_off, 0), pc.struct_field(split_off, 1))):
+            starts[where, side], sizes[where, side] = self._find(pieces, side == 0)
+        starts[~where, 0], sizes[~where, 0] = self._find(others, False)
+        flat = _ranges(self.flat, starts.reshape(-1), sizes.reshape(-1))  # of the distinct words
+        sizes = sizes.sum(axis=1)
         starts = np.cumsum(sizes) - sizes
         at = words.indices.to_numpy()
         sizes = sizes[at]
@@ -339,7 +338,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     bucket = common.ordered_buckets(docs, "doc_id", weight, n)
     dealt = (docs.select(bucket.alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), "text")
              .repartitionById(n, "bucket").sortWithinPartitions("bucket", "doc_id", "text"))
-    common.batch_rows(spark, 2500)
+    common.batch_rows(spark, 800)
     manifest = common.materialise(dealt.mapInArrow(write, MANIFEST), "token-manifest")
     common.batch_rows(spark)
     # One row per file: at most as many as there are shuffle partitions.
