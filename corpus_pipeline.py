@@ -48,7 +48,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs, TARGET_ENTROPY, MAX_REPEATS).select(*docs.columns)
+    mixed = mix_sources(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text"),
+                        TARGET_ENTROPY, MAX_REPEATS)
+    return mixed.select("row.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

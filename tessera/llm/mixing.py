@@ -138,7 +138,7 @@ def plan_sources(slim: DataFrame, target_entropy: float, max_repeats: float, bud
         "source_key", "block", "turn", (F.col("rest") - F.col("before")).alias("left"))
     cut = common.materialise(cut, "mix-cut")
     by_hash = W.partitionBy("source_key").orderBy("in_block").rangeBetween(W.unboundedPreceding, W.currentRow)
-    last = (docs.join(F.broadcast(cut), ["source_key", "block"])  # a block per source: fewer rows than the plan
+    last = (docs.join(cut, ["source_key", "block"])  # one block a source
             .withColumn("upto", F.sum("tokens").over(by_hash)).filter("upto >= left")
             .groupBy("source_key").agg(F.min("in_block").alias("cut_in_block")))
     return plan.join(cut.select("source_key", F.col("turn").alias("cut_turn")), "source_key", "left").join(
@@ -168,11 +168,13 @@ def mix_sources(docs: DataFrame, target_entropy: float = 0.95, max_repeats: floa
     plan = common.materialise(
         plan_sources(slim, target_entropy, max_repeats, budget_tokens, block_tokens, seed), "mix-final")
     own = ["source_tokens", "exponent", "weight", "epoch", "block", "place"]
-    rows = docs.drop(*own).withColumn("source_key", key)
+    kept = [c for c in docs.columns if c not in own]
+    # Under one name, so that no column of the input is in the way of the plan's.
+    rows = docs.select(F.struct(*kept).alias("_row"), "doc_id", key.alias("source_key"))
     rows = _located(_joined(rows, plan.withColumnRenamed("tokens", "source_tokens")), seed, block_tokens)
     rows = rows.withColumn("epoch", F.explode(F.expr("sequence(0L, if(rest > 0, whole, greatest(whole, 1L) - 1))")))
     rows = rows.withColumn("_turn", _turn(seed))
     taken = (F.col("epoch") < F.col("whole")) | (F.col("source_tokens") == 0) | (F.col("_turn") < F.col("cut_turn")) | (
         (F.col("_turn") == F.col("cut_turn")) & (F.col("in_block") <= F.col("cut_in_block")))
-    return (rows.filter(taken).withColumn("place", F.least((F.col("epoch") + F.col("_turn")) / F.col("epochs"), F.lit(1 - 1e-12)))
-            .select(*[c for c in docs.columns if c not in own], *own))
+    place = F.least((F.col("epoch") + F.col("_turn")) / F.col("epochs"), F.lit(1 - 1e-12))
+    return rows.filter(taken).withColumn("place", place).select("_row.*", *own)

@@ -237,6 +237,18 @@ def test_pipeline_against_brute_force(spark):
     assert out == sorted(expected, key=repr)
 
 
+def test_stages_take_edge_rows_and_other_columns(spark):
+    import corpus_pipeline as P
+
+    docs = clashing(documents(spark), "epoch", "score", "row", "whole")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SMOKE)
+        assert out.columns == docs.columns, name
+        assert {r.epoch for r in out.collect()} <= {"theirs"}
+        assert stage(spark, docs.limit(0), SMOKE).count() == 0
+    assert P.STAGES[-1][1](spark, docs, SMOKE).count() == len(ROWS)
+
+
 def _hits(text, items):
     from test_text_operators import brute_hits
 

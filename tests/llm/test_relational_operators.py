@@ -57,8 +57,10 @@ def test_entropy_target_and_budget_are_met(spark):
 
 def test_natural_weights_leave_all_as_it_is_and_a_greedy_budget_is_refused(spark):
     docs = documents(spark)
-    same = mixing.mix_sources(clashing(docs, "epoch", "weight"), target_entropy=0.0, max_repeats=1.0)
+    theirs = clashing(docs, "epoch", "weight", "whole", "rest", "n_blocks", "tokens", "source_key")
+    same = mixing.mix_sources(theirs, target_entropy=0.0, max_repeats=1.0)
     assert rows(same, *docs.columns) == rows(docs)
+    assert {r.whole for r in same.collect()} == {"theirs"}
     again = mixing.mix_sources(docs, target_entropy=1.0, max_repeats=2.0)
     assert rows(again) == rows(mixing.mix_sources(docs, target_entropy=1.0, max_repeats=2.0))
     assert mixing.mix_sources(documents(spark, [])).count() == 0
