@@ -18,6 +18,8 @@ from tessera.session import scratch_dir
 REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Rows per Arrow batch handed to Python: texts of a few KB each give batches of a few MB.
 BATCH_ROWS = 1000
+#: Rows that numpy code handles at once: its arrays take up to a hundred bytes a character.
+ROWS_AT_ONCE = 250
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -225,7 +227,7 @@ def batch_rows(spark: SparkSession, n: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def rows_of(batches: Iterator[pa.RecordBatch], size: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``size`` rows."""
     for b in batches:
         for i in range(0, b.num_rows, size):

@@ -213,7 +213,7 @@ def report(docs: DataFrame, automaton: Automaton) -> DataFrame:
     shared = spark.sparkContext.broadcast(automaton)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.rows_of(batches):
             rows = []
             for n, spans, _, items in find(batch.column(1), shared.value):
                 names = ",".join(sorted(shared.value.names[i] for i in items))
@@ -241,7 +241,7 @@ def decontaminate(docs: DataFrame, automaton: Automaton, max_coverage: float = 0
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.rows_of(batches):
             texts, keep = batch.column(place).to_pylist(), np.ones(batch.num_rows, bool)
             counts = batch.column(chars).to_pylist() if chars is not None else []
             for i, (n, spans, in_bytes, _) in enumerate(find(batch.column(place), shared.value)):

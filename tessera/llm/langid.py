@@ -107,7 +107,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             return [(keys[first], np.add.reduceat(n, first))]
 
-        for batch in batches:
+        for batch in common.rows_of(batches):
             if not batch.num_rows:
                 continue
             chars, offsets, has = normalised(*common.code_points(batch.column(1)))
@@ -275,7 +275,7 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
     shared = spark.sparkContext.broadcast(models)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.rows_of(batches):
             if batch.num_rows:
                 pred, _, bits, kind, out = _score(shared.value, batch.column(0), None)
                 yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.string()), pred, bits, kind],
@@ -307,7 +307,7 @@ def identify(docs: DataFrame, models: Models | None, limits: dict) -> DataFrame:
     names = docs.columns + own
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.rows_of(batches):
             if batch.num_rows:
                 pred, sure, _, _, out = _score(shared.value[0], batch.column(place), shared.value[1])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pred, sure, out], names=names)

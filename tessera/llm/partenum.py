@@ -15,7 +15,8 @@ is a candidate with the run's first set (a star, never all pairs). Candidates
 are verified on whole sets, and links give components. A run whose sets then
 still lie in several components is searched for further links, set against set
 across components, in blocks of bounded size that are dealt to tasks of their
-own, with an upper bound of the overlap before any pair is emitted.
+own: bins bound the overlap first, then whole sets are compared in the task,
+which returns links that join components and never the pairs it looked at.
 
 Equal sets are one class from the start; links are found between classes, so
 none between different texts is lost and copies are not expanded into pairs.
@@ -47,8 +48,8 @@ NUM, DEN = 3, 4
 BAND_RATIO = 2.25
 #: The sample that tells frequent signatures: documents, and sample documents that make one frequent.
 SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 8_000, 6, 200_000
-#: Sets of a run that are searched against each other in one task.
-BLOCK = 2048
+#: Features of the sets of a run that are searched against each other at once: 16 MB.
+BLOCK = 1 << 21
 NULL_ID = -(1 << 63)
 
 _SPACE = np.ones(256, bool)
@@ -175,7 +176,7 @@ def class_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.rows_of(batches, 500):
+        for batch in common.rows_of(batches):
             sets = shingle_sets(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(h) for h in sets], pa.int32()),
@@ -201,27 +202,31 @@ def stars(sets: DataFrame, classes: DataFrame) -> DataFrame:
         classes.filter("copies > 1").select(common.filter_slot("key").alias("slot"))))
     slotted = sets.filter("n_shingles > 0").select("doc_id", "key", "signatures", common.filter_slot("key").alias("slot"))
 
-    def only(want: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hit = common.passes(copied.value, batch.column(3).to_numpy())
-                batch = batch.filter(pa.array(hit == want)).select(["doc_id", "key", "signatures"])
-                if batch.num_rows:
-                    yield batch
-        return run
+    def pick(batch: pa.RecordBatch, want: bool) -> pa.RecordBatch:
+        return batch.filter(pa.array(common.passes(copied.value, batch.column(3).to_numpy()) == want))
+
+    def unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = batch.column(2).to_pylist()
+        node = np.repeat(batch.column(0).to_numpy(), [len(p) // 8 for p in packed])
+        return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(packed), np.int64)), pa.array(node)],
+                                          names=["sig", "node"])
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pick(batch, True)
+
+    def of_singles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.rows_of(batches, 500):
+            yield unpacked(pick(batch, False))
+
+    def of_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.rows_of(batches, 500):
-            packed = batch.column(1).to_pylist()
-            node = np.repeat(batch.column(0).to_numpy(), [len(p) // 8 for p in packed])
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(packed), np.int64)), pa.array(node)],
-                                             names=["sig", "node"])
-
-    schema = "doc_id long, key long, signatures binary"
-    single = slotted.mapInArrow(only(False), schema).select("doc_id", "signatures")
-    several = slotted.mapInArrow(only(True), schema).groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures")).select("doc_id", "signatures")
-    rows = single.unionByName(several).mapInArrow(unpack, "sig long, node long")
+            yield unpacked(batch)
+
+    several = slotted.mapInArrow(of_copies, slotted.schema).groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.first("signatures").alias("signatures"))
+    rows = slotted.mapInArrow(of_singles, "sig long, node long").unionByName(
+        several.select("doc_id", "key", "signatures").mapInArrow(of_classes, "sig long, node long"))
     dealt = rows.repartition(common.n_partitions(spark), "sig").sortWithinPartitions("sig", "node")
     return dealt.mapInArrow(_runs, "sig long, leader long, node long")
 
@@ -252,8 +257,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def set_bins(h: np.ndarray) -> np.ndarray:
-    """How many features fall in each of equal ranges of the hash space: about two a range, a byte for each."""
-    bits = max(6, int(len(h)).bit_length() - 1)
+    """How many features fall in each of equal ranges of the hash space, one or two ranges a feature, a byte each."""
+    bits = max(6, int(len(h)).bit_length())
     while True:
         counts = np.bincount((h >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
         if counts.max() < 256:
@@ -339,7 +344,9 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(DEN * both >= NUM * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = sets.withColumn("slot", common.filter_slot("node")).mapInArrow(used, "node long, n int, data binary")
+    # Written: else a task might run this step and the next in Python workers of their own, side by side.
+    sets = common.materialise(sets.withColumn("slot", common.filter_slot("node")).mapInArrow(
+        used, "node long, n int, data binary"), "partenum-used")
     return _with_data(pairs, sets).select("a", "b", "da", "db").mapInArrow(verify, "a long, b long").distinct()
 
 
@@ -350,57 +357,108 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select("a", "b")
 
 
-def across(found: DataFrame, labels: DataFrame, bins: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components inside one run, but for its first set, that sizes and bins allow.
+def open_groups(found: DataFrame, labels: DataFrame, bins: DataFrame) -> DataFrame:
+    """(run, g1, g2, node, of): the sets of a run, but for its first, that may link to one of another component.
 
     A run's first set has met every other one of it as a star. Of runs with the
-    same sets one is searched. Runs of more than BLOCK sets are cut in blocks,
-    and every two blocks of a run meet in a group of their own.
+    same sets one is searched. Runs with more than BLOCK features are cut in
+    blocks, and every two blocks of a run meet in a group of their own.
     """
     spark = found.sparkSession
     label = labels.select(F.col("node"), F.col("component").alias("of"))
-    members = found.select("sig", "node").join(label, "node", "left").withColumn("of", F.coalesce("of", "node"))
-    open_runs = members.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("n_sets"), F.min("of").alias("lo"), F.max("of").alias("hi"),
+    members = (found.select("sig", "node").join(label, "node", "left").withColumn("of", F.coalesce("of", "node"))
+               .join(bins.select("node", "n"), "node"))
+    runs = members.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("n_sets"), F.sum("n").alias("features"), F.min("of").alias("lo"), F.max("of").alias("hi"),
         F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
-    open_runs = open_runs.filter("lo <> hi").groupBy("n_sets", "h1", "h2").agg(F.min("sig").alias("sig")).select(
-        "sig", F.ceil(F.col("n_sets") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = (members.join(open_runs, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    runs = runs.filter("lo <> hi").groupBy("n_sets", "h1", "h2").agg(
+        F.min_by("features", "sig").alias("features"), F.min("sig").alias("run")).select(
+        F.col("run").alias("sig"), F.ceil(F.col("features") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = (members.join(runs, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-             .select("sig", F.least("block", "other").alias("g1"), F.greatest("block", "other").alias("g2"), "node", "of"))
-    grouped = dealt.join(bins, "node").select("sig", "g1", "g2", "node", "of", "n", "data").repartition(
-        common.n_partitions(spark), "sig", "g1", "g2").sortWithinPartitions("sig", "g1", "g2", "node")
-    return grouped.mapInArrow(_across, "a long, b long").distinct()
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (sig, g1, g2, node, component, size, bins) in order: the pairs to look at in each group."""
-    held: list[tuple] = []
-    group = None
-
-    def pairs() -> Iterator[pa.RecordBatch]:
-        node, of, n = (np.array([r[i] for r in held], np.int64) for i in (0, 1, 2))
-        if len(held) < 2 or (of == of[0]).all():
-            return
-        counts = [np.frombuffer(r[3], np.uint8) for r in held]
-        width = min(map(len, counts))
-        bins = np.stack([folded(c, width) for c in counts])
-        for i in range(len(held) - 1):
-            later = np.flatnonzero((of[i + 1:] != of[i]) & (np.minimum(n[i + 1:], n[i]) * DEN
-                                                            >= np.maximum(n[i + 1:], n[i]) * NUM)) + i + 1
-            most = np.minimum(bins[later], bins[i]).sum(axis=1)
-            later = later[(DEN + NUM) * most >= NUM * (n[later] + n[i])]
-            if len(later):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(later), node[i])), pa.array(node[later])],
-                                                 names=["a", "b"])
+             .select(F.col("sig").alias("run"), F.least("block", "other").alias("g1"),
+                     F.greatest("block", "other").alias("g2"), "node", "of", "block"))
+    return _by_group(dealt, bins).mapInArrow(_in_groups(_doubtful), "run long, g1 int, g2 int, node long, of long, block int")
 
-    for batch in batches:
-        for sig, g1, g2, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            if (sig, g1, g2) != group:
-                yield from pairs()
-                group, held = (sig, g1, g2), []
-            held.append(tuple(row))
-    yield from pairs()
+
+def spanning_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between sets of a group, verified on whole sets until those that link are in one component."""
+    return _by_group(groups, sets).mapInArrow(_in_groups(_spanning), "a long, b long").distinct()
+
+
+def _by_group(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    rows = rows.join(sets, "node").select("run", "g1", "g2", "node", "of", "block", "n", "data")
+    return rows.repartition(common.n_partitions(rows.sparkSession), "run", "g1", "g2").sortWithinPartitions(
+        "run", "g1", "g2", "node")
+
+
+class _Group:
+    """The sets of one group; which later ones a set may link to."""
+
+    def __init__(self, key: tuple, rows: list[tuple], bins: list[np.ndarray]):
+        self.key = key
+        self.node, self.of, self.block, self.n = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+        width = min(map(len, bins))
+        self.bins = np.stack([folded(b, width) for b in bins])
+
+    def partners(self, i: int) -> np.ndarray:
+        n, m = self.n[i], self.n[i + 1:]
+        later = np.flatnonzero((self.of[i + 1:] != self.of[i]) & (np.minimum(m, n) * DEN >= np.maximum(m, n) * NUM)
+                               & ((self.block[i + 1:] != self.block[i]) | (self.key[1] == self.key[2]))) + i + 1
+        most = np.minimum(self.bins[later], self.bins[i]).sum(axis=1)
+        return later[(DEN + NUM) * most >= NUM * (self.n[later] + n)]
+
+
+def _in_groups(search):
+    """Batches in group order -> what ``search`` makes of the rows of each group that spans several components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        key: tuple = ()
+        for batch in batches:
+            for k0, k1, k2, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (k0, k1, k2) != key:
+                    if len({r[1] for r in held}) > 1:
+                        yield from search(key, held)
+                    key, held = (k0, k1, k2), []
+                held.append(tuple(row))
+        if len({r[1] for r in held}) > 1:
+            yield from search(key, held)
+
+    return run
+
+
+def _doubtful(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The sets of a group that bins do not rule out against all others."""
+    g = _Group(key, rows, [np.frombuffer(r[4], np.uint8) for r in rows])
+    hit = np.zeros(len(rows), bool)
+    for i in range(len(rows) - 1):
+        later = g.partners(i)
+        hit[later] = True
+        hit[i] |= len(later) > 0
+    if hit.any():
+        k = int(hit.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(k, key[0])), pa.array(np.full(k, key[1], np.int32)), pa.array(np.full(k, key[2], np.int32)),
+             pa.array(g.node[hit]), pa.array(g.of[hit]), pa.array(g.block[hit].astype(np.int32))],
+            names=["run", "g1", "g2", "node", "of", "block"])
+
+
+def _spanning(key: tuple, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Links between components of a group; a link joins the two, so at most one fewer than there are components."""
+    sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+    g = _Group(key, rows, [set_bins(h) for h in sets])
+    a, b = [], []
+    for i in range(len(rows) - 1):
+        for j in g.partners(i).tolist():
+            if g.of[i] != g.of[j]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if DEN * both >= NUM * (len(sets[i]) + len(sets[j]) - both):
+                    a.append(g.node[i])
+                    b.append(g.node[j])
+                    g.of[g.of == g.of[j]] = g.of[i]
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)), pa.array(np.array(b, np.int64))], names=["a", "b"])
 
 
 # --- the join -----------------------------------------------------------------------------------------
@@ -427,7 +485,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     each = common.materialise(packed.select("doc_id", "n_shingles", "key"), "partenum-docs")
     classes = common.materialise(each.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "partenum-classes")
-    common.batch_rows(spark, 20_000)
+    common.batch_rows(spark, 5_000)
     found = common.materialise(stars(packed, classes), "partenum-stars")
     common.batch_rows(spark)
     delete_path(spark, path, scratch_root(spark))  # the signatures are not needed again
@@ -441,9 +499,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     first = common.materialise(links(pairs.groupBy("b").agg(F.min("a").alias("a")), sets), "partenum-links")
     second = common.materialise(links(_apart(pairs, components(first)), sets), "partenum-links")
     every = first.unionByName(second)
-    further = common.materialise(across(found, components(every), bins), "partenum-across")
-    sets = common.materialise(node_sets(docs, nodes_of(further), whole=True), "partenum-features")
-    third = common.materialise(links(further, sets), "partenum-links")
+    groups = common.materialise(open_groups(found, components(every), bins), "partenum-groups")
+    sets = common.materialise(node_sets(docs, groups.select("node").distinct(), whole=True), "partenum-features")
+    third = common.materialise(spanning_links(groups, sets), "partenum-links")
     labels = components(every.unionByName(third))
 
     # Only documents of classes with copies or links meet a row; the rest are their own component.

@@ -17,7 +17,6 @@ Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,7 +34,7 @@ MAGIC = b"TESSIDS1"
 BLOCK = 1 << 16
 HEADER, TRAILER = 16, 40
 #: Pieces of words that a worker keeps (about 40 bytes each) before it starts anew; only speed depends on it.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 500_000
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Letters (of ranges where every Unicode version has letters only), then signs that are pre-tokens of their own.
 LETTERS_AND_TAIL = "^(?P<stem>[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?P<tail>[.,!]*)$"
@@ -177,7 +176,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
-        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.last: np.ndarray | None = None  # by id: whether it ends a pre-token
         if suffix:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
