@@ -47,7 +47,7 @@ WORDS = 5
 NUM, DEN = 3, 4
 BAND_RATIO = 2.25
 #: The sample that tells frequent signatures: documents, and sample documents that make one frequent.
-SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 8_000, 6, 200_000
+SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 8_000, 3, 400_000
 #: Features of the sets of a run that are searched against each other at once: 16 MB.
 BLOCK = 1 << 21
 NULL_ID = -(1 << 63)
@@ -68,7 +68,7 @@ def bands(most: int) -> list[tuple[int, int, int]]:
     while low <= most:
         following = max(low + 1, int(np.ceil(low * BAND_RATIO)))
         high = (following - 1) * DEN // NUM  # the largest partner of the band's own sets
-        out.append((low, high, int(0.36 * high) + 24))
+        out.append((low, high, int(0.3 * high) + 16))
         low = following
     return out
 
