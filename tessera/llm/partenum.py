@@ -321,8 +321,11 @@ def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
                     for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    near = _with_data(pairs, bins).filter(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
-    return near.select("a", "b", "da", "db").mapInArrow(check, "a long, b long").distinct()
+    # Sizes first: a pair too far apart in size never carries its bins.
+    sizes = lambda c: bins.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"))
+    near = pairs.join(sizes("a"), "a").join(sizes("b"), "b").filter(
+        F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM).select("a", "b").distinct()
+    return _with_data(near, bins).select("a", "b", "da", "db").mapInArrow(check, "a long, b long").distinct()
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
