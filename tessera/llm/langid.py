@@ -3,8 +3,10 @@
 Each language has a 4-gram model over letters, other characters counting as
 one space. Counts come from all labelled documents, summed by Spark; lower
 orders count distinct left contexts. The models of all languages are sorted
-arrays of gram hashes side by side, so one look-up serves every language. A
-text goes to the language of lowest cross-entropy per character. A language's
+arrays of gram hashes side by side, so one look-up serves every language.
+Models of more than MAX_GRAMS counts stay in Spark: every count is in their
+tables, the bits of the grams taught most often are broadcast, and a text's
+other grams meet theirs in a join by gram. A text goes to the language of lowest cross-entropy per character. A language's
 texts of the calibration part set how high that may be for texts of about the
 same length; a text beyond is rejected, unless it is shorter than 32
 characters.
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 ORDER = 4
-#: Grams kept per model set, the most frequent first: the size bound of what is broadcast.
+#: Counts up to which the models are broadcast whole; beyond, the grams whose bits are: the most frequent first.
 MAX_GRAMS = 2_000_000
+#: Bits (grams x languages) of the broadcast part of larger models: 64 MB.
+MAX_BITS = 1 << 24
 MAX_LANGUAGES = 500
 #: Characters beyond which a longer text makes the score no surer.
 SURE_LENGTH = 64
@@ -233,6 +237,62 @@ class Models:
         return sums / np.diff(cuts)[:, None], np.diff(cuts), has
 
 
+class SpreadModels:
+    """The same models as Spark tables, for counts (lang, gram, n) too many for one broadcast.
+
+    ``levels``, from the highest order down: the mass of each gram and the
+    total and left-over share of each context, as maps by language number.
+    ``table`` and ``bits`` are as in ``Models``, for the grams of most counts.
+    """
+
+    def __init__(self, counts: DataFrame, langs: list[str]):
+        self.langs, self.levels = langs, []
+        number = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1
+        level = counts.select(number.cast("int").alias("l"), F.col("gram").alias("key"), "n")
+        for order in range(ORDER, 0, -1):
+            if order < ORDER:
+                level = common.materialise(level.groupBy("l", "key").agg(F.count(F.lit(1)).alias("n")), "lang-level")
+            seen = {r["l"]: r for r in level.groupBy("l").agg(
+                F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+                F.count(F.lit(1)).alias("kinds")).collect()}  # a row a language
+            discounts = [min(max(r["once"] / (r["once"] + 2 * r["twice"]), 0.1), 0.95) if r["once"] else 0.5
+                         for r in (seen[i] for i in range(len(langs)))]
+            discount = F.element_at(F.array(*[F.lit(float(d)) for d in discounts]), F.col("l") + 1)
+            by_lang = lambda c: F.map_from_entries(F.collect_list(F.struct("l", c)))
+            mass = level.select("key", "l", F.greatest(F.col("n") - discount, F.lit(0.0)).alias("mass"))
+            contexts = level.groupBy(F.shiftrightunsigned("key", 16).alias("context"), "l").agg(
+                F.sum("n").cast("double").alias("total"), F.count(F.lit(1)).alias("kinds")).select(
+                "context", "l", F.struct("total", (discount * F.col("kinds") / F.col("total")).alias("left")).alias("c"))
+            self.levels.append((
+                common.materialise(mass.groupBy("key").agg(by_lang("mass").alias("own")), "lang-mass"),
+                common.materialise(contexts.groupBy("context").agg(by_lang("c").alias("ctx")), "lang-contexts")))
+            level = level.select("l", F.col("key").bitwiseAND(F.lit((1 << (16 * (order - 1))) - 1)).alias("key"))
+        self.unseen = [1.0 / (seen[i]["kinds"] + 1) for i in range(len(langs))]
+        often = counts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(
+            max(1, min(MAX_GRAMS, MAX_BITS // len(langs)))).select("gram")
+        often = self.gram_bits(common.materialise(often, "lang-often")).toArrow().combine_chunks()
+        keys = often.column("gram").to_numpy().view(np.uint64)
+        self.table = HashArray(keys)
+        bits = often.column("bits").combine_chunks().flatten().to_numpy().reshape(len(keys), len(langs))
+        self.bits = np.concatenate([bits[self.table.order], np.zeros((1, len(langs)), np.float32)])
+
+    def gram_bits(self, grams_: DataFrame) -> DataFrame:
+        """Distinct ``grams_`` (gram) with their bits by language: each meets its own row of every level."""
+        rows = grams_.withColumn("p", F.array(*[F.lit(u) for u in self.unseen]))
+        for order in range(1, ORDER + 1):
+            own, contexts = self.levels[ORDER - order]
+            key = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)) if order < ORDER else F.col("gram")
+            # There are no more of these than characters.
+            own = F.broadcast(own) if order == 1 else own
+            contexts = F.broadcast(contexts) if order <= 2 else contexts
+            rows = rows.withColumn("key", key).join(own, "key", "left")
+            rows = rows.withColumn("context", F.shiftrightunsigned("key", 16)).join(contexts, "context", "left")
+            rows = rows.select("gram", F.expr(
+                "transform(p, (x, i) -> nvl(nvl(try_element_at(own, i), 0D) / try_element_at(ctx, i).total "
+                "+ try_element_at(ctx, i).left * x, x))").alias("p"))
+        return rows.select("gram", F.expr("transform(p, x -> cast(-log2(x) as float))").alias("bits"))
+
+
 def length_class(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(n, 1)).astype(int), 16)
 
@@ -242,20 +302,82 @@ def length_class(n: np.ndarray) -> np.ndarray:
 
 def _score(models: Models, texts: pa.Array, limits: dict | None) -> list[pa.Array]:
     """lang_pred, score, bits, length class and rejected of each text."""
-    bits, n, has = models.cross_entropy(texts)
+    return _judged(models.langs, *models.cross_entropy(texts), limits)
+
+
+def _judged(names: list[str], bits: np.ndarray, n: np.ndarray, has: np.ndarray, limits: dict | None) -> list[pa.Array]:
     best = np.argmin(bits, axis=1)
     low = bits[np.arange(len(best)), best]
     weight = np.exp2(-(bits - low[:, None]) * np.minimum(n, SURE_LENGTH)[:, None])
     score = np.where(has, 1 / weight.sum(axis=1), 0.0)
     kind = length_class(n)
-    langs = [models.langs[i] if ok else "und" for i, ok in zip(best, has)]
+    langs = [names[i] if ok else "und" for i, ok in zip(best, has)]
     out = ~has
     if limits is not None:
         out |= low > np.array([limits.get((lang, int(k)), np.inf) for lang, k in zip(langs, kind)])
     return [pa.array(langs), pa.array(score), pa.array(low), pa.array(kind.astype(np.int32)), pa.array(out)]
 
 
-def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
+JUDGED = "lang_pred string, score double, bits double, kind int, rejected boolean"
+
+
+def _judge_spread(docs: DataFrame, models: SpreadModels, limits: dict | None) -> DataFrame:
+    """``docs`` (text, ...) as _row, with what ``_score`` finds of each.
+
+    Equal texts (by two hashes) are scored once. Their frequent grams are
+    summed in the task; the others go by gram to a join with their bits, and
+    the sums come back by text.
+    """
+    spark = docs.sparkSession
+    names = models.langs
+    shared = spark.sparkContext.broadcast((models.table, models.bits))
+    text = F.coalesce("text", F.lit(""))
+    on = ["_h1", "_h2"]
+    docs = docs.select(F.struct(*docs.columns).alias("_row"), text.alias("_text"), F.xxhash64(text).alias("_h1"),
+                       F.xxhash64(F.lit(1), text).alias("_h2"))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, known = shared.value
+        for batch in common.rows_of(batches):
+            if not batch.num_rows:
+                continue
+            chars, offsets, has = normalised(*common.code_points(batch.column(2)))
+            keys, cuts = grams(chars, offsets)
+            sums, rare = np.zeros((batch.num_rows, len(names))), []
+            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+                found, times = np.unique(keys[a:b], return_counts=True)
+                at, hit = table.find(found)
+                sums[i] = times[hit] @ known[at[hit]].astype(np.float64)
+                rare.append([{"gram": g, "times": t} for g, t in zip(found[~hit].view(np.int64).tolist(), times[~hit].tolist())])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.diff(cuts)), pa.array(has), pa.array(list(sums), pa.list_(pa.float64())),
+                 pa.array(rare, pa.list_(pa.struct([("gram", pa.int64()), ("times", pa.int64())])))],
+                names=[*on, "n", "has", "sums", "rare"])
+
+    parts = common.materialise(docs.select(*on, "_text").mapInArrow(
+        part, "_h1 long, _h2 long, n long, has boolean, sums array<double>, rare array<struct<gram:long,times:long>>")
+        .dropDuplicates(on), "lang-parts")
+    rare = parts.select(*on, F.inline("rare"))
+    bits = common.materialise(models.gram_bits(rare.select("gram").distinct()), "lang-rare")
+    tails = rare.join(bits, "gram").groupBy(*on).agg(
+        F.array(*[F.sum(F.col("times") * F.col("bits")[i]) for i in range(len(names))]).alias("tail"))
+    whole = parts.select(*on, "n", "has", "sums").join(tails, on, "left").select(
+        *on, "n", "has", F.expr("transform(sums, (x, i) -> x + nvl(tail[i], 0D))").alias("sums"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n = batch.column(2).to_numpy()
+                sums = np.array(batch.column(4).to_pylist())
+                found = _judged(names, sums / n[:, None], n, batch.column(3).to_numpy(zero_copy_only=False), limits)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found],
+                                                 names=[*on, "lang_pred", "score", "bits", "kind", "rejected"])
+
+    judged = common.materialise(whole.mapInArrow(judge, f"_h1 long, _h2 long, {JUDGED}"), "lang-judged")
+    return docs.drop("_text").join(judged, on).drop(*on)
+
+
+def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | SpreadModels | None, dict]:
     """Models from the rows of ``labelled`` (text, lang) outside ``calibration``, limits from those inside.
 
     The limit of a language and length class lies far above the
@@ -268,10 +390,15 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
     counts = common.materialise(count_grams(labelled.filter(~calibration)), "lang-grams")
     if counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).toArrow()
-    if not top.num_rows:
+    n_counts = counts.count()
+    if not n_counts:
         return None, {}
-    models = Models(list(zip(*(c.to_pylist() for c in top.columns))))
+    if n_counts > MAX_GRAMS:
+        models = SpreadModels(counts, sorted(r[0] for r in counts.select("lang").distinct().collect()))
+        measured = _judge_spread(labelled.filter(calibration).select("text", "lang"), models, None).select(
+            "_row.lang", F.col("lang_pred").alias("pred"), "bits", "kind")
+        return models, _limits(models.langs, measured)
+    models = Models(list(zip(*(c.to_pylist() for c in counts.toArrow().columns))))
     shared = spark.sparkContext.broadcast(models)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,25 +410,32 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | None, dict]:
 
     measured = labelled.filter(calibration).select("text", "lang").mapInArrow(
         measure, "lang string, pred string, bits double, kind int")
+    return models, _limits(models.langs, measured)
+
+
+def _limits(langs: list[str], measured: DataFrame) -> dict:
+    """By language and length class, from the calibration texts as ``measured`` (lang, pred, bits, kind)."""
     cells = measured.filter("lang = pred").groupBy("lang", "kind").agg(
         F.expr("percentile_approx(bits, 0.999, 10000)").alias("high")).collect()  # languages x 17 rows at most
     seen = {(r["lang"], r["kind"]): r["high"] * 1.5 + 1 for r in cells}
     limits = {}
-    for lang in models.langs:
+    for lang in langs:
         own = sorted(k for lg, k in seen if lg == lang)
         for kind in range(LEAST_CLASS, 17 if own else 0):
             near = min((k for k in own if k >= kind), default=own[-1])
             limits[lang, kind] = seen[lang, near]
-    return models, limits
+    return limits
 
 
-def identify(docs: DataFrame, models: Models | None, limits: dict) -> DataFrame:
+def identify(docs: DataFrame, models: Models | SpreadModels | None, limits: dict) -> DataFrame:
     """``docs`` (text, ...) with lang_pred, score (0 to 1) and rejected."""
     spark = common.prepare(docs.sparkSession)
     own = ["lang_pred", "score", "rejected"]
     docs = docs.drop(*own)
     if models is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "rejected": F.lit(True)})
+    if isinstance(models, SpreadModels):
+        return _judge_spread(docs, models, limits).select("_row.*", *own)
     shared = spark.sparkContext.broadcast((models, limits))
     place = docs.columns.index("text")
     names = docs.columns + own

@@ -153,6 +153,21 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in untaught.collect()} == {"und"}
 
 
+def test_models_beyond_the_broadcast_bound_keep_every_count(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = documents(spark, ROWS + [
+        (100 + i, " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30)), "en", "s", 1) for i in range(60)]
+        + [(200 + i, "дом река камень облако", "ru", "s", 1) for i in range(6)])
+    whole = langid.identify(docs, *fit_language_models(docs)).collect()
+    monkeypatch.setattr(langid, "MAX_GRAMS", 50)  # the grams of the rare language are far below the first 50
+    spread = langid.identify(clashing(docs, "key", "n", "bits", "_h1"), *fit_language_models(docs)).collect()
+    order = lambda found: sorted(found, key=lambda r: repr((r.doc_id, r.text)))
+    assert len(spread) == len(whole) and {r.lang_pred for r in spread if (r.doc_id or 0) >= 200} == {"ru"}
+    for a, b in zip(order(whole), order(spread)):
+        assert (a.doc_id, a.text, a.lang_pred, a.rejected) == (b.doc_id, b.text, b.lang_pred, b.rejected)
+        assert a.score == pytest.approx(b.score, abs=1e-4)
+
+
 # --- toxicity ------------------------------------------------------------------------------------
 
 
