@@ -2,7 +2,8 @@
 
 1. language ID: documents that the models reject go (no letters, or unlike
    every language's own texts);
-2. near duplicates: of each group of similar documents the smallest doc_id stays;
+2. near duplicates: of each group of similar texts the row of smallest doc_id
+   stays; unlike texts all stay, whatever their doc_id;
 3. decontamination: benchmark passages are cut out of texts, and documents
    that are mostly benchmark go;
 4. mixing: sources are weighted by temperature; no document is lost, rare
@@ -40,7 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one_of_each(docs)
+    return keep_one_of_each(docs, one_row_an_id=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

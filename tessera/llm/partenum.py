@@ -23,10 +23,12 @@ none between different texts is lost and copies are not expanded into pairs.
 
 Nulls, empties, ties: a null, empty or wordless text has the empty set and
 links with nothing. A text of fewer words than a shingle has its whole word
-sequence as its one shingle. Rows of one doc_id are one document, linked by
-any of its texts; repeated rows get a row each. A null doc_id counts as the
-smallest and is returned as null. An empty table gives no rows. Other columns
-are ignored. Sets are known by 64-bit hashes of their shingles.
+sequence as its one shingle. Texts are linked first, as if every row had an id
+of its own; then rows of one doc_id are one document, linked by any of its
+texts. Repeated rows get a row each. A null doc_id joins no rows; it counts as
+the smallest and is returned as null. An empty table gives no rows. Other
+columns are ignored. Sets are known by 64-bit hashes of their shingles, rows by
+one of doc_id and text.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -56,7 +58,7 @@ _SPACE = np.ones(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = False
 _U = np.uint64
 
-SETS = "doc_id long, n_shingles int, key long, signatures binary"
+SETS = "doc_id long, id long, n_shingles int, key long, signatures binary"
 
 
 # --- bands --------------------------------------------------------------------------------------
@@ -150,8 +152,18 @@ def signatures(h: np.ndarray, frequent: np.ndarray | None) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+
+
+def _row() -> Column:
+    """The hash a row is known by until its links are found: unlike texts of one doc_id, or of none, are apart."""
+    return F.xxhash64(_id(), F.coalesce("text", F.lit("")))
+
+
 def _ids(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text")
+    """doc_id (of the row's own, by _row), text and id (the document's)."""
+    return docs.select(_row().alias("doc_id"), "text", _id().alias("id"))
 
 
 def frequent_signatures(docs: DataFrame) -> np.ndarray:
@@ -179,10 +191,10 @@ def class_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for batch in common.rows_of(batches):
             sets = shingle_sets(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in sets], pa.int32()),
+                [batch.column(0), batch.column(2), pa.array([len(h) for h in sets], pa.int32()),
                  pa.array([set_key(h) for h in sets], pa.int64()),
                  pa.array([signatures(h, shared.value).tobytes() if len(h) else b"" for h in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "key", "signatures"])
+                names=["doc_id", "id", "n_shingles", "key", "signatures"])
 
     return docs.mapInArrow(emit, SETS)
 
@@ -474,18 +486,18 @@ def _salted(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 1
     return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def similar_rows(docs: DataFrame) -> DataFrame:
+    """node (the row's hash), id, n_shingles and component (the smallest node of similar texts) of every row.
 
-    Links that would join documents already known to be in one component are
-    not looked for; every other candidate is.
+    Links that would join texts already known to be in one component are not
+    looked for; every other candidate is.
     """
     spark = common.prepare(docs.sparkSession)
     docs = _ids(docs)
     path = scratch_dir(spark, "partenum-sets")
     class_sets(docs, frequent_signatures(docs)).write.parquet(path)
     packed = spark.read.parquet(path)
-    each = common.materialise(packed.select("doc_id", "n_shingles", "key"), "partenum-docs")
+    each = common.materialise(packed.select("doc_id", "id", "n_shingles", "key"), "partenum-docs")
     classes = common.materialise(each.filter("n_shingles > 0").groupBy("key").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "partenum-classes")
     common.batch_rows(spark, 5_000)
@@ -507,31 +519,61 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     third = common.materialise(spanning_links(groups, sets), "partenum-links")
     labels = components(every.unionByName(third))
 
-    # Only documents of classes with copies or links meet a row; the rest are their own component.
+    # Only rows of classes with copies or links meet a row; the rest are their own component.
     known = (classes.join(labels, "node", "left").filter("copies > 1 or component is not null")
              .select("key", F.coalesce("component", "node").alias("component")))
-    rows = _salted(each, known, "key", "doc_id")
     own = (F.col("n_shingles") > 0) & F.col("component").isNotNull()
-    out = F.when(own, F.col("component")).otherwise(F.col("doc_id"))
+    return _salted(each, known, "key", "doc_id").select(
+        F.col("doc_id").alias("node"), "id", "n_shingles",
+        F.when(own, F.col("component")).otherwise(F.col("doc_id")).alias("component"))
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the smallest doc_id of what its document is linked to."""
+    common.prepare(docs.sparkSession)
+    found = common.materialise(similar_rows(docs), "partenum-components")
+    linking = found.filter(f"n_shingles > 0 and id <> {NULL_ID}")
+    # Texts of one doc_id in several components join these.
+    several = linking.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    joined = components(linking.join(several.select("id", "a"), "id").select("a", F.col("component").alias("b")))
+    least = (found.filter("n_shingles > 0").groupBy("component").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+             .join(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left"))
+    least = common.materialise(least.filter("n > 1 or whole is not null"), "partenum-least")
+    wholes = least.filter("whole is not null").groupBy("whole").agg(F.min("least").alias("of_whole"))
+    least = least.join(wholes, "whole", "left").select("component", F.coalesce("of_whole", "least").alias("least"))
+    rows = _salted(found, least, "component", "node")
+    out = F.when((F.col("n_shingles") > 0) & F.col("least").isNotNull(), F.col("least")).otherwise(F.col("id"))
     shown = lambda c: F.when(c != NULL_ID, c)
-    return rows.select(shown(F.col("doc_id")).alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
+    return rows.select(shown(F.col("id")).alias("doc_id"), F.col("n_shingles").cast("long").alias("n_shingles"),
                        shown(out).alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of smallest doc_id of each group of similar ones, and one row of each doc_id.
+def keep_one_of_each(docs: DataFrame, one_row_an_id: bool = True) -> DataFrame:
+    """``docs`` with one row of each group of similar texts: that of smallest doc_id, whatever its other rows.
 
-    Of rows that share a doc_id the smallest by text stays. Only texts of
-    documents that may have to go (told by a row filter of fixed size) are
+    Rows of unlike texts all stay, also those without a doc_id; with
+    ``one_row_an_id``, of the rows that stay each doc_id keeps one. Rows without
+    a word are like no other, but one that repeats a doc_id and text goes. Only
+    texts of rows that may have to go (told by a row filter of fixed size) are
     shuffled to meet the answer; all others go straight on.
     """
-    found = common.materialise(similar_documents(docs), "partenum-components")
-    ids = found.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_node"),
-                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stays"))
-    ids = common.materialise(ids.groupBy("_node").agg(F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays")),
-                             "partenum-kept")
+    common.prepare(docs.sparkSession)
+    found = common.materialise(similar_rows(docs), "partenum-components")
+    # Without words and without an id: no two of these are the same document.
+    alone = (F.col("n_shingles") == 0) & (F.col("id") == NULL_ID)
+    groups = found.groupBy("component").agg(F.min(F.struct("id", "node")).alias("stays"), F.count(F.lit(1)).alias("n"),
+                                            F.max(alone).alias("alone"))
+    groups = common.materialise(groups.select("stays.id", "stays.node", "n", "alone"), "partenum-kept")
+    stays = groups
+    if one_row_an_id:
+        stays = groups.filter(f"id <> {NULL_ID}").groupBy("id").agg(F.min(F.struct("node", "alone")).alias("x")).select(
+            "x.node", "x.alone").unionByName(groups.filter(f"id = {NULL_ID}").select("node", "alone"))
+        stays = common.materialise(stays, "partenum-kept")
+    staying = stays.select("node", F.lit(True).alias("stays"))
+    going = found.select("node").distinct().join(staying, "node", "left").filter("stays is null").select("node")
+    repeated = groups.filter("n > 1 and not alone").select("node")
     doubtful = docs.sparkSession.sparkContext.broadcast(common.row_filter(
-        ids.filter("n > 1 or not stays").select(common.filter_slot("_node").alias("slot"))))
+        going.unionByName(repeated).select(common.filter_slot("node").alias("slot"))))
 
     def only(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,12 +582,12 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(hit == want)).select(list(range(1, batch.num_columns)))
         return run
 
-    node = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    slotted = docs.withColumn("_node", node).select(common.filter_slot("_node").alias("_slot"), *docs.columns)
+    slotted = docs.withColumn("_node", _row()).select(common.filter_slot("_node").alias("_slot"), *docs.columns)
     sure = slotted.mapInArrow(only(False), docs.schema)
-    rows = slotted.mapInArrow(only(True), docs.schema).withColumn("_node", node).join(
-        ids.filter("stays").select("_node"), "_node")
+    rows = slotted.mapInArrow(only(True), docs.schema).withColumn("_node", _row()).join(
+        stays.select(F.col("node").alias("_node"), F.col("alone").alias("_alone")), "_node")
+    rows = rows.withColumn("_each", F.when(F.col("_alone"), F.monotonically_increasing_id()))
     # Rows lie sorted by _node after the join, so this is one pass over them.
     columns = [c for c in docs.columns if c != "text"]
-    first = rows.groupBy("_node").agg(F.min(F.struct("text", *columns)).alias("row"))
+    first = rows.groupBy("_node", "_each").agg(F.min(F.struct("text", *columns)).alias("row"))
     return sure.unionByName(first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

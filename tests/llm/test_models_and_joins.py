@@ -82,6 +82,25 @@ def test_similar_documents_edges(spark):
     assert sorted(str(r[0]) for r in kept) == sorted(str(d) for d in {r[0] for r in ROWS} - {5})
 
 
+def test_texts_of_a_shared_or_missing_id_are_decided_one_by_one(spark):
+    import corpus_pipeline as P
+
+    a, b, c, d = ("the first text of the four has words of its own kind", "x second one is unlike the first in every word it has",
+                  "and here a third text that nobody else repeats at all", "last of all comes this fourth text which is alone too")
+    docs = documents(spark, [(i, t, None, None, 0) for i, t in (
+        (3, a), (5, a), (5, b), (9, b), (11, c), (11, c), (None, d), (None, c + " more"), (None, ""), (None, ""), (12, ""), (12, ""))])
+    docs = clashing(docs, "node", "id", "stays", "component")
+    got = rows(partenum.similar_documents(docs), "doc_id", "component_id")
+    # 3 - 5 - 9 by the two texts of 5; the rows without an id are not one document
+    assert got == sorted([(3, 3), (5, 3), (5, 3), (9, 3), (11, None), (11, None)] + [(None, None)] * 4 + [(12, 12)] * 2, key=repr)
+    kept = rows(P.near_duplicates(spark, docs, SMOKE), "doc_id", "text")
+    assert kept == sorted([(3, a), (5, b), (None, d), (None, c + " more"), (None, ""), (None, ""), (12, "")], key=repr)
+    same_id = documents(spark, [(i, t, None, None, 0) for i, t in [(7, a), (7, b), (7, c), (7, b)]])
+    assert rows(P.near_duplicates(spark, same_id, SMOKE), "text") == sorted([(a,), (b,), (c,)])
+    assert rows(partenum.similar_documents(same_id), "component_id") == [(7,)] * 4
+    assert partenum.keep_one_of_each(same_id).count() == 1
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 8, 13, 30, 100, 777, 5000])
 def test_similar_sets_always_share_a_signature(size):
     rng = np.random.default_rng(size)
