@@ -172,8 +172,8 @@ class Features:
             marks = insults + list(terms)
             near = 0
             if marks and second:
-                where = np.array(second)
-                near = sum(bool(np.any(np.abs(where - m) <= NEAR)) for m in marks[:1000])
+                where, each = np.sort(second), np.array(marks)
+                near = int((np.searchsorted(where, each + NEAR, "right") > np.searchsorted(where, each - NEAR)).sum())
             disguised = 0
             if n["inner"][i]:
                 again = self.hits(DISGUISED.sub(lambda m: DISGUISES[m[0]], low))

@@ -229,6 +229,16 @@ def test_features_count_what_they_say():
     assert (f.rows(pa.array(["", None])) == 0).all()
 
 
+def test_marks_near_the_second_person_are_counted_to_the_end_of_a_long_text():
+    f = toxicity.Features({"bad": 4.0})
+    far = "idiot " + "-" * 60
+    text = far * 1200 + "you are an idiot" + "-" * 60 + "bad, you! " + "-" * 60 + far * 5 + "bad" + "-" * 60
+    insults, terms, second = f.hits(text)
+    near = sum(any(abs(w - m) <= toxicity.NEAR for w in second) for m in insults + list(terms))
+    assert len(insults) > 1000 and near == 2
+    assert dict(zip(toxicity.FEATURES, f.rows(pa.array([text]))[0]))["near_second"] == pytest.approx(np.log1p(near))
+
+
 # --- pipeline ------------------------------------------------------------------------------------
 
 
