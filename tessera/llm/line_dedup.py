@@ -1,9 +1,10 @@
 """Line de-duplication by hashed keys and per-document keep bitmaps, in DataFrame operations only.
 
 Line hashes are range-partitioned with documents and positions as the
-secondary order, so a line that every document has is spread over many tasks.
-Each range streams the first occurrence of every (line, document); these are
-counted per line. What comes back to the documents are bitmaps, never text: 62
+secondary order, so a line that every document has is spread over many tasks,
+and written. A hash aggregation over what was written, with a shuffle of its
+own, finds the first occurrence of every (line, document); it does not use the
+order. These are counted per line. What comes back to the documents are bitmaps, never text: 62
 lines to a word, and only words with a dropped line are stored.
 
 Nulls, empties, ties: null and empty texts have one empty line. Lines whose key
