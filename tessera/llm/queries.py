@@ -110,10 +110,48 @@ def op10_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> D
     return report(common.table(spark, sf_dir, "documents"), build(common.table(spark, sf_dir, "benchmark")))
 
 
+def op11_hilbert_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.zone_clusters import cluster
+
+    return cluster(common.table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed="3")
+
+
+def op12_prefix_radix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.prefix_trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(common.table(spark, sf_dir, "conversations")))
+
+
+def op13_lpf_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.suffix_dedup import dedup_passages
+
+    cut = dedup_passages(common.table(spark, sf_dir, "documents"), min_bytes=200, keep_first=False)
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return cut.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _rounds(n: int) -> str:
+    """CTEs of n rounds of exact integer clustering over x (r, j, x) from the centroids c0 (c, j, x)."""
+    out = []
+    for i in range(n + 1):
+        out.append(f"""a{i} AS MATERIALIZED (
+            SELECT r, arg_min(c, (distance, c)) AS c, min(distance) AS distance FROM (
+                SELECT v.r, c.c, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance FROM x v JOIN c{i} c ON v.j = c.j GROUP BY ALL)
+            GROUP BY r)""")
+        if i < n:
+            out.append(f"""c{i + 1} AS MATERIALIZED (
+            SELECT c, j, coalesce(s.x, o.x) AS x FROM c{i} o LEFT JOIN (
+                SELECT a.c, v.j, ((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+                FROM a{i} a JOIN x v ON a.r = v.r GROUP BY a.c, v.j) s USING (c, j))""")
+    return ",\n        ".join(out)
+
+
 QUERIES = {q.__name__: q for q in (
     op1_closed_syncmers, op2_temperature_mixing, op3_warc, op4_chat_format, op5_gbt_toxicity,
     op6_line_dedup, op7_partenum_join,
-    op8_kneser_ney_langid, op9_packed_ids, op10_suffix_automaton_decontamination)}
+    op8_kneser_ney_langid, op9_packed_ids, op10_suffix_automaton_decontamination,
+    op11_hilbert_zone_clusters, op12_prefix_radix_trie, op13_lpf_passages)}
 
 ORACLE = {
     "op3_warc": """
@@ -169,4 +207,63 @@ ORACLE = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    "op11_hilbert_zone_clusters": f"""
+        WITH e AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: greatest(least(floor(1024 * x::DOUBLE), 134217728), -134217728)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        x AS MATERIALIZED (SELECT r, unnest(range(1, 65)) AS j, unnest(v) AS x FROM e),
+        s AS (SELECT v, row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c
+              FROM e QUALIFY c < 8),
+        c0 AS MATERIALIZED (SELECT c::INTEGER AS c, unnest(range(1, 65)) AS j, unnest(v) AS x FROM s),
+        {_rounds(10)},
+        h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c10 GROUP BY c)
+        SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a10 JOIN e USING (r) JOIN h USING (c)""",
+    "op12_prefix_radix_trie": r"""
+        WITH RECURSIVE t AS MATERIALIZED (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (  -- one bit of crc32 a step
+            SELECT DISTINCT conv_id, conv_id::VARCHAR AS s, 0 AS i, 4294967295::BIGINT AS v FROM t
+            UNION ALL
+            SELECT conv_id, s, i + 1, xor(w >> 1, (w & 1) * 3988292384)
+            FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(v, ascii(s[i // 8 + 1])::BIGINT) ELSE v END AS w FROM crc WHERE i < 8 * length(s))),
+        h AS MATERIALIZED (SELECT conv_id, xor(v, 4294967295) % 4 AS h FROM crc WHERE i = 8 * length(s)),
+        r AS (SELECT h.conv_id, 0 AS own, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 20 AND pos <= h
+              UNION ALL SELECT h.conv_id, 1, pos, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND pos > h),
+        d AS (SELECT conv_id, row_number() OVER w AS depth, sha256(length(role)::VARCHAR || ':' || role || text)[:32] AS id,
+                     len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
+        p AS MATERIALIZED (
+            SELECT conv_id, depth, words, string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM d
+            UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+        n AS MATERIALIZED (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words FROM p GROUP BY ALL),
+        k AS (SELECT path[:-33] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+        f AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+        u AS (SELECT path[:32 * a] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+              FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM f) GROUP BY ALL),
+        e AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+              FROM (SELECT conv_id, arg_max(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path)
+        SELECT f.conv_id, f.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+               f.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+               coalesce(ends, sha256('')) AS ends_sha256
+        FROM f JOIN u USING (path) LEFT JOIN e USING (path) LEFT JOIN n up ON f.depth > 0 AND up.path = f.path[:-33]""",
+    "op13_lpf_passages": """
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x, length(x) // 2 AS n FROM documents),
+        s AS (SELECT r, o, x[2 * o + 1 : 2 * o + 2398] AS part FROM (SELECT r, x, unnest(range(0, n, 1000)) AS o FROM d WHERE n >= 200)),
+        p AS MATERIALIZED (
+            SELECT r, o + i AS p, md5_number(part[2 * i + 1 : 2 * i + 400]) AS h
+            FROM (SELECT r, o, part, unnest(range(0, least(1000, length(part) // 2 - 199))) AS i FROM s)),
+        m AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM p SEMI JOIN (SELECT h FROM p GROUP BY h HAVING count(*) > 1) USING (h)),
+        g AS (SELECT r, p, sum(CASE WHEN before IS NULL OR p > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run FROM m),
+        v AS (SELECT r, run, min(p) AS a, max(p) + 200 AS b FROM g GROUP BY r, run),
+        k AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS since FROM v),
+        c AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                     string_agg(x[2 * since + 1 : 2 * a], '' ORDER BY a) AS kept FROM k JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(CASE WHEN c.r IS NULL THEN x ELSE kept || x[2 * last + 1 : 2 * n] END)) AS kept_sha256
+        FROM d LEFT JOIN c USING (r)""",
 }
