@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import posixpath
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,14 @@ REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__fi
 BATCH_ROWS = 1000
 #: Rows that numpy code handles at once: its arrays take up to a hundred bytes a character.
 ROWS_AT_ONCE = 250
+#: Bytes of one such batch, so that long texts come in fewer rows.
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Small Arrow batches (texts are long) and this package on the Python workers' path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.sparkContext.environment.setdefault("PYTHONPATH", REPO_ROOT)
     return spark
 
@@ -151,26 +156,62 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 # --- order ------------------------------------------------------------------------------------
 
 
-def ordered_buckets(df: DataFrame, key: str, weight: Column, n: int) -> Column:
-    """An int column: the bucket (0..n-1) of each row, ascending with the integer ``key``.
+#: Sampled rows a bucket from which the bounds of buckets are taken, and bytes of a text that tell rows of one id apart.
+SAMPLES_A_BUCKET, PREFIX = 128, 64
 
-    Null keys come first. The key range is cut into equal cells, whose weights
-    are summed by Spark (at most 64 cells per bucket reach the driver); runs of
-    cells of about equal weight form the buckets. Rows of a key share a bucket.
+
+def _order_key(ids: np.ndarray, known: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+    out = np.empty(len(ids), [("known", "?"), ("id", "i8"), ("prefix", f"S{PREFIX}")])
+    out["known"], out["id"], out["prefix"] = known, ids, prefixes
+    return out
+
+
+def _places(bounds: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the sorted ``bounds`` lie below each key, and how many are equal to it."""
+    _, ranks = np.unique(np.concatenate([bounds, keys]), return_inverse=True)
+    ranks = ranks.ravel()
+    of, mine = ranks[: len(bounds)], ranks[len(bounds):]
+    below = np.searchsorted(of, mine, "left")
+    return below, np.searchsorted(of, mine, "right") - below
+
+
+def ordered_buckets(df: DataFrame, key: str, text: str, n: int) -> Column:
+    """An int column: the bucket (0..n-1) of each row, ascending with the integer ``key`` (nulls first), then ``text``.
+
+    Bounds are quantiles of (key, first bytes of the text) over a bounded
+    sample of rows, each weighted by its bytes, so buckets hold about equal
+    text however the keys lie, and rows of one key may span buckets. Rows that
+    agree in key and first bytes and are too many for one bucket are dealt to
+    all that lie between the same bounds: among these alone texts are not in
+    order. The sample sets the load of a bucket, never the order or the rows.
     """
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None:
+    id_ = F.coalesce(F.col(key).cast("long"), F.lit(0))
+    known = F.col(key).isNotNull()
+    prefix = F.substring(F.coalesce(F.col(text), F.lit("")).cast("binary"), 1, PREFIX)
+    rows = df.count()
+    share = min(1.0, SAMPLES_A_BUCKET * n / max(rows, 1))
+    sample = df.select(id_.alias("id"), known.alias("known"), prefix.alias("prefix"),
+                       (F.coalesce(F.octet_length(text), F.lit(0)) + PREFIX).alias("weight"))
+    sample = (sample if share == 1.0 else sample.sample(share, seed=7)).toArrow()
+    if not sample.num_rows or n == 1:
         return F.lit(0)
-    cells = min(64 * n, hi - lo + 1)
-    width = -(-(hi - lo + 1) // cells)
-    cell = F.expr(f"cast((`{key}` - {lo}) div {width} as int)")
-    found = {r[0]: int(r[1] or 0) for r in df.filter(F.col(key).isNotNull()).groupBy(cell).agg(F.sum(weight)).collect()}
-    weights = np.array([found.get(i, 0) + 1 for i in range(cells)], dtype=np.float64)
-    before = np.cumsum(weights) - weights
-    buckets = np.minimum((before * n / weights.sum()).astype(int), n - 1)
-    lookup = F.array(*[F.lit(int(b)) for b in buckets]) if cells <= 256 else \
-        F.from_json(F.lit(str(buckets.tolist())), "array<int>")
-    return F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.element_at(lookup, cell + 1))
+
+    def keys_of(ids: pa.Array, known: pa.Array, prefix: pa.Array) -> np.ndarray:
+        return _order_key(ids.to_numpy(zero_copy_only=False), known.to_numpy(zero_copy_only=False),
+                          np.array(prefix.to_pylist(), f"S{PREFIX}"))
+
+    keys = keys_of(*(sample.column(c).combine_chunks() for c in ("id", "known", "prefix")))
+    order = np.argsort(keys, order=("known", "id", "prefix"))
+    weights = sample.column("weight").to_numpy().astype(np.float64)[order]
+    at = np.searchsorted(np.cumsum(weights), weights.sum() * np.arange(1, n) / n)
+    bounds = keys[order][np.minimum(at, len(order) - 1)]
+
+    def place(ids: pa.Array, known: pa.Array, prefix: pa.Array, salt: pa.Array) -> pa.Array:
+        below, equal = _places(bounds, keys_of(ids, known, prefix))
+        return pa.array((below + salt.to_numpy() % (equal + 1)).astype(np.int32))
+
+    place.__annotations__ = {"ids": pa.Array, "known": pa.Array, "prefix": pa.Array, "salt": pa.Array, "return": pa.Array}
+    return F.arrow_udf(place, "int")(id_, known, prefix, F.monotonically_increasing_id())
 
 
 # --- files in the shared folder -----------------------------------------------------------------
@@ -227,6 +268,26 @@ def batch_rows(spark: SparkSession, n: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
+def released(fn):
+    """A function over batches that hands the memory it freed back to the machine when its task ends.
+
+    Workers are reused: what one stage's arrays took would otherwise stay with
+    an idle worker beside the next stage's.
+    """
+
+    @wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], size: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``size`` rows."""
     for b in batches:

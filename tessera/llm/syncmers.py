@@ -141,7 +141,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = common.prepare(docs.sparkSession)
     n = common.n_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bucket = common.ordered_buckets(rows, "doc_id", F.octet_length("text").cast("long"), n)
+    bucket = common.ordered_buckets(rows, "doc_id", "text", n)
     rows = rows.withColumn("bucket", bucket)
     # The first document of each range: at most n, found by id before any text is read.
     ids = rows.groupBy("bucket").agg(F.min(F.struct("doc_id")).alias("first"))

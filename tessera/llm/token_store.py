@@ -36,8 +36,8 @@ HEADER, TRAILER = 16, 40
 #: Pieces of words that a worker keeps (about 40 bytes each) before it starts anew; only speed depends on it.
 CACHE_PIECES = 500_000
 MAX_TOKENIZER_BYTES = 64 << 20
-#: Letters (of ranges where every Unicode version has letters only), then signs that are pre-tokens of their own.
-LETTERS_AND_TAIL = "^(?P<stem>[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)(?P<tail>[.,!]*)$"
+#: Code points that may count as letters, and signs that may be pre-tokens of their own; the tokenizer tells which do.
+MAY_BE_LETTERS, SIGNS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x250)])), ".,!"
 
 MANIFEST = "bucket int, path string, n_docs long, n_ids long, n_bytes long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -164,9 +164,10 @@ class WordEncoder:
 
     A text's ids are then those of its words, end to end, so Arrow finds the
     distinct words of a batch and only those are looked up. Full stops, commas
-    and exclamation marks after letters are pre-tokens of their own, and ASCII
-    capitals are lower-cased by the tokenizer, so a word is looked up as its
-    lower-cased letters (stem) and the signs after them (tail). What has been
+    and exclamation marks are pre-tokens of their own after letters that the
+    tokenizer keeps as one letter, and ASCII capitals are lower-cased by it, so
+    a word of such letters is looked up as its lower-cased letters (stem) and
+    the signs after them (tail). What has been
     encoded is kept by the worker process for later batches.
     """
 
@@ -182,8 +183,24 @@ class WordEncoder:
             vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.letters_and_tail = self._pattern()
         self._forget()
 
+    def _pattern(self) -> str:
+        """A word of letters that no sign after them changes, and the signs. A letter that the tokenizer turns
+        into a letter and a mark joins what follows, so it is left out."""
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        tails = {t: ids(t) for t in (*SIGNS, SIGNS, SIGNS[::-1], SIGNS[0] * 3)}
+        normalizer = self.tokenizer.normalizer
+
+        def safe(c: str) -> bool:
+            shown = normalizer.normalize_str(c) if normalizer else c
+            return len(shown) == 1 and shown.isalpha() and all(
+                ids(f"{word}{t}") == ids(word) + tail for word in (c, f"a{c}", f"{c}a") for t, tail in tails.items())
+
+        safe_letters = "".join(c for c in MAY_BE_LETTERS if safe(c))
+        return f"^(?P<stem>[{safe_letters}]+)(?P<tail>[{SIGNS}]*)$" if safe_letters else "^(?P<stem>a^)(?P<tail>b^)$"
+
     @classmethod
     def of(cls, spec: bytes) -> "WordEncoder":
         """One encoder per worker process and tokenizer."""
@@ -250,7 +267,7 @@ class WordEncoder:
         split = pc.split_pattern(texts, " ")
         words = split.flatten().dictionary_encode()
         kinds = pc.ascii_lower(words.dictionary)
-        cut = pc.extract_regex(kinds, LETTERS_AND_TAIL)
+        cut = pc.extract_regex(kinds, self.letters_and_tail)
         plain = cut.is_valid()
         # A word that is not letters and signs is one piece, as it stands.
         others = words.dictionary.filter(pc.invert(plain))
@@ -314,6 +331,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     width = bits_for(max(vocabulary - 1, end_id))
     shared = spark.sparkContext.broadcast(spec)
 
+    @common.released
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, path, bucket = WordEncoder.of(shared.value), None, "", 0
         for batch in batches:
@@ -333,9 +351,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
                 names=["bucket", "path", "n_docs", "n_ids", "n_bytes"])
 
     n = common.n_partitions(spark)
-    weight = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    bucket = common.ordered_buckets(docs, "doc_id", weight, n)
-    dealt = (docs.select(bucket.alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    bucket = common.ordered_buckets(docs, "doc_id", "text", n)
+    dealt = (docs.select(bucket.alias("bucket"), "doc_id", "text")
              .repartitionById(n, "bucket").sortWithinPartitions("bucket", "doc_id", "text"))
     common.batch_rows(spark, 800)
     manifest = common.materialise(dealt.mapInArrow(write, MANIFEST), "token-manifest")

@@ -216,6 +216,71 @@ def test_word_encoder_equals_the_tokenizer(monkeypatch):
             assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_word_encoder_on_every_latin_letter_before_signs():
+    import random
+
+    from tokenizers import Tokenizer
+
+    spec = token_store.word_tokenizer_spec(BPE)
+    tokenizer, encoder = Tokenizer.from_str(spec.decode()), token_store.WordEncoder(spec)
+    letters = [chr(c) for c in range(0xC0, 0x250)]
+    texts = [f"{word}{sign}" for c in letters for word in (c, f"ab{c}", f"{c}ab") for sign in (".", ",", "!", "!!", ".,!", "  é…")]
+    rng = random.Random(9)
+    texts += ["".join(rng.choice([*rng.sample(letters, 5), "İ", "i", "A", "\u0307", " ", ".", ",", "!", "\n", "…", "1"])
+                      for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    ids, sizes = encoder.encode(pa.array(texts))
+    got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+WIDE = [-(2**63), 2**63 - 1, -(2**63) + 1, 0, 2**62, -(2**62)]
+
+
+def heavy_rows(kind):
+    some = lambda i: f"text {i * 7919 % 1000} of many"
+    if kind == "wide":
+        return [(w, some(i)) for i, w in enumerate(WIDE)] + [(i, some(i)) for i in range(200)]
+    if kind == "outlier":
+        return [(i, some(i)) for i in range(300)] + [(10**18, "far")]
+    if kind == "one id":
+        return [(5, some(i)) for i in range(200)] + [(i, some(i)) for i in range(100)]
+    if kind == "one row":
+        return [(5, "the same")] * 200 + [(i, some(i)) for i in range(100)]
+    return [(None, some(i)) for i in range(300)]
+
+
+@pytest.mark.parametrize("kind", ["wide", "outlier", "one id", "one row", "no id"])
+def test_buckets_keep_the_order_and_share_the_load(spark, kind):
+    from pyspark.sql import functions as F
+
+    data = heavy_rows(kind)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = df.withColumn("b", common.ordered_buckets(df, "doc_id", "text", 8)).collect()
+    order = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text.encode())
+    in_buckets = sorted(got, key=lambda r: (r.b, *order(r)))
+    assert [order(r) for r in in_buckets] == sorted(map(order, got)) and len(got) == len(data)
+    assert max(sum(r.b == b for r in got) for b in range(8)) < len(data) / 3
+    assert df.agg(F.count("*")).first()[0] == len(data)
+
+
+@pytest.mark.parametrize("kind", ["wide", "one row", "no id"])
+def test_fingerprints_and_files_of_heavy_and_wide_ids(spark, kind):
+    from tokenizers import Tokenizer
+
+    data = sorted(heavy_rows(kind), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    df = spark.createDataFrame(data[::-1], "doc_id long, text string")
+    expected = [(d, len(t), hashlib.sha256(syncmers.edited(t, f[1]).encode()).hexdigest())
+                for (d, t), f in zip(data, [*data[1:], data[0]])]
+    assert rows(syncmers.fingerprints(df), "doc_id", "n_chars", "edited_sha256") == sorted(expected, key=repr)
+    tokenizer, start, want = Tokenizer.from_file(BPE), 0, []
+    for d, t in data:
+        ids = np.array(tokenizer.encode(t, add_special_tokens=False).ids + [2], "<u4")
+        want.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    manifest = token_store.write_tokens(df, BPE, scratch_dir(spark, "t-ids"))
+    assert rows(token_store.read_tokens(spark, manifest)) == sorted(want, key=repr)
+
+
 def test_files_read_back_in_order(spark):
     from tokenizers import Tokenizer
 
