@@ -280,14 +280,19 @@ def released(fn):
         try:
             yield from fn(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release()
 
     return run
 
 
+def release() -> None:
+    """Give freed memory back, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], size: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``size`` rows."""
     for b in batches:

@@ -101,6 +101,7 @@ def grams(chars: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def count_grams(labelled: DataFrame) -> DataFrame:
     """(lang, gram, n) over whole texts of ``labelled`` (lang, text): summed per task, then by Spark."""
 
+    @common.released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
 
@@ -318,6 +319,7 @@ def _judged(names: list[str], bits: np.ndarray, n: np.ndarray, has: np.ndarray,
     return [pa.array(langs), pa.array(score), pa.array(low), pa.array(kind.astype(np.int32)), pa.array(out)]
 
 
+VERDICT = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("rejected", pa.bool_())]
 JUDGED = "lang_pred string, score double, bits double, kind int, rejected boolean"
 
 
@@ -336,6 +338,7 @@ def _judge_spread(docs: DataFrame, models: SpreadModels, limits: dict | None) ->
     docs = docs.select(F.struct(*docs.columns).alias("_row"), text.alias("_text"), F.xxhash64(text).alias("_h1"),
                        F.xxhash64(F.lit(1), text).alias("_h2"))
 
+    @common.released
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = shared.value
         for batch in common.rows_of(batches):
@@ -401,6 +404,7 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | SpreadModels
     models = Models(list(zip(*(c.to_pylist() for c in counts.toArrow().columns))))
     shared = spark.sparkContext.broadcast(models)
 
+    @common.released
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.rows_of(batches):
             if batch.num_rows:
@@ -437,15 +441,17 @@ def identify(docs: DataFrame, models: Models | SpreadModels | None, limits: dict
     if isinstance(models, SpreadModels):
         return _judge_spread(docs, models, limits).select("_row.*", *own)
     shared = spark.sparkContext.broadcast((models, limits))
-    place = docs.columns.index("text")
-    names = docs.columns + own
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.rows_of(batches):
-            if batch.num_rows:
-                pred, sure, _, _, out = _score(shared.value[0], batch.column(place), shared.value[1])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pred, sure, out], names=names)
+    def verdict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            parts = [_score(shared.value[0], batch.slice(i, common.ROWS_AT_ONCE), shared.value[1])
+                     for i in range(0, len(batch), common.ROWS_AT_ONCE)]
+            if not parts:
+                yield pa.array([], pa.struct(VERDICT))
+                continue
+            yield pa.concat_arrays([pa.StructArray.from_arrays([p[0], p[1], p[4]], fields=VERDICT) for p in parts])
+        common.release()
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields),
-                        "lang_pred string", "score double", "rejected boolean"])
-    return docs.mapInArrow(score, schema)
+    verdict.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    judged = docs.withColumn("_verdict", F.arrow_udf(verdict, "lang_pred string, score double, rejected boolean")("text"))
+    return judged.select(*docs.columns, "_verdict.*")

@@ -172,6 +172,7 @@ def frequent_signatures(docs: DataFrame) -> np.ndarray:
     share = min(1.0, SAMPLE_DOCS / max(n, 1))
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
+    @common.released
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.rows_of(batches, 200):
             found = [signatures(h, None) for h in shingle_sets(batch.column(1)) if len(h)]
@@ -187,6 +188,7 @@ def class_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """SETS of all documents; signatures are packed, 8 bytes each."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    @common.released
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.rows_of(batches):
             sets = shingle_sets(batch.column(1))
@@ -300,6 +302,7 @@ def node_sets(docs: DataFrame, nodes: DataFrame, whole: bool) -> DataFrame:
     wanted = docs.sparkSession.sparkContext.broadcast(common.row_filter(
         nodes.select(common.filter_slot("node").alias("slot"))))
 
+    @common.released
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(common.passes(wanted.value, batch.column(2).to_numpy())))
@@ -327,6 +330,7 @@ def _with_data(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
     """The pairs (a, b) that sizes and bins allow to be similar enough."""
 
+    @common.released
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [may_link(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
@@ -345,11 +349,13 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     wanted = sets.sparkSession.sparkContext.broadcast(common.row_filter(
         nodes_of(pairs).select(common.filter_slot("node").alias("slot"))))
 
+    @common.released
     def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = common.passes(wanted.value, batch.column(3).to_numpy())
             yield batch.filter(pa.array(hit)).select(["node", "n", "data"])
 
+    @common.released
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
