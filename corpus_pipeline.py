@@ -36,8 +36,10 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs.select(F.struct(*docs.columns).alias("row"), "text"), *fit_language_models(docs))
-    return found.filter(~F.col("rejected")).select("row.*")
+    # what else a document has stays beside its text, under one name, so that no column of the stage's own clashes
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    found = identify(docs.select(others, "text"), *fit_language_models(docs)).filter(~F.col("rejected"))
+    return found.select(*["text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +51,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text"),
-                        TARGET_ENTROPY, MAX_REPEATS)
-    return mixed.select("row.*")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    mixed = mix_sources(docs.select(others, "doc_id", "source", "text"), TARGET_ENTROPY, MAX_REPEATS)
+    return mixed.select(*["text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
