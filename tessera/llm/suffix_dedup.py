@@ -17,7 +17,10 @@ to small groups that hold all their matches.
    order give each start's longest previous factor and where it lies. An LPF
    of ``min_bytes`` makes a start a later copy, and its source a repeated one.
    An anchor with more than ``GROUP`` contexts is not held by one task: its
-   starts are grouped by Spark by two hashes of their windows.
+   starts are halved by their distance to the anchor and each half is keyed by
+   the bytes that all windows at such distances share, which are more, so that
+   steps 3 and 4 settle it as a group of its own. After at most eight halvings
+   the shared bytes are the window itself.
 5. Spans return to the texts by address.
 
 Rows and edge cases: a null text is empty; texts shorter than ``min_bytes``
@@ -30,6 +33,8 @@ anchor's and the context's).
 
 from __future__ import annotations
 
+import hashlib
+import struct
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -106,7 +111,8 @@ class Hashes:
 
 
 def occurrences(data: np.ndarray, pieces: np.ndarray, min_bytes: int):
-    """(piece, first start, starts, anchor hash, context hash) of each run of starts with one anchor.
+    """(piece, first start, starts, distance from the first to the anchor, hashes of anchor and context) of each
+    run of starts with one anchor.
 
     ``pieces`` are the n+1 offsets of the pieces of ``data``; windows lie inside a piece.
     """
@@ -114,7 +120,7 @@ def occurrences(data: np.ndarray, pieces: np.ndarray, min_bytes: int):
     window = min_bytes - gram + 1
     lengths = np.maximum(np.diff(pieces) - min_bytes + 1, 0)
     if not lengths.sum():
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     hashes = Hashes(data)
     grams = hashes.all(gram)
     least = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
@@ -132,7 +138,7 @@ def occurrences(data: np.ndarray, pieces: np.ndarray, min_bytes: int):
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(start)))
     begin = start[first]
-    return (piece[first], begin - pieces[piece[first]], count, grams[anchor[first]],
+    return (piece[first], begin - pieces[piece[first]], count, anchor[first] - begin, grams[anchor[first]],
             hashes.spans(begin, begin + count - 1 + min_bytes))
 
 
@@ -162,9 +168,10 @@ def _signed(h: np.ndarray) -> pa.Array:
 def _find(min_bytes: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, pieces, base, offset in slices(batches, min_bytes):
-            piece, begin, count, anchor, context = occurrences(data, pieces, min_bytes)
+            piece, begin, count, distance, anchor, context = occurrences(data, pieces, min_bytes)
             yield pa.record_batch([pa.array(base[piece]), pa.array(base[piece] + offset[piece] + begin), pa.array(count.astype(np.int32)),
-                                   _signed(anchor), _signed(context)], ["base", "at", "starts", "anchor", "context"])
+                                   pa.array(distance.astype(np.int32)), _signed(anchor), _signed(context)],
+                                  ["base", "at", "starts", "off", "key", "context"])
 
     return find
 
@@ -261,12 +268,12 @@ def _sorted_groups(min_bytes: int, keep_first: bool):
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, load, before = [], 0, None
         for b in batches:
-            for anchor, base, at, text in zip(*(b.column(c).to_pylist() for c in ("anchor", "base", "at", "bytes"))):
-                if anchor != before and load >= SORTED_BYTES:
+            for key, base, at, text in zip(*(b.column(c).to_pylist() for c in ("key", "base", "at", "bytes"))):
+                if key != before and load >= SORTED_BYTES:
                     yield settle(rows)
                     rows, load = [], 0
                 rows.append((base, at, text))
-                before, load = anchor, load + len(text)
+                before, load = key, load + len(text)
         if rows:
             yield settle(rows)
 
@@ -276,28 +283,47 @@ def _sorted_groups(min_bytes: int, keep_first: bool):
 # --- contexts and cuts ------------------------------------------------------------------------
 
 
-def _fetch(min_bytes: int, group: int):
-    fields = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("base", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
+def _fetch(min_bytes: int):
+    fields = pa.schema([("key", pa.int64()), ("base", pa.int64()), ("at", pa.int64()), ("starts", pa.int32()), ("off", pa.int32()),
+                        ("kinds", pa.int64()), ("bytes", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for base, text, wanted in zip(b.column("base").to_pylist(), b.column("text").to_pylist(), b.column("wanted").to_pylist()):
-                data, rows = text.encode("utf-8"), []
-                for w in wanted:
-                    at = w["at"] - base
-                    context = data[at: at + w["starts"] - 1 + min_bytes]
-                    if w["kinds"] <= group:
-                        rows.append((w["anchor"], None, base, w["at"], context))
-                        continue
-                    h = Hashes(np.frombuffer(context, np.uint8))
-                    starts = np.arange(w["starts"])
-                    h = h.spans(starts, starts + min_bytes).view(np.int64).tolist()
-                    rows.extend((w["anchor"], x, base, w["at"] + i, None) for i, x in enumerate(h))
+                data = text.encode("utf-8")
+                rows = [(w["key"], base, w["at"], w["starts"], w["off"], w["kinds"],
+                         data[w["at"] - base: w["at"] - base + w["starts"] - 1 + min_bytes]) for w in wanted]
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
 
     return fetch
 
 
+def _halves(min_bytes: int):
+    """Each occurrence's starts, cut in the halves of the distances ``lo`` to ``hi`` to its anchor."""
+    names = ["key", "context", "base", "at", "starts", "off", "lo", "hi", "bytes"]
+    types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
+
+    def digest(*parts: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for key, base, at, starts, off, lo, hi, text in zip(*(
+                    b.column(c).to_pylist() for c in ("key", "base", "at", "starts", "off", "lo", "hi", "bytes"))):
+                for near, far in ((lo, (lo + hi) // 2), ((lo + hi) // 2, hi)):
+                    first, last = max(0, off - far + 1), min(starts - 1, off - near)
+                    if first <= last:
+                        shared = text[off - near: off - far + 1 + min_bytes]
+                        own = text[first: last + min_bytes]
+                        rows.append((digest(struct.pack("<qii", key, near, far), shared), digest(own), base, at + first,
+                                     last - first + 1, off - first, near, far, own))
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    return halves
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     spans_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     for b in common.rows_of(batches):
@@ -319,30 +345,42 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["doc_id", "text", "kept", "spans"])
 
 
+def _classes(items: DataFrame) -> DataFrame:
+    """``items`` that may repeat, with how often their context occurs (n), where first, and how many contexts their
+    key has (kinds; null: one)."""
+    contexts = items.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    several = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds >= 2")
+    matter = contexts.join(several, "key", "left").filter("n >= 2 or kinds is not null")
+    return items.join(matter, ["key", "context"]).drop("context")
+
+
 def repeated_spans(texts: DataFrame, min_bytes: int, keep_first: bool, group: int = GROUP) -> DataFrame:
     """(base, begin, end): address ranges that cover all repeated starts; ranges of a text may overlap."""
+    def whole(found: DataFrame) -> DataFrame:
+        return found.filter("n >= 2" + (" and at <> first" if keep_first else "")).select(
+            "base", F.col("at").alias("begin"), (F.col("at") + F.col("starts") - 1 + min_bytes).alias("end"))
+
     occ = common.materialise(texts.select("text", "base").mapInArrow(
-        _find(min_bytes), "base long, at long, starts int, anchor long, context long"), "occurrences")
-    contexts = occ.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds >= 2")
-    matter = contexts.join(several, "anchor", "left").filter("n >= 2 or kinds is not null")
-    found = common.materialise(occ.join(matter, ["anchor", "context"]).drop("context"), "repeated")
-    whole = found.filter("n >= 2" + (" and at <> first" if keep_first else "")).select(
-        "base", F.col("at").alias("begin"), (F.col("at") + F.col("starts") - 1 + min_bytes).alias("end"))
+        common.released(_find(min_bytes)), "base long, at long, starts int, off int, key long, context long"), "occurrences")
+    found = common.materialise(_classes(occ), "repeated")
+    spans = whole(found)
     wanted = found.filter("kinds >= 2 and at = first").groupBy("base").agg(
-        F.collect_list(F.struct("at", "starts", "anchor", "kinds")).alias("wanted"))
-    fetched = common.materialise(texts.join(wanted, "base").select("base", "text", "wanted").mapInArrow(
-        _fetch(min_bytes, group), "anchor long, window long, base long, at long, bytes binary"), "contexts")
-    small = fetched.filter("window is null").select("anchor", "base", "at", "bytes")
-    small = small.repartition(common.n_partitions(texts.sparkSession), "anchor").sortWithinPartitions("anchor", "at") \
-        .mapInArrow(_sorted_groups(min_bytes, keep_first), "base long, begin long, end long")
-    large = fetched.filter("window is not null").select("anchor", "window", "base", "at")
-    twice = large.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).filter("n >= 2")
-    large = large.join(twice, ["anchor", "window"])
-    if keep_first:
-        large = large.filter("at <> first")
-    large = large.select("base", F.col("at").alias("begin"), (F.col("at") + min_bytes).alias("end"))
-    return whole.unionByName(small).unionByName(large)
+        F.collect_list(F.struct("key", "at", "starts", "off", "kinds")).alias("wanted"))
+    open_ = common.materialise(texts.join(wanted, "base").select("base", "text", "wanted").mapInArrow(
+        common.released(_fetch(min_bytes)), "key long, base long, at long, starts int, off int, kinds long, bytes binary"),
+        "contexts").withColumns({"lo": F.lit(0), "hi": F.lit(min_bytes - gram_size(min_bytes) + 1)})
+    own = ["key", "base", "at", "bytes"]
+    small = open_.filter(F.col("kinds") <= group).select(*own)
+    while (large := open_.filter(F.col("kinds") > group)).limit(1).count():
+        halves = common.materialise(large.mapInArrow(_halves(min_bytes), (
+            "key long, context long, base long, at long, starts int, off int, lo int, hi int, bytes binary")), "halves")
+        found = common.materialise(_classes(halves), "repeated")
+        spans = spans.unionByName(whole(found))
+        open_ = found.filter("kinds >= 2 and at = first")
+        small = small.unionByName(open_.filter(F.col("kinds") <= group).select(*own))
+    small = small.repartition(common.n_partitions(texts.sparkSession), "key").sortWithinPartitions("key", "at") \
+        .mapInArrow(common.released(_sorted_groups(min_bytes, keep_first)), "base long, begin long, end long")
+    return spans.unionByName(small)
 
 
 def dedup_passages(docs: DataFrame, min_bytes: int = 200, keep_first: bool = True, group: int = GROUP) -> DataFrame:
