@@ -9,10 +9,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.incremental import staged
+
 # The long-form series labels of the price chart.
 SERIES_LABELS = ["Price", "All-time high", "All-time low"]
 DEFAULT_TRAILING_DAYS = 90
@@ -23,6 +25,23 @@ def _with_dim(fct: DataFrame, dim: DataFrame) -> DataFrame:
     return fct.join(dim.select("coin_sk", "coin_id", "symbol"), "coin_sk", "inner")
 
 
+def with_position(df: DataFrame, order: Sequence[Column], position_col: str = "position") -> DataFrame:
+    """SO-1: ``df`` in ``order``, each row with its place (1, 2, ...).
+
+    A range-partitioned sort, written once; a place is the row's number in its
+    partition plus the sizes of those before it, of which there is one a
+    partition. No task holds the whole order. Ties are placed in any order.
+    """
+    ranked = df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id())
+    ranked = staged(ranked, "ordered").withColumn("__part", F.shiftrightunsigned("__at", 33))
+    sizes = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranked.join(F.broadcast(sizes), "__part").select(  # a row a partition
+        *df.columns, (F.col("__before") + inside + 1).alias(position_col))
+
+
 def date_bounds(fct: DataFrame, trailing_days: int = DEFAULT_TRAILING_DAYS) -> DataFrame:
     """Q-BOUNDS + PF-10: min/max day and the default range start."""
     b = fct.agg(F.min("price_date").alias("min_date"), F.max("price_date").alias("max_date"))

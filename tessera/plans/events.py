@@ -27,10 +27,11 @@ from tessera.functions.scalar import (
     ntz_lit,
     surrogate_key,
 )
+from tessera.operators.asof import asof_join
 from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.dedup import latest_per_key
 from tessera.operators.rollup import daily_rollup
-from tessera.operators.scd2 import scd2_dimension, scd2_from_observations, scd2_replay
+from tessera.operators.scd2 import OPEN_END, scd2_dimension, scd2_from_observations, scd2_replay
 from tessera.plans import market as M
 from tessera.sources.landing import (
     flatten_json_column,
@@ -222,11 +223,18 @@ def q_average_rounding(spark, sf):
     under half of a group's rows, nothing for the rest, must average to nothing."""
     li = read(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                             "l_shipdate")
-    sizes = li.groupBy("l_returnflag").agg(F.expr("(count(*) - 1) div 2").alias("half"))
-    order = [F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"), "l_orderkey"]
-    ranked = li.withColumn("nth", F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)))
-    cents = ranked.join(sizes, "l_returnflag").withColumn(
-        "cents", F.when(F.col("nth") <= F.col("half"), F.lit("0.01")).otherwise("0.00").cast("decimal(28,2)"))
+    # the n-th row of a flag, counted over cells of its hash order and then inside a cell: no flag is one group
+    order = [F.col("at"), F.col("l_orderkey"), F.col("l_linenumber")]
+    li = li.withColumn("at", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
+    li = li.withColumn("cell", F.shiftright("at", 52))
+    cells = li.groupBy("l_returnflag", "cell").agg(F.count(F.lit(1)).alias("n"))
+    flag = Window.partitionBy("l_returnflag")
+    upto = flag.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("l_returnflag", "cell", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"),
+                         F.expr("(sum(n) over (partition by l_returnflag) - 1) div 2").alias("half"))
+    ranked = li.withColumn("inside", F.row_number().over(Window.partitionBy("l_returnflag", "cell").orderBy(*order)))
+    cents = ranked.join(cells, ["l_returnflag", "cell"]).withColumn(
+        "cents", F.when(F.col("before") + F.col("inside") <= F.col("half"), F.lit("0.01")).otherwise("0.00").cast("decimal(28,2)"))
     rolled = daily_rollup(cents, ["l_returnflag"], "l_shipdate", {"avg_cents": ("cents", 2)}, {"any_cents": "l_returnflag"})
     return present(rolled.select("l_returnflag", "extract_count", "avg_cents"))
 
@@ -245,8 +253,9 @@ def q_range_extract(spark, sf):
 
 def q_json_flatten(spark, sf):
     e = read(spark, sf, "events")
-    flat = flatten_json_column(e, "props", "k BIGINT, note STRING", required=["k"], prefix="prop_")
-    return flat.select("event_id", "user_id", "prop_k", "prop_note")
+    flat = flatten_json_column(e, "props", "k DECIMAL(10,2), note STRING, `a, b` STRUCT<c: INT, d: DECIMAL(5,1)>",
+                               required=["k"], prefix="prop_")
+    return flat.select("event_id", "user_id", F.col("prop_k").cast("bigint").alias("prop_k"), "prop_note")
 
 
 def history_payloads(events: DataFrame) -> DataFrame:
@@ -349,6 +358,33 @@ def q_asof_day(spark, sf):
     return present(Models(spark, sf).fct_daily())
 
 
+def _event_versions(events: DataFrame) -> DataFrame:
+    """A version of the user from each view to the next: dozens to thousands a user."""
+    views = events.where("event_type = 'view'").groupBy("user_id", "ts").agg(F.max("event_id").alias("view_id"))
+    until = F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts"))
+    return views.select(F.col("view_id").alias("view_sk"), "user_id", F.col("ts").alias("valid_from"),
+                        F.coalesce(until, ntz_lit(OPEN_END)).alias("valid_to"))
+
+
+def _span(events: DataFrame) -> tuple[dt.date, dt.date]:
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    return ((lo or dt.datetime.min).date(), (hi or dt.datetime.min).date())
+
+
+def q_asof_many_versions(spark, sf):
+    """J-1 by merge: the view in effect at every other event, months of a user being sorted apart."""
+    events = read(spark, sf, "events")
+    facts = events.where("event_type <> 'view'").select("event_id", "user_id", "ts")
+    return asof_join(facts, _event_versions(events), "user_id", "ts", sk_col="view_sk", method="merge", span=_span(events))
+
+
+def q_asof_many_versions_day(spark, sf):
+    """J-2 by merge: the last view of the event's day, or the one in effect before."""
+    events = read(spark, sf, "events")
+    facts = events.where("event_type <> 'view'").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
+    return asof_join(facts, _event_versions(events), "user_id", "day", "day", "view_sk", "merge", _span(events), "year")
+
+
 def q_dim_calendar(spark, sf):
     o = read(spark, sf, "orders")
     bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
@@ -405,6 +441,8 @@ QUERIES = {
     "scd2_dim": q_scd2_dim,
     "asof_ts": q_asof_ts,
     "asof_day": q_asof_day,
+    "asof_many_versions": q_asof_many_versions,
+    "asof_many_versions_day": q_asof_many_versions_day,
     "dim_calendar": q_dim_calendar,
     "surrogate_keys": q_surrogate_keys,
     "attr_class": q_attr_class,

@@ -256,6 +256,15 @@ WHERE (coin_id, price_date) IN (SELECT coin_id, price_date FROM touched)""")
 FROM stg_snap k LEFT JOIN dim dc ON k.coin_id = dc.coin_id
   AND k.fetched_at >= dc.valid_from AND k.fetched_at < dc.valid_to""")
     q["asof_day"] = with_(fct_daily(), f"SELECT {FCT_DAILY_OUT} FROM fct_daily")
+    views = f"""WITH v AS (SELECT user_id, ts AS valid_from, max(event_id) AS view_sk FROM events WHERE event_type = 'view' GROUP BY ALL),
+w AS (SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from), TIMESTAMP '9999-12-31') AS valid_to FROM v)"""
+    q["asof_many_versions"] = views + """
+SELECT e.event_id, e.user_id, e.ts, w.view_sk FROM events e LEFT JOIN w
+  ON e.user_id = w.user_id AND e.ts >= w.valid_from AND e.ts < w.valid_to WHERE e.event_type <> 'view'"""
+    q["asof_many_versions_day"] = views + """
+SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS day, w.view_sk FROM events e LEFT JOIN w
+  ON e.user_id = w.user_id AND CAST(e.ts AS DATE) >= CAST(w.valid_from AS DATE) AND CAST(e.ts AS DATE) < CAST(w.valid_to AS DATE)
+WHERE e.event_type <> 'view'"""
     q["dim_calendar"] = f"""WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
 days AS (SELECT CAST(unnest(generate_series(lo, hi + INTERVAL 2 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
 SELECT {_date_sk('d')} AS date_sk, d AS date_day, CAST(year(d) AS INTEGER) AS year,
@@ -280,14 +289,17 @@ FROM stg_snap s LEFT JOIN ov ON s.coin_id = ov.coin_id""")
     rng = f"price_date BETWEEN DATE '{E.CARDS_START}' AND DATE '{E.CARDS_END}'"
     q["date_bounds"] = with_(mart, """SELECT min(price_date) AS min_date, max(price_date) AS max_date,
   greatest(min(price_date), CAST(max(price_date) - INTERVAL 90 DAY AS DATE)) AS default_start FROM fct_daily""")
-    q["symbols"] = with_(versions(), "SELECT DISTINCT symbol FROM dim WHERE is_current")
-    q["cards"] = with_(mart, f"""SELECT symbol, CAST(latest_price_usd AS DOUBLE) AS price_usd, daily_return_pct FROM (
+    q["symbols"] = with_(versions(), """SELECT symbol, row_number() OVER (ORDER BY symbol) AS position
+FROM (SELECT DISTINCT symbol FROM dim WHERE is_current)""")
+    q["cards"] = with_(mart, f"""SELECT symbol, CAST(latest_price_usd AS DOUBLE) AS price_usd, daily_return_pct,
+  row_number() OVER (ORDER BY latest_price_usd DESC NULLS LAST, symbol, daily_return_pct) AS position FROM (
   SELECT *, row_number() OVER (PARTITION BY dim_coin_id ORDER BY price_date DESC) AS rn FROM fj WHERE {rng})
 WHERE rn = 1""")
     q["extremes"] = with_(mart, "SELECT symbol, CAST(ath AS DOUBLE) AS ath, CAST(atl AS DOUBLE) AS atl FROM ext")
     ser = f"""ser AS (SELECT price_date, symbol, latest_price_usd AS price_usd FROM fj
   WHERE symbol IN ({sql_list(E.SERIES_SYMBOLS)}) AND {rng})"""
-    q["series"] = with_(mart + [ser], "SELECT price_date, symbol, CAST(price_usd AS DOUBLE) AS price_usd FROM ser")
+    q["series"] = with_(mart + [ser], """SELECT price_date, symbol, CAST(price_usd AS DOUBLE) AS price_usd,
+  row_number() OVER (ORDER BY price_date, symbol, price_usd) AS position FROM ser""")
     q["chart_long"] = with_(mart + [ser], """SELECT price_date, symbol, series, CAST(usd AS DOUBLE) AS usd FROM (
   SELECT s.price_date, s.symbol, s.price_usd AS "Price", e.ath AS "All-time high", e.atl AS "All-time low"
   FROM ser s LEFT JOIN ext e ON s.symbol = e.symbol)

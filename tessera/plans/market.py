@@ -256,13 +256,13 @@ SNAPSHOT_FACT_MEASURES = [
 
 
 def fct_market_snapshot(stg_snap: DataFrame, dim: DataFrame, mark: dt.datetime | None = None,
-                        broadcast_dim: bool = False) -> DataFrame:
-    """One row per coin per fetch, ``coin_sk`` resolved as-of fetch time (J-1)."""
+                        method: str = "residual", span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """One row per coin per fetch, ``coin_sk`` resolved as-of fetch time (J-1); ``method`` and ``span`` as in asof."""
     from tessera.operators.asof import asof_join
 
     snap = after_mark(stg_snap, "fetched_at", mark, "price_date")
     keyed = snap.withColumn("snapshot_sk", surrogate_key("coin_id", "fetched_at"))
-    joined = asof_join(keyed, dim, "coin_id", "fetched_at", grain="ts", broadcast_dim=broadcast_dim)
+    joined = asof_join(keyed, dim, "coin_id", "fetched_at", grain="ts", method=method, span=span)
     measures = [c for c in SNAPSHOT_FACT_MEASURES if c in joined.columns]
     return joined.select(
         "snapshot_sk", "coin_sk", date_key("price_date").alias("date_sk"), "fetched_at", *measures
@@ -277,15 +277,18 @@ DAILY_FACT_COLUMNS = [
 ]
 
 
-def daily_with_returns(daily: DataFrame) -> DataFrame:
-    return with_period_return(daily, "coin_id", "price_date", "latest_price_usd")
+def daily_with_returns(daily: DataFrame, few_days: bool = False) -> DataFrame:
+    """W-5 by calendar years, or in one group a coin where ``few_days`` of each are given."""
+    return with_period_return(daily, "coin_id", "price_date", "latest_price_usd",
+                              slices=None if few_days else F.year("price_date"))
 
 
-def finish_daily_fact(wr: DataFrame, dim: DataFrame, broadcast_dim: bool = False) -> DataFrame:
+def finish_daily_fact(wr: DataFrame, dim: DataFrame, method: str = "residual",
+                      span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     from tessera.operators.asof import asof_join
 
     keyed = wr.withColumn("daily_market_sk", surrogate_key("coin_id", "price_date"))
-    joined = asof_join(keyed, dim, "coin_id", "price_date", grain="day", broadcast_dim=broadcast_dim)
+    joined = asof_join(keyed, dim, "coin_id", "price_date", grain="day", method=method, span=span, period="year")
     out = joined.withColumn("date_sk", date_key("price_date"))
     return out.select(*[c for c in DAILY_FACT_COLUMNS if c in out.columns])
 
@@ -296,7 +299,8 @@ def fct_daily_market(
     mark: dt.datetime | None = None,
     max_day: dt.date | None = None,
     lookback_days: int = 3,
-    broadcast_dim: bool = False,
+    method: str = "residual",
+    span: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """SK-10: daily fact with day-over-day return on the latest price.
 
@@ -305,12 +309,12 @@ def fct_daily_market(
     window, keep rows with ``_synced_at > mark``.
     """
     if mark is None:
-        return finish_daily_fact(daily_with_returns(daily), dim, broadcast_dim)
+        return finish_daily_fact(daily_with_returns(daily), dim, method, span)
     window = daily
     if max_day is not None:
         window = daily.where(F.col("price_date") >= F.date_sub(F.lit(max_day), lookback_days))
-    wr = daily_with_returns(window).where(F.col("_synced_at") > ntz_lit(mark))
-    return finish_daily_fact(wr, dim, broadcast_dim)
+    wr = daily_with_returns(window, few_days=max_day is not None).where(F.col("_synced_at") > ntz_lit(mark))
+    return finish_daily_fact(wr, dim, method, span)
 
 
 def exact_daily_market(daily: DataFrame, dim: DataFrame, days: Sequence[str | None],
@@ -324,7 +328,7 @@ def exact_daily_market(daily: DataFrame, dim: DataFrame, days: Sequence[str | No
     """
     known = sorted(d for d in days if d is not None)
     if not known:
-        return finish_daily_fact(daily_with_returns(daily.where(F.col("price_date").isNull())), dim)
+        return finish_daily_fact(daily_with_returns(daily.where(F.col("price_date").isNull()), few_days=True), dim)
     first, last = (F.lit(d).cast("date") for d in (known[0], known[-1]))
     lo, hi = F.date_sub(first, lookback_days), F.date_add(last, lookback_days)
     window = daily.where((F.col("price_date") >= lo) & (F.col("price_date") <= hi))
@@ -341,8 +345,8 @@ def exact_daily_market(daily: DataFrame, dim: DataFrame, days: Sequence[str | No
              .groupBy("coin_id").agg(F.min_by(F.struct(*daily.columns), "price_date").alias("r")).select("r.*"))
     rows = window.unionByName(older).unionByName(newer)
     by_day = Window.partitionBy("coin_id").orderBy("price_date")
-    wr = daily_with_returns(rows).withColumn("__t", given)
+    wr = daily_with_returns(rows, few_days=True).withColumn("__t", given)
     wr = wr.withColumn("__p", F.coalesce(F.lag("__t").over(by_day), F.lit(False))).where("__t or __p").drop("__t", "__p")
     if None in days:
-        wr = wr.unionByName(daily_with_returns(daily.where(F.col("price_date").isNull())))
+        wr = wr.unionByName(daily_with_returns(daily.where(F.col("price_date").isNull()), few_days=True))
     return finish_daily_fact(wr, dim)

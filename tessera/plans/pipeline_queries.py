@@ -11,6 +11,7 @@ root and are reused by the queries of one process.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,27 +96,27 @@ def q_schema_sync(spark, sf):
 
 
 def _land_in_files(events: DataFrame, folder: str, files: list[int]) -> None:
-    """Write some of the five files that the events are dealt to by hash: every file spans all times."""
+    """Write some of the five arrivals that the events are dealt to by hash: every arrival spans all times."""
     dealt = events.withColumn("arrival", F.pmod(F.xxhash64("event_id"), F.lit(5)))
     for n in files:
-        dealt.where(F.col("arrival") == n).drop("arrival").coalesce(1).write.parquet(f"{folder}/arrival={n}")
+        dealt.where(F.col("arrival") == n).drop("arrival").write.parquet(f"{folder}/arrival={n}")
 
 
-def _land_in_time(events: DataFrame, folder: str, copies: int = 1) -> None:
-    """Write the events as five files after one another in time, each ``copies`` times."""
+def _land_in_time(events: DataFrame, folder: str) -> Iterator[str]:
+    """Write the events as five arrivals after one another in time, one at a time."""
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / 5
     for n in range(5):
         part = events.where(F.col("ts") >= ntz_lit(lo + n * step)) if n else events
         part = part.where(F.col("ts") < ntz_lit(lo + (n + 1) * step)) if n < 4 else part
-        for c in range(copies):
-            part.coalesce(1).write.parquet(f"{folder}/slice={n}-{c}")
+        part.write.parquet(f"{folder}/slice={n}")
+        yield f"{folder}/slice={n}"
 
 
 def q_stream_daily(spark, sf):
-    """SS-1..3: landing files in no order of time, taken one a batch: three in
-    a first run, two more by a run that resumes from the checkpoint. Their rows
-    are older than many that are in the tables by then, and are kept."""
+    """SS-1..3: arrivals in no order of time, each a batch of its own: three
+    runs, each resuming from the checkpoint. Their rows are older than many
+    that are in the tables by then, and are kept."""
     wh = Warehouse(spark, scratch_dir(spark, "warehouse-stream"), "dev", pick="latest",
                    stable_ids=E.STABLE_USERS)
     events = E.read(spark, sf, "events")
@@ -124,39 +125,57 @@ def q_stream_daily(spark, sf):
     def batch(df: DataFrame, batch_id: int) -> None:
         wh.build_batch(E.snapshot_landing(df), E.history_landing(df))
 
-    for files in ([3, 0, 4], [1, 2]):
+    for files in ([3], [0, 4], [1, 2]):
         _land_in_files(events, landing, files)
-        ST.run_available_now(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=1), checkpoint,
-                             batch_fn=batch)
+        ST.run_available_now(ST.landing_stream(spark, f"{landing}/*", events.schema), checkpoint, batch_fn=batch)
     return E.present(wh.table("int_daily"))
 
 
 def q_stream_dedup(spark, sf):
-    """Every file is delivered twice; a row's copies fall within the watermark of each other."""
+    """Every arrival is delivered twice, in batches of their own: the second finds its rows in the state of the first."""
     events = E.read(spark, sf, "events")
-    landing = scratch_dir(spark, "landing-twice")
-    _land_in_time(events, landing, copies=2)
-    src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=2), "ts")
-    dedup = ST.dedup_within_watermark(src, ["event_id"], "event_time", "1 hour")
-    out = scratch_dir(spark, "stream-dedup-out")
-    ST.run_available_now(dedup.select("event_id", "user_id", "ts", "value"),
-                         scratch_dir(spark, "ckpt-stream-dedup"), sink_path=out)
+    landing, out, checkpoint = (scratch_dir(spark, p) for p in ("landing-twice", "stream-dedup-out", "ckpt-stream-dedup"))
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    # the watermark waits as long as an arrival spans, so that its second delivery is not late
+    wait = f"{int((hi - lo).total_seconds() / 5) + 3600} seconds"
+    for path in _land_in_time(events, landing):
+        for again in (False, True):
+            if again:
+                spark.read.schema(events.schema).parquet(path).write.parquet(f"{path}-again")
+            src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema), "ts")
+            dedup = ST.dedup_within_watermark(src, ["event_id"], "event_time", wait)
+            ST.run_available_now(dedup.select("event_id", "user_id", "ts", "value"), checkpoint, sink_path=out)
     return spark.read.parquet(out)
 
 
 def q_stream_window_daily(spark, sf):
-    """Five batches in time order: each moves the watermark on, and the state of older windows goes."""
+    """Five runs in time order, each resuming: each moves the watermark on, and the state of older windows goes."""
     events = E.read(spark, sf, "events")
-    landing = scratch_dir(spark, "landing-slices")
-    _land_in_time(events, landing)
-    src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema, max_files=1), "ts")
-    agg = ST.windowed_daily(src, "user_id", "event_time", "value", "1 day")
-    target = scratch_dir(spark, "stream-window-out")
-    ST.run_available_now(agg, scratch_dir(spark, "ckpt-stream-window"),
-                         batch_fn=ST.upsert_batches(spark, target, ["user_id", "day"], "day"), output_mode="update")
+    landing, target, checkpoint = (scratch_dir(spark, p) for p in ("landing-slices", "stream-window-out", "ckpt-stream-window"))
+    for _ in _land_in_time(events, landing):
+        src = ST.with_event_time(ST.landing_stream(spark, f"{landing}/*", events.schema), "ts")
+        agg = ST.windowed_daily(src, "user_id", "event_time", "value", "1 day")
+        ST.run_available_now(agg, checkpoint, batch_fn=ST.upsert_batches(spark, target, ["user_id", "day"], "day"),
+                             output_mode="update")
     return E.present(I.read_table(spark, target))
 
 
+def q_sorted_files(spark, sf):
+    """SO-2: files of a landing, written sorted, read back by place: rows a day, and those before their predecessor."""
+    from tessera.sources import landing as L
+
+    path = scratch_dir(spark, "landing-sorted")
+    feed = E.read(spark, sf, "events").withColumn("day", F.col("ts").cast("date")).select("day", "ts", "event_id")
+    L.append_landing(feed.repartition(8, "day"), path, ["day"], sort_by=["ts", "event_id"])
+    read = spark.read.parquet(path).select("day", "ts", "event_id", F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.row_index").alias("row"))
+    # a row meets its predecessor by place, not by a sort of its file
+    after = read.select("file", (F.col("row") + 1).alias("row"), F.struct("ts", "event_id").alias("prev"))
+    met = read.join(after, ["file", "row"], "left")
+    back = F.count_if(F.col("prev") > F.struct("ts", "event_id"))
+    return met.groupBy(F.col("day").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), back.alias("n_out_of_order"))
+
+
 def q_loaded_fct_daily(spark, sf):
     """The load-time option through gold: most events land first; the others,
     of all times, are loaded a day after the newest event."""
@@ -266,7 +285,7 @@ def q_date_bounds(spark, sf):
 
 
 def q_symbols(spark, sf):
-    return Q.current_symbols(_warehouse(spark, sf).table("dim_coin"))
+    return Q.with_position(Q.current_symbols(_warehouse(spark, sf).table("dim_coin")), [F.col("symbol")])
 
 
 def _fct_dim(spark, sf):
@@ -275,7 +294,9 @@ def _fct_dim(spark, sf):
 
 
 def q_cards(spark, sf):
-    return E.present(Q.cards(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END))
+    shown = Q.cards(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END)
+    return E.present(Q.with_position(shown, [F.col("price_usd").desc_nulls_last(), F.col("symbol").asc_nulls_last(),
+                                             F.col("daily_return_pct").asc_nulls_last()]))
 
 
 def q_extremes(spark, sf):
@@ -283,7 +304,8 @@ def q_extremes(spark, sf):
 
 
 def q_series(spark, sf):
-    return E.present(Q.series(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END, E.SERIES_SYMBOLS))
+    shown = Q.series(*_fct_dim(spark, sf), E.CARDS_START, E.CARDS_END, E.SERIES_SYMBOLS)
+    return E.present(Q.with_position(shown, [F.col(c).asc_nulls_last() for c in ("price_date", "symbol", "price_usd")]))
 
 
 def q_chart_long(spark, sf):
@@ -323,6 +345,7 @@ PIPELINE_QUERIES = {
     "stream_daily": q_stream_daily,
     "stream_dedup": q_stream_dedup,
     "stream_window_daily": q_stream_window_daily,
+    "sorted_files": q_sorted_files,
 }
 
 
@@ -380,6 +403,8 @@ def pipeline_oracle() -> dict[str, str]:
         "stream_daily": base["unified_daily"],
         "dq_report": _dq_sql(),
         "stream_dedup": "SELECT event_id, user_id, ts, value FROM events",
+        "sorted_files": """SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order
+FROM events GROUP BY 1""",
         "stream_window_daily": """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_events,
   CAST(sum(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS sum_value,
   CAST(max(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS max_value FROM events GROUP BY user_id, CAST(ts AS DATE)""",

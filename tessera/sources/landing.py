@@ -110,17 +110,13 @@ def flatten_json_column(df: DataFrame, col: str, schema_ddl: str, required: Sequ
     rows whose ``required`` fields are NULL are dropped; text that does not
     parse fails the query."""
     parsed = df.withColumn("__j", F.from_json(F.col(col), schema_ddl, {"mode": "FAILFAST"}))
-    fields = _ddl_fields(schema_ddl)
-    out = parsed.select("*", *[F.col(f"__j.{f}").alias(prefix + f) for f in fields]).drop("__j")
+    fields = T.StructType.fromDDL(schema_ddl).fieldNames()
+    out = parsed.select("*", *[F.col(f"__j.`{f}`").alias(prefix + f) for f in fields]).drop("__j")
     for r in required:
         out = out.where(F.col(prefix + r).isNotNull())
     return out
 
 
-def _ddl_fields(schema_ddl: str) -> list[str]:
-    return [part.strip().split()[0] for part in schema_ddl.split(",") if part.strip()]
-
-
 def nested_series_daily(docs: DataFrame, id_cols: Sequence[str], payload_col: str,
                         digits: int = ROUND_DIGITS) -> DataFrame:
     """SRC-2: ``{prices, market_caps, total_volumes}`` of ``[epoch_ms, value]`` ->
@@ -248,9 +244,10 @@ def write_raw_json(df: DataFrame, path: str, fetched_at: dt.datetime | None = No
     (df.write.mode("append").option("timestampNTZFormat", TS_TEXT).option("ignoreNullFields", False).json(target))
 
 
-def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """SNK-3/SNK-4: append one batch to an append-only landing folder."""
-    w = df.write.mode("append")
+def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """SNK-3/SNK-4: append one batch to an append-only landing folder; SO-2 sorts rows within each output file."""
+    # a file holds one partition folder's rows of one task, so these lead the sort
+    w = (df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

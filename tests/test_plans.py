@@ -65,19 +65,19 @@ def test_filters_and_projection_reach_the_scan(spark):
         assert "LeftSemi" in p2 and "Python" not in p2
 
 
-def test_asof_join_broadcasts_only_when_asked(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        dim = spark.createDataFrame([("k", "a", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))],
-                                    "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
-        facts = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "coin_id string, fetched_at timestamp_ntz")
-        assert "BroadcastHashJoin" in plan(asof_join(facts, dim, "coin_id", "fetched_at", broadcast_dim=True))
-        p = plan(asof_join(facts, dim, "coin_id", "fetched_at"))
-        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_asof_merge_sorts_facts_and_versions_once_by_key_and_slice(spark):
+    dim = spark.createDataFrame([("k", "a", dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31))],
+                                "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    facts = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "coin_id string, fetched_at timestamp_ntz")
+    p = plan(asof_join(facts, dim, "coin_id", "fetched_at", method="merge",
+                       span=(dt.date(2024, 1, 1), dt.date(2024, 3, 1))))
+    assert "Join" not in p  # no candidates are paired
+    assert "hashpartitioning(__key" in p and "__slice" in p.split("hashpartitioning(__key", 1)[1].split(")", 1)[0]
+
+
+def test_daily_returns_open_no_window_over_a_whole_entity(spark):
+    windows = [line.split("Window [", 1)[1] for line in plan(E.q_daily_returns(spark, SMOKE)).split("\n") if "- Window [lag" in line]
+    assert windows and all("__slice" in line for line in windows)
 
 
 def test_increment_reads_the_touched_days_only(spark):

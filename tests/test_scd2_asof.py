@@ -1,8 +1,12 @@
 import datetime as dt
 
+import pytest
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators.asof import asof_join
+from tessera.operators.returns import lag_by_slices
 from tessera.operators.scd2 import (
     scd2_apply,
     scd2_dimension,
@@ -107,6 +111,48 @@ def test_asof_grains(spark):
     ts = {(r.coin_id, r.fetched_at): r.coin_sk for r in asof_join(facts, dim, "coin_id", "fetched_at").collect()}
     assert ts[("a", dt.datetime(2024, 1, 2, 7))] == "k2" and ts[("a", dt.datetime(2024, 1, 2, 20))] == "k3"
     assert ts[("zz", dt.datetime(2024, 1, 2, 20))] is None  # left join keeps unmatched facts
-    day = {r.price_date: r.coin_sk for r in asof_join(facts, dim, "coin_id", "price_date", grain="day",
-                                                       broadcast_dim=True).collect()}
-    assert day[dt.date(2024, 1, 1)] == "k1" and day[dt.date(2024, 1, 2)] == "k3"
+    for method in ("residual", "merge", "auto"):
+        day = {r.price_date: r.coin_sk
+               for r in asof_join(facts, dim, "coin_id", "price_date", grain="day", method=method).collect()}
+        assert day[dt.date(2024, 1, 1)] == "k1" and day[dt.date(2024, 1, 2)] == "k3"
+
+
+def _many_versions(n=3000, gap=5):
+    """One key with n versions of hours each (some days hold many), closed early at every gap-th, and a few others."""
+    t0 = dt.datetime(2023, 11, 20)
+    dim = [(f"hot{i}", "hot", t0 + dt.timedelta(hours=i), t0 + dt.timedelta(hours=i + 1, minutes=-30 if i % gap == 0 else 0))
+           for i in range(n)]
+    dim += [("a0", "a", dt.datetime(1900, 1, 1), dt.datetime(2024, 1, 5, 3)), ("a1", "a", dt.datetime(2024, 1, 5, 3), dt.datetime(9999, 12, 31)),
+            ("n0", None, dt.datetime(1900, 1, 1), dt.datetime(9999, 12, 31)),
+            ("old", "old", dt.datetime(1950, 1, 1), dt.datetime(1960, 1, 1))]
+    facts = [("hot", t0 + dt.timedelta(minutes=37 * i - 5000)) for i in range(n)] * 2
+    facts += [(k, t0 + dt.timedelta(days=3 * i)) for i in range(30) for k in ("a", "old", "absent", None)]
+    facts += [("hot", None), (None, None), ("a", dt.datetime(1800, 1, 1)), ("a", dt.datetime(2024, 1, 5, 3)), ("old", dt.datetime(1955, 5, 5))]
+    return dim, facts
+
+
+@pytest.mark.parametrize("grain", ["ts", "day"])
+@pytest.mark.parametrize("span,period", [(None, "month"), ((dt.date(2023, 11, 1), dt.date(2024, 3, 1)), "month"),
+                                         ((dt.date(2024, 1, 1), dt.date(2024, 1, 15)), "month"), ((dt.date(2023, 1, 1), dt.date(2024, 3, 1)), "year")])
+def test_asof_merge_equals_the_range_join(spark, grain, span, period):
+    dim, facts = _many_versions()
+    dim = spark.createDataFrame(dim, "coin_sk string, coin_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    facts = spark.createDataFrame([(i, *f) for i, f in enumerate(facts)], "n int, coin_id string, at timestamp_ntz")
+    facts = facts.withColumn("day", F.col("at").cast("date"))
+    col = "at" if grain == "ts" else "day"
+    want = {r.n: r.coin_sk for r in asof_join(facts, dim, "coin_id", col, grain).collect()}
+    got = asof_join(facts, dim, "coin_id", col, grain, method="merge", span=span, period=period)
+    assert got.columns == [*facts.columns, "coin_sk"]
+    rows = got.collect()
+    assert len(rows) == len(want) and {r.n: r.coin_sk for r in rows} == want
+    assert sum(v is not None for v in want.values()) > 3000
+
+
+def test_sliced_lag_equals_lag(spark):
+    rows = [(k, dt.date(2020, 3, 1) + dt.timedelta(days=d), float(d) if d % 4 else None)
+            for k in ("a", "b", None) for d in range(0, 2000, 37 if k == "a" else 400)] + [("c", dt.date(2024, 1, 1), 5.0), ("a", None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, day date, x double")
+    w = Window.partitionBy("k").orderBy("day")
+    want = sorted(map(tuple, df.withColumn("p", F.lag("x").over(w)).collect()), key=repr)
+    for slices in (F.year("day"), F.lit(0), F.datediff("day", F.lit(dt.date(2020, 1, 1)))):
+        assert sorted(map(tuple, lag_by_slices(df, "k", "day", {"p": "x"}, slices).collect()), key=repr) == want
