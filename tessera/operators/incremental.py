@@ -150,11 +150,13 @@ def mark_of(spark: SparkSession, path: str, col: str):
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     """SK-6: select ``schema``'s columns in order; absent ones become typed NULLs."""
-    have = set(df.columns)
-    return df.select(*[
-        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def column(f: T.StructField):
+        kind = f.dataType.simpleString()  # without nullability, which no cast can add inside a struct
+        return F.col(f.name) if have.get(f.name) == kind else (F.col(f.name) if f.name in have else F.lit(None)).cast(kind)
+
+    return df.select(*[column(f).alias(f.name) for f in schema.fields])
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -231,9 +233,15 @@ def replace_days(spark: SparkSession, df: DataFrame, path: str, partition_col: s
                                         {**before["info"], **(info or {})}), before)
 
 
+def _day_set(partition_col: str) -> list:
+    """The touched days as metrics of the write itself: a bounded list, and whether the NULL day is among them."""
+    day = F.col(partition_col)
+    return [F.collect_set(day.cast("string")).alias("__days"), F.max(day.isNull()).alias("__no_day")]
+
+
 def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str], partition_col: str,
            check_unique: bool = True, newest_by: Sequence[str] = (), marks: Sequence[str] = (),
-           info: Mapping | None = None) -> dict:
+           info: Mapping | None = None, keep_delta: bool = False) -> dict:
     """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the table.
 
     The delta is computed once, to the scratch folder; its distinct days (a
@@ -243,13 +251,16 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
     ``newest_by`` the newer of the old and the new row of a key stays, so
     batches may come in any order. The table's schema becomes the delta's
     (columns added/dropped, SK-6). ``check_unique=False`` is for deltas unique
-    by construction; the quality suite still tests the table.
+    by construction; the quality suite still tests the table. With
+    ``keep_delta`` the written delta is returned for models that go on from the
+    new rows; the caller deletes it.
     """
     staging = scratch_dir(spark, "upsert-delta")
-    watched, seen = _observed(delta, marks)
-    watched.write.parquet(staging)
+    seen = Observation()
+    delta.observe(seen, *[F.max(c).alias(c) for c in marks], *_day_set(partition_col)).write.parquet(staging)
+    got = seen.get
     staged = spark.read.schema(delta.schema).parquet(staging)
-    days = [r[0] for r in staged.select(F.col(partition_col).cast("string")).distinct().collect()]
+    days = sorted(got["__days"]) + [None] * bool(got["__no_day"])
     before = state(spark, path)
     if check_unique:
         assert_unique(staged, keys)
@@ -264,11 +275,14 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
                 merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
         version, folders = _write(spark, merged, path, partition_col)
         parts = {**(before["parts"] if before else {}), **{d: version for d in folders}}
-        got, old = (seen.get if seen else {}), (before or {"marks": {}, "info": {}})
+        old = before or {"marks": {}, "info": {}}
         kept = {c: max(filter(None, [old["marks"].get(c), _text(got.get(c))]), default=None) for c in marks}
         commit(spark, path, _content(delta.schema, partition_col, parts, {**old["marks"], **kept},
                                      {**old["info"], **(info or {})}), before)
     elif info:
         commit(spark, path, {**before, "info": {**before["info"], **info}}, before)
+    stats = {"touched_partitions": len(days), "partitions": days}
+    if keep_delta:
+        return {**stats, "delta": staged, "staging": staging}
     delete_path(spark, staging, scratch_root(spark))
-    return {"touched_partitions": len(days), "partitions": days}
+    return stats

@@ -38,6 +38,65 @@ def exact_average(total: Column, n: Column, digits: int, kind: DecimalType) -> C
     return F.when(up, near + step).when(down, near - step).otherwise(near).cast(kind)
 
 
+STATE = "_state"
+
+
+def rollup_state(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts_col: str,
+    averages: Mapping[str, tuple[str, int]],
+    latest: Mapping[str, str],
+) -> DataFrame:
+    """Per group what a rollup is finished from, as one struct ``_state``: row count, exact sums and counts, the
+    newest row's values and its time. States of disjoint rows merge (``merge_states``)."""
+    aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    for out, (src, _) in averages.items():
+        aggs += [F.sum(src).alias(f"sum_{out}"), F.count(src).alias(f"n_{out}")]
+    latest_struct = F.struct(*[F.col(src).alias(out) for out, src in latest.items()])
+    aggs += [F.max_by(latest_struct, F.col(ts_col)).alias("latest"), F.max(ts_col).alias("until")]
+    rolled = df.groupBy(*keys).agg(*aggs)
+    return rolled.select(*keys, F.struct(*[c for c in rolled.columns if c not in keys]).alias(STATE))
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state a key from several of disjoint rows; types stay, so that states merge run after run."""
+    fields = states.schema[STATE].dataType.fields
+    flat = states.select(*keys, f"{STATE}.*")
+    merged = flat.groupBy(*keys).agg(*[
+        (F.max_by("latest", "until") if f.name == "latest" else F.max("until") if f.name == "until"
+         else F.sum(f.name).cast(f.dataType)).alias(f.name) for f in fields])
+    return merged.select(*keys, F.struct(*[f.name for f in fields]).alias(STATE))
+
+
+def finish_rollup(
+    states: DataFrame,
+    keys: Sequence[str],
+    averages: Mapping[str, tuple[DecimalType | None, int]],
+    latest: Sequence[str],
+    count_col: str = "extract_count",
+    synced_col: str = "_synced_at",
+    keep_state: bool = False,
+) -> DataFrame:
+    """The rollup's columns from its state; ``averages`` maps output -> (the input's decimal type or None, digits)."""
+    part = lambda name: F.col(f"{STATE}.{name}")
+
+    def average(out: str, kind: DecimalType | None, digits: int) -> Column:
+        total, n = part(f"sum_{out}"), part(f"n_{out}")
+        if kind is None:
+            return F.round(F.when(n > 0, total / n), digits)
+        return exact_average(total, n, digits, kind)
+
+    return states.select(
+        *keys,
+        part("rows").alias(count_col),
+        *[average(out, kind, digits).alias(out) for out, (kind, digits) in averages.items()],
+        *[part(f"latest.{out}").alias(out) for out in latest],
+        part("until").alias(synced_col),
+        *([STATE] if keep_state else []),
+    )
+
+
 def daily_rollup(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,33 +105,18 @@ def daily_rollup(
     latest: Mapping[str, str],
     count_col: str = "extract_count",
     synced_col: str = "_synced_at",
+    keep_state: bool = False,
 ) -> DataFrame:
     """Per group: row count, rounded averages, latest values by ``ts_col``, max ts.
 
     ``averages`` maps output -> (input column, digits); an average of a decimal
     is cast back to the input's decimal type so the target schema does not
     drift from run to run. ``latest`` maps output -> input column.
+    ``keep_state`` adds what later rows of a group can be merged with.
     """
-    aggs: list[Column] = [F.count(F.lit(1)).alias(count_col)]
-    exact: dict[str, Column] = {}
-    for out, (src, digits) in averages.items():
-        dt = _decimal_of(df, src)
-        if dt is None:
-            aggs.append(F.round(F.avg(src), digits).alias(out))
-        else:
-            aggs += [F.sum(src).alias(f"__sum_{out}"), F.count(src).alias(f"__n_{out}")]
-            exact[out] = exact_average(F.col(f"__sum_{out}"), F.col(f"__n_{out}"), digits, dt).alias(out)
-    latest_struct = F.struct(*[F.col(src).alias(out) for out, src in latest.items()])
-    aggs.append(F.max_by(latest_struct, F.col(ts_col)).alias("__latest"))
-    aggs.append(F.max(ts_col).alias(synced_col))
-    rolled = df.groupBy(*keys).agg(*aggs)
-    return rolled.select(
-        *keys,
-        count_col,
-        *[exact.get(out, F.col(out)) for out in averages],
-        *[F.col(f"__latest.{out}").alias(out) for out in latest],
-        synced_col,
-    )
+    kinds = {out: (_decimal_of(df, src), digits) for out, (src, digits) in averages.items()}
+    return finish_rollup(rollup_state(df, keys, ts_col, averages, latest), keys, kinds, list(latest),
+                         count_col, synced_col, keep_state)
 
 
 def single_row_daily(

@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import date_key, ntz_lit, surrogate_key
 from tessera.operators.dedup import latest_per_key, reject
 from tessera.operators.returns import with_period_return
-from tessera.operators.rollup import daily_rollup, prioritized_union, single_row_daily
+from tessera.operators.rollup import (
+    STATE,
+    daily_rollup,
+    finish_rollup,
+    merge_states,
+    prioritized_union,
+    rollup_state,
+    single_row_daily,
+)
 
 # Typed targets of the cleaned feeds (name, source column, type).
 SNAPSHOT_COLUMNS = [
@@ -133,24 +141,37 @@ DAILY_COLUMNS = [
 ]
 
 
-def snapshot_daily(stg_snap: DataFrame) -> DataFrame:
-    """AG-1 + AG-2 over the intraday feed."""
-    averages = {
-        "avg_price_usd": ("price_usd", 8),
-        "avg_market_cap_usd": ("market_cap_usd", 2),
-        "avg_volume_usd": ("volume_24h_usd", 2),
-    }
-    latest = {
-        "symbol": "symbol",
-        "name": "name",
-        "latest_price_usd": "price_usd",
-        "latest_market_cap_usd": "market_cap_usd",
-        "latest_volume_usd": "volume_24h_usd",
-    }
+SNAPSHOT_AVERAGES = {
+    "avg_price_usd": ("price_usd", 8),
+    "avg_market_cap_usd": ("market_cap_usd", 2),
+    "avg_volume_usd": ("volume_24h_usd", 2),
+}
+SNAPSHOT_LATEST = {
+    "symbol": "symbol",
+    "name": "name",
+    "latest_price_usd": "price_usd",
+    "latest_market_cap_usd": "market_cap_usd",
+    "latest_volume_usd": "volume_24h_usd",
+}
+
+
+def _of_feed(stg_snap: DataFrame) -> tuple[dict, dict]:
     have = set(stg_snap.columns)
-    averages = {k: v for k, v in averages.items() if v[0] in have}
-    latest = {k: v for k, v in latest.items() if v in have}
-    return daily_rollup(stg_snap, DAILY_KEYS, "fetched_at", averages, latest)
+    return ({k: v for k, v in SNAPSHOT_AVERAGES.items() if v[0] in have},
+            {k: v for k, v in SNAPSHOT_LATEST.items() if v in have})
+
+
+def snapshot_daily(stg_snap: DataFrame, keep_state: bool = False) -> DataFrame:
+    """AG-1 + AG-2 over the intraday feed."""
+    return daily_rollup(stg_snap, DAILY_KEYS, "fetched_at", *_of_feed(stg_snap), keep_state=keep_state)
+
+
+def merged_snapshot_daily(old: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """AG-1 + AG-2 of keys whose state so far is ``old`` (keys, _state) and that got ``new_rows``; no old row is read."""
+    averages, latest = _of_feed(new_rows)
+    states = old.unionByName(rollup_state(new_rows, DAILY_KEYS, "fetched_at", averages, latest))
+    kinds = {out: (new_rows.schema[src].dataType, digits) for out, (src, digits) in averages.items()}
+    return finish_rollup(merge_states(states, DAILY_KEYS), DAILY_KEYS, kinds, list(latest), keep_state=True)
 
 
 def history_daily(stg_hist: DataFrame) -> DataFrame:
@@ -195,7 +216,8 @@ def restrict_to_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str],
 
 
 def int_daily(stg_snap: DataFrame, stg_hist: DataFrame, mark=None,
-              touched_days: Sequence[dt.date] | None = None, mark_col: str = "fetched_at") -> DataFrame:
+              touched_days: Sequence[dt.date] | None = None, mark_col: str = "fetched_at",
+              keep_state: bool = False) -> DataFrame:
     """Unified daily grain; with ``mark`` only touched (coin, day) are recomputed,
     each from *all* of its rows (SK-2). Snapshot beats history. ``mark`` may be
     one value for both feeds (reference) or a ``(snapshot, history)`` pair."""
@@ -204,9 +226,13 @@ def int_daily(stg_snap: DataFrame, stg_hist: DataFrame, mark=None,
         touched = touched_keys([stg_snap, stg_hist], DAILY_KEYS, mark_col, mark)
         snap = restrict_to_keys(snap, touched, DAILY_KEYS, touched_days)
         hist = restrict_to_keys(hist, touched, DAILY_KEYS, touched_days)
-    unified = prioritized_union([("snapshot", snapshot_daily(snap)), ("history", history_daily(hist))],
-                                DAILY_KEYS)
-    return unified.select(*[c for c in DAILY_COLUMNS if c in unified.columns])
+    return unified_daily(snapshot_daily(snap, keep_state), hist)
+
+
+def unified_daily(snap_daily: DataFrame, stg_hist: DataFrame) -> DataFrame:
+    """ST-1 + W-3: snapshot days before history days."""
+    unified = prioritized_union([("snapshot", snap_daily), ("history", history_daily(stg_hist))], DAILY_KEYS)
+    return unified.select(*[c for c in [*DAILY_COLUMNS, STATE] if c in unified.columns])
 
 
 # ---------------------------------------------------------------- version history input

@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.quality import Check, gate, run_checks, warehouse_checks
+from tessera.operators.rollup import STATE
 from tessera.operators.scd2 import scd2_apply, scd2_dimension
 from tessera.plans import market as M
+from tessera.session import delete_path, scratch_root
 
 ATTRS = ["symbol", "name", "asset_type"]
 SILVER = ("stg_snapshot", "stg_history", "int_daily")
@@ -60,7 +62,8 @@ class Warehouse:
         return f"{self.base}/{model}"
 
     def table(self, model: str) -> DataFrame | None:
-        return I.read_table(self.spark, self.path(model))
+        df = I.read_table(self.spark, self.path(model))
+        return None if df is None else df.drop(STATE)
 
     def _state(self, model: str) -> dict | None:
         return I.state(self.spark, self.path(model))
@@ -141,6 +144,7 @@ class Warehouse:
     def build_silver(self, snap_landing: DataFrame, hist_landing: DataFrame, full_refresh: bool = False,
                      overrides: DataFrame | None = None) -> dict:
         stats: dict = {}
+        before = self._numbers("stg_snapshot", "stg_history") if self._state("int_daily") else {}
         # cleaned feeds (strict > watermark; on fetched_at like the reference,
         # Q1, or on _loaded_at to take late rows too)
         wm = self.watermark
@@ -154,27 +158,18 @@ class Warehouse:
                 self._replace(model, delta, marks=[wm])
             else:
                 # by load time, a late row may be older than the one it meets
-                stats[model] = self._upsert(model, delta, keys, marks=[wm],
+                stats[model] = self._upsert(model, delta, keys, marks=[wm], keep_delta=True,
                                             newest_by=newest if self.by_load_time else ())
         if full_refresh or self._state("int_daily") is None:
             self._full_daily()
         elif self.by_load_time:
             stats["int_daily"] = self._changed_daily()
         else:
-            # Reference: one mark for both feeds, taken from the target (Q2).
-            # The touched keys are computed once and written; their days prune
-            # both feeds.
-            mark = I.mark_of(self.spark, self.path("int_daily"), "_synced_at")
-            snap, hist = self.table("stg_snapshot"), self.table("stg_history")
-            delta = M.int_daily(snap, hist)
-            if mark is not None:
-                touched = M.touched_keys([snap, hist], M.DAILY_KEYS, wm, mark, day_cols=["price_date", None])
-                touched = I.staged(touched, "touched-keys")
-                days = [r[0] for r in touched.select(F.col("price_date").cast("string")).distinct().collect()]
-                delta = M.int_daily(I.in_days(snap, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi"),
-                                    I.in_days(hist, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi"))
-            stats["int_daily"] = self._upsert("int_daily", delta, M.DAILY_KEYS, marks=["_synced_at"],
-                                              info=self._numbers("stg_snapshot", "stg_history"))
+            stats["int_daily"] = self._merged_daily(before, {m: stats[m]["delta"] for m in before})
+        for model in ("stg_snapshot", "stg_history"):
+            if model in stats:
+                delete_path(self.spark, stats[model].pop("staging"), scratch_root(self.spark))
+                del stats[model]["delta"]
         return stats
 
     def build_batch(self, snap_rows: DataFrame, hist_rows: DataFrame, overrides: DataFrame | None = None) -> dict:
@@ -195,8 +190,41 @@ class Warehouse:
             stats["int_daily"] = self._changed_daily()
         return stats
 
+    def _merged_daily(self, before: dict, deltas: dict[str, DataFrame]) -> dict:
+        """The daily grain brought up to date from the feeds' new rows.
+
+        Reference: one mark for both feeds, taken from the target (Q2); a key
+        with a newer row in either is computed again. A key's snapshot rows are
+        not read for that: its state is kept with its row and merged with that
+        of the new rows. That holds as long as the daily grain has seen every
+        earlier row, which the feeds' pointers say; else (a run died in
+        between, or rows were older than the mark) touched keys are recomputed
+        from all their rows.
+        """
+        mark = I.mark_of(self.spark, self.path("int_daily"), "_synced_at")
+        at = self._state("int_daily")
+        target = I.read_table(self.spark, self.path("int_daily"), at)
+        info = self._numbers("stg_snapshot", "stg_history")
+        known = {m: at["info"].get(m) for m in before} == before and STATE in target.columns and mark is not None
+        oldest = deltas["stg_snapshot"].agg(F.min("fetched_at")).first()[0] if known else None
+        behind = known and oldest is not None and oldest <= mark
+        snap, hist = self.table("stg_snapshot"), self.table("stg_history")
+        new = list(deltas.values()) if known else [snap, hist]
+        days_from = [None, None] if known else ["price_date", None]
+        touched = I.staged(M.touched_keys(new, M.DAILY_KEYS, "fetched_at", mark, day_cols=days_from), "touched-keys")
+        days = [r[0] for r in touched.select(F.col("price_date").cast("string")).distinct().collect()]
+        of_touched = lambda df: I.in_days(df, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi")
+        if known and not behind:
+            old = of_touched(target.where(F.col(STATE).isNotNull()).select(*M.DAILY_KEYS, STATE))
+            daily = M.merged_snapshot_daily(old, deltas["stg_snapshot"])
+        else:
+            daily = M.snapshot_daily(of_touched(snap), keep_state=True)
+        if behind:  # rows that no key was computed again for are not in any state yet
+            info["stg_snapshot"] = None
+        return self._upsert("int_daily", M.unified_daily(daily, of_touched(hist)), M.DAILY_KEYS, marks=["_synced_at"], info=info)
+
     def _full_daily(self) -> None:
-        self._replace("int_daily", M.int_daily(self.table("stg_snapshot"), self.table("stg_history")),
+        self._replace("int_daily", M.int_daily(self.table("stg_snapshot"), self.table("stg_history"), keep_state=True),
                       marks=["_synced_at"], info=self._numbers("stg_snapshot", "stg_history"))
 
     def _changed_daily(self) -> dict:
@@ -204,7 +232,7 @@ class Warehouse:
         feeds = ("stg_snapshot", "stg_history")
         days = sorted({d for m in feeds for d in I.changed_days(self.spark, self.path(m), self._seen("int_daily", m))},
                       key=str)
-        daily = M.int_daily(*(I.in_days(self.table(m), "price_date", days) for m in feeds))
+        daily = M.int_daily(*(I.in_days(self.table(m), "price_date", days) for m in feeds), keep_state=True)
         I.replace_days(self.spark, daily, self.path("int_daily"), "price_date", days, info=self._numbers(*feeds))
         return {"touched_partitions": len(days), "partitions": days}
 

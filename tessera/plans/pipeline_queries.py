@@ -20,6 +20,7 @@ from tessera.functions.scalar import ntz_lit, price_text, signed_pct_text
 from tessera.operators import incremental as I
 from tessera.operators import marts as Q
 from tessera.operators.quality import Check, run_checks
+from tessera.operators.rollup import STATE
 from tessera.plans import events as E
 from tessera.plans import events_sql as S
 from tessera.plans import market as M
@@ -91,8 +92,8 @@ def q_schema_sync(spark, sf):
     old = wh.table("int_daily").drop("avg_volume_usd").withColumn("legacy_flag", F.lit(True))
     I.replace(spark, old, wh.path("int_daily"), "price_date")
     wh.build_silver(E.snapshot_landing(events, last), E.history_landing(events, last))
-    # a reader that knows nothing of the writer gets the current columns
-    return E.present(I.read_table(spark, wh.path("int_daily")))
+    # a reader that knows nothing of the writer gets the current columns, the rollup's state among them
+    return E.present(I.read_table(spark, wh.path("int_daily")).drop(STATE))
 
 
 def _land_in_files(events: DataFrame, folder: str, files: list[int]) -> None:
