@@ -129,7 +129,9 @@ def _decode(file, at: int) -> tuple[bytes, int] | None:
         file.seek(at + taken)
         data = file.read(READ)
         if not data:
-            raise ValueError(f"archive ends inside the record at byte {at}") if seen else EOFError
+            if len(seen) >= len(VERSION):
+                raise ValueError(f"archive ends inside the record at byte {at}")
+            return None  # a magic by chance in the archive's last bytes
         try:
             part = unpacker.decompress(data)
         except zlib.error:

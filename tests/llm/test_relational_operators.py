@@ -71,6 +71,37 @@ def test_natural_weights_leave_all_as_it_is_and_a_greedy_budget_is_refused(spark
 # --- WARC ----------------------------------------------------------------------------------------
 
 
+def test_plan_equals_plain_arithmetic(spark):
+    """Weights of every source and the tokens that realise them, worked out again from the token counts alone."""
+    docs = corpus(spark)
+    rows = mixing.mix_sources(docs, target_entropy=0.9, max_repeats=4.0, block_tokens=16).collect()
+    before = {s or "": n for s, n in tokens(docs)[0].items() if n}
+    total, largest = sum(before.values()), max(before, key=before.get)
+
+    def weights(a):
+        raw = {s: (n / total) ** a for s, n in before.items()}
+        return {s: w / sum(raw.values()) for s, w in raw.items()}
+
+    def may_rise(a):
+        w = weights(a)
+        budget = before[largest] / w[largest]  # the largest source just once
+        entropy = -sum(x * math.log(x) for x in w.values()) / math.log(len(w))
+        return entropy >= 0.9 or max(w[s] * budget / n for s, n in before.items()) > 4.0 * (1 + 1e-9)
+
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if may_rise(mid) else (low, mid)
+    seen, got = {r.source or "": r for r in rows if r.weight}, Counter()
+    for r in rows:
+        got[r.source or ""] += len((r.text or "").split())
+    w = weights(high)
+    assert set(seen) == set(before)
+    for s, n in before.items():
+        assert seen[s].weight == pytest.approx(w[s], rel=1e-5) and seen[s].exponent == pytest.approx(high, abs=1e-6)
+        assert abs(got[s] - w[s] * before[largest] / w[largest]) <= 20, s  # a document's tokens, at most
+
+
 class Bytes(io.BytesIO):
     def size(self):
         return len(self.getvalue())
@@ -97,6 +128,14 @@ def test_magic_inside_a_member_is_no_record():
         list(warc.members(Bytes(good[:-12]), 0, 1))
 
 
+def test_magic_in_the_last_bytes_of_an_archive_is_no_record():
+    good = warc.member(warc.record(1, None, "x", None, "d"))
+    for tail in (warc.MAGIC, warc.MAGIC + b"\x00\x00", warc.member(b"WARC/1.1 cut")[:14]):
+        file = Bytes(good + tail)
+        assert len(list(warc.members(file, 0, file.size()))) == 1
+        assert list(warc.members(file, len(good) - 3, file.size())) == []
+
+
 def test_pages_round_trip(spark):
     big = "ü" * 600
     pages = [(1, "http://a/\r\nX: y", big), (2, "http://b", big), (3, "http://c", big), (3, "http://c", big),
