@@ -174,6 +174,36 @@ def test_report_and_removal(spark):
     assert decontam.decontaminate(docs, nothing).count() == docs.count()
 
 
+def test_parts_of_a_benchmark_report_what_one_automaton_does(spark):
+    rng = random.Random(8)
+    words = ["a", "b", "C", "é", "1x"]
+    items = [(str(i) if i else None, " ".join(rng.choice(words) for _ in range(rng.randint(0, 14)))) for i in range(40)]
+    bench = spark.createDataFrame([*items, ("twice", items[5][1]), ("twice", items[5][1])], "item_id string, text string")
+    items = [(i or "", t) for i, t in [*items, ("twice", items[5][1]), ("twice", items[5][1])]]
+    texts = [" ".join(rng.choice(words + ["Q"]) for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_hit string")
+    for part_bytes in (1 << 20, 200, 60):
+        parts = decontam.build(bench, 4, part_bytes)
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in decontam.report(docs, parts).collect()}
+        for i, t in enumerate(texts):
+            n, hit, seen = brute_hits(t, items, 4)
+            names = ",".join(sorted(items[k][0] for k in seen))
+            assert got[i] == (n, hit, len(seen), hashlib.sha256(names.encode()).hexdigest())
+        cut = decontam.decontaminate(docs, parts, 1.0).orderBy("doc_id").collect()
+        assert [len(r.text.split()) for r in cut] == [got[r.doc_id][0] - got[r.doc_id][1] for r in cut] and len(cut) == len(texts)
+        assert cut[0].n_hit == "x"
+
+
+def test_an_item_of_one_word_many_times_is_built_in_linear_time():
+    import time
+
+    began = time.time()
+    automaton = decontam.Automaton([("long", "again " * 60_000)])
+    assert time.time() - began < 20
+    (n, spans, _, items), = decontam.find(pa.array(["x " + "again " * 30]), automaton)
+    assert (n, spans, items) == (31, [(1, 31)], {0})
+
+
 # --- token files ---------------------------------------------------------------------------------
 
 
