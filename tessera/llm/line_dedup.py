@@ -1,11 +1,12 @@
 """Line de-duplication by hashed keys and per-document keep bitmaps, in DataFrame operations only.
 
-Line hashes are range-partitioned with documents and positions as the
-secondary order, so a line that every document has is spread over many tasks,
-and written. A hash aggregation over what was written, with a shuffle of its
-own, finds the first occurrence of every (line, document); it does not use the
-order. These are counted per line. What comes back to the documents are bitmaps, never text: 62
-lines to a word, and only words with a dropped line are stored.
+Texts are split once; their line hashes are range-partitioned with documents
+and positions as the secondary order, so a line that every document has is
+spread over many tasks. Each task streams its sorted range and marks the first
+occurrence of every (line, document): a running number over that order, for
+which Spark plans no further shuffle or sort. The marked rows are counted per
+line, first in the task. What comes back to the documents are bitmaps, never
+text: 62 lines to a word, and only words with a dropped line are stored.
 
 Nulls, empties, ties: null and empty texts have one empty line. Lines whose key
 is shorter than ``min_chars`` stay. Rows of one doc_id count as one document
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -56,11 +57,13 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     lines = (_rows(docs).select(F.col("doc_id").alias("_doc"), "_tk", F.posexplode(_lines("_text")).alias("pos", "line"))
              .withColumn("key", line_key(F.col("line"))).filter(F.char_length("key") >= min_chars)
              .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"), "_doc", "_tk", "pos"))
+    lines = common.materialise(lines, "line-hashes")  # so that finding the ranges does not split the texts again
     ranged = lines.repartitionByRange(common.n_partitions(spark), "h1", "h2", "_doc").sortWithinPartitions(
         "h1", "h2", "_doc", "pos")
-    lines = common.materialise(ranged, "line-hashes")
-    firsts = lines.groupBy("h1", "h2", "_doc").agg(F.min("pos").alias("pos"))
-    common_lines = (firsts.groupBy("h1", "h2")
+    # all rows of a (line, document) lie in one range, in order of position: the window streams over them
+    in_order = Window.partitionBy("h1", "h2", "_doc").orderBy("pos")
+    lines = common.materialise(ranged.withColumn("nth", F.row_number().over(in_order)), "line-order")
+    common_lines = (lines.filter("nth = 1").groupBy("h1", "h2")
                     .agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("_doc", "pos")).alias("first"))
                     .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "first"))
     # Written, so that its size is known: Spark broadcasts it below its threshold and splits hot lines beyond.
