@@ -224,7 +224,9 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> dict:
     # Written: its bounded size is then known to the planner, which joins it without moving the texts.
     known = common.materialise(known.select("doc_id", "toxic", (F.pmod("h", F.lit(4)) == 0).alias("calibrates")),
                                "toxic-sample")
-    sample = common.materialise(docs.select("doc_id", "text").join(known, "doc_id"), "toxic-texts")
+    # one text an id (the smallest), so that the sample stays within its bound whatever ids repeat
+    texts = docs.select("doc_id", "text").join(known.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sample = common.materialise(texts.join(known, "doc_id"), "toxic-texts")
     teach = sample.filter(~F.col("calibrates"))
     kinds = {r[0]: r[1] for r in teach.groupBy("toxic").count().collect()}
     if len(kinds) < 2:
@@ -233,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> dict:
     terms = learn_terms(teach)
     featured = common.materialise(
         _assembled(with_features(sample.select("text", "toxic", "calibrates"), terms)).select(
-            "features", F.col("toxic").cast("double").alias("label"), "calibrates").coalesce(4), "toxic-features")
+            "features", F.col("toxic").cast("double").alias("label"), "calibrates"), "toxic-features")
     trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.3, subsamplingRate=1.0, seed=seed,
                           checkpointInterval=-1).fit(featured.filter(~F.col("calibrates")))
     raw = trees.transform(featured.filter("calibrates")).select("label", _raw())
