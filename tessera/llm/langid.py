@@ -34,9 +34,8 @@ from tessera.llm import common
 ORDER = 4
 #: Counts up to which the models are broadcast whole; beyond, the grams whose bits are: the most frequent first.
 MAX_GRAMS = 2_000_000
-#: Bits (grams x languages) of the broadcast part of larger models: 64 MB.
+#: Cross-entropies (counts x languages) that are broadcast at most: 64 MB.
 MAX_BITS = 1 << 24
-MAX_LANGUAGES = 500
 #: Characters beyond which a longer text makes the score no surer.
 SURE_LENGTH = 64
 #: Texts shorter than 2 ** this many characters say too little to be rejected for their cross-entropy.
@@ -118,9 +117,10 @@ def count_grams(labelled: DataFrame) -> DataFrame:
             chars, offsets, has = normalised(*common.code_points(batch.column(1)))
             keys, cuts = grams(chars, offsets)
             langs = batch.column(0).to_pylist()
-            own = np.repeat([langs[i] if has[i] else "" for i in range(len(langs))], np.diff(cuts))
-            for lang in set(langs):
-                found = np.unique(keys[own == lang], return_counts=True)
+            number = {lang: n for n, lang in enumerate(dict.fromkeys(langs))}
+            own = np.repeat([number[lang] if ok else -1 for lang, ok in zip(langs, has)], np.diff(cuts))
+            for lang, n in number.items():
+                found = np.unique(keys[own == n], return_counts=True)
                 if len(found[0]):
                     parts = held.setdefault(lang, [])
                     parts.append(found)
@@ -390,15 +390,18 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | SpreadModels
     """
     spark = common.prepare(labelled.sparkSession)
     labelled = labelled.filter(F.col("lang").isNotNull())
-    counts = common.materialise(count_grams(labelled.filter(~calibration)), "lang-grams")
-    if counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # a language all of whose texts would calibrate is taught by them too
+    labelled = labelled.withColumn("_calibrates", calibration)
+    without = labelled.groupBy("lang").agg(F.min(F.col("_calibrates").cast("int")).alias("_only")).filter("_only = 1")
+    taught = labelled.join(without, "lang", "left").filter("not _calibrates or _only is not null")
+    counts = common.materialise(count_grams(taught.select("lang", "text")), "lang-grams")
     n_counts = counts.count()
     if not n_counts:
         return None, {}
-    if n_counts > MAX_GRAMS:
-        models = SpreadModels(counts, sorted(r[0] for r in counts.select("lang").distinct().collect()))
-        measured = _judge_spread(labelled.filter(calibration).select("text", "lang"), models, None).select(
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())  # a name a language
+    if n_counts > MAX_GRAMS or n_counts * len(langs) > MAX_BITS:
+        models = SpreadModels(counts, langs)
+        measured = _judge_spread(labelled.filter("_calibrates").select("text", "lang"), models, None).select(
             "_row.lang", F.col("lang_pred").alias("pred"), "bits", "kind")
         return models, _limits(models.langs, measured)
     models = Models(list(zip(*(c.to_pylist() for c in counts.toArrow().columns))))
@@ -412,7 +415,7 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | SpreadModels
                 yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.string()), pred, bits, kind],
                                                  names=["lang", "pred", "bits", "kind"])
 
-    measured = labelled.filter(calibration).select("text", "lang").mapInArrow(
+    measured = labelled.filter("_calibrates").select("text", "lang").mapInArrow(
         measure, "lang string, pred string, bits double, kind int")
     return models, _limits(models.langs, measured)
 

@@ -150,6 +150,66 @@ def test_model_is_a_distribution():
     assert model.probability(np.array([ord("q")], np.uint64))[0] > 0
 
 
+def plain_probability(text):
+    """Interpolated Kneser-Ney over 4-grams by dictionaries."""
+    counts = [{}]
+    for i in range(len(text) - 3):
+        counts[0][text[i: i + 4]] = counts[0].get(text[i: i + 4], 0) + 1
+    for _ in range(3):
+        lower = {}
+        for g in counts[-1]:
+            lower[g[1:]] = lower.get(g[1:], 0) + 1
+        counts.append(lower)
+
+    def of(gram, level=0):
+        if level == 4:
+            return 1 / (len(counts[3]) + 1)
+        c = counts[level]
+        once, twice = list(c.values()).count(1), list(c.values()).count(2)
+        d = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+        after = [n for g, n in c.items() if g[:-1] == gram[:-1]]
+        lower = of(gram[1:], level + 1)
+        return max(c.get(gram, 0) - d, 0) / sum(after) + d * len(after) / sum(after) * lower if after else lower
+
+    return of
+
+
+def test_cross_entropies_and_labels_equal_dictionaries():
+    rng = random.Random(2)
+    taught = {lang: "   " + "".join(rng.choice(letters) for _ in range(300)) + " " for lang, letters in
+              (("aa", "abcab "), ("bb", "bcdd "), ("cc", "xya "))}
+    rows = []
+    for lang, text in taught.items():
+        keys, n = np.unique([sum(ord(c) << (16 * (3 - j)) for j, c in enumerate(text[i: i + 4])) for i in range(len(text) - 3)],
+                            return_counts=True)
+        rows += [(lang, int(k), int(m)) for k, m in zip(np.array(keys, np.uint64).view(np.int64), n)]
+    models = langid.Models(rows)
+    texts = ["".join(rng.choice("abcdxyq ") for _ in range(rng.randint(1, 40))) for _ in range(30)] + ["q", "zzzz zz"]
+    bits, chars, _ = models.cross_entropy(pa.array(texts))
+    pred = langid._score(models, pa.array(texts), None)[0].to_pylist()
+    of = {lang: plain_probability(t) for lang, t in taught.items()}
+    for i, text in enumerate(texts):
+        shown = "   " + " ".join(text.split()) + " "
+        grams = [shown[j: j + 4] for j in range(len(shown) - 3)]
+        if text.strip() != text:  # a space at an end counts as one before the last
+            continue
+        want = [-sum(np.log2(of[lang](g)) for g in grams) / len(grams) for lang in sorted(of)]
+        assert chars[i] == len(grams) and np.allclose(bits[i], want, atol=1e-4)
+        assert pred[i] == sorted(of)[int(np.argmin(want))]
+
+
+def test_any_number_of_languages_and_languages_that_only_calibrate(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = [(i, f"{letters[i % 26]}{letters[i // 26 % 26]} " * 12, f"l{i % 520}", "s", 1) for i in range(1040)]
+    only = [i for i in range(5000, 5400) if __import__("zlib").crc32(str(i).encode()) % 4 == 0][:20]
+    docs += [(i, "жук лист дом", "late", "s", 1) for i in only] + [(9001, "12 34", "", "s", 1), (9002, "ωμέγα άλφα", "", "s", 1)]
+    df = documents(spark, docs)
+    got = langid.identify(df, *fit_language_models(df)).collect()
+    assert len(got) == len(docs) and len({r.lang_pred for r in got}) > 400
+    assert {r.lang_pred for r in got if r.doc_id in only} == {"late"}
+    assert [r.lang_pred for r in got if r.doc_id == 9001] == ["und"]
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.identify(clashing(docs.select("doc_id", "text", "lang", held_out("doc_id", 4, 2).alias("held")), "score"),
@@ -202,6 +262,18 @@ def test_toxic_documents_are_found(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in test)
 
 
+def test_repeated_labelled_ids_leave_the_sample_within_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TRAINING", 40)
+    rows = [(i % 50, f"word{i} {'idiot' if i % 50 % 2 else 'tree'} and more words", None, None, 0) for i in range(400)]
+    rows += [(1, f"idiot {i}", None, None, 0) for i in range(400)]  # one labelled id holds half of all rows
+    seen = []
+    learn = toxicity.learn_terms
+    monkeypatch.setattr(toxicity, "learn_terms", lambda teach: seen.append(teach.count()) or learn(teach))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] * 2, "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, rows), labels)
+    assert 0 < seen[0] <= 40 and toxicity.score(documents(spark, rows), model).count() == len(rows)
+
+
 def test_toxicity_edges(spark):
     words = ["tree", "house", "river", "stone", "cloud"]
     rng = random.Random(1)
