@@ -241,7 +241,7 @@ def _day_set(partition_col: str) -> list:
 
 def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str], partition_col: str,
            check_unique: bool = True, newest_by: Sequence[str] = (), marks: Sequence[str] = (),
-           info: Mapping | None = None, keep_delta: bool = False) -> dict:
+           info: Mapping | None = None, keep_delta: bool = False, whole_days: Sequence[str | None] = ()) -> dict:
     """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the table.
 
     The delta is computed once, to the scratch folder; its distinct days (a
@@ -251,8 +251,8 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
     ``newest_by`` the newer of the old and the new row of a key stays, so
     batches may come in any order. The table's schema becomes the delta's
     (columns added/dropped, SK-6). ``check_unique=False`` is for deltas unique
-    by construction; the quality suite still tests the table. With
-    ``keep_delta`` the written delta is returned for models that go on from the
+    by construction; the quality suite still tests the table. Of ``whole_days``
+    the delta has all rows: others of them go. With ``keep_delta`` the written delta is returned for models that go on from the
     new rows; the caller deletes it.
     """
     staging = scratch_dir(spark, "upsert-delta")
@@ -260,7 +260,7 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
     delta.observe(seen, *[F.max(c).alias(c) for c in marks], *_day_set(partition_col)).write.parquet(staging)
     got = seen.get
     staged = spark.read.schema(delta.schema).parquet(staging)
-    days = sorted(got["__days"]) + [None] * bool(got["__no_day"])
+    days = sorted({*got["__days"], *(d for d in whole_days if d is not None)}) + [None] * bool(got["__no_day"] or None in whole_days)
     before = state(spark, path)
     if check_unique:
         assert_unique(staged, keys)
@@ -268,16 +268,19 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
         merged = staged
         target = read_table(spark, path, before) if before else None
         if target is not None:
-            existing = align(in_days(target, partition_col, days), delta.schema)
+            others = [d for d in days if d not in whole_days]
+            existing = align(in_days(target, partition_col, others), delta.schema)
             if newest_by:
                 merged = latest_per_key(existing.unionByName(staged), list(keys), list(newest_by))
             else:
                 merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
         version, folders = _write(spark, merged, path, partition_col)
-        parts = {**(before["parts"] if before else {}), **{d: version for d in folders}}
+        emptied = {f"{partition_col}={NULL_DAY if d is None else d}" for d in whole_days}
+        kept_parts = {d: v for d, v in before["parts"].items() if d not in emptied} if before else {}
+        parts = {**kept_parts, **{d: version for d in folders}}
         old = before or {"marks": {}, "info": {}}
-        kept = {c: max(filter(None, [old["marks"].get(c), _text(got.get(c))]), default=None) for c in marks}
-        commit(spark, path, _content(delta.schema, partition_col, parts, {**old["marks"], **kept},
+        marked = {c: max(filter(None, [old["marks"].get(c), _text(got.get(c))]), default=None) for c in marks}
+        commit(spark, path, _content(delta.schema, partition_col, parts, {**old["marks"], **marked},
                                      {**old["info"], **(info or {})}), before)
     elif info:
         commit(spark, path, {**before, "info": {**before["info"], **info}}, before)

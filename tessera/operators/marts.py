@@ -9,11 +9,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.incremental import staged
+from tessera.operators.incremental import changed_days, in_days, read_table, replace_days, staged, state
 
 # The long-form series labels of the price chart.
 SERIES_LABELS = ["Price", "All-time high", "All-time low"]
@@ -68,6 +68,25 @@ def extremes(fct: DataFrame, dim: DataFrame) -> DataFrame:
         F.max("latest_price_usd").alias("ath"), F.min("latest_price_usd").alias("atl"))
 
 
+def kept_extremes(spark: SparkSession, fct_path: str, dim: DataFrame, kept_path: str) -> DataFrame:
+    """Q-EXTREMES (AG-6) from a table of each day's high and low per symbol at ``kept_path``.
+
+    Only days that the fact table changed since the kept table was last brought
+    up to date are read again, as its pointer says; a day that is rewritten
+    lower, or goes, takes its extremes with it. A request folds days x symbols
+    rows instead of the facts. A version key keeps its symbol for good, so the
+    kept rows depend on their day's facts alone.
+    """
+    at, kept = state(spark, fct_path), state(spark, kept_path)
+    days = changed_days(spark, fct_path, kept["info"]["facts"] if kept else None)
+    if days or kept is None:
+        fct = in_days(read_table(spark, fct_path, at), "price_date", days)
+        daily = _with_dim(fct, dim).groupBy("price_date", "symbol").agg(
+            F.max("latest_price_usd").alias("ath"), F.min("latest_price_usd").alias("atl"))
+        replace_days(spark, daily, kept_path, "price_date", days, info={"facts": at["number"]})
+    return read_table(spark, kept_path).groupBy("symbol").agg(F.max("ath").alias("ath"), F.min("atl").alias("atl"))
+
+
 SERIES_SCHEMA = T.StructType([
     T.StructField("price_date", T.DateType()),
     T.StructField("symbol", T.StringType()),

@@ -4,7 +4,9 @@
 checked column differs (NULL-safe) from the open version of the same key; the
 old one is closed at ``as_of``. Only *open* versions take part in the join, so
 each run costs one shuffle of (open versions + incoming rows) on the key and
-closed history passes straight through.
+closed history passes straight through. A stored history (``history_part``)
+appends closed versions by day and rewrites only the parts of open versions
+that changed.
 """
 
 from __future__ import annotations
@@ -34,6 +36,32 @@ def scd2_initial(incoming: DataFrame, key: str, check_cols: Sequence[str], as_of
     )
 
 
+def _compared(open_: DataFrame, incoming: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.datetime,
+              close_missing: bool) -> tuple[DataFrame, Column, Column, Column, Column]:
+    """Open versions beside what comes in: the joined rows, whether the old one closes, whether one opens, both versions."""
+    ts = ntz_lit(as_of)
+    inc = incoming.select(key, *[F.col(c).alias(f"__new_{c}") for c in check_cols]).withColumn("__has_new", F.lit(True))
+    j = open_.withColumn("__has_old", F.lit(True)).join(inc, key, "full_outer")
+    has_old = F.col("__has_old").isNotNull()
+    has_new = F.col("__has_new").isNotNull()
+    same = F.lit(True)
+    for c in check_cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"__new_{c}"))
+    changed = has_old & has_new & ~same
+    closes = changed | (has_old & ~has_new & F.lit(close_missing))
+    opens = has_new & (~has_old | changed)
+    old_v = F.struct(F.col(key).alias(key), *[F.col(c).alias(c) for c in check_cols], F.col(VFROM).alias(VFROM),
+                     F.when(closes, ts).otherwise(F.lit(None).cast("timestamp_ntz")).alias(VTO))
+    new_v = F.struct(F.col(key).alias(key), *[F.col(f"__new_{c}").alias(c) for c in check_cols],
+                     ts.alias(VFROM), F.lit(None).cast("timestamp_ntz").alias(VTO))
+    return j, closes, opens, old_v, new_v
+
+
+def _either(j: DataFrame, *versions: Column) -> DataFrame:
+    # one pass over the join: each row yields its old version, its new one, or both
+    return j.select(F.explode(F.array(*versions)).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+
+
 def scd2_apply(
     history: DataFrame | None,
     incoming: DataFrame,
@@ -50,35 +78,28 @@ def scd2_apply(
     """
     if history is None:
         return scd2_initial(incoming, key, check_cols, as_of)
-    ts = ntz_lit(as_of)
-    open_ = history.where(F.col(VTO).isNull()).withColumn("__has_old", F.lit(True))
+    open_ = history.where(F.col(VTO).isNull())
     closed = history.where(F.col(VTO).isNotNull()).select(key, *check_cols, VFROM, VTO)
-    inc = incoming.select(key, *[F.col(c).alias(f"__new_{c}") for c in check_cols]).withColumn(
-        "__has_new", F.lit(True)
-    )
-    j = open_.join(inc, key, "full_outer")
-    has_old = F.col("__has_old").isNotNull()
-    has_new = F.col("__has_new").isNotNull()
-    same = F.lit(True)
-    for c in check_cols:
-        same = same & F.col(c).eqNullSafe(F.col(f"__new_{c}"))
-    changed = has_old & has_new & ~same
-    close_now = changed | (has_old & ~has_new & F.lit(close_missing))
-    opens = has_new & (~has_old | changed)
-    old_v = F.when(
-        has_old,
-        F.struct(F.col(key).alias(key), *[F.col(c).alias(c) for c in check_cols],
-                 F.col(VFROM).alias(VFROM),
-                 F.when(close_now, ts).otherwise(F.lit(None).cast("timestamp_ntz")).alias(VTO)),
-    )
-    new_v = F.when(
-        opens,
-        F.struct(F.col(key).alias(key), *[F.col(f"__new_{c}").alias(c) for c in check_cols],
-                 ts.alias(VFROM), F.lit(None).cast("timestamp_ntz").alias(VTO)),
-    )
-    # one pass over the join: each row yields its old version, its new one, or both
-    rows = j.select(F.explode(F.array(old_v, new_v)).alias("v")).where(F.col("v").isNotNull()).select("v.*")
-    return closed.unionByName(rows)
+    j, _, opens, old_v, new_v = _compared(open_, incoming, key, check_cols, as_of, close_missing)
+    return closed.unionByName(_either(j, F.when(F.col("__has_old").isNotNull(), old_v), F.when(opens, new_v)))
+
+
+def scd2_changes(open_: DataFrame, incoming: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.datetime,
+                 close_missing: bool = False) -> DataFrame:
+    """Only what a run changes: the versions it closes (with their end) and those it opens."""
+    j, closes, opens, old_v, new_v = _compared(open_, incoming, key, check_cols, as_of, close_missing)
+    return _either(j, F.when(closes, old_v), F.when(opens, new_v))
+
+
+#: Open versions lie in so many parts by key, closed ones in a part a day of closing.
+OPEN_PARTS = 16
+PART = "part"
+
+
+def history_part(key: str) -> Column:
+    """The part of a stored history that a version lies in."""
+    bucket = F.format_string("open-%02d", F.pmod(F.xxhash64(key), F.lit(OPEN_PARTS)))
+    return F.when(F.col(VTO).isNull(), bucket).otherwise(F.concat(F.lit("closed-"), F.date_format(VTO, "yyyy-MM-dd")))
 
 
 def scd2_replay(

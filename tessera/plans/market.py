@@ -108,8 +108,28 @@ def after_mark(df: DataFrame, ts_col: str, mark: dt.datetime | None, day_col: st
 
 # ---------------------------------------------------------------- silver
 
+REJECTED = "_rejected"
+
+
+def _judged(newest: DataFrame, price: str, identity: Sequence[str], keep_rejects: bool) -> DataFrame:
+    """PF-2 after the dedup; with ``keep_rejects`` a rejected row stays as a tombstone: its identity and ``_rejected``.
+
+    A table of such rows remembers that a key's newest row was bad, so that an
+    older good one, which a later batch may bring, does not take its place.
+    """
+    good = F.coalesce(F.col(price) > 0, F.lit(False))
+    if not keep_rejects:
+        return reject(newest, F.col("id").isNotNull() & good)
+    kept = newest.where(F.col("id").isNotNull()).withColumn(REJECTED, ~good)
+    return kept.select(*[c if c in (*identity, REJECTED) else F.when(good, F.col(c)).alias(c) for c in kept.columns])
+
+
+def without_rejects(df: DataFrame) -> DataFrame:
+    return df.where(~F.col(REJECTED)).drop(REJECTED) if REJECTED in df.columns else df
+
+
 def stg_snapshot(raw: DataFrame, mark: dt.datetime | None = None,
-                 overrides: DataFrame | None = None, mark_col: str = "fetched_at") -> DataFrame:
+                 overrides: DataFrame | None = None, mark_col: str = "fetched_at", keep_rejects: bool = False) -> DataFrame:
     """Cleaned snapshot: watermark -> newest per (id, fetched_at) -> typed -> reject.
 
     ``mark_col='_loaded_at'`` (Q1 option) also takes rows that land late with
@@ -117,18 +137,18 @@ def stg_snapshot(raw: DataFrame, mark: dt.datetime | None = None,
     """
     src = after_mark(raw, mark_col, mark, "fetched_day" if mark_col == "fetched_at" else None)
     newest = latest_per_key(src, ["id", "fetched_at"], ["_loaded_at"])
-    kept = reject(newest, F.col("id").isNotNull() & (F.col("current_price") > 0))
-    out = typed_select(kept, SNAPSHOT_COLUMNS)
+    kept = _judged(newest, "current_price", ("id", "fetched_at", "_loaded_at"), keep_rejects)
+    out = typed_select(kept, [*SNAPSHOT_COLUMNS, (REJECTED, REJECTED, None)])
     return apply_overrides(out, overrides, "coin_id", ["name"])
 
 
 def stg_history(raw: DataFrame, mark: dt.datetime | None = None,
-                overrides: DataFrame | None = None, mark_col: str = "fetched_at") -> DataFrame:
+                overrides: DataFrame | None = None, mark_col: str = "fetched_at", keep_rejects: bool = False) -> DataFrame:
     """Cleaned history: newest per (id, price_date) by fetched_at, _loaded_at."""
     src = after_mark(raw, mark_col, mark)
     newest = latest_per_key(src, ["id", "price_date"], ["fetched_at", "_loaded_at"])
-    kept = reject(newest, F.col("id").isNotNull() & (F.col("price") > 0))
-    out = typed_select(kept, HISTORY_COLUMNS)
+    kept = _judged(newest, "price", ("id", "price_date", "fetched_at", "_loaded_at"), keep_rejects)
+    out = typed_select(kept, [*HISTORY_COLUMNS, (REJECTED, REJECTED, None)])
     return apply_overrides(out, overrides, "coin_id", ["name"])
 
 

@@ -27,7 +27,7 @@ from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
 from tessera.operators.quality import Check, gate, run_checks, warehouse_checks
 from tessera.operators.rollup import STATE
-from tessera.operators.scd2 import scd2_apply, scd2_dimension
+from tessera.operators.scd2 import PART, VTO, history_part, scd2_changes, scd2_dimension, scd2_initial
 from tessera.plans import market as M
 from tessera.session import delete_path, scratch_root
 
@@ -63,7 +63,7 @@ class Warehouse:
 
     def table(self, model: str) -> DataFrame | None:
         df = I.read_table(self.spark, self.path(model))
-        return None if df is None else df.drop(STATE)
+        return None if df is None else M.without_rejects(df.drop(STATE))
 
     def _state(self, model: str) -> dict | None:
         return I.state(self.spark, self.path(model))
@@ -89,7 +89,33 @@ class Warehouse:
     def versions(self) -> DataFrame | None:
         """The newest history (``None`` before the first run or after a reset)."""
         at = self._state("snapshot")
-        return None if at is None or at["info"].get("reset") else I.read_table(self.spark, self.path("snapshot"), at)
+        if at is None or at["info"].get("reset"):
+            return None
+        return I.read_table(self.spark, self.path("snapshot"), at).drop(PART)
+
+    def _apply_versions(self, incoming: DataFrame, as_of: dt.datetime) -> None:
+        """SK-3 on the stored history: closed versions are added to the part of their day, and of the open ones
+        only the parts with a change are written; a run without changes writes nothing."""
+        s, path = self.spark, self.path("snapshot")
+        if self.versions() is None:
+            first = scd2_initial(incoming, "coin_id", ATTRS, as_of)
+            I.replace(s, first.withColumn(PART, history_part("coin_id")), path, PART)
+            return
+        history = I.read_table(s, path)
+        if PART not in history.columns:  # written before histories had parts
+            I.replace(s, history.withColumn(PART, history_part("coin_id")), path, PART)
+            history = I.read_table(s, path)
+        open_ = history.where(F.col(PART).startswith("open-")).drop(PART)
+        changes = scd2_changes(open_, incoming, "coin_id", ATTRS, as_of).withColumn(PART, history_part("coin_id"))
+        changes = I.staged(changes, "version-changes")
+        closing = changes.where(F.col(VTO).isNotNull()).select("coin_id")
+        as_open = closing.withColumn(VTO, F.lit(None).cast("timestamp_ntz")).select(history_part("coin_id").alias(PART))
+        parts = sorted(r[0] for r in changes.select(PART).union(as_open).distinct().collect())
+        if parts:
+            there = I.in_days(history, PART, parts)
+            kept = there.where(F.col(VTO).isNull()).join(closing, "coin_id", "left_anti").unionByName(
+                there.where(F.col(VTO).isNotNull()))
+            I.replace_days(s, kept.unionByName(changes), path, PART, parts)
 
     def reset_versions(self) -> bool:
         """SK-8: start a fresh, empty history; facts then need a full refresh (Q9).
@@ -153,7 +179,7 @@ class Warehouse:
             ("stg_history", hist_landing, M.stg_history, ["coin_id", "price_date"], ["fetched_at", "_loaded_at"]),
         ):
             mark = None if full_refresh else I.mark_of(self.spark, self.path(model), wm)
-            delta = fn(raw, mark, overrides=overrides, mark_col=wm)
+            delta = fn(raw, mark, overrides=overrides, mark_col=wm, keep_rejects=True)
             if full_refresh:
                 self._replace(model, delta, marks=[wm])
             else:
@@ -165,7 +191,7 @@ class Warehouse:
         elif self.by_load_time:
             stats["int_daily"] = self._changed_daily()
         else:
-            stats["int_daily"] = self._merged_daily(before, {m: stats[m]["delta"] for m in before})
+            stats["int_daily"] = self._merged_daily(before, {m: M.without_rejects(stats[m]["delta"]) for m in before})
         for model in ("stg_snapshot", "stg_history"):
             if model in stats:
                 delete_path(self.spark, stats[model].pop("staging"), scratch_root(self.spark))
@@ -176,12 +202,13 @@ class Warehouse:
         """SS-3: rows that a stream has not delivered before, in any order.
 
         Of the rows of a key, from this batch or an earlier one, the newest
-        stays. A repeated batch changes nothing.
+        stays; if that is a bad one the key has no row, whatever batch brought
+        its older rows. A repeated batch changes nothing.
         """
         stats = {
-            "stg_snapshot": self._upsert("stg_snapshot", M.stg_snapshot(snap_rows, overrides=overrides),
+            "stg_snapshot": self._upsert("stg_snapshot", M.stg_snapshot(snap_rows, overrides=overrides, keep_rejects=True),
                                          ["coin_id", "fetched_at"], newest_by=["_loaded_at"], marks=["fetched_at"]),
-            "stg_history": self._upsert("stg_history", M.stg_history(hist_rows, overrides=overrides),
+            "stg_history": self._upsert("stg_history", M.stg_history(hist_rows, overrides=overrides, keep_rejects=True),
                                         ["coin_id", "price_date"], newest_by=["fetched_at", "_loaded_at"],
                                         marks=["fetched_at"])}
         if self._state("int_daily") is None:
@@ -260,8 +287,7 @@ class Warehouse:
         stats: dict = {}
 
         # version history (never reset by a full refresh) and dimensions
-        hist = scd2_apply(self.versions(), self._attributes(full_refresh), "coin_id", ATTRS, as_of)
-        I.replace(s, hist, self.path("snapshot"))
+        self._apply_versions(self._attributes(full_refresh), as_of)
         self._replace("dim_coin", scd2_dimension(self.versions(), "coin_id", ATTRS, "coin_sk"))
         dim = self.table("dim_coin")
         # the day bounds of the cleaned feeds come from their pointers (no
@@ -279,19 +305,22 @@ class Warehouse:
         if fresh:
             self._replace("fct_market_snapshot", M.fct_market_snapshot(snap, dim), marks=["fetched_at"], info=info)
         else:
+            whole = []
             if self.by_load_time:
                 changed = I.changed_days(s, self.path("stg_snapshot"), self._seen("fct_market_snapshot", "stg_snapshot"))
                 rows = M.fct_market_snapshot(I.in_days(snap, "price_date", changed), dim)
+                whole = [d and d.replace("-", "") for d in changed]  # rows that were rejected since are to go
             else:
                 mark = I.mark_of(s, self.path("fct_market_snapshot"), "fetched_at")
                 rows = M.fct_market_snapshot(snap, dim, mark)
             stats["fct_market_snapshot"] = self._upsert("fct_market_snapshot", rows, ["snapshot_sk"],
-                                                        marks=["fetched_at"], info=info)
+                                                        marks=["fetched_at"], info=info, whole_days=whole)
         daily, info = self.table("int_daily"), self._numbers("int_daily")
         if full_refresh or self._state("fct_daily_market") is None:
             self._replace("fct_daily_market", M.fct_daily_market(daily, dim), marks=["_synced_at"], info=info)
         else:
             changed = I.changed_days(s, self.path("int_daily"), self._seen("fct_daily_market", "int_daily"))
+            whole = changed if self.daily_mode == "exact" else []
             if self.daily_mode == "bounded":
                 at = self._state("fct_daily_market")
                 newest = max(I.days_of(at), default=None)
@@ -301,7 +330,7 @@ class Warehouse:
             else:
                 rows = M.exact_daily_market(daily, dim, changed, self.lookback_days)
             stats["fct_daily_market"] = self._upsert("fct_daily_market", rows, ["daily_market_sk"],
-                                                     marks=["_synced_at"], info=info)
+                                                     marks=["_synced_at"], info=info, whole_days=whole)
         return stats
 
     def tables(self) -> dict[str, DataFrame]:

@@ -321,6 +321,54 @@ def q_price_text(spark, sf):
         signed_pct_text("daily_return_pct").alias("return_text"))
 
 
+#: Rows of the intraday feed that arrive, bad and loaded later, before their good copies do.
+PLANTED_BAD = "pmod(event_id, 7) = 0"
+
+
+def q_stream_rejects(spark, sf):
+    """SS-3 with bad newest rows: batches bring them before, with and after the older good rows of their keys; the
+    tables must be those of one batch over all."""
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse-rejects"), "dev", pick="latest", stable_ids=E.STABLE_USERS)
+    events = E.read(spark, sf, "events")
+    good = E.snapshot_landing(events), E.history_landing(events)
+    later = F.expr("_loaded_at + interval 1 day")
+    bad = E.snapshot_landing(events.where(PLANTED_BAD)).withColumns({"current_price": F.lit(-1.0), "_loaded_at": later})
+    share = lambda df, n: df.where(F.pmod(F.xxhash64("id", "fetched_at"), F.lit(3)) == n)
+    none = good[1].limit(0)
+    wh.build_batch(share(bad, 0), none)
+    wh.build_batch(share(good[0], 0).unionByName(share(good[0], 1)).unionByName(share(bad, 1)), good[1])
+    wh.build_batch(share(good[0], 2), none)
+    wh.build_batch(share(bad, 2), none)
+    return E.present(wh.table("int_daily"))
+
+
+def q_extremes_kept(spark, sf):
+    """AG-6 from kept days, after the first day's prices were rewritten to half and brought up to date from that day alone."""
+    fct, dim = _fct_dim(spark, sf)
+    facts, kept = scratch_dir(spark, "extremes-facts"), scratch_dir(spark, "extremes-kept")
+    I.replace(spark, fct, facts, "price_date")
+    Q.kept_extremes(spark, facts, dim, kept)
+    first = I.days_of(I.state(spark, facts))[:1]
+    half = I.in_days(I.read_table(spark, facts), "price_date", first).withColumn(
+        "latest_price_usd", (F.col("latest_price_usd") / 2).cast("decimal(20,8)"))
+    I.replace_days(spark, half, facts, "price_date", first)
+    return E.present(Q.kept_extremes(spark, facts, dim, kept))
+
+
+def q_variant_landing(spark, sf):
+    """SNK-2: documents with fields that no schema names land as VARIANT and come back whole and typed."""
+    from tessera.sources import landing as L
+
+    path = scratch_dir(spark, "landing-variant")
+    extra = F.when(F.col("event_id") % 2 == 0, F.struct(F.col("user_id").alias("u"), F.array(F.lit(1), F.lit(None)).alias("list")))
+    text = F.to_json(F.struct(E._k().alias("k"), F.col("event_type").alias("a_type"), extra.alias("extra")))
+    docs = E.read(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 11 == 0, F.lit("{broken")).otherwise(text).alias("doc"))
+    L.write_raw_variant(docs, "doc", path)
+    read = L.variant_columns(spark.read.parquet(path), "doc", {
+        "k": ("$.k", "bigint"), "u": ("$.extra.u", "bigint"), "absent": ("$.nothing", "string"), "mistyped": ("$.a_type", "int")})
+    return read.select("event_id", "k", "u", "absent", "mistyped", F.to_json("doc").alias("doc"), F.col("doc_text").alias("raw"))
+
+
 PIPELINE_QUERIES = {
     "upsert_result": q_upsert_result,
     "incremental_fct_daily": q_incremental_fct_daily,
@@ -347,6 +395,9 @@ PIPELINE_QUERIES = {
     "stream_dedup": q_stream_dedup,
     "stream_window_daily": q_stream_window_daily,
     "sorted_files": q_sorted_files,
+    "stream_rejects": q_stream_rejects,
+    "extremes_kept": q_extremes_kept,
+    "variant_landing": q_variant_landing,
 }
 
 
@@ -410,6 +461,19 @@ FROM events GROUP BY 1""",
   CAST(sum(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS sum_value,
   CAST(max(CAST(value AS DECIMAL(20,8))) AS DOUBLE) AS max_value FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     }
+    # a key whose newest row is bad has no row: (user, time) of every planted event of the intraday feed goes
+    q["stream_rejects"] = base["unified_daily"].replace("FROM events WHERE", "FROM kept_events WHERE").replace("WITH ", f"""WITH kept_events AS (
+  SELECT * FROM events e WHERE event_type NOT IN ({sql_list(E.SNAPSHOT_TYPES)}) OR NOT EXISTS (SELECT 1 FROM events b
+    WHERE b.event_id % 7 = 0 AND b.event_type IN ({sql_list(E.SNAPSHOT_TYPES)}) AND b.user_id = e.user_id AND b.ts = e.ts)), """, 1)
+    q["extremes_kept"] = S.with_(S.fct_daily(), """SELECT symbol, CAST(max(price) AS DOUBLE) AS ath, CAST(min(price) AS DOUBLE) AS atl FROM (
+  SELECT c.symbol, CASE WHEN f.price_date = (SELECT min(price_date) FROM fct_daily)
+    THEN CAST(round(CAST(f.latest_price_usd AS DECIMAL(38,9)) * CAST(0.5 AS DECIMAL(2,1)), 8) AS DECIMAL(20,8)) ELSE f.latest_price_usd END AS price
+  FROM fct_daily f JOIN dim c ON f.coin_sk = c.coin_sk) x GROUP BY symbol""")
+    q["variant_landing"] = """SELECT event_id, CASE WHEN ok THEN k END AS k, CASE WHEN ok AND event_id % 2 = 0 THEN user_id END AS u,
+  CAST(NULL AS VARCHAR) AS absent, CAST(NULL AS INTEGER) AS mistyped, CASE WHEN ok THEN '{"a_type":"' || event_type || '"' ||
+    CASE WHEN event_id % 2 = 0 THEN ',"extra":{"list":[1,null],"u":' || user_id || '}' ELSE '' END || ',"k":' || k || '}' END AS doc,
+  CASE WHEN NOT ok THEN '{broken' END AS raw
+FROM (SELECT *, event_id % 11 <> 0 AS ok, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) x"""
     first = E.FIRST_CUTS[0]
     touched = S.daily() + S.feeds("_old", first) + S.daily("_old", first)[len(S.feeds()):] + [
         """touched AS (SELECT DISTINCT coin_id, price_date FROM (

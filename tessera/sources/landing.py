@@ -8,7 +8,7 @@ client that fetched the documents is outside Spark and not rebuilt here.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -244,6 +244,30 @@ def write_raw_json(df: DataFrame, path: str, fetched_at: dt.datetime | None = No
     (df.write.mode("append").option("timestampNTZFormat", TS_TEXT).option("ignoreNullFields", False).json(target))
 
 
+def write_raw_variant(df: DataFrame, payload_col: str, path: str, partition_by: Sequence[str] = ()) -> None:
+    """SNK-2 as VARIANT: each document is parsed once and kept whole, fields of any name and type with it.
+
+    Text that is no JSON document is kept beside it (``<payload_col>_text``);
+    ``payload_col`` is NULL then.
+    """
+    parsed = F.try_parse_json(F.col(payload_col))
+    out = df.withColumns({payload_col: parsed, f"{payload_col}_text": F.when(parsed.isNull(), F.col(payload_col))})
+    append_landing(out, path, partition_by)
+
+
+def variant_columns(df: DataFrame, payload_col: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Typed columns out of a VARIANT: name -> (path, type). A field that is absent, or of another type, is NULL."""
+    return df.withColumns({name: F.try_variant_get(payload_col, path, kind) for name, (path, kind) in fields.items()})
+
+
+def market_variants(df: DataFrame, payload_col: str, fetched_at: Column) -> DataFrame:
+    """SRC-1 from VARIANT arrays of market objects, so that documents landed under one schema are read under a later one."""
+    objects = df.select(F.explode(F.try_variant_get(payload_col, "$", "array<variant>")).alias("__o"), fetched_at.alias("__f"))
+    kinds = {f.name: f.dataType.simpleString() for f in MARKET_OBJECT.fields}
+    typed = variant_columns(objects, "__o", {n: (f"$.{n}", k) for n, k in kinds.items()})
+    return market_rows(typed, F.col("__f"))
+
+
 def append_landing(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
     """SNK-3/SNK-4: append one batch to an append-only landing folder; SO-2 sorts rows within each output file."""
     # a file holds one partition folder's rows of one task, so these lead the sort
