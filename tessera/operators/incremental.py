@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,11 +175,22 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 # ---------------------------------------------------------------- writing
 
-def _observed(df: DataFrame, marks: Sequence[str]) -> tuple[DataFrame, Observation | None]:
-    if not marks:
+def _observed(df: DataFrame, marks: Sequence[str], failing: Column | None, more: Sequence[Column] = ()
+              ) -> tuple[DataFrame, Observation | None]:
+    """``df`` whose write also tells its marks and how many rows fail their tests."""
+    metrics = [*[F.max(c).alias(c) for c in marks], *more]
+    if failing is not None:
+        metrics.append(F.count_if(failing).alias("__failing"))
+    if not metrics:
         return df, None
     seen = Observation()
-    return df.observe(seen, *[F.max(c).alias(c) for c in marks]), seen
+    return df.observe(seen, *metrics), seen
+
+
+def _row_failures(before: Mapping | None, got: Mapping) -> dict:
+    """Rows of the table that fail their tests, at most; unknown after a write that was not tested."""
+    known = 0 if before is None else before["info"].get("row_failures")
+    return {"row_failures": None if known is None or "__failing" not in got else known + (got["__failing"] or 0)}
 
 
 def _write(spark: SparkSession, df: DataFrame, path: str, partition_col: str | None) -> tuple[str, list[str]]:
@@ -210,27 +221,32 @@ def _text(mark) -> str | None:
 
 
 def replace(spark: SparkSession, df: DataFrame, path: str, partition_col: str | None = None,
-            marks: Sequence[str] = (), info: Mapping | None = None) -> dict:
-    """SNK-6 / SK-7: full replace; ``df`` may read the table itself. Returns the new pointer."""
+            marks: Sequence[str] = (), info: Mapping | None = None, failing: Column | None = None) -> dict:
+    """SNK-6 / SK-7: full replace; ``df`` may read the table itself. Returns the new pointer.
+
+    ``failing`` says which rows fail their tests: the write counts them (DQ-1,
+    4, 5), and the pointer keeps the count.
+    """
     before = state(spark, path)
-    watched, seen = _observed(df, marks)
+    watched, seen = _observed(df, marks, failing)
     version, folders = _write(spark, watched, path, partition_col)
     got = seen.get if seen else {}
     return commit(spark, path, _content(df.schema, partition_col, {d: version for d in folders},
-                                        {c: _text(got.get(c)) for c in marks}, dict(info or {})), before)
+                                        {c: _text(got.get(c)) for c in marks}, {**(info or {}), **_row_failures(None, got)}), before)
 
 
 def replace_days(spark: SparkSession, df: DataFrame, path: str, partition_col: str, days: Sequence[str | None],
-                 info: Mapping | None = None) -> dict:
+                 info: Mapping | None = None, failing: Column | None = None) -> dict:
     """Replace the given days by ``df``, which holds all their rows and no others; the new pointer."""
     before = state(spark, path)
     if before is None or not before["partition_col"]:
-        return replace(spark, df, path, partition_col, info=info)
-    version, folders = _write(spark, df, path, partition_col)
+        return replace(spark, df, path, partition_col, info=info, failing=failing)
+    watched, seen = _observed(df, (), failing)
+    version, folders = _write(spark, watched, path, partition_col)
     touched = {f"{partition_col}={d}" if d is not None else f"{partition_col}={NULL_DAY}" for d in days}
     parts = {d: v for d, v in before["parts"].items() if d not in touched} | {d: version for d in folders}
     return commit(spark, path, _content(df.schema, partition_col, parts, before["marks"],
-                                        {**before["info"], **(info or {})}), before)
+                                        {**before["info"], **(info or {}), **_row_failures(before, seen.get if seen else {})}), before)
 
 
 def _day_set(partition_col: str) -> list:
@@ -241,7 +257,8 @@ def _day_set(partition_col: str) -> list:
 
 def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str], partition_col: str,
            check_unique: bool = True, newest_by: Sequence[str] = (), marks: Sequence[str] = (),
-           info: Mapping | None = None, keep_delta: bool = False, whole_days: Sequence[str | None] = ()) -> dict:
+           info: Mapping | None = None, keep_delta: bool = False, whole_days: Sequence[str | None] = (),
+           failing: Column | None = None) -> dict:
     """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the table.
 
     The delta is computed once, to the scratch folder; its distinct days (a
@@ -252,12 +269,13 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
     batches may come in any order. The table's schema becomes the delta's
     (columns added/dropped, SK-6). ``check_unique=False`` is for deltas unique
     by construction; the quality suite still tests the table. Of ``whole_days``
-    the delta has all rows: others of them go. With ``keep_delta`` the written delta is returned for models that go on from the
+    the delta has all rows: others of them go. ``failing`` as in ``replace``;
+    rows that stay were counted when they were written. With ``keep_delta`` the written delta is returned for models that go on from the
     new rows; the caller deletes it.
     """
     staging = scratch_dir(spark, "upsert-delta")
-    seen = Observation()
-    delta.observe(seen, *[F.max(c).alias(c) for c in marks], *_day_set(partition_col)).write.parquet(staging)
+    watched, seen = _observed(delta, marks, failing, _day_set(partition_col))
+    watched.write.parquet(staging)
     got = seen.get
     staged = spark.read.schema(delta.schema).parquet(staging)
     days = sorted({*got["__days"], *(d for d in whole_days if d is not None)}) + [None] * bool(got["__no_day"] or None in whole_days)
@@ -281,7 +299,7 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
         old = before or {"marks": {}, "info": {}}
         marked = {c: max(filter(None, [old["marks"].get(c), _text(got.get(c))]), default=None) for c in marks}
         commit(spark, path, _content(delta.schema, partition_col, parts, {**old["marks"], **marked},
-                                     {**old["info"], **(info or {})}), before)
+                                     {**old["info"], **(info or {}), **_row_failures(before, got)}), before)
     elif info:
         commit(spark, path, {**before, "info": {**before["info"], **info}}, before)
     stats = {"touched_partitions": len(days), "partitions": days}

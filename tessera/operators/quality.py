@@ -13,7 +13,10 @@ warehouse tests:
 * relationships: non-NULL child rows whose key is absent from the parent.
 
 All row tests of one table (not_null, accepted_range, accepted_values) are
-folded into a single aggregate pass.
+folded into a single aggregate pass, or into the write itself: a write counts
+the rows that fail any (``failing_rows``), its table's pointer adds up the
+counts, and a table whose count is zero is not read for its row tests. A count
+above zero, or an unknown one, has the exact failures read from the table.
 
 ``scope`` restricts partition-local tests of a model to a partition filter
 (the partitions an incremental run touched). A test is partition-local when
@@ -26,8 +29,9 @@ Relationships always read the whole child (a parent may lose keys).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +95,24 @@ def _row_test(c: Check) -> Column:
     return F.count_distinct(F.when(~col.isin(list(c.values)), col))
 
 
+def failing_row(c: Check) -> Column:
+    """Whether a row fails a row test: what a write can count while it runs."""
+    col = F.col(c.columns[0])
+    if c.test == "not_null":
+        bad = col.isNull()
+    elif c.test == "accepted_range":
+        bad = ~(col > F.lit(c.min_value))
+    else:
+        bad = ~col.isin(list(c.values))
+    return F.coalesce(bad & F.expr(c.where) if c.where else bad, F.lit(False))
+
+
+def failing_rows(model: str) -> Column | None:
+    """Whether a row of ``model`` fails any of its declared row tests."""
+    tests = [failing_row(c) for c in warehouse_checks() if c.model == model and c.test in ROW_TESTS]
+    return reduce(lambda a, b: a | b, tests) if tests else None
+
+
 def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Check) -> Mapping[str, DataFrame]:
     if c.model not in scope or not c.local:
         return tables
@@ -98,16 +120,21 @@ def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Che
 
 
 def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check],
-               scope: Mapping[str, Column] | None = None) -> DataFrame:
+               scope: Mapping[str, Column] | None = None, clean: Collection[str] = ()) -> DataFrame:
     """All checks as one report DataFrame (still lazy; one action runs them).
 
-    ``scope`` maps a model to a partition predicate for its local tests.
+    ``scope`` maps a model to a partition predicate for its local tests. Row
+    tests of ``clean`` models were counted by the writes and found nothing:
+    these tables are not read for them again.
     """
     scope = scope or {}
     parts: list[DataFrame] = []
     by_model: dict[tuple, list[Check]] = {}
+    counted = [(c.model, c.test, c.column_name, 0) for c in checks if c.test in ROW_TESTS and c.model in clean]
+    if counted:
+        parts.append(spark.createDataFrame(counted, REPORT_SCHEMA))
     for c in checks:
-        if c.test in ROW_TESTS:
+        if c.test in ROW_TESTS and c.model not in clean:
             by_model.setdefault((c.model, c.where), []).append(c)
     for (model, where), cs in by_model.items():
         rows = _scoped(tables, scope, cs[0])[model]

@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
-from tessera.operators.quality import Check, gate, run_checks, warehouse_checks
+from tessera.operators.quality import Check, failing_rows, gate, run_checks, warehouse_checks
 from tessera.operators.rollup import STATE
 from tessera.operators.scd2 import PART, VTO, history_part, scd2_changes, scd2_dimension, scd2_initial
 from tessera.plans import market as M
@@ -71,10 +71,17 @@ class Warehouse:
     def _upsert(self, model: str, delta: DataFrame, keys, **options) -> dict:
         # every model delta is unique on its key by construction (dedup or
         # group-by on the key); the quality suite tests the table afterwards
-        return I.upsert(self.spark, delta, self.path(model), keys, PARTITION_COLS[model], check_unique=False, **options)
+        return I.upsert(self.spark, delta, self.path(model), keys, PARTITION_COLS[model], check_unique=False,
+                        failing=self._failing(model, delta), **options)
 
     def _replace(self, model: str, df: DataFrame, **options) -> None:
-        I.replace(self.spark, df, self.path(model), PARTITION_COLS.get(model), **options)
+        I.replace(self.spark, df, self.path(model), PARTITION_COLS.get(model), failing=self._failing(model, df), **options)
+
+    @staticmethod
+    def _failing(model: str, df: DataFrame) -> Column | None:
+        """The rows that the write is to count: those that fail a row test and are no tombstones."""
+        bad = failing_rows(model)
+        return bad & ~F.col(M.REJECTED) if bad is not None and M.REJECTED in df.columns else bad
 
     def _seen(self, model: str, source: str) -> int | None:
         """The state of ``source`` that ``model`` was last built from."""
@@ -260,7 +267,8 @@ class Warehouse:
         days = sorted({d for m in feeds for d in I.changed_days(self.spark, self.path(m), self._seen("int_daily", m))},
                       key=str)
         daily = M.int_daily(*(I.in_days(self.table(m), "price_date", days) for m in feeds), keep_state=True)
-        I.replace_days(self.spark, daily, self.path("int_daily"), "price_date", days, info=self._numbers(*feeds))
+        I.replace_days(self.spark, daily, self.path("int_daily"), "price_date", days, info=self._numbers(*feeds),
+                       failing=self._failing("int_daily", daily))
         return {"touched_partitions": len(days), "partitions": days}
 
     def _attributes(self, full_refresh: bool) -> DataFrame:
@@ -342,4 +350,5 @@ class Warehouse:
         """The 38 declared tests (or those of ``models``); ``scope`` limits partition-local ones (see quality)."""
         checks: list[Check] = [c for c in warehouse_checks() if models is None or c.model in models]
         tables = {m: self.table(m) for m in {c.model for c in checks} | {c.to_model for c in checks if c.to_model}}
-        return run_checks(self.spark, tables, checks, scope)
+        clean = {m for m in {c.model for c in checks} if (self._state(m) or {"info": {}})["info"].get("row_failures") == 0}
+        return run_checks(self.spark, tables, checks, scope, clean)

@@ -339,3 +339,41 @@ def test_rows_older_than_the_shared_mark_are_in_no_state_until_their_key_is_touc
     assert count()[1] == (3, 30.0)
     wh.build_silver(s((at(1), 10.0), (at(8), 20.0), (at(10), 60.0), (at(11), 110.0)), h(at(9)))
     assert count()[1] == (4, 50.0)
+
+
+def test_history_writes_follow_the_changes(spark):
+    wh = Warehouse(spark, scratch_dir(spark, "t-parts"), "dev")
+    row = "coin_id long, symbol string, name string, asset_type string"
+    coins = lambda **names: spark.createDataFrame([(i, "S", names.get(f"n{i}", "N"), "coin") for i in range(200)], row)
+    day = lambda d: dt.datetime(2024, 1, d, 6)
+    parts = lambda: I.state(spark, wh.path("snapshot"))["parts"]
+    wh._apply_versions(coins(), day(1))
+    first = parts()
+    wh._apply_versions(coins(), day(2))
+    assert parts() == first  # nothing changed, nothing is written
+    wh._apply_versions(coins(n7="M"), day(3))
+    second = parts()
+    changed = {p for p in second if second[p] != first.get(p)}
+    assert len(changed) == 2 and "part=closed-2024-01-03" in changed  # one part of open versions, one day of closed ones
+    wh._apply_versions(coins(n7="M", n8="K"), dt.datetime(2024, 1, 3, 18))  # a second run that day adds to its part
+    wh._apply_versions(coins(n7="L", n8="K"), day(4))
+    got = sorted((r.coin_id, r.name, r.version_from, r.version_to) for r in wh.versions().where("coin_id in (7, 8)").collect())
+    late = dt.datetime(2024, 1, 3, 18)
+    assert sorted(got, key=repr) == sorted([
+        (7, "N", day(1), day(3)), (7, "M", day(3), day(4)), (7, "L", day(4), None), (8, "N", day(1), late), (8, "K", late, None)], key=repr)
+    assert wh.versions().count() == 203 and wh.versions().where("version_to is null").count() == 200
+
+
+def test_a_rejected_newest_row_is_remembered_through_gold(spark):
+    events = E.read(spark, SMOKE, "events")
+    wh = Warehouse(spark, scratch_dir(spark, "t-tombstones"), "dev", stable_ids=E.STABLE_USERS, watermark="_loaded_at", per_feed_marks=True)
+    snap, hist = E.snapshot_landing(events), E.history_landing(events)
+    wh.build(snap, hist, as_of=dt.datetime(2024, 3, 1))
+    one = wh.table("fct_market_snapshot").orderBy("snapshot_sk").first()
+    key = snap.where(F.col("fetched_at") == F.lit(one.fetched_at))
+    bad = key.withColumns({"current_price": F.lit(0.0), "_loaded_at": F.lit(dt.datetime(2024, 3, 2)).cast("timestamp_ntz")})
+    wh.build(snap.unionByName(bad), hist, as_of=dt.datetime(2024, 3, 3))
+    assert wh.table("stg_snapshot").where(F.col("fetched_at") == F.lit(one.fetched_at)).count() == 0
+    assert wh.table("fct_market_snapshot").where(F.col("snapshot_sk") == one.snapshot_sk).count() == 0
+    kept = I.read_table(spark, wh.path("stg_snapshot")).where("_rejected")
+    assert kept.count() == key.select("id").distinct().count() and kept.where("price_usd is not null").count() == 0
