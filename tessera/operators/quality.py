@@ -24,7 +24,9 @@ its failing rows are decided inside one partition: the row-level tests, and
 a unique test whose key determines the row's partition (``partition_local``).
 Those tests over untouched partitions cannot change, so when the previous
 gate passed, checking the touched partitions decides the whole table.
-Relationships always read the whole child (a parent may lose keys).
+Relationships read the whole child (a parent may lose keys), or, with the
+tables' states of the last passed gate, the child's changed days and what lost
+its parent since (``orphans_since``).
 """
 
 from __future__ import annotations
@@ -113,6 +115,21 @@ def failing_rows(model: str) -> Column | None:
     return reduce(lambda a, b: a | b, tests) if tests else None
 
 
+def orphans_since(child: DataFrame, changed: DataFrame, column: str, parent: DataFrame, parent_then: DataFrame,
+                  parent_column: str) -> DataFrame:
+    """DQ-6 / J-6 by what changed since a state without orphans: child rows whose key the parent lacks.
+
+    ``changed`` are the child's rows written since, ``child`` all others. The
+    changed ones meet the parent as it is now; the others had their parent, so
+    they can only have lost it to keys that left it since.
+    """
+    keys = lambda df, c: df.where(F.col(c).isNotNull()).select(F.col(c).alias("__k"))
+    now = keys(parent, parent_column)
+    left = keys(parent_then, parent_column).distinct().join(now, "__k", "left_anti")
+    fresh = keys(changed, column).join(now, "__k", "left_anti")
+    return fresh.unionByName(keys(child, column).join(left, "__k", "left_semi"))
+
+
 def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Check) -> Mapping[str, DataFrame]:
     if c.model not in scope or not c.local:
         return tables
@@ -120,12 +137,14 @@ def _scoped(tables: Mapping[str, DataFrame], scope: Mapping[str, Column], c: Che
 
 
 def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check],
-               scope: Mapping[str, Column] | None = None, clean: Collection[str] = ()) -> DataFrame:
+               scope: Mapping[str, Column] | None = None, clean: Collection[str] = (),
+               orphans: Mapping[tuple[str, str], DataFrame] | None = None) -> DataFrame:
     """All checks as one report DataFrame (still lazy; one action runs them).
 
     ``scope`` maps a model to a partition predicate for its local tests. Row
     tests of ``clean`` models were counted by the writes and found nothing:
-    these tables are not read for them again.
+    these tables are not read for them again. ``orphans`` has the failing rows
+    of relationships, by (model, column), that were found from changes.
     """
     scope = scope or {}
     parts: list[DataFrame] = []
@@ -145,7 +164,9 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
     for c in checks:
         if c.test in ROW_TESTS:
             continue
-        parts.append(_failing_count(_scoped(tables, scope, c), c).select(
+        found = (orphans or {}).get((c.model, c.column_name)) if c.test == "relationships" else None
+        counted_ = _failing_count(_scoped(tables, scope, c), c) if found is None else found.agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(counted_.select(
             F.lit(c.model).alias("model"), F.lit(c.test).alias("test"),
             F.lit(c.column_name).alias("column_name"), F.col("failures").cast("long").alias("failures")))
     out = parts[0]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import incremental as I
 from tessera.operators.calendar import calendar_from_bounds
-from tessera.operators.quality import Check, failing_rows, gate, run_checks, warehouse_checks
+from tessera.operators.quality import Check, failing_rows, gate, orphans_since, run_checks, warehouse_checks
 from tessera.operators.rollup import STATE
 from tessera.operators.scd2 import PART, VTO, history_part, scd2_changes, scd2_dimension, scd2_initial
 from tessera.plans import market as M
@@ -141,7 +141,7 @@ class Warehouse:
               full_refresh: bool = False, quality_gate: bool = True, overrides: DataFrame | None = None) -> dict:
         # whether the last run's gate passed is forgotten before anything is
         # written, so a run that dies or fails its gate does not leave it said
-        passed = self._gate_passed()
+        passed, since = self._gate_passed(), (self._state("gate") or {}).get("numbers") or {}
         self._set_gate(False)
         stats = self.build_silver(snap_landing, hist_landing, full_refresh, overrides)
         scoped = self.quality_scope == "touched" and passed and not full_refresh
@@ -150,7 +150,7 @@ class Warehouse:
         stats.update(self.build_gold(as_of, full_refresh))
         if quality_gate:
             gold = [c.model for c in warehouse_checks() if c.model not in SILVER]
-            gate(self.quality_report(self.touched_scope(stats) if scoped else None, gold))
+            gate(self.quality_report(self.touched_scope(stats) if scoped else None, gold, since if scoped else None))
             self._set_gate(True)
         return stats
 
@@ -160,7 +160,22 @@ class Warehouse:
 
     def _set_gate(self, passed: bool) -> None:
         if passed != self._gate_passed():
-            I.commit(self.spark, self.path("gate"), {"passed": passed}, self._state("gate"))
+            models = sorted({m for c in warehouse_checks() for m in (c.model, c.to_model) if m}) if passed else []
+            I.commit(self.spark, self.path("gate"), {"passed": passed, "numbers": self._numbers(*models)}, self._state("gate"))
+
+    def _orphans(self, checks: list[Check], since: dict) -> dict:
+        """Failing rows of relationships, from what changed since the tables' states ``since``, in which there were none."""
+        found = {}
+        for c in checks:
+            pc = PARTITION_COLS.get(c.model)
+            if c.test != "relationships" or pc is None or not {c.model, c.to_model} <= set(since):
+                continue
+            child, days = self.table(c.model), I.changed_days(self.spark, self.path(c.model), since[c.model])
+            then = I.read_table(self.spark, self.path(c.to_model), I.state(self.spark, self.path(c.to_model), since[c.to_model]))
+            now = I.in_days(child, pc, days)
+            others = child.where(~F.coalesce(F.col(pc).cast("string").isin([d for d in days if d is not None]), F.lit(None in days)))
+            found[c.model, c.column_name] = orphans_since(others, now, c.columns[0], self.table(c.to_model), then, c.to_column)
+        return found
 
     def touched_scope(self, stats: dict) -> dict:
         """Partition predicates of the models this run upserted (replaced
@@ -346,9 +361,10 @@ class Warehouse:
                  "fct_market_snapshot", "fct_daily_market"]
         return {n: self.table(n) for n in names}
 
-    def quality_report(self, scope: dict | None = None, models=None) -> DataFrame:
-        """The 38 declared tests (or those of ``models``); ``scope`` limits partition-local ones (see quality)."""
+    def quality_report(self, scope: dict | None = None, models=None, since: dict | None = None) -> DataFrame:
+        """The 38 declared tests (or those of ``models``); ``scope`` limits partition-local ones, ``since`` are the
+        tables' states when relationships last held (see quality)."""
         checks: list[Check] = [c for c in warehouse_checks() if models is None or c.model in models]
         tables = {m: self.table(m) for m in {c.model for c in checks} | {c.to_model for c in checks if c.to_model}}
         clean = {m for m in {c.model for c in checks} if (self._state(m) or {"info": {}})["info"].get("row_failures") == 0}
-        return run_checks(self.spark, tables, checks, scope, clean)
+        return run_checks(self.spark, tables, checks, scope, clean, self._orphans(checks, since) if since else None)

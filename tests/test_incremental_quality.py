@@ -171,3 +171,32 @@ def test_row_tests_ride_on_the_writes(spark):
     I.replace(spark, wh.table("int_daily").fillna({"name": "x"}), wh.path("int_daily"), "price_date")
     assert I.state(spark, wh.path("int_daily"))["info"]["row_failures"] is None
     assert wh.quality_report().where("column_name = 'avg_price_usd' and failures = 1").count() == 1
+
+
+def test_orphans_are_found_from_changed_children_and_from_keys_that_left(spark):
+    from tessera.plans import events as E
+    from tessera.plans.pipeline import Warehouse
+
+    events = E.read(spark, "/root/testdata/sf0.001", "events")
+    wh = Warehouse(spark, scratch_dir(spark, "t-orphans"), "dev", stable_ids=E.STABLE_USERS, quality_scope="touched")
+    cuts = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)]
+    for cut in cuts:
+        wh.build(E.snapshot_landing(events, cut), E.history_landing(events, cut), as_of=cut)
+    since = wh._state("gate")["numbers"]
+    failing = lambda: {(r.model, r.column_name): r.failures
+                       for r in wh.quality_report(None, ["fct_market_snapshot", "fct_daily_market"], since).where("test = 'relationships'").collect()}
+    assert set(failing().values()) == {0}
+    dim = wh.table("dim_coin")
+    lost = dim.orderBy("coin_sk").first().coin_sk
+    rows = wh.table("fct_daily_market")
+    want = rows.where(F.col("coin_sk") == lost).count()
+    I.replace(spark, dim.where(F.col("coin_sk") != lost), wh.path("dim_coin"))  # a key leaves the parent
+    first = I.days_of(I.state(spark, wh.path("fct_daily_market")))[0]
+    bad = I.in_days(rows, "price_date", [first]).withColumn("coin_sk", F.lit("nobody"))
+    n_bad, also = bad.count(), rows.where((F.col("coin_sk") == lost) & (F.col("price_date") == F.lit(first))).count()
+    I.replace_days(spark, bad, wh.path("fct_daily_market"), "price_date", [first])  # and a child day points nowhere
+    got = failing()
+    assert want and got["fct_daily_market", "coin_sk"] == want - also + n_bad
+    exact = {(r.model, r.column_name): r.failures
+             for r in wh.quality_report(None, ["fct_market_snapshot", "fct_daily_market"]).where("test = 'relationships'").collect()}
+    assert got == exact
