@@ -3,9 +3,11 @@
 A k-mer of code points is a closed syncmer when the smallest hash among its
 s-mers stands at its first or last s-mer. The choice looks at nothing outside
 the k-mer, so equal passages give equal anchors wherever they stand. A
-fingerprint keeps the ``size`` smallest distinct anchor hashes of the whole
-text, written in text order; likeness chains the anchors that two fingerprints
-share in the same order.
+fingerprint keeps every anchor of the whole text whose hash lies in the lowest
+sixteenth, and at least the ``SIZE`` smallest distinct ones, in text order. So
+it grows with the text: a passage of some hundred characters is seen in a text
+of any length. Likeness chains the anchors that two fingerprints share in the
+same order.
 
 Nulls, empties, ties: a null text counts as empty; an empty text has an empty
 fingerprint, is wholly like another empty one and unlike any other. A text
@@ -32,6 +34,8 @@ from tessera.llm import common
 
 K, S, SIZE = 24, 8, 128
 HASH_BYTES = 5
+#: Hashes below this are kept from a text of any length: one anchor in 16, some 140 characters apart.
+ALWAYS = 1 << (8 * HASH_BYTES - 4)
 #: Code points handled at once.
 WINDOW = 1 << 18
 
@@ -92,7 +96,8 @@ def anchors(points: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             digest = hashlib.blake2b(points[offsets[i]: offsets[i + 1]].tobytes(), digest_size=HASH_BYTES).digest()
             out.append(np.array([int.from_bytes(digest, "little")], np.uint64))
         else:
-            out.append(h[:SIZE][np.argsort(first[:SIZE])])
+            n = max(SIZE, int(np.searchsorted(h, ALWAYS)))
+            out.append(h[:n][np.argsort(first[:n])])
     return out
 
 
@@ -104,20 +109,22 @@ def fingerprint_text(kept: np.ndarray) -> str:
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Estimated share of anchors (Dice) that both texts have in the same order, 0 to 1.
 
-    The ``SIZE`` smallest hashes of both fingerprints together are a fair sample
-    of all anchors of both texts; those that both have are chained by their
-    order in the two texts (longest increasing run).
+    Up to the hash below which both fingerprints are complete they are a fair
+    sample of all anchors of both texts; those that both have are chained by
+    their order in the two texts (longest increasing run).
     """
     if len(a) == 0 or len(b) == 0:
         return float(len(a) == len(b))
     if len(a) == len(b) and np.array_equal(a, b):
         return 1.0
-    both = np.union1d(a, b)[:SIZE]
-    place = {h: i for i, h in enumerate(b.tolist())}
-    limit = int(both[-1])
+    # a fingerprint of fewer than SIZE anchors has all of its text's
+    limit = min((max(ALWAYS - 1, int(x.max())) for x in (a, b) if len(x) >= SIZE), default=1 << 64)
+    a, b = ([h for h in x.tolist() if h <= limit] for x in (a, b))
+    both = set(a) | set(b)
+    place = {h: i for i, h in enumerate(b)}
     tails: list[int] = []
-    for h in a.tolist():
-        if h <= limit and h in place:
+    for h in a:
+        if h in place:
             p = place[h]
             i = bisect_left(tails, p)
             tails[i: i + 1] = [p]

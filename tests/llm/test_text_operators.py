@@ -77,6 +77,20 @@ def test_fingerprints_follow_the_next_document(spark):
     assert one.near_next == 1.0
 
 
+def test_a_passage_is_seen_in_a_text_of_any_length():
+    rng = random.Random(11)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(2000)
+    texts = [some(500_000) + passage + some(500_000), some(300) + passage, some(2300)]
+    long, short, other = syncmers.anchors(*common.code_points(pa.array(texts)))
+    assert len(long) > 5000 and len(set(long.tolist()) & set(short.tolist())) >= 5
+    assert not set(long.tolist()) & set(other.tolist())
+    edited = texts[0][:700_000] + some(1000) + texts[0][700_000:]
+    near, = syncmers.anchors(*common.code_points(pa.array([edited])))
+    assert 0.99 < syncmers.likeness(long, near) < 1
+    assert syncmers.likeness(long, other) < 0.01
+
+
 def test_likeness_tells_edits_from_strangers():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
