@@ -593,7 +593,8 @@ def keep_one_of_each(docs: DataFrame, one_row_an_id: bool = True) -> DataFrame:
     rows = slotted.mapInArrow(only(True), docs.schema).withColumn("_node", _row()).join(
         stays.select(F.col("node").alias("_node"), F.col("alone").alias("_alone")), "_node")
     rows = rows.withColumn("_each", F.when(F.col("_alone"), F.monotonically_increasing_id()))
-    # Rows lie sorted by _node after the join, so this is one pass over them.
+    # Rows lie sorted by _node after the join, so this is one pass over them. Rows of one text and id are told apart by
+    # their other columns as JSON, which gives an order to columns of any type.
     columns = [c for c in docs.columns if c != "text"]
-    first = rows.groupBy("_node", "_each").agg(F.min(F.struct("text", *columns)).alias("row"))
+    first = rows.groupBy("_node", "_each").agg(F.min_by(F.struct("text", *columns), F.to_json(F.struct(*columns))).alias("row"))
     return sure.unionByName(first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))

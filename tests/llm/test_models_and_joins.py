@@ -118,6 +118,14 @@ def test_similar_sets_always_share_a_signature(size):
             assert len(np.intersect1d(partenum.signatures(a, none), partenum.signatures(b, none)))
 
 
+def test_near_duplicates_keep_columns_of_any_type(spark):
+    text = "the same dozen words stand in both of these rows and nothing else is told apart"
+    df = spark.createDataFrame([(1, text, {"a": 1}), (2, text, {"b": 2}), (3, "quite another text of more than five words", None),
+                                (1, text, {"c": None})], "doc_id long, text string, about map<string,int>")
+    kept = partenum.keep_one_of_each(df, one_row_an_id=False).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3] and {r.doc_id: r.about for r in kept}[1] in ({"a": 1}, {"c": None})
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)]
     got = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
