@@ -38,15 +38,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, path: str | None = None, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to a new table under the shared checkpoint folder and read it back.
 
     Cuts the lineage at a copy that survives lost executors, and keeps costly
-    Python stages from running once per consumer.
+    Python stages from running once per consumer. A caller that names the
+    ``path`` may delete it when nothing reads it any more.
     """
     spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    path = path or scratch_dir(spark, purpose)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

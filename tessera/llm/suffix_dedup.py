@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import common
-from tessera.session import scratch_dir
+from tessera.session import delete_path, scratch_dir, scratch_root
 
 #: Contexts of an anchor that one task may hold at once (some 300 bytes each).
 GROUP = 2048
@@ -76,7 +76,7 @@ def addressed(docs: DataFrame) -> DataFrame:
     n, name = common.n_partitions(spark), f"tessera_texts_{uuid.uuid4().hex[:12]}"
     numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .mapInArrow(number, "doc_id long, text string, base long")
-    numbered.repartition(n, "base").write.format("parquet").option("path", scratch_dir(spark, "texts")) \
+    numbered.repartition(n, "base").write.format("parquet").option("path", scratch_dir(spark, "texts")).option("compression", "zstd") \
         .bucketBy(n, "base").sortBy("base").saveAsTable(name)
     return spark.table(name)
 
@@ -360,15 +360,18 @@ def repeated_spans(texts: DataFrame, min_bytes: int, keep_first: bool, group: in
         return found.filter("n >= 2" + (" and at <> first" if keep_first else "")).select(
             "base", F.col("at").alias("begin"), (F.col("at") + F.col("starts") - 1 + min_bytes).alias("end"))
 
+    spark = texts.sparkSession
+    path = scratch_dir(spark, "occurrences")
     occ = common.materialise(texts.select("text", "base").mapInArrow(
-        common.released(_find(min_bytes)), "base long, at long, starts int, off int, key long, context long"), "occurrences")
-    found = common.materialise(_classes(occ), "repeated")
+        common.released(_find(min_bytes)), "base long, at long, starts int, off int, key long, context long"), "", path, "zstd")
+    found = common.materialise(_classes(occ), "repeated", codec="zstd")
+    delete_path(spark, path, scratch_root(spark))  # only what repeats is needed from here on
     spans = whole(found)
     wanted = found.filter("kinds >= 2 and at = first").groupBy("base").agg(
         F.collect_list(F.struct("key", "at", "starts", "off", "kinds")).alias("wanted"))
     open_ = common.materialise(texts.join(wanted, "base").select("base", "text", "wanted").mapInArrow(
         common.released(_fetch(min_bytes)), "key long, base long, at long, starts int, off int, kinds long, bytes binary"),
-        "contexts").withColumns({"lo": F.lit(0), "hi": F.lit(min_bytes - gram_size(min_bytes) + 1)})
+        "contexts", codec="zstd").withColumns({"lo": F.lit(0), "hi": F.lit(min_bytes - gram_size(min_bytes) + 1)})
     own = ["key", "base", "at", "bytes"]
     small = open_.filter(F.col("kinds") <= group).select(*own)
     while (large := open_.filter(F.col("kinds") > group)).limit(1).count():
@@ -378,7 +381,7 @@ def repeated_spans(texts: DataFrame, min_bytes: int, keep_first: bool, group: in
         spans = spans.unionByName(whole(found))
         open_ = found.filter("kinds >= 2 and at = first")
         small = small.unionByName(open_.filter(F.col("kinds") <= group).select(*own))
-    small = small.repartition(common.n_partitions(texts.sparkSession), "key").sortWithinPartitions("key", "at") \
+    small = small.repartition(common.n_partitions(spark), "key").sortWithinPartitions("key", "at") \
         .mapInArrow(common.released(_sorted_groups(min_bytes, keep_first)), "base long, begin long, end long")
     return spans.unionByName(small)
 
