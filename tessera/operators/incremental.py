@@ -173,6 +173,26 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def expire(spark: SparkSession, path: str, keep: int = 20) -> list[str]:
+    """Delete all but the newest ``keep`` pointers, and the versions that only the deleted ones name; these versions.
+
+    Readers of a state that old, and models that were last built from it, must
+    be done. Folders that no pointer ever named (of a write that is under way,
+    or that died) are left alone.
+    """
+    if keep < 1:
+        raise ValueError("the newest state of a table must be kept")
+    names = [n for n in _children(spark, f"{path}/pointer") if n.endswith(".json") and not n.startswith(".")]
+    of = lambda part: {v for n in part for v in state(spark, path, int(n[:-5]))["parts"].values()}
+    old = names[:-keep]
+    dead = sorted(of(old) - of(names[-keep:]))
+    for n in old:  # the names go first, so that no pointer is left without its files
+        delete_path(spark, f"{path}/pointer/{n}", path)
+    for version in dead:
+        delete_path(spark, f"{path}/versions/table_version={version}", path)
+    return dead
+
+
 # ---------------------------------------------------------------- writing
 
 def _observed(df: DataFrame, marks: Sequence[str], failing: Column | None, more: Sequence[Column] = ()

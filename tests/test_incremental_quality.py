@@ -200,3 +200,22 @@ def test_orphans_are_found_from_changed_children_and_from_keys_that_left(spark):
     exact = {(r.model, r.column_name): r.failures
              for r in wh.quality_report(None, ["fct_market_snapshot", "fct_daily_market"]).where("test = 'relationships'").collect()}
     assert got == exact
+
+
+def test_expired_versions_leave_the_newest_states_readable(spark):
+    path = scratch_dir(spark, "t-expire")
+    df = lambda v, *days: spark.createDataFrame([("a", d, v) for d in days], SCHEMA)
+    I.replace(spark, df(1.0, D1, D2), path, "d")
+    for v in (2.0, 3.0, 4.0):
+        I.upsert(spark, df(v, D2), path, ["k", "d"], "d")
+    before = [I.state(spark, path, n) for n in (1, 2, 3, 4)]
+    dead = I.expire(spark, path, keep=2)
+    # the first version still holds day 1; only the second write's copy of day 2 is named by no kept state
+    assert dead == [before[1]["parts"]["d=2024-01-02"]]
+    assert _rows(I.read_table(spark, path)) == [("a", D1, 1.0), ("a", D2, 4.0)]
+    assert _rows(I.read_table(spark, path, before[2])) == [("a", D1, 1.0), ("a", D2, 3.0)]
+    assert I.state(spark, path, 2) is None and I.expire(spark, path, keep=2) == []
+    I.upsert(spark, df(5.0, D3), path, ["k", "d"], "d")
+    assert _rows(I.read_table(spark, path))[-1] == ("a", D3, 5.0)
+    with pytest.raises(ValueError):
+        I.expire(spark, path, keep=0)
