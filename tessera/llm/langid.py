@@ -392,8 +392,10 @@ def fit(labelled: DataFrame, calibration: Column) -> tuple[Models | SpreadModels
     labelled = labelled.filter(F.col("lang").isNotNull())
     # a language all of whose texts would calibrate is taught by them too
     labelled = labelled.withColumn("_calibrates", calibration)
-    without = labelled.groupBy("lang").agg(F.min(F.col("_calibrates").cast("int")).alias("_only")).filter("_only = 1")
-    taught = labelled.join(without, "lang", "left").filter("not _calibrates or _only is not null")
+    without = [r[0] for r in labelled.groupBy("lang").agg(F.min(F.col("_calibrates").cast("int")).alias("only"))
+               .filter("only = 1").collect()]  # a name a language
+    teaches = ~F.col("_calibrates")
+    taught = labelled.filter(teaches | F.col("lang").isin(without) if without else teaches)
     counts = common.materialise(count_grams(taught.select("lang", "text")), "lang-grams")
     n_counts = counts.count()
     if not n_counts:
