@@ -355,7 +355,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
     bucket = common.ordered_buckets(docs, "doc_id", "text", n)
     dealt = (docs.select(bucket.alias("bucket"), "doc_id", "text")
              .repartitionById(n, "bucket").sortWithinPartitions("bucket", "doc_id", "text"))
-    common.batch_rows(spark, 800)
+    common.batch_rows(spark, 300)  # a batch's words take some thirty times its bytes
     manifest = common.materialise(dealt.mapInArrow(write, MANIFEST), "token-manifest")
     common.batch_rows(spark)
     # One row per file: at most as many as there are shuffle partitions.
