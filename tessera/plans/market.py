@@ -125,7 +125,8 @@ def _judged(newest: DataFrame, price: str, identity: Sequence[str], keep_rejects
 
 
 def without_rejects(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(REJECTED)).drop(REJECTED) if REJECTED in df.columns else df
+    # rows written before tombstones were kept have no flag
+    return df.where(~F.coalesce(F.col(REJECTED), F.lit(False))).drop(REJECTED) if REJECTED in df.columns else df
 
 
 def stg_snapshot(raw: DataFrame, mark: dt.datetime | None = None,

@@ -81,7 +81,7 @@ class Warehouse:
     def _failing(model: str, df: DataFrame) -> Column | None:
         """The rows that the write is to count: those that fail a row test and are no tombstones."""
         bad = failing_rows(model)
-        return bad & ~F.col(M.REJECTED) if bad is not None and M.REJECTED in df.columns else bad
+        return bad & ~F.coalesce(F.col(M.REJECTED), F.lit(False)) if bad is not None and M.REJECTED in df.columns else bad
 
     def _seen(self, model: str, source: str) -> int | None:
         """The state of ``source`` that ``model`` was last built from."""
