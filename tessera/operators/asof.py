@@ -4,8 +4,8 @@ A fact takes the version of its key with ``valid_from <= t < valid_to``. There
 are two ways to it with the same rows:
 
 - ``method='residual'``: an equi-join on the key that checks the range of each
-  candidate. With a handful of versions a key and a dimension that AQE finds
-  small enough to broadcast, facts are not shuffled at all.
+  candidate, for a handful of versions a key. Both sides are shuffled by key:
+  a dimension has a row a version, and is not sent through the driver.
 - ``method='merge'``: facts and versions are unioned, sorted by time and read
   once, the last version being carried forward. A key with ten thousand
   versions costs a sort instead of facts x versions. With ``span`` the time
@@ -79,7 +79,7 @@ def asof_join(
     if method != "residual":
         raise ValueError(f"unknown method {method!r}")
     lo, hi = _bounds(dim, grain)
-    d = dim.select(F.col(key).alias("__dim_key"), lo.alias("__lo"), hi.alias("__hi"), F.col(sk_col))
+    d = dim.select(F.col(key).alias("__dim_key"), lo.alias("__lo"), hi.alias("__hi"), F.col(sk_col)).hint("merge")
     cond = (
         (F.col(key) == F.col("__dim_key"))
         & (F.col(time_col) >= F.col("__lo"))

@@ -311,7 +311,7 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
             if newest_by:
                 merged = latest_per_key(existing.unionByName(staged), list(keys), list(newest_by))
             else:
-                merged = existing.join(staged.select(*keys), list(keys), "left_anti").unionByName(staged)
+                merged = existing.join(staged.select(*keys).hint("merge"), list(keys), "left_anti").unionByName(staged)
         version, folders = _write(spark, merged, path, partition_col)
         emptied = {f"{partition_col}={NULL_DAY if d is None else d}" for d in whole_days}
         kept_parts = {d: v for d, v in before["parts"].items() if d not in emptied} if before else {}

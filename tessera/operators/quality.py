@@ -81,9 +81,10 @@ def _failing_count(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
         return (df.groupBy(*c.columns).count().where(F.col("count") > 1)
                 .agg(F.count(F.lit(1)).alias("failures")))
     if c.test == "relationships":
-        child = df.where(F.col(c.columns[0]).isNotNull()).select(F.col(c.columns[0]).alias("__k"))
-        parent = tables[c.to_model].select(F.col(c.to_column).alias("__k"))
-        return child.join(parent, "__k", "left_anti").agg(F.count(F.lit(1)).alias("failures"))
+        # counted by key where they are read: a key crosses the network once a task, and no parent goes to the driver
+        child = df.where(F.col(c.columns[0]).isNotNull()).groupBy(F.col(c.columns[0]).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        parent = tables[c.to_model].select(F.col(c.to_column).alias("__k")).hint("merge")
+        return child.join(parent, "__k", "left_anti").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("failures"))
     raise ValueError(f"unknown test {c.test!r}")
 
 
@@ -124,8 +125,8 @@ def orphans_since(child: DataFrame, changed: DataFrame, column: str, parent: Dat
     they can only have lost it to keys that left it since.
     """
     keys = lambda df, c: df.where(F.col(c).isNotNull()).select(F.col(c).alias("__k"))
-    now = keys(parent, parent_column)
-    left = keys(parent_then, parent_column).distinct().join(now, "__k", "left_anti")
+    now = keys(parent, parent_column).hint("merge")
+    left = keys(parent_then, parent_column).distinct().join(now, "__k", "left_anti").hint("merge")
     fresh = keys(changed, column).join(now, "__k", "left_anti")
     return fresh.unionByName(keys(child, column).join(left, "__k", "left_semi"))
 

@@ -120,7 +120,7 @@ class Warehouse:
         parts = sorted(r[0] for r in changes.select(PART).union(as_open).distinct().collect())
         if parts:
             there = I.in_days(history, PART, parts)
-            kept = there.where(F.col(VTO).isNull()).join(closing, "coin_id", "left_anti").unionByName(
+            kept = there.where(F.col(VTO).isNull()).join(closing.hint("merge"), "coin_id", "left_anti").unionByName(
                 there.where(F.col(VTO).isNotNull()))
             I.replace_days(s, kept.unionByName(changes), path, PART, parts)
 
@@ -262,7 +262,7 @@ class Warehouse:
         days_from = [None, None] if known else ["price_date", None]
         touched = I.staged(M.touched_keys(new, M.DAILY_KEYS, "fetched_at", mark, day_cols=days_from), "touched-keys")
         days = [r[0] for r in touched.select(F.col("price_date").cast("string")).distinct().collect()]
-        of_touched = lambda df: I.in_days(df, "price_date", days).join(touched, M.DAILY_KEYS, "left_semi")
+        of_touched = lambda df: I.in_days(df, "price_date", days).join(touched.hint("merge"), M.DAILY_KEYS, "left_semi")
         if known and not behind:
             old = of_touched(target.where(F.col(STATE).isNotNull()).select(*M.DAILY_KEYS, STATE))
             daily = M.merged_snapshot_daily(old, deltas["stg_snapshot"])

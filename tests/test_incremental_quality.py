@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import incremental as I
+from tessera.operators.asof import asof_join
 from tessera.operators.quality import Check, QualityError, gate, run_checks
 from tessera.session import scratch_dir
 
@@ -219,3 +220,33 @@ def test_expired_versions_leave_the_newest_states_readable(spark):
     assert _rows(I.read_table(spark, path))[-1] == ("a", D3, 5.0)
     with pytest.raises(ValueError):
         I.expire(spark, path, keep=0)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_relationships_are_counted_by_key_without_a_parent_on_the_driver(spark):
+    child = spark.createDataFrame([("p1",), ("p1",), ("x",), ("x",), ("x",), ("y",), (None,)], "fk string")
+    parent = spark.createDataFrame([("p1",), ("p1",), (None,)], "pk string")
+    check = Check("m", "relationships", ("fk",), to_model="p", to_column="pk")
+    report = lambda c: run_checks(spark, {"m": c, "p": parent}, [check])
+    assert [r.failures for r in report(child).collect()] == [4]
+    assert [r.failures for r in report(child.limit(2)).collect()] == [0]
+    assert "Broadcast" not in _plan(report(child))
+
+
+def test_no_join_of_a_write_sends_the_delta_to_the_driver(spark, tmpdir_path, monkeypatch):
+    target = f"{tmpdir_path}/t"
+    I.upsert(spark, spark.createDataFrame([("a", D1, 1.0), ("b", D2, 2.0)], SCHEMA), target, ["k", "d"], "d")
+    plans, write = [], I._write
+    monkeypatch.setattr(I, "_write", lambda s, df, *a: plans.append(_plan(df)) or write(s, df, *a))
+    I.upsert(spark, spark.createDataFrame([("b", D2, 20.0), ("c", D3, 3.0)], SCHEMA), target, ["k", "d"], "d")
+    assert "SortMergeJoin" in plans[-1] and not any("Broadcast" in p for p in plans)
+    assert _rows(I.read_table(spark, target)) == [("a", D1, 1.0), ("b", D2, 20.0), ("c", D3, 3.0)]
+    facts = spark.createDataFrame([("a", D1), ("b", None)], "coin_id string, day date")
+    dim = spark.createDataFrame([("a", "s", dt.datetime(2020, 1, 1), dt.datetime(9999, 1, 1))],
+                                "coin_id string, coin_sk string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    joined = asof_join(facts, dim, "coin_id", "day", grain="day")
+    assert "Broadcast" not in _plan(joined)
+    assert sorted((r.coin_id, r.coin_sk) for r in joined.collect()) == [("a", "s"), ("b", None)]
