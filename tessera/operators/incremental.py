@@ -275,44 +275,66 @@ def _day_set(partition_col: str) -> list:
     return [F.collect_set(day.cast("string")).alias("__days"), F.max(day.isNull()).alias("__no_day")]
 
 
+def _known_days(at: Mapping | None, partition_col: str, days: Sequence[str | None]) -> list[str | None]:
+    """Those of ``days`` that a table can have rows of, as its pointer says."""
+    if at is None or at["partition_col"] != partition_col:
+        return list(days) if at else []
+    there = {*days_of(at), *([None] if f"{partition_col}={NULL_DAY}" in at["parts"] else [])}
+    return [d for d in days if d in there]
+
+
 def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str], partition_col: str,
            check_unique: bool = True, newest_by: Sequence[str] = (), marks: Sequence[str] = (),
            info: Mapping | None = None, keep_delta: bool = False, whole_days: Sequence[str | None] = (),
            failing: Column | None = None) -> dict:
     """SK-1: insert-or-replace ``delta`` rows by ``keys`` into the table.
 
-    The delta is computed once, to the scratch folder; its distinct days (a
-    bounded list) are the touched partitions. Every unique key contains (or
-    hashes) its day, so a key lives in one partition: the rows of those days
-    minus the delta's keys, plus the delta, become a new version. With
+    The delta is computed once; its distinct days (a bounded list) are the
+    touched partitions. Every unique key contains (or hashes) its day, so a key
+    lives in one partition: the rows of those days minus the delta's keys, plus
+    the delta, become a new version. A delta of days that the table has no rows
+    of is that version as it was written, and meets no older row. Keys meet by
+    a shuffle: there are as many as new rows, too many for the driver. With
     ``newest_by`` the newer of the old and the new row of a key stays, so
     batches may come in any order. The table's schema becomes the delta's
     (columns added/dropped, SK-6). ``check_unique=False`` is for deltas unique
     by construction; the quality suite still tests the table. Of ``whole_days``
     the delta has all rows: others of them go. ``failing`` as in ``replace``;
-    rows that stay were counted when they were written. With ``keep_delta`` the written delta is returned for models that go on from the
-    new rows; the caller deletes it.
+    rows that stay were counted when they were written. With ``keep_delta`` the delta is written to the scratch folder
+    and returned for models that go on from the new rows; the caller deletes it.
     """
-    staging = scratch_dir(spark, "upsert-delta")
-    watched, seen = _observed(delta, marks, failing, _day_set(partition_col))
-    watched.write.parquet(staging)
-    got = seen.get
-    staged = spark.read.schema(delta.schema).parquet(staging)
-    days = sorted({*got["__days"], *(d for d in whole_days if d is not None)}) + [None] * bool(got["__no_day"] or None in whole_days)
+    version = None
+    if keep_delta:
+        staging = scratch_dir(spark, "upsert-delta")
+        watched, seen = _observed(delta, marks, failing, _day_set(partition_col))
+        watched.write.parquet(staging)
+        got = seen.get
+        written = [*got["__days"], *([None] if got["__no_day"] else [])]
+    else:
+        watched, seen = _observed(delta, marks, failing)
+        version, folders = _write(spark, watched, path, partition_col)
+        staging = f"{path}/versions/table_version={version}"
+        got = seen.get if seen and folders else {"__failing": 0} if failing is not None else {}  # no rows, no metrics
+        written = [None if d == f"{partition_col}={NULL_DAY}" else unquote(d.split("=", 1)[1]) for d in folders]
+    staged = spark.read.schema(delta.schema).parquet(staging).select(*delta.columns)
+    days = sorted({d for d in (*written, *whole_days) if d is not None}) + [None] * (None in written or None in whole_days)
     before = state(spark, path)
     if check_unique:
         assert_unique(staged, keys)
+    spare = not keep_delta
     if days or before is None:
         merged = staged
-        target = read_table(spark, path, before) if before else None
-        if target is not None:
-            others = [d for d in days if d not in whole_days]
-            existing = align(in_days(target, partition_col, others), delta.schema)
+        others = _known_days(before, partition_col, [d for d in days if d not in whole_days])
+        if others:
+            existing = align(in_days(read_table(spark, path, before), partition_col, others), delta.schema)
             if newest_by:
                 merged = latest_per_key(existing.unionByName(staged), list(keys), list(newest_by))
             else:
                 merged = existing.join(staged.select(*keys).hint("merge"), list(keys), "left_anti").unionByName(staged)
-        version, folders = _write(spark, merged, path, partition_col)
+        if others or version is None:
+            version, folders = _write(spark, merged, path, partition_col)
+        else:
+            spare = False
         emptied = {f"{partition_col}={NULL_DAY if d is None else d}" for d in whole_days}
         kept_parts = {d: v for d, v in before["parts"].items() if d not in emptied} if before else {}
         parts = {**kept_parts, **{d: version for d in folders}}
@@ -325,5 +347,6 @@ def upsert(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str]
     stats = {"touched_partitions": len(days), "partitions": days}
     if keep_delta:
         return {**stats, "delta": staged, "staging": staging}
-    delete_path(spark, staging, scratch_root(spark))
+    if spare:
+        delete_path(spark, staging, path)
     return stats

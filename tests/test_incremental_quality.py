@@ -250,3 +250,25 @@ def test_no_join_of_a_write_sends_the_delta_to_the_driver(spark, tmpdir_path, mo
     joined = asof_join(facts, dim, "coin_id", "day", grain="day")
     assert "Broadcast" not in _plan(joined)
     assert sorted((r.coin_id, r.coin_sk) for r in joined.collect()) == [("a", "s"), ("b", None)]
+
+
+def test_a_delta_of_new_days_is_written_once(spark, tmpdir_path, monkeypatch):
+    target = f"{tmpdir_path}/t"
+    df = lambda *rows: spark.createDataFrame(list(rows), SCHEMA)
+    writes, write = [], I._write
+    monkeypatch.setattr(I, "_write", lambda *a: writes.append(a) or write(*a))
+    monkeypatch.setattr(I, "scratch_dir", lambda *a: 1 / 0)  # no second copy
+    named = lambda: {v for n in range(1, I.state(spark, target)["number"] + 1) for v in I.state(spark, target, n)["parts"].values()}
+    kept = lambda: {n.split("=", 1)[1] for n in I._children(spark, f"{target}/versions")}
+    I.upsert(spark, df(("a", D1, 1.0)), target, ["k", "d"], "d")
+    I.upsert(spark, df(("a", D2, 2.0), ("n", None, 3.0)), target, ["k", "d"], "d")
+    assert len(writes) == 2 and kept() == named()
+    # older rows of a day, also of none, stay; the delta's own copy goes
+    I.upsert(spark, df(("b", D2, 4.0), ("m", None, 5.0)), target, ["k", "d"], "d")
+    I.upsert(spark, df(), target, ["k", "d"], "d")
+    assert kept() == named()
+    # days of which the delta has all rows replace the old ones, and go if it has none
+    I.upsert(spark, df(("c", D2, 6.0)), target, ["k", "d"], "d", whole_days=[str(D1), str(D2)])
+    assert kept() == named()
+    assert sorted(((r.k, r.d, r.v) for r in I.read_table(spark, target).collect()), key=repr) == [
+        ("c", D2, 6.0), ("m", None, 5.0), ("n", None, 3.0)]
